@@ -61,15 +61,22 @@ def normalize_date(c: ColumnOrName) -> Column:
     return F.regexp_replace(_col(c), "/", "-")
 
 
-_YM_PATTERN = r"^([0-9]{4})[-/]([0-9]{1,2})$"
+_YM_PATTERN = r"^[0-9]{4}[-/][0-9]{1,2}$"
+
+
+def _is_year_month(d: Column) -> Column:
+    return d.rlike(_YM_PATTERN)
 
 
 def year_of(date: ColumnOrName) -> Column:
-    return F.regexp_extract(_col(date), _YM_PATTERN, 1).try_cast("int")
+    """Year of ``YYYY-MM`` / ``YYYY/MM`` / ``YYYY-M`` text; NULL otherwise."""
+    d = _col(date)
+    return F.when(_is_year_month(d), F.substring(d, 1, 4).cast("int"))
 
 
 def month_of(date: ColumnOrName) -> Column:
-    return F.regexp_extract(_col(date), _YM_PATTERN, 2).try_cast("int")
+    d = _col(date)
+    return F.when(_is_year_month(d), F.substring(d, 6, 2).cast("int"))
 
 
 def year_month_key(date: ColumnOrName) -> Column:

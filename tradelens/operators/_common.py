@@ -30,12 +30,31 @@ def require_columns(df: DataFrame, cols: Iterable[str], what: str = "DataFrame")
         raise ValueError(f"Missing required columns: {sorted(missing)} ({what})")
 
 
+# Optimizer size estimate under which a side is broadcast without counting.
+# Estimates of file scans are the (compressed) file bytes after column
+# pruning, so 1 MiB stays a few MiB in memory even at 10x compression.
+BROADCAST_EST_BYTES = 1 << 20
+
+
+def estimated_bytes(df: DataFrame) -> int | None:
+    """Catalyst's size estimate of ``df`` (no job runs); None if unavailable."""
+    try:
+        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    except Exception:  # noqa: BLE001 - estimates are best effort
+        return None
+
+
 def sized_broadcast(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``small`` only after checking its row count.
+    """Broadcast ``small`` only behind a size check.
 
-    The count runs one cheap job on the small side.  Above ``max_rows`` the
-    frame is returned unchanged and Spark plans a shuffle join (AQE may still
-    switch to broadcast at run time from the real sizes).
+    1. If the optimizer's estimate is under ``BROADCAST_EST_BYTES`` the side is
+       broadcast without running anything.
+    2. Otherwise its rows are counted (one job on the small side); above
+       ``max_rows`` the frame is returned unchanged and Spark plans a shuffle
+       join (AQE may still switch to broadcast from the real sizes).
     """
+    est = estimated_bytes(small)
+    if est is not None and est <= BROADCAST_EST_BYTES:
+        return F.broadcast(small)
     n = small.count()
     return F.broadcast(small) if n <= max_rows else small

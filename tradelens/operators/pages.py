@@ -27,11 +27,25 @@ _GROUP_RE = r'(?s)(<optgroup\b[^>]*>.*?</optgroup>)'
 _OPTION_RE = r'(?s)(<option\b[^>]*>.*?</option>)'
 
 
-def _cell_text(row: Column, grid: str, column: str) -> Column:
-    pattern = rf'(?s)<td[^>]*aria-describedby="{grid}_{column}"[^>]*>(.*?)</td>'
-    inner = F.regexp_extract(row, pattern, 1)
-    no_tags = F.regexp_replace(inner, r"<[^>]*>", "")
-    return F.regexp_replace(no_tags, r"(?U)^\s+|\s+$", "")
+def _cells(row: Column, grid: str) -> Column:
+    """MAP<column id, cell text> of one grid row: the row is split at ``</td>``
+    once; each piece yields its ``aria-describedby`` id and its text without
+    tags (two short regexes per cell instead of one scan of the row per column)."""
+    pieces = F.split(row, "</td>")
+    tagged = F.filter(pieces, lambda p: F.contains(p, F.lit(f'aria-describedby="{grid}_')))
+    entries = F.transform(
+        tagged,
+        lambda p: F.struct(
+            F.regexp_extract(p, rf'aria-describedby="{grid}_([A-Za-z0-9_]+)"', 1).alias("k"),
+            _text(F.regexp_replace(p, r"(?s)^.*?<td\b[^>]*>", "")).alias("v"),
+        ),
+    )
+    return F.map_from_entries(entries)
+
+
+def _text(inner: Column) -> Column:
+    """Cell text: tags removed, surrounding whitespace trimmed."""
+    return F.regexp_replace(F.regexp_replace(inner, r"<[^>]*>", ""), r"(?U)^\s+|\s+$", "")
 
 
 def _number(text: Column) -> Column:
@@ -50,19 +64,22 @@ def grid_rows(pages: DataFrame, grid: str = GRID_ID) -> DataFrame:
     """
     rows = pages.select(
         "page_id", F.explode(F.regexp_extract_all(F.col("html"), F.lit(_ROW_RE), 1)).alias("_tr")
-    )
-    tr = F.col("_tr")
-    item = _unescape(_cell_text(tr, grid, "COL1"))
+    ).select("page_id", _cells(F.col("_tr"), grid).alias("_c"))
+
+    def cell(name: str) -> Column:
+        return F.col("_c").getItem(name)
+
+    item = _unescape(cell("COL1"))
     return rows.select(
         "page_id",
-        _cell_text(tr, grid, "NUM").try_cast("long").alias("row_num"),
+        cell("NUM").try_cast("long").alias("row_num"),
         F.regexp_extract(item, r"^\[([0-9]+)\]", 1).alias("hs_code"),
         F.regexp_replace(item, r"^\[[0-9]+\]\s*", "").alias("item_name"),
-        _unescape(_cell_text(tr, grid, "COL2")).alias("region"),
-        _number(_cell_text(tr, grid, "EX_AMT")).alias("ex_amt"),
-        _number(_cell_text(tr, grid, "EX_WGHT")).alias("ex_wght"),
-        _number(_cell_text(tr, grid, "IM_AMT")).alias("im_amt"),
-        _number(_cell_text(tr, grid, "IM_WGHT")).alias("im_wght"),
+        _unescape(cell("COL2")).alias("region"),
+        _number(cell("EX_AMT")).alias("ex_amt"),
+        _number(cell("EX_WGHT")).alias("ex_wght"),
+        _number(cell("IM_AMT")).alias("im_amt"),
+        _number(cell("IM_WGHT")).alias("im_wght"),
     )
 
 

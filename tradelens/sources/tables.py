@@ -65,7 +65,7 @@ def line_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     sup = s.join(sized_broadcast(geo), s.s_nationkey == geo.n_nationkey).select(
         "s_suppkey", F.col("s_name").alias("office"), F.col("n_name").alias("district"), F.col("r_name").alias("city")
     )
-    return li.join(sup, li.l_suppkey == sup.s_suppkey).select(
+    return li.join(sized_broadcast(sup), li.l_suppkey == sup.s_suppkey).select(
         hs_code_of("l_partkey").alias("hs_code"),
         "city",
         "district",
@@ -190,8 +190,9 @@ def grid_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = load(spark, sf_dir, "part").select("p_partkey", "p_name")
     s = load(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     n = load(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    rows = li.join(p, li.l_partkey == p.p_partkey).join(s, li.l_suppkey == s.s_suppkey).join(
-        sized_broadcast(n), F.col("s_nationkey") == F.col("n_nationkey")
+    sup = s.join(sized_broadcast(n), s.s_nationkey == n.n_nationkey).select("s_suppkey", "n_name")
+    rows = li.join(sized_broadcast(p), li.l_partkey == p.p_partkey).join(
+        sized_broadcast(sup), li.l_suppkey == sup.s_suppkey
     )
 
     def td(col: str, value: F.Column) -> F.Column:
