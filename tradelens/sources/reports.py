@@ -47,22 +47,32 @@ def read_report_exports(
     skip_rows: int = DEFAULT_SKIP_ROWS,
     glob: str | None = None,
     sep: str = ",",
+    fallback_skip_rows: int | None = None,
 ) -> DataFrame:
-    """Report rows ``source_file, block, row_no, period_raw,
+    """Report rows ``source_file, block, row_no, period_raw,
     export_amount`` (amount still text) without the title/header lines.
 
     Only the first two CSV columns are parsed (the reference uses the first
     two columns by position).  Header lines are the first ``skip_rows``
-    lines of each file: found from each file's first row id (one small
+    lines of each file, found from each file's first row id (one small
     aggregate over the first split, broadcast after a size check).
+    S3: a file too short for that layout (no line after the header) is read
+    with ``fallback_skip_rows`` instead, when given.
     """
     lines = read_report_lines(spark, path, glob)
-    if skip_rows > 0:
-        firsts = lines.where(F.col("block") == 0).groupBy("source_file").agg(F.min("row_no").alias("_first"))
+    if skip_rows > 0 or fallback_skip_rows is not None:
+        heads = (
+            lines.where(F.col("block") == 0)
+            .groupBy("source_file")
+            .agg(F.min("row_no").alias("_first"), F.count(F.lit(1)).alias("_n0"))
+        )
+        skip = F.lit(skip_rows)
+        if fallback_skip_rows is not None:
+            skip = F.when(F.col("_n0") > skip_rows, skip).otherwise(F.lit(fallback_skip_rows))
         lines = (
-            lines.join(sized_broadcast(firsts), on="source_file", how="left")
-            .where(~((F.col("block") == 0) & (F.col("row_no") < F.col("_first") + F.lit(skip_rows))))
-            .drop("_first")
+            lines.join(sized_broadcast(heads), on="source_file", how="left")
+            .where(~((F.col("block") == 0) & (F.col("row_no") < F.col("_first") + skip)))
+            .drop("_first", "_n0")
         )
     cells = F.from_csv(F.col("line"), "c0 STRING, c1 STRING", {"sep": sep})
     return lines.select(
