@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
+from tradelens.operators._common import sized_broadcast
 from tradelens.operators.select import CUSTOMS_CATEGORY, REGION_CATEGORY, REGION_SCOPES
 from tradelens.operators.validate import Outcome
 
@@ -133,10 +134,12 @@ def validate_items(items: DataFrame) -> Outcome:
         "reasons", F.concat(item_reasons, filter_reasons)
     ).withColumn("unknown", unknown)
     # A strategy is valid only if all of its items are.  The per-strategy
-    # verdict is a partial aggregate joined back on ``strategy`` (no window
-    # over a strategy's items: one strategy may own most of them).
+    # verdict is a partial aggregate (one row per strategy) joined back on
+    # ``strategy`` and broadcast after a size check: no window over a
+    # strategy's items (one strategy may own most of them), no shuffle of
+    # the items by strategy.
     verdict = tagged.groupBy("strategy").agg(F.max(F.size("reasons") > 0).alias("_bad"))
-    tagged = tagged.join(verdict, on="strategy", how="left").withColumn(
+    tagged = tagged.join(sized_broadcast(verdict), on="strategy", how="left").withColumn(
         "_bad", F.coalesce(F.col("_bad"), F.lit(True))  # NULL strategy name: no verdict row
     )
     valid = tagged.where(~F.col("_bad")).select("strategy", "item", "hs_code", "filters")
