@@ -110,14 +110,13 @@ def with_period_keys(df, date: str = "date"):
 
     Returns ``(df, added)``; operators drop only the keys they added, so a
     chain of operators shares one key column and Spark sorts once."""
-    added = []
-    if YM_KEY not in df.columns:
-        df = df.withColumn(YM_KEY, year_month_key(F.col(date)))
-        added.append(YM_KEY)
-    if QK_KEY not in df.columns:
-        df = df.withColumn(QK_KEY, quarter_key(F.col(date)))
-        added.append(QK_KEY)
-    return df, added
+    cols = df.columns
+    new = {}
+    if YM_KEY not in cols:
+        new[YM_KEY] = year_month_key(F.col(date))
+    if QK_KEY not in cols:
+        new[QK_KEY] = quarter_key(F.col(date))
+    return (df.withColumns(new) if new else df), list(new)
 
 
 def business_date_ok(date: ColumnOrName) -> Column:

@@ -30,16 +30,25 @@ def require_columns(df: DataFrame, cols: Iterable[str], what: str = "DataFrame")
         raise ValueError(f"Missing required columns: {sorted(missing)} ({what})")
 
 
-# Optimizer size estimate under which a side is broadcast without counting.
-# Estimates of file scans are the (compressed) file bytes after column
-# pruning, so 1 MiB stays a few MiB in memory even at 10x compression.
-BROADCAST_EST_BYTES = 1 << 20
+# Optimizer size estimate under which a side is broadcast without counting:
+# the session's ``spark.sql.autoBroadcastJoinThreshold`` (the bound Spark's
+# own planner applies to the same estimates), capped at this value.
+BROADCAST_EST_BYTES = 10 << 20
+
+
+def _estimate_limit(df: DataFrame) -> int:
+    raw = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", str(BROADCAST_EST_BYTES))
+    try:
+        limit = int(raw)
+    except ValueError:  # e.g. "10MB"
+        limit = int(df.sparkSession.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(raw))
+    return min(limit, BROADCAST_EST_BYTES) if limit > 0 else 0
 
 
 def estimated_bytes(df: DataFrame) -> int | None:
     """Catalyst's size estimate of ``df`` (no job runs); None if unavailable."""
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     except Exception:  # noqa: BLE001 - estimates are best effort
         return None
 
@@ -47,14 +56,15 @@ def estimated_bytes(df: DataFrame) -> int | None:
 def sized_broadcast(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Broadcast ``small`` only behind a size check.
 
-    1. If the optimizer's estimate is under ``BROADCAST_EST_BYTES`` the side is
-       broadcast without running anything.
+    1. If the optimizer's estimate is under the session's broadcast threshold
+       (at most ``BROADCAST_EST_BYTES``) the side is broadcast without running
+       anything.
     2. Otherwise its rows are counted (one job on the small side); above
        ``max_rows`` the frame is returned unchanged and Spark plans a shuffle
        join (AQE may still switch to broadcast from the real sizes).
     """
     est = estimated_bytes(small)
-    if est is not None and est <= BROADCAST_EST_BYTES:
+    if est is not None and est <= _estimate_limit(small):
         return F.broadcast(small)
     n = small.count()
     return F.broadcast(small) if n <= max_rows else small

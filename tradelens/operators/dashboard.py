@@ -73,10 +73,18 @@ def with_daily_rates(df: DataFrame, series: Series | None = None, date: str = "d
     w = series_window(series, YM_KEY)
     da = F.col("daily_avg")
     return (
-        df.withColumn("_dpm", F.lag(da, 1).over(w))
-        .withColumn("_dpy", F.when(F.col(YM_KEY).isNotNull(), F.last(da).over(w.rangeBetween(-100, -100))))
-        .withColumn("daily_avg_mom", pct_change("daily_avg", "_dpm", digits=0, zero_base="ieee", form="ratio"))
-        .withColumn("daily_avg_yoy", pct_change("daily_avg", "_dpy", digits=0, zero_base="ieee", form="diff"))
+        df.withColumns(
+            {
+                "_dpm": F.lag(da, 1).over(w),
+                "_dpy": F.when(F.col(YM_KEY).isNotNull(), F.last(da).over(w.rangeBetween(-100, -100))),
+            }
+        )
+        .withColumns(
+            {
+                "daily_avg_mom": pct_change("daily_avg", "_dpm", digits=0, zero_base="ieee", form="ratio"),
+                "daily_avg_yoy": pct_change("daily_avg", "_dpy", digits=0, zero_base="ieee", form="diff"),
+            }
+        )
         .drop("_dpm", "_dpy", *added)
     )
 
@@ -101,26 +109,37 @@ def with_quarter_stats(df: DataFrame, series: Series | None = None, date: str =
     w = series_window(series, YM_KEY)
     qk = F.col(QK_KEY)
     in_q = qk.isNotNull()
+    nxt = F.col("_next_qk")
+    last = in_q & (nxt.isNull() | (nxt != qk))
     staged = (
-        df.withColumn("_cum", F.sum(F.when(in_q, F.col("daily_avg")).otherwise(F.lit(0))).over(
-            w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-        .withColumn("_next_qk", F.lead(qk, 1).over(w))
-        .withColumn("_last", in_q & (F.col("_next_qk").isNull() | (F.col("_next_qk") != qk)))
-        .withColumn("_cum_last", F.when(F.col("_last"), F.col("_cum")))
+        df.withColumns(
+            {
+                "_cum": F.sum(F.when(in_q, F.col("daily_avg")).otherwise(F.lit(0))).over(
+                    w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+                ),
+                "_next_qk": F.lead(qk, 1).over(w),
+            }
+        )
+        .withColumns({"_last": last, "_cum_last": F.when(last, F.col("_cum"))})
         .withColumn("_prev_cum", F.expr("lag(_cum_last, 1) IGNORE NULLS").over(w))
         .withColumn("_qb", F.when(F.col("_last"), F.col("_cum") - F.coalesce(F.col("_prev_cum"), F.lit(0))))
         .withColumn("_qc", quarter_average("_qb"))
-        .withColumn("_qc1", F.expr("lag(_qc, 1) IGNORE NULLS").over(w))
-        .withColumn("_qc4", F.expr("lag(_qc, 4) IGNORE NULLS").over(w))
+        .withColumns(
+            {
+                "_qc1": F.expr("lag(_qc, 1) IGNORE NULLS").over(w),
+                "_qc4": F.expr("lag(_qc, 4) IGNORE NULLS").over(w),
+            }
+        )
     )
     show = F.col("_last") & (month_of(F.col(date)) % 3 == 0)
-    return (
-        staged.withColumn("quarter_b", F.when(show, F.col("_qb")).cast("long"))
-        .withColumn("quarter_c", F.when(show, F.col("_qc")))
-        .withColumn("quarter_d", F.when(show, pct_change("_qc", "_qc1", 0, "ieee", "ratio")))
-        .withColumn("quarter_e", F.when(show, pct_change("_qc", "_qc4", 0, "ieee", "ratio")))
-        .drop("_cum", "_next_qk", "_last", "_cum_last", "_prev_cum", "_qb", "_qc", "_qc1", "_qc4", *added)
-    )
+    return staged.withColumns(
+        {
+            "quarter_b": F.when(show, F.col("_qb")).cast("long"),
+            "quarter_c": F.when(show, F.col("_qc")),
+            "quarter_d": F.when(show, pct_change("_qc", "_qc1", 0, "ieee", "ratio")),
+            "quarter_e": F.when(show, pct_change("_qc", "_qc4", 0, "ieee", "ratio")),
+        }
+    ).drop("_cum", "_next_qk", "_last", "_cum_last", "_prev_cum", "_qb", "_qc", "_qc1", "_qc4", *added)
 
 
 def enrich_data(

@@ -95,10 +95,13 @@ def monthly_growth(
     df, added = with_period_keys(df, date)
     w = series_window(series, YM_KEY)
     return (
-        df.withColumn("_pm", _prev_month(value, w))
-        .withColumn("_py", _prev_year_month(value, w))
-        .withColumn("export_mom", pct_change(value, "_pm", digits=2, zero_base="null"))
-        .withColumn("export_yoy", pct_change(value, "_py", digits=2, zero_base="null"))
+        df.withColumns({"_pm": _prev_month(value, w), "_py": _prev_year_month(value, w)})
+        .withColumns(
+            {
+                "export_mom": pct_change(value, "_pm", digits=2, zero_base="null"),
+                "export_yoy": pct_change(value, "_py", digits=2, zero_base="null"),
+            }
+        )
         .drop("_pm", "_py", *added)
     )
 
@@ -120,8 +123,7 @@ def process_quarterly(
     q = aggregate_by_quarter(monthly, series, date, value).where(F.col("qk").isNotNull())
     w = series_window(series, "qk")
     return (
-        q.withColumn("_pq", F.lag(F.col(value), 1).over(w))
-        .withColumn("_py", F.last(F.col(value)).over(w.rangeBetween(-10, -10)))
+        q.withColumns({"_pq": F.lag(F.col(value), 1).over(w), "_py": F.last(F.col(value)).over(w.rangeBetween(-10, -10))})
         .select(
             *series,
             "quarter",

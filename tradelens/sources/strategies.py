@@ -133,23 +133,23 @@ def validate_items(items: DataFrame) -> Outcome:
     tagged = items.withColumn("filters", known).withColumn(
         "reasons", F.concat(item_reasons, filter_reasons)
     ).withColumn("unknown", unknown)
-    # A strategy is valid only if all of its items are.  The per-strategy
-    # verdict is a partial aggregate (one row per strategy) joined back on
-    # ``strategy`` and broadcast after a size check: no window over a
-    # strategy's items (one strategy may own most of them), no shuffle of
-    # the items by strategy.
-    verdict = tagged.groupBy("strategy").agg(F.max(F.size("reasons") > 0).alias("_bad"))
-    tagged = tagged.join(sized_broadcast(verdict), on="strategy", how="left").withColumn(
-        "_bad", F.coalesce(F.col("_bad"), F.lit(True))  # NULL strategy name: no verdict row
-    )
-    valid = tagged.where(~F.col("_bad")).select("strategy", "item", "hs_code", "filters")
-    bad_items = tagged.where(F.col("_bad")).select(
-        "strategy",
-        "item",
-        "hs_code",
-        F.when(F.size("reasons") > 0, F.array_join("reasons", "; "))
-        .otherwise(F.lit("another item of the strategy is invalid"))
-        .alias("reason"),
+    # A strategy is valid only if all of its items are.  The bad strategies
+    # (a partial aggregate, at most one row per strategy) are broadcast after
+    # a size check; valid items are an anti join, the other items of a bad
+    # strategy a semi join.  No window over a strategy's items (one strategy
+    # may own most of them) and no shuffle of the items by strategy.
+    has_reasons = F.size("reasons") > 0
+    bad = sized_broadcast(tagged.where(has_reasons).select("strategy").distinct())
+    clean = tagged.where(~has_reasons)
+    valid = clean.join(bad, on="strategy", how="left_anti").select("strategy", "item", "hs_code", "filters")
+    bad_items = (
+        tagged.where(has_reasons)
+        .select("strategy", "item", "hs_code", F.array_join("reasons", "; ").alias("reason"))
+        .unionByName(
+            clean.join(bad, on="strategy", how="left_semi").select(
+                "strategy", "item", "hs_code", F.lit("another item of the strategy is invalid").alias("reason")
+            )
+        )
     )
     ignored = tagged.select(
         "strategy", "item", "hs_code", F.explode("unknown").alias("f")
