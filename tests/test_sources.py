@@ -124,3 +124,21 @@ def test_full_verb(spark):
     assert rows(tables.quarterly, "quarter", "export_amount", "export_yoy") == [("2024Q1", 50.0, 400.0)]
     assert dash.count() == 2
     assert os.path.isdir(os.path.join(out, "report", "monthly", "strategy=농심"))
+
+
+def test_header_names_and_safe_reader(spark):
+    from tradelens.sources.reports import read_report_exports_safe, read_report_header
+    from tradelens.sources.records import records_to_dataframe
+
+    d = tempfile.mkdtemp(prefix="tl-head-")
+    write_csv(d, "a.csv", ["제목,,", "부제,,", "기간,수출,", ",금액,중량", "2024년,1,2"])
+    names = sorted((r.col_idx, r.name) for r in read_report_header(spark, d).collect())
+    assert names == [(0, "기간"), (1, "수출_금액"), (2, "수출_중량")]
+    ok = read_report_exports_safe(spark, d)
+    assert ok.rejects.count() == 0 and ok.valid.count() == 1
+    missing = read_report_exports_safe(spark, os.path.join(d, "nope.csv"))
+    assert missing.rejects.collect()[0].error.startswith("File not found:") and missing.valid.count() == 0
+    empty = records_to_dataframe(spark, [], "date string, export_amount double")
+    assert empty.columns == ["date", "export_amount"] and empty.count() == 0
+    two = records_to_dataframe(spark, [{"date": "2024-01", "export_amount": 1.0}, {"date": "2024-02"}], "date string, export_amount double")
+    assert rows(two) == [("2024-01", 1.0), ("2024-02", None)]

@@ -59,12 +59,13 @@ def sized_broadcast(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Dat
     1. If the optimizer's estimate is under the session's broadcast threshold
        (at most ``BROADCAST_EST_BYTES``) the side is broadcast without running
        anything.
-    2. Otherwise its rows are counted (one job on the small side); above
-       ``max_rows`` the frame is returned unchanged and Spark plans a shuffle
-       join (AQE may still switch to broadcast from the real sizes).
+    2. Otherwise its rows are counted, stopping after ``max_rows + 1``
+       (``limit`` before ``count``: a large side is not counted in full).
+       Above ``max_rows`` the frame is returned unchanged and Spark plans a
+       shuffle join (AQE may still switch to broadcast from the real sizes).
     """
     est = estimated_bytes(small)
     if est is not None and est <= _estimate_limit(small):
         return F.broadcast(small)
-    n = small.count()
+    n = small.limit(max_rows + 1).count()
     return F.broadcast(small) if n <= max_rows else small

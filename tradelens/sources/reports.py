@@ -84,6 +84,61 @@ def read_report_exports(
     )
 
 
+def read_report_header(
+    spark: SparkSession,
+    path: str,
+    header_rows: tuple[int, int] = (2, 3),
+    glob: str | None = None,
+    sep: str = ",",
+) -> DataFrame:
+    """The two-row header of every export, flattened to one name per
+    column: ``source_file, col_idx, name`` with ``name = top_sub`` (an empty
+    top cell repeats the previous top, as merged header cells do).
+
+    Only the first split of each file is read for it; the header is small."""
+    lines = read_report_lines(spark, path, glob).where(F.col("block") == 0)
+    first = lines.groupBy("source_file").agg(F.min("row_no").alias("_first"))
+    top_i, sub_i = header_rows
+    picked = (
+        lines.join(sized_broadcast(first), on="source_file")
+        .withColumn("_i", F.col("row_no") - F.col("_first"))
+        .where(F.col("_i").isin(top_i, sub_i))
+        .select("source_file", "_i", F.posexplode(F.split(F.col("line"), sep)).alias("col_idx", "cell"))
+    )
+    cells = picked.groupBy("source_file", "col_idx").agg(
+        F.max(F.when(F.col("_i") == top_i, F.trim("cell"))).alias("top"),
+        F.max(F.when(F.col("_i") == sub_i, F.trim("cell"))).alias("sub"),
+    )
+    from pyspark.sql import Window
+
+    w = Window.partitionBy("source_file").orderBy("col_idx").rowsBetween(Window.unboundedPreceding, 0)
+    top = F.last(F.when(F.col("top") != "", F.col("top")), ignorenulls=True).over(w)
+    return cells.select(
+        "source_file",
+        "col_idx",
+        F.concat_ws("_", top, F.when(F.col("sub") != "", F.col("sub"))).alias("name"),
+    )
+
+
+def read_report_exports_safe(spark: SparkSession, path: str, **kw):
+    """S4 safe: ``Outcome(rows, errors)``; a missing path is an error row
+    ``File not found: <path>`` instead of an exception (checked on file
+    metadata only, nothing is read on the driver)."""
+    from tradelens.operators.validate import Outcome
+
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    matches = fs.globStatus(hpath)
+    if matches is None or len(matches) == 0:
+        errors = spark.createDataFrame([(f"File not found: {path}",)], "error string")
+        empty = spark.createDataFrame(
+            [], "source_file string, block long, row_no long, period_raw string, export_amount string"
+        )
+        return Outcome(empty, errors)
+    return Outcome(read_report_exports(spark, path, **kw), spark.createDataFrame([], "error string"))
+
+
 def latest_files(spark: SparkSession, path: str, glob: str = "*.csv", group: str | None = None) -> DataFrame:
     """Newest file (by modification time) overall or per ``group``
     (a column derived from the path, e.g. the strategy folder).  Only
