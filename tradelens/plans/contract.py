@@ -34,7 +34,13 @@ from tradelens.operators.growth import (
 from tradelens.operators.pages import grid_rows, option_dimension
 from tradelens.operators.parse import parse_period_rows, process_trade_data
 from tradelens.operators.select import select_strategy_facts
-from tradelens.operators.validate import TRADE_RECORD_RULES, from_json_rows, split_valid, to_json_rows
+from tradelens.operators.validate import (
+    TRADE_RECORD_RULES,
+    from_json_rows,
+    process_trade_data_safe,
+    split_valid,
+    to_json_rows,
+)
 from tradelens.sources import tables as T
 from tradelens.sources.strategies import validate_items
 
@@ -163,6 +169,19 @@ def q_process_raw_report(spark, d):
     return process_trade_data(T.raw_report(spark, d), ["series"])
 
 
+def _returns_report(spark, d):
+    """Per-customer report where orders in status P are returns (negative)."""
+    return T.raw_report(spark, d, series="o_custkey", negative_status="P")
+
+
+def q_safe_report_valid(spark, d):
+    return process_trade_data_safe(_returns_report(spark, d), ["series"]).valid
+
+
+def q_safe_report_rejects(spark, d):
+    return process_trade_data_safe(_returns_report(spark, d), ["series"]).rejects
+
+
 def amount_texts(spark, d) -> DataFrame:
     """Amount texts in five shapes, chosen by order priority."""
     o = T.load(spark, d, "orders")
@@ -227,6 +246,13 @@ def q_strategy_monthly_growth(spark, d):
     return monthly_growth(strategy_monthly(spark, d), ["strategy", "item"])
 
 
+def q_strategy_dashboard(spark, d):
+    """C10 dashboard part: every strategy item enriched, then the year range."""
+    keys = ["strategy", "item"]
+    grown = monthly_growth(strategy_monthly(spark, d), keys)
+    return filter_by_year(enrich_data(grown, keys, holidays=holidays(spark)), YEAR_FROM, YEAR_TO)
+
+
 def q_strategy_quarterly_growth(spark, d):
     return process_quarterly(strategy_facts(spark, d), ["strategy", "item"])
 
@@ -276,6 +302,8 @@ QUERIES: dict[str, Query] = {
     "dashboard_labels": q_dashboard_labels,
     "parse_period_rows": q_parse_period_rows,
     "process_raw_report": q_process_raw_report,
+    "safe_report_valid": q_safe_report_valid,
+    "safe_report_rejects": q_safe_report_rejects,
     "amount_coercion": q_amount_coercion,
     "valid_records": q_valid_records,
     "rejected_records": q_rejected_records,
@@ -284,6 +312,7 @@ QUERIES: dict[str, Query] = {
     "strategy_select": q_strategy_select,
     "strategy_monthly_growth": q_strategy_monthly_growth,
     "strategy_quarterly_growth": q_strategy_quarterly_growth,
+    "strategy_dashboard": q_strategy_dashboard,
     "latest_per_series": q_latest_per_series,
     "result_json": q_result_json,
     "grid_rows": q_grid_rows,

@@ -121,8 +121,8 @@ LABELLED = (
 )
 
 
-def dashboard(g: str, select: str, where: str = "") -> str:
-    return f"WITH {dashboard_ctes(g)}\nSELECT {select} FROM e {where}"
+def dashboard(g: str, select: str, where: str = "", keys=("series",)) -> str:
+    return f"WITH {dashboard_ctes(g, keys)}\nSELECT {select} FROM e {where}"
 
 
 def daily_only(m: str) -> str:
@@ -151,6 +151,11 @@ SELECT series, CAST(y AS VARCHAR) || '-' || lpad(CAST(mo AS VARCHAR), 2, '0') AS
   CAST(sum(amt) AS DOUBLE) AS export_amount
 FROM ({RAW_MONTHS}) GROUP BY ALL"""
 
+RETURNS_MONTHLY = """
+SELECT CAST(o_custkey AS VARCHAR) AS series, strftime(o_orderdate, '%Y-%m') AS date,
+  CAST(sum(CASE WHEN o_orderstatus = 'P' THEN -1 ELSE 1 END * CAST(floor(o_totalprice) AS BIGINT)) AS DOUBLE) AS export_amount
+FROM orders GROUP BY ALL"""
+
 AMOUNT_COERCION = """
 SELECT o_orderkey, o_orderpriority,
   CASE o_orderpriority
@@ -248,6 +253,9 @@ SELECT date, business_days FROM months JOIN bd ON bd.ym = {YM}""",
     "dashboard_labels": dashboard(growth(DENSE), LABELLED, YEAR_WHERE),
     "parse_period_rows": PARSE_PERIOD_ROWS,
     "process_raw_report": growth(RAW_MONTHLY),
+    "safe_report_valid": growth(f"SELECT * FROM ({RETURNS_MONTHLY}) WHERE export_amount >= 0"),
+    "safe_report_rejects": f"""SELECT series, date, export_amount, 'export_amount must be a number >= 0' AS reason
+FROM ({RETURNS_MONTHLY}) WHERE export_amount < 0""",
     "amount_coercion": AMOUNT_COERCION,
     "valid_records": f"SELECT * FROM ({RECORDS}) WHERE {REASONS} = ''",
     "rejected_records": f"SELECT *, {REASONS} AS reason FROM ({RECORDS}) WHERE {REASONS} <> ''",
@@ -259,6 +267,12 @@ FROM part WHERE p_type = 'PROMO'""",
     "strategy_select": STRATEGY_MONTHLY,
     "strategy_monthly_growth": growth(STRATEGY_MONTHLY, keys=("strategy", "item")),
     "strategy_quarterly_growth": quarterly(STRATEGY_FACTS, keys=("strategy", "item")),
+    "strategy_dashboard": dashboard(
+        growth(STRATEGY_MONTHLY, keys=("strategy", "item")),
+        "strategy, item, " + ENRICHED.replace("series, ", "", 1),
+        YEAR_WHERE,
+        keys=("strategy", "item"),
+    ),
     "latest_per_series": LATEST,
     "result_json": growth(DENSE),
     "grid_rows": GRID_ROWS,

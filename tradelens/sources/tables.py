@@ -80,9 +80,12 @@ def line_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
 STATUS_ORDER = {"F": 1, "O": 2, "P": 3}
 
 
-def raw_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Report-export rows per order priority: ``series, row_no, period_raw,
-    export_amount`` (amount as text, whole currency units).
+def raw_report(
+    spark: SparkSession, sf_dir: str, series: str = "o_orderpriority", negative_status: str | None = None
+) -> DataFrame:
+    """Report-export rows per ``series`` (default: order priority):
+    ``series, row_no, period_raw, export_amount`` (amount as text, whole
+    currency units; orders with ``negative_status`` are booked negative).
 
     - ``YYYY년`` year row carrying the annual total (a decoy: it must be ignored)
     - one month row per (month, order status), so months repeat and must be
@@ -90,12 +93,15 @@ def raw_report(spark: SparkSession, sf_dir: str) -> DataFrame:
       the amount text (plain, padded, exponent form)
     - a ``비고`` note row per year with amount ``n/a`` and a final ``총계`` row
     """
+    amt = F.floor("o_totalprice")
+    if negative_status is not None:
+        amt = F.when(F.col("o_orderstatus") == negative_status, -amt).otherwise(amt)
     o = load(spark, sf_dir, "orders").select(
-        F.col("o_orderpriority").alias("series"),
+        F.col(series).cast("string").alias("series"),
         F.year("o_orderdate").alias("y"),
         F.month("o_orderdate").alias("m"),
         F.col("o_orderstatus").alias("st"),
-        F.floor("o_totalprice").alias("amt"),
+        amt.alias("amt"),
     )
     months = o.groupBy("series", "y", "m", "st").agg(F.sum("amt").alias("amt"))
     rank = F.when(F.col("st") == "F", 1).when(F.col("st") == "O", 2).otherwise(3)
