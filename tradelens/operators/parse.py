@@ -65,15 +65,15 @@ def forward_fill(
     seg = "_seg"
     src = df.withColumn(seg, F.col(chunk) if chunk else F.floor(F.col(order_by) / F.lit(chunk_rows)))
     keys = [*parts, seg]
+    # Last non-NULL value per segment: ``max_by`` (hash aggregate for
+    # fixed-width values) over the order of the non-NULL rows only.
     summary = src.groupBy(*keys).agg(
-        F.max(F.when(F.col(value).isNotNull(), F.struct(F.col(order_by).alias("o"), F.col(value).alias("v")))).alias(
-            "_tail"
-        )
+        F.max_by(F.col(value), F.when(F.col(value).isNotNull(), F.col(order_by))).alias("_tail")
     )
     sw = (Window.partitionBy(*parts) if parts else Window.partitionBy(F.lit(0))).orderBy(seg)
     carry = summary.select(
         *keys,
-        F.last(F.col("_tail.v"), ignorenulls=True)
+        F.last(F.col("_tail"), ignorenulls=True)
         .over(sw.rowsBetween(Window.unboundedPreceding, -1))
         .alias(value),
     ).where(F.col(value).isNotNull())
@@ -108,7 +108,7 @@ def parse_period_rows(
     keep = [*series, row_no, *( [chunk] if chunk else [])]
     staged = raw.select(
         *keep,
-        parse_year(text).alias("_year"),
+        parse_year(text).cast("int").alias("_year"),
         parse_month(text).alias("_month"),
         coerce_amount(F.col(amount), raw.schema[amount].dataType).alias("_amount"),
     )
@@ -119,7 +119,7 @@ def parse_period_rows(
     return months.select(
         *series,
         row_no,
-        format_date(F.col("_cur_year"), F.col("_month")).alias("date"),
+        format_date(F.lpad(F.col("_cur_year").cast("string"), 4, "0"), F.col("_month")).alias("date"),
         F.col("_amount").alias("export_amount"),
     )
 
