@@ -61,11 +61,20 @@ def normalize_date(c: ColumnOrName) -> Column:
     return F.regexp_replace(_col(c), "/", "-")
 
 
-_YM_PATTERN = r"^[0-9]{4}[-/][0-9]{1,2}$"
+def _digits(c: Column) -> Column:
+    """Non-empty and only ASCII digits (no regex: ``translate`` drops them)."""
+    return (F.length(c) > 0) & (F.length(F.translate(c, "0123456789", "")) == 0)
 
 
 def _is_year_month(d: Column) -> Column:
-    return d.rlike(_YM_PATTERN)
+    """``YYYY-M``, ``YYYY-MM`` or ``YYYY/MM`` text, checked without a regex
+    (this runs on every fact row before aggregation)."""
+    return (
+        F.length(d).between(6, 7)
+        & F.substring(d, 5, 1).isin("-", "/")
+        & _digits(F.substring(d, 1, 4))
+        & _digits(F.substring(d, 6, 2))
+    )
 
 
 def year_of(date: ColumnOrName) -> Column:

@@ -11,15 +11,22 @@ from tradelens.functions.periods import quarter_key, quarter_label
 from tradelens.operators._common import Series, as_list, require_columns
 
 
-def _sum_amount(df: DataFrame, value: str):
-    """Sum that treats NULL and NaN as 0 and stays exact for decimals."""
-    dtype = df.schema[value].dataType
-    total = F.sum(coerce_amount(F.col(value), dtype))
+def _sum_native(df: DataFrame, value: str):
+    """Sum in the column's own type (DECIMAL stays exact); NULL/NaN count as 0."""
+    return F.sum(coerce_amount(F.col(value), df.schema[value].dataType))
+
+
+def _as_double(total, dtype):
     if isinstance(dtype, DecimalType):
         return F.coalesce(total, F.lit(0)).cast("double")
     return F.coalesce(total.cast("double"), F.lit(0.0))
 
 
+def _sum_amount(df: DataFrame, value: str):
+    """Sum that treats NULL and NaN as 0 and stays exact for decimals."""
+    return _as_double(_sum_native(df, value), df.schema[value].dataType)
+
+
 def aggregate_by_date(
     df: DataFrame,
     series: Series | None = None,
@@ -54,17 +61,20 @@ def aggregate_by_quarter(
 ) -> DataFrame:
     """A3: sum ``value`` per (series, calendar quarter) over observed quarters.
 
-    Output: ``*series, qk, quarter, value``.
+    Two-level: sums per (series, date) first — plain hash keys, no parsing
+    per input row, exact native types — then the quarter key is derived on
+    those (few) rows and summed again.  Rows whose date has no quarter get a
+    NULL ``qk``.  Output: ``*series, qk, quarter, value``.
     """
     series = as_list(series)
     require_columns(df, [date, value, *series])
-    qk = quarter_key(F.col(date))
+    dtype = df.schema[value].dataType
+    per_date = df.groupBy(*series, date).agg(_sum_native(df, value).alias("_s"))
     return (
-        df.withColumn("qk", qk)
+        per_date.withColumn("qk", quarter_key(F.col(date)))
         .groupBy(*series, "qk")
-        .agg(_sum_amount(df, value).alias(value))
-        .withColumn("quarter", quarter_label("qk"))
-        .select(*series, "qk", "quarter", value)
+        .agg(F.sum("_s").alias("_s"))
+        .select(*series, "qk", quarter_label("qk").alias("quarter"), _as_double(F.col("_s"), dtype).alias(value))
     )
 
 

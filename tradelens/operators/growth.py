@@ -120,10 +120,21 @@ def process_quarterly(
     Output: ``*series, quarter, value, export_qoq, export_yoy``.
     """
     series = as_list(series)
-    q = aggregate_by_quarter(monthly, series, date, value).where(F.col("qk").isNotNull())
+    q = aggregate_by_quarter(monthly, series, date, value)
     w = series_window(series, "qk")
+    # Rows without a quarter sort first; ``IGNORE NULLS`` skips them for the
+    # positional rate and the range frame never reaches them.  They are
+    # dropped after the window (a filter there is not pushed below it).
+    amount_q = F.when(F.col("qk").isNotNull(), F.col(value))
     return (
-        q.withColumns({"_pq": F.lag(F.col(value), 1).over(w), "_py": F.last(F.col(value)).over(w.rangeBetween(-10, -10))})
+        q.withColumn("_aq", amount_q)
+        .withColumns(
+            {
+                "_pq": F.expr("lag(_aq, 1) IGNORE NULLS").over(w),
+                "_py": F.last(F.col(value)).over(w.rangeBetween(-10, -10)),
+            }
+        )
+        .where(F.col("qk").isNotNull())
         .select(
             *series,
             "quarter",

@@ -59,6 +59,19 @@ def filter_predicate(f: Column, dimensions: dict | None = None, match: str = "ex
     return F.coalesce(expr.otherwise(F.lit(True)), F.lit(False))
 
 
+def _allowed_values(filters: Column, category: str, scope: str | None) -> Column:
+    """Values allowed by all filters of one (category, scope) of an item:
+    the intersection of their value lists (AND of ORs), or NULL when the
+    item has no such filter (no restriction)."""
+    def hit(f):
+        cond = f["category"] == F.lit(category)
+        return cond & (f["scope"] == F.lit(scope)) if scope is not None else cond
+
+    lists = F.transform(F.filter(filters, hit), lambda f: F.coalesce(f["values"], F.array().cast("array<string>")))
+    merged = F.aggregate(F.slice(lists, 2, 1 << 30), F.element_at(lists, 1), lambda acc, x: F.array_intersect(acc, x))
+    return F.when(F.size(lists) > 0, merged)
+
+
 def select_strategy_facts(
     facts: DataFrame,
     items: DataFrame,
@@ -76,6 +89,19 @@ def select_strategy_facts(
     dims = dimensions or DEFAULT_DIMENSIONS
     require_columns(facts, ["hs_code", *sorted(set(dims.values()))], "facts")
     require_columns(items, ["strategy", "item", "hs_code", "filters"], "items")
+    if match == "exact":
+        # Reduce each item's filters to one allowed-values array per fact
+        # column on the (small) item side; the per-fact-row test is then a
+        # plain, code-generated ``array_contains`` per dimension.
+        filters = F.coalesce(F.col("filters"), F.array())
+        allowed = {f"_ok_{col}": _allowed_values(filters, cat, scope) for (cat, scope), col in dims.items()}
+        prepared = items.select("strategy", "item", "hs_code", *[v.alias(k) for k, v in allowed.items()])
+        joined = facts.join(sized_broadcast(prepared, broadcast_max_rows), on="hs_code", how="inner")
+        keep = F.lit(True)
+        for (cat, scope), col in dims.items():
+            ok = F.col(f"_ok_{col}")
+            keep = keep & (ok.isNull() | F.coalesce(F.array_contains(ok, F.col(col)), F.lit(False)))
+        return joined.where(keep).drop(*allowed)
     dim_items = sized_broadcast(items.select("strategy", "item", "hs_code", "filters"), broadcast_max_rows)
     joined = facts.join(dim_items, on="hs_code", how="inner")
     keep = F.forall(F.coalesce(F.col("filters"), F.array()), lambda f: filter_predicate(f, dims, match))

@@ -92,7 +92,7 @@ def q_monthly_growth_zero_base(spark, d):
     o = T.load(spark, d, "orders")
     facts = o.select(
         F.col("o_custkey").cast("string").alias("series"),
-        F.date_format("o_orderdate", "yyyy-MM").alias("date"),
+        T.year_month("o_orderdate").alias("date"),
         F.when(F.col("o_orderstatus") == "P", F.lit(0).cast("decimal(18,2)"))
         .otherwise(T.money("o_totalprice"))
         .alias("export_amount"),
