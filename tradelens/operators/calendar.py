@@ -1,8 +1,7 @@
 """Business-day calendar.
 
 Business days of a month = weekdays (Mon-Fri) minus holidays that fall on a
-weekday.  Weekdays are counted per row with a higher-order function over the
-month's days (at most 31 elements, JVM side, no table).  Holidays are a
+weekday.  Weekdays are counted per row in closed form (JVM side, no table).  Holidays are a
 user-supplied table ``(d DATE, name STRING)``; it is reduced to one count
 per month and joined by month key, broadcast after a size check.
 """
@@ -56,10 +55,19 @@ def month_start(date: Column) -> Column:
 
 
 def weekdays_in_month(date: Column) -> Column:
-    """Mon-Fri count of the month of ``date`` (``YYYY-MM``); NULL when not a month."""
+    """Mon-Fri count of the month of ``date`` (``YYYY-MM``); NULL when not a month.
+
+    Closed form, no per-day array: 5 per full week, plus the weekdays among
+    the remaining ``days % 7`` days, which start on the month's first weekday
+    (Mon=0).  Six code-generated terms per row."""
     first = month_start(date)
-    days = F.sequence(first, F.last_day(first))
-    return F.size(F.filter(days, lambda d: F.weekday(d) < 5))
+    days = F.dayofmonth(F.last_day(first))
+    w0 = F.weekday(first)
+    rest = days % 7
+    extra = sum(
+        F.when((F.lit(k) < rest) & (((w0 + F.lit(k)) % 7) < 5), F.lit(1)).otherwise(F.lit(0)) for k in range(6)
+    )
+    return (F.floor(days / 7) * 5 + extra).cast("int")
 
 
 def holiday_counts(holidays: DataFrame) -> DataFrame:
