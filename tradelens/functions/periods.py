@@ -89,15 +89,25 @@ def month_of(date: ColumnOrName) -> Column:
 
 
 def year_month_key(date: ColumnOrName) -> Column:
-    """``'2024-03'`` -> ``202403``; NULL when the text is not a year-month."""
-    return year_of(date) * 100 + month_of(date)
+    """``'2024-03'`` -> ``202403``; NULL when the text is not a year-month
+    (one validity check, then substring arithmetic)."""
+    d = _col(date)
+    return F.when(
+        _is_year_month(d), F.substring(d, 1, 4).cast("int") * 100 + F.substring(d, 6, 2).cast("int")
+    )
+
+
+def quarter_of_ym(ym: ColumnOrName) -> Column:
+    """``202405`` -> ``20242``; NULL for months outside 1..12.  Integer
+    arithmetic only: derive keys from ``_ym`` instead of re-parsing text."""
+    ym = _col(ym)
+    m = ym % 100
+    return F.when(m.between(1, 12), F.floor(ym / 100).cast("int") * 10 + F.floor((m - 1) / 3).cast("int") + 1)
 
 
 def quarter_key(date: ColumnOrName) -> Column:
     """``'2024-05'`` -> ``20242``; NULL for months outside 1..12."""
-    m = month_of(date)
-    q = F.when(m.between(1, 12), F.floor((m - 1) / 3).cast("int") + 1)
-    return year_of(date) * 10 + q
+    return quarter_of_ym(year_month_key(date))
 
 
 def quarter_year(qk: ColumnOrName) -> Column:
@@ -120,17 +130,18 @@ def with_period_keys(df, date: str = "date"):
     Returns ``(df, added)``; operators drop only the keys they added, so a
     chain of operators shares one key column and Spark sorts once."""
     cols = df.columns
-    new = {}
+    added = []
     if YM_KEY not in cols:
-        new[YM_KEY] = year_month_key(F.col(date))
+        df = df.withColumn(YM_KEY, year_month_key(F.col(date)))
+        added.append(YM_KEY)
     if QK_KEY not in cols:
-        new[QK_KEY] = quarter_key(F.col(date))
-    return (df.withColumns(new) if new else df), list(new)
+        df = df.withColumn(QK_KEY, quarter_of_ym(F.col(YM_KEY)))
+        added.append(QK_KEY)
+    return df, added
 
 
 def business_date_ok(date: ColumnOrName) -> Column:
     """The business-day rule only counts dates of exactly seven characters
     (``2024-01`` / ``2024/01``) with a real month; everything else gets 0 days."""
     d = _col(date)
-    m = month_of(d)
-    return (F.length(d) == 7) & d.rlike(r"^[0-9]{4}[-/][0-9]{2}$") & m.between(1, 12)
+    return (F.length(d) == 7) & _is_year_month(d) & F.substring(d, 6, 2).cast("int").between(1, 12)

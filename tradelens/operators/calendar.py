@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradelens.functions.periods import business_date_ok, month_of, year_of
+from tradelens.functions.periods import YM_KEY, business_date_ok, month_of, year_month_key, year_of
 from tradelens.operators._common import sized_broadcast
 
 # Fixed-date public holidays (month, day, name) used by the default holiday
@@ -54,13 +54,13 @@ def month_start(date: Column) -> Column:
     return F.make_date(year_of(date), month_of(date), F.lit(1))
 
 
-def weekdays_in_month(date: Column) -> Column:
-    """Mon-Fri count of the month of ``date`` (``YYYY-MM``); NULL when not a month.
+def weekdays_in_month(first: Column) -> Column:
+    """Mon-Fri count of the month starting on the DATE ``first``.
 
     Closed form, no per-day array: 5 per full week, plus the weekdays among
     the remaining ``days % 7`` days, which start on the month's first weekday
-    (Mon=0).  Six code-generated terms per row."""
-    first = month_start(date)
+    (Mon=0).  Six code-generated terms per row; pass a column reference
+    (not an expression) so nothing is recomputed per term."""
     days = F.dayofmonth(F.last_day(first))
     w0 = F.weekday(first)
     rest = days % 7
@@ -91,17 +91,17 @@ def with_business_days(
     """A4 + J5: add ``business_days`` (INT).  0 when ``date`` is not exactly a
     seven-character year-month (``2024-1`` -> 0, ``2024-13`` -> 0)."""
     dcol = F.col(date)
-    ok = business_date_ok(dcol)
-    weekdays = F.when(ok, weekdays_in_month(dcol)).otherwise(F.lit(0))
-    if holidays is None:
-        return df.withColumn(out, weekdays.cast("int"))
-    counts = sized_broadcast(holiday_counts(holidays))
-    joined = df.withColumn("_hym", F.when(ok, year_of(dcol) * 100 + month_of(dcol))).join(
-        counts, on="_hym", how="left"
+    ym = F.col(YM_KEY) if YM_KEY in df.columns else year_month_key(dcol)
+    # Parse once: the month key of valid business dates, then its first day.
+    staged = df.withColumn("_hym", F.when(business_date_ok(dcol), ym)).withColumn(
+        "_first", F.make_date(F.floor(F.col("_hym") / 100).cast("int"), (F.col("_hym") % 100).cast("int"), F.lit(1))
     )
-    return joined.withColumn(
-        out, (weekdays - F.coalesce(F.col("_hdays"), F.lit(0))).cast("int")
-    ).drop("_hym", "_hdays")
+    weekdays = F.coalesce(weekdays_in_month(F.col("_first")), F.lit(0))
+    if holidays is not None:
+        counts = sized_broadcast(holiday_counts(holidays))
+        staged = staged.join(counts, on="_hym", how="left")
+        weekdays = weekdays - F.coalesce(F.col("_hdays"), F.lit(0))
+    return staged.withColumn(out, weekdays.cast("int")).drop("_hym", "_first", "_hdays")
 
 
 def business_days_table(months: DataFrame, date: str = "date", holidays: DataFrame | None = None) -> DataFrame:
