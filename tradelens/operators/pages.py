@@ -27,25 +27,26 @@ _GROUP_RE = r'(?s)(<optgroup\b[^>]*>.*?</optgroup>)'
 _OPTION_RE = r'(?s)(<option\b[^>]*>.*?</option>)'
 
 
+# Separators that never occur in HTML text: cell start and key/value split.
+_CELL_SEP = "\u0001"
+_KEY_SEP = "\u0002"
+_TRIM = " \t\r\n"
+
+
 def _cells(row: Column, grid: str) -> Column:
-    """MAP<column id, cell text> of one grid row: the row is split at ``</td>``
-    once; each piece yields its ``aria-describedby`` id and its text without
-    tags (two short regexes per cell instead of one scan of the row per column)."""
-    pieces = F.split(row, "</td>")
-    tagged = F.filter(pieces, lambda p: F.contains(p, F.lit(f'aria-describedby="{grid}_')))
-    entries = F.transform(
-        tagged,
-        lambda p: F.struct(
-            F.regexp_extract(p, rf'aria-describedby="{grid}_([A-Za-z0-9_]+)"', 1).alias("k"),
-            _text(F.regexp_replace(p, r"(?s)^.*?<td\b[^>]*>", "")).alias("v"),
-        ),
+    """MAP<column id, cell text> of one grid row without lambdas: every cell's
+    opening tag becomes ``\x01<id>\x02``, all other tags are dropped, and
+    ``str_to_map`` splits the rest (two regex passes over the row, all
+    code-generated).  Values keep surrounding whitespace; see ``_text``."""
+    marked = F.regexp_replace(
+        row, rf'(?s)<td\b[^>]*aria-describedby="{grid}_([A-Za-z0-9_]+)"[^>]*>', f"{_CELL_SEP}$1{_KEY_SEP}"
     )
-    return F.map_from_entries(entries)
+    plain = F.regexp_replace(marked, r"<[^>]*>", "")
+    return F.str_to_map(plain, F.lit(_CELL_SEP), F.lit(_KEY_SEP))
 
 
-def _text(inner: Column) -> Column:
-    """Cell text: tags removed, surrounding whitespace trimmed."""
-    return F.regexp_replace(F.regexp_replace(inner, r"<[^>]*>", ""), r"(?U)^\s+|\s+$", "")
+def _text(value: Column) -> Column:
+    return F.trim(value, F.lit(_TRIM))
 
 
 def _number(text: Column) -> Column:
@@ -67,7 +68,7 @@ def grid_rows(pages: DataFrame, grid: str = GRID_ID) -> DataFrame:
     ).select("page_id", _cells(F.col("_tr"), grid).alias("_c"))
 
     def cell(name: str) -> Column:
-        return F.col("_c").getItem(name)
+        return _text(F.col("_c").getItem(name))
 
     item = _unescape(cell("COL1"))
     return rows.select(
