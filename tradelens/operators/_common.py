@@ -56,6 +56,8 @@ def estimated_bytes(df: DataFrame) -> int | None:
 def sized_broadcast(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Broadcast ``small`` only behind a size check.
 
+    0. If the session switches broadcasting off
+       (``spark.sql.autoBroadcastJoinThreshold=-1``) nothing is broadcast.
     1. If the optimizer's estimate is under the session's broadcast threshold
        (at most ``BROADCAST_EST_BYTES``) the side is broadcast without running
        anything.
@@ -64,8 +66,11 @@ def sized_broadcast(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Dat
        Above ``max_rows`` the frame is returned unchanged and Spark plans a
        shuffle join (AQE may still switch to broadcast from the real sizes).
     """
+    limit = _estimate_limit(small)
+    if limit <= 0:  # broadcasting is switched off for this session: respect it
+        return small
     est = estimated_bytes(small)
-    if est is not None and est <= _estimate_limit(small):
+    if est is not None and est <= limit:
         return F.broadcast(small)
     n = small.limit(max_rows + 1).count()
     return F.broadcast(small) if n <= max_rows else small
