@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import io
+import re
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame
@@ -36,21 +39,38 @@ def require_columns(df: DataFrame, cols: Iterable[str], what: str = "DataFrame")
 BROADCAST_EST_BYTES = 10 << 20
 
 
+_BYTE_SUFFIX = {"": 1, "b": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40, "p": 1 << 50}
+
+
+def parse_bytes(text: str) -> int:
+    """Spark byte-size strings: ``10485760``, ``10m``, ``10MB``, ``-1``."""
+    m = re.fullmatch(r"\s*(-?[0-9]+)\s*([bkmgtp]?)b?\s*", text.lower())
+    if not m:
+        raise ValueError(f"not a byte size: {text!r}")
+    return int(m.group(1)) * _BYTE_SUFFIX[m.group(2)]
+
+
 def _estimate_limit(df: DataFrame) -> int:
     raw = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", str(BROADCAST_EST_BYTES))
-    try:
-        limit = int(raw)
-    except ValueError:  # e.g. "10MB"
-        limit = int(df.sparkSession.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(raw))
+    limit = parse_bytes(raw)
     return min(limit, BROADCAST_EST_BYTES) if limit > 0 else 0
 
 
+_UNITS = {"B": 1, "KiB": 1 << 10, "MiB": 1 << 20, "GiB": 1 << 30, "TiB": 1 << 40, "PiB": 1 << 50, "EiB": 1 << 60}
+_STATS = re.compile(r"Statistics\(sizeInBytes=([0-9.Ee+]+)\s*(B|KiB|MiB|GiB|TiB|PiB|EiB)")
+
+
 def estimated_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of ``df`` (no job runs); None if unavailable."""
+    """Catalyst's size estimate of ``df`` from ``explain(mode="cost")`` (the
+    root of the optimized plan; no job runs).  None if unavailable."""
+    buf = io.StringIO()
     try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        with contextlib.redirect_stdout(buf):
+            df.explain(mode="cost")
     except Exception:  # noqa: BLE001 - estimates are best effort
         return None
+    m = _STATS.search(buf.getvalue())
+    return int(float(m.group(1)) * _UNITS[m.group(2)]) if m else None
 
 
 def sized_broadcast(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:

@@ -121,22 +121,23 @@ def read_report_header(
 
 
 def read_report_exports_safe(spark: SparkSession, path: str, **kw):
-    """S4 safe: ``Outcome(rows, errors)``; a missing path is an error row
-    ``File not found: <path>`` instead of an exception (checked on file
-    metadata only, nothing is read on the driver)."""
+    """S4 safe: ``Outcome(rows, errors)``.  A missing path becomes the error
+    row ``File not found: <path>``, any other read failure ``Error reading
+    report export: ...``; nothing raises.  (Spark resolves the path when the
+    DataFrame is created, so no data is read to find out.)"""
+    from pyspark.errors import AnalysisException
+
     from tradelens.operators.validate import Outcome
 
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    matches = fs.globStatus(hpath)
-    if matches is None or len(matches) == 0:
-        errors = spark.createDataFrame([(f"File not found: {path}",)], "error string")
-        empty = spark.createDataFrame(
-            [], "source_file string, block long, row_no long, period_raw string, export_amount string"
-        )
-        return Outcome(empty, errors)
-    return Outcome(read_report_exports(spark, path, **kw), spark.createDataFrame([], "error string"))
+    empty = spark.createDataFrame(
+        [], "source_file string, block long, row_no long, period_raw string, export_amount string"
+    )
+    try:
+        rows = read_report_exports(spark, path, **kw)
+    except AnalysisException as e:
+        msg = f"File not found: {path}" if "PATH_NOT_FOUND" in str(e) else f"Error reading report export: {e}"
+        return Outcome(empty, spark.createDataFrame([(msg,)], "error string"))
+    return Outcome(rows, spark.createDataFrame([], "error string"))
 
 
 def latest_files(spark: SparkSession, path: str, glob: str = "*.csv", group: str | None = None) -> DataFrame:
