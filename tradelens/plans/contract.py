@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradelens.functions.coercion import coerce_amount
+from tradelens.functions.periods import with_period_keys
 from tradelens.operators.aggregate import aggregate_by_date, count_records, latest_per_group
 from tradelens.operators.calendar import business_days_table, fixed_date_holidays
 from tradelens.operators.dashboard import (
@@ -153,8 +154,14 @@ def q_quarter_stats(spark, d):
     )
 
 
+def _dashboard(monthly, keys, spark):
+    """Growth + enrichment sharing one set of period keys (one sort)."""
+    keyed, added = with_period_keys(monthly)
+    return enrich_data(monthly_growth(keyed, keys), keys, holidays=holidays(spark)).drop(*added)
+
+
 def q_dashboard_enriched(spark, d):
-    return enrich_data(q_monthly_growth(spark, d), ["series"], holidays=holidays(spark))
+    return _dashboard(dense_monthly(spark, d), ["series"], spark)
 
 
 def q_dashboard_labels(spark, d):
@@ -249,8 +256,7 @@ def q_strategy_monthly_growth(spark, d):
 def q_strategy_dashboard(spark, d):
     """C10 dashboard part: every strategy item enriched, then the year range."""
     keys = ["strategy", "item"]
-    grown = monthly_growth(strategy_monthly(spark, d), keys)
-    return filter_by_year(enrich_data(grown, keys, holidays=holidays(spark)), YEAR_FROM, YEAR_TO)
+    return filter_by_year(_dashboard(strategy_monthly(spark, d), keys, spark), YEAR_FROM, YEAR_TO)
 
 
 def q_strategy_quarterly_growth(spark, d):

@@ -73,10 +73,13 @@ def dashboard_table(
 
     A processed report (S6: growth columns present) is enriched as is."""
     series = as_list(series)
+    # The period keys are added once and kept through growth and enrichment,
+    # so all their windows share one sort.
+    keyed, added = with_period_keys(monthly)
     if not is_processed_report(monthly):
-        keyed, added = with_period_keys(monthly)
-        monthly = monthly_growth(keyed, series).drop(*added)
-    return filter_by_year(enrich_data(monthly, series, holidays=holidays), start_year, end_year)
+        keyed = monthly_growth(keyed, series)
+    enriched = enrich_data(keyed, series, holidays=holidays).drop(*added)
+    return filter_by_year(enriched, start_year, end_year)
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -129,9 +132,10 @@ def full(
     series = ["strategy", "item"]
     monthly = aggregate_by_date(select_strategy_facts(facts, items), series)
     keyed, added = with_period_keys(monthly)
-    grown = materialize(monthly_growth(keyed, series).drop(*added))
+    grown_keyed = materialize(monthly_growth(keyed, series))
+    grown = grown_keyed.drop(*added)
     tables = report_tables(grown, series, start_year, end_year)
     write_report(tables.monthly, tables.quarterly, f"{output}/report", series)
-    dash = dashboard_table(grown, series, start_year, end_year, holidays)
+    dash = dashboard_table(grown_keyed, series, start_year, end_year, holidays).drop(*added)
     write_dashboard(dash, f"{output}/dashboard", series=series)
     return tables, dash
