@@ -1,5 +1,3 @@
-import math
-
 from pyspark.sql import functions as F
 
 from tradelens.functions import normalize_date, quarter_key, quarter_label, year_month_key

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradelens.functions.periods import YM_KEY, business_date_ok, month_of, year_month_key, year_of
+from tradelens.functions.periods import YM_KEY, business_date_ok, year_month_key
 from tradelens.operators._common import sized_broadcast
 
 # Fixed-date public holidays (month, day, name) used by the default holiday
@@ -50,10 +50,6 @@ def empty_holidays(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], HOLIDAY_SCHEMA)
 
 
-def month_start(date: Column) -> Column:
-    return F.make_date(year_of(date), month_of(date), F.lit(1))
-
-
 def weekdays_in_month(first: Column) -> Column:
     """Mon-Fri count of the month starting on the DATE ``first``.
 

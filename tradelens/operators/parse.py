@@ -22,7 +22,7 @@ from tradelens.functions.coercion import coerce_amount
 from tradelens.functions.periods import format_date, parse_month, parse_year, strip_text
 from tradelens.operators._common import Series, as_list, require_columns
 from tradelens.operators.aggregate import aggregate_by_date
-from tradelens.operators.growth import monthly_growth
+from tradelens.operators.growth import MONTHLY_COLUMNS, monthly_growth
 
 # Rows per forward-fill segment when the input has no natural chunk column.
 DEFAULT_CHUNK_ROWS = 1 << 20
@@ -155,6 +155,4 @@ def process_trade_data(
     monthly = parse_and_aggregate(raw, series, row_no, period, amount, chunk)
     if strict:
         monthly = enforce_rules(monthly, TRADE_RECORD_RULES)
-    return monthly_growth(monthly, series).select(
-        *series, "date", "export_amount", "export_mom", "export_yoy"
-    )
+    return monthly_growth(monthly, series).select(*series, *MONTHLY_COLUMNS)

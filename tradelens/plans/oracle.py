@@ -125,11 +125,6 @@ def dashboard(g: str, select: str, where: str = "", keys=("series",)) -> str:
     return f"WITH {dashboard_ctes(g, keys)}\nSELECT {select} FROM e {where}"
 
 
-def daily_only(m: str) -> str:
-    """Dashboard CTEs on plain monthly rows (no growth columns)."""
-    return dashboard_ctes(m)
-
-
 YEAR_WHERE = f"WHERE CAST(substr(date, 1, 4) AS INTEGER) BETWEEN {YEAR_FROM} AND {YEAR_TO}"
 
 # Raw report rebuilt from orders: month amounts are whole currency units.

@@ -84,11 +84,6 @@ def line_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# Row layout of a rebuilt report: one year row, then per month one row per
-# order status in this order, then a note row; a total row ends the series.
-STATUS_ORDER = {"F": 1, "O": 2, "P": 3}
-
-
 def raw_report(
     spark: SparkSession, sf_dir: str, series: str = "o_orderpriority", negative_status: str | None = None
 ) -> DataFrame:
@@ -113,6 +108,7 @@ def raw_report(
         amt.alias("amt"),
     )
     months = o.groupBy("series", "y", "m", "st").agg(F.sum("amt").alias("amt"))
+    # Within a month the rows follow the order status: F, O, then P.
     rank = F.when(F.col("st") == "F", 1).when(F.col("st") == "O", 2).otherwise(3)
     amt_text = F.col("amt").cast("string")
     month_rows = months.select(
