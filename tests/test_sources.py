@@ -142,3 +142,39 @@ def test_header_names_and_safe_reader(spark):
     assert empty.columns == ["date", "export_amount"] and empty.count() == 0
     two = records_to_dataframe(spark, [{"date": "2024-01", "export_amount": 1.0}, {"date": "2024-02"}], "date string, export_amount double")
     assert rows(two) == [("2024-01", 1.0), ("2024-02", None)]
+
+
+def test_one_pass_rows_ignore_year_like_title(spark):
+    import contextlib
+    import io
+
+    from tradelens.operators.parse import parse_and_aggregate
+    from tradelens.sources.reports import read_report_rows
+
+    d = tempfile.mkdtemp(prefix="tl-onepass-")
+    lines = ["2019년 수출 실적,,", "단위: 달러,,", "기간,수출,수입", ",금액,금액", "03월,999,0"]
+    for y in range(2020, 2030):
+        lines.append(f"{y}년,0")
+        lines += [f"{m:02d}월,{y * 100 + m}" for m in range(1, 13)]
+    write_csv(d, "a.csv", lines)
+    write_csv(d, "tiny.csv", ["2024년,1", "05월,7"])  # shorter than the header: fallback 0
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "400")
+    try:
+        raw = read_report_rows(spark, d)
+        out = parse_and_aggregate(raw, ["source_file"], chunk="block", head_rows=4, fallback_head_rows=0)
+        got = {(r.source_file.rsplit("/", 1)[-1], r.date): r.export_amount for r in out.collect()}
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            out.explain()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert ("a.csv", "2019-03") not in got  # title is not a year marker
+    assert len([k for k in got if k[0] == "a.csv"]) == 120
+    assert all(got[("a.csv", f"{y}-{m:02d}")] == float(y * 100 + m) for y in range(2020, 2030) for m in range(1, 13))
+    assert got[("tiny.csv", "2024-05")] == 7.0
+    plan = buf.getvalue().split("== Initial Plan ==")[0]
+    # one read for the per-segment summary, one for the rows; no second
+    # shuffle of the raw rows (the summary is partially aggregated first)
+    assert plan.count("FileScan text") == 2, plan
+    assert "REPARTITION_BY_COL" not in plan

@@ -9,8 +9,9 @@ Row order is data: every raw row carries ``row_no`` (order within its
 source), and optionally a ``chunk`` id (e.g. the file split it was read
 from).  The year forward-fill is a *segmented scan*: a window per
 (series, chunk) plus a carry-in value per chunk computed from a one-row-per-
-chunk summary.  So a single huge report (a third of all rows) is spread over
-many bounded tasks instead of one window partition.
+chunk summary, both over one shuffle of the rows.  So a single huge report
+(a third of all rows) is spread over many bounded tasks instead of one
+window partition, and is read once.
 """
 
 from __future__ import annotations
@@ -46,48 +47,80 @@ def forward_fill(
     out: str,
     chunk: str | None = None,
     chunk_rows: int = DEFAULT_CHUNK_ROWS,
+    head_rows: int = 0,
+    head_chunk: int = 0,
+    fallback_head_rows: int | None = None,
 ) -> DataFrame:
     """``out`` = last non-NULL ``value`` at or before each row, per partition.
 
     Equivalent to ``last(value, ignorenulls).over(partitionBy(P).orderBy(O)
-    .rowsBetween(unboundedPreceding, 0))`` but bounded per task:
+    .rowsBetween(unboundedPreceding, 0))`` but bounded per task, with one
+    shuffle of the rows:
 
     1. rows are cut into segments ``(P, chunk)``; ``chunk`` defaults to
        ``floor(order_by / chunk_rows)``;
-    2. a summary aggregates each segment to its last non-NULL value
-       (partial aggregation: one row per segment per map task);
-    3. a window over the (small) summary gives each segment its carry-in;
-    4. carry-in rows are unioned in front of their segment and one window per
-       segment fills the rest.
+    2. a summary aggregates each segment to its last non-NULL value, first
+       order value and row count (map-side partial aggregation: one row per
+       segment per task crosses the network); a window over the small
+       summary gives each segment its carry-in value;
+    3. the carry-in is joined to the rows by segment; the fill window reuses
+       the join's partitioning, so the rows are shuffled once.
+
+    The input is read twice (summary and rows); with row ids from
+    ``monotonically_increasing_id`` Spark cannot share the two reads.
+
+    Header rows: with ``head_rows > 0`` the first ``head_rows`` rows of
+    segment ``head_chunk`` of each partition are dropped and their values
+    ignored (``fallback_head_rows`` when that segment has no row after the
+    header).  Order values must be consecutive within that segment, as the
+    row ids of the report reader are.
     """
     parts = as_list(partition_by)
     require_columns(df, [value, order_by, *parts])
     seg = "_seg"
     src = df.withColumn(seg, F.col(chunk) if chunk else F.floor(F.col(order_by) / F.lit(chunk_rows)))
     keys = [*parts, seg]
-    # Last non-NULL value per segment: ``max_by`` (hash aggregate for
-    # fixed-width values) over the order of the non-NULL rows only.
+    o, v = F.col(order_by), F.col(value)
+
     summary = src.groupBy(*keys).agg(
-        F.max_by(F.col(value), F.when(F.col(value).isNotNull(), F.col(order_by))).alias("_tail")
+        F.min(o).alias("_first"),
+        F.count(F.lit(1)).alias("_n"),
+        F.max(F.when(v.isNotNull(), o)).alias("_tail_o"),
+        F.max_by(v, F.when(v.isNotNull(), o)).alias("_tail"),
     )
+    if head_rows > 0:
+        fallback = head_rows if fallback_head_rows is None else fallback_head_rows
+        head_len = F.when(
+            F.col(seg) == F.lit(head_chunk),
+            F.when(F.col("_n") > head_rows, F.lit(head_rows)).otherwise(F.lit(fallback)),
+        ).otherwise(F.lit(0))
+    else:
+        head_len = F.lit(0)
+    # The segment's last value counts only if it is not on a header row.
+    tail = F.when(F.col("_tail_o") >= F.col("_first") + F.col("_head"), F.col("_tail"))
     sw = (Window.partitionBy(*parts) if parts else Window.partitionBy(F.lit(0))).orderBy(seg)
-    carry = summary.select(
+    carry = summary.withColumn("_head", head_len).select(
         *keys,
-        F.last(F.col("_tail"), ignorenulls=True)
-        .over(sw.rowsBetween(Window.unboundedPreceding, -1))
-        .alias(value),
-    ).where(F.col(value).isNotNull())
-    marked = src.withColumn("_real", F.lit(True))
-    carried = carry.withColumn("_real", F.lit(False))
-    both = marked.unionByName(carried, allowMissingColumns=True)
-    w = Window.partitionBy(*keys).orderBy(F.col(order_by).asc_nulls_first()).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
+        "_head",
+        F.last(tail, ignorenulls=True).over(sw.rowsBetween(Window.unboundedPreceding, -1)).alias("_carry"),
     )
-    return (
-        both.withColumn(out, F.last(F.col(value), ignorenulls=True).over(w))
-        .where(F.col("_real"))
-        .drop("_real", seg)
+
+    w = Window.partitionBy(*keys).orderBy(o)
+    filled = (
+        src.join(carry, on=keys, how="left")
+        .withColumn("_rn", F.row_number().over(w))
+        .withColumn("_is_head", F.col("_rn") <= F.coalesce(F.col("_head"), F.lit(0)))
+        .withColumn(
+            out,
+            F.coalesce(
+                F.last(F.when(~F.col("_is_head"), v), ignorenulls=True).over(
+                    w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+                ),
+                F.col("_carry"),
+            ),
+        )
     )
+    return filled.where(~F.col("_is_head")).drop(seg, "_head", "_carry", "_rn", "_is_head")
 
 
 def parse_period_rows(
@@ -97,9 +130,15 @@ def parse_period_rows(
     period: str = "period_raw",
     amount: str = "export_amount",
     chunk: str | None = None,
+    head_rows: int = 0,
+    fallback_head_rows: int | None = None,
 ) -> DataFrame:
     """F1-F5 + W1 + P6: raw report rows -> one row per month row.
 
+    ``head_rows``: the first lines of each source's first chunk (``chunk ==
+    0``) are header lines and are dropped inside the fill pass (see
+    ``forward_fill``).
+
     Output: ``*series, row_no, date, export_amount`` (amount coerced to DOUBLE,
     or kept DECIMAL when the raw amount is decimal)."""
     series = as_list(series)
@@ -112,7 +151,16 @@ def parse_period_rows(
         parse_month(text).alias("_month"),
         coerce_amount(F.col(amount), raw.schema[amount].dataType).alias("_amount"),
     )
-    filled = forward_fill(staged, "_year", series, row_no, "_cur_year", chunk=chunk)
+    filled = forward_fill(
+        staged,
+        "_year",
+        series,
+        row_no,
+        "_cur_year",
+        chunk=chunk,
+        head_rows=head_rows,
+        fallback_head_rows=fallback_head_rows,
+    )
     months = filled.where(
         F.col("_year").isNull() & F.col("_month").isNotNull() & F.col("_cur_year").isNotNull()
     )
@@ -131,10 +179,12 @@ def parse_and_aggregate(
     period: str = "period_raw",
     amount: str = "export_amount",
     chunk: str | None = None,
+    head_rows: int = 0,
+    fallback_head_rows: int | None = None,
 ) -> DataFrame:
     """Parse, then sum per (series, date).  Output: ``*series, date, export_amount``."""
     series = as_list(series)
-    rows = parse_period_rows(raw, series, row_no, period, amount, chunk)
+    rows = parse_period_rows(raw, series, row_no, period, amount, chunk, head_rows, fallback_head_rows)
     return aggregate_by_date(rows, series, "date", "export_amount")
 
 
@@ -146,13 +196,15 @@ def process_trade_data(
     amount: str = "export_amount",
     chunk: str | None = None,
     strict: bool = True,
+    head_rows: int = 0,
+    fallback_head_rows: int | None = None,
 ) -> DataFrame:
     """C1 -> V1 (strict: a bad row fails the job, as in the reference) ->
     W4 -> P2.  Output: ``*series, date, export_amount, export_mom, export_yoy``."""
     from tradelens.operators.validate import TRADE_RECORD_RULES, enforce_rules
 
     series = as_list(series)
-    monthly = parse_and_aggregate(raw, series, row_no, period, amount, chunk)
+    monthly = parse_and_aggregate(raw, series, row_no, period, amount, chunk, head_rows, fallback_head_rows)
     if strict:
         monthly = enforce_rules(monthly, TRADE_RECORD_RULES)
     return monthly_growth(monthly, series).select(*series, *MONTHLY_COLUMNS)

@@ -25,7 +25,7 @@ from tradelens.operators.growth import filter_by_year, filter_quarterly_by_year,
 from tradelens.operators.parse import process_trade_data
 from tradelens.operators.select import select_strategy_facts
 from tradelens.session import ensure_checkpoint_dir
-from tradelens.sources.reports import is_processed_report, read_report_exports
+from tradelens.sources.reports import DEFAULT_SKIP_ROWS, is_processed_report, read_report_rows
 from tradelens.sources.sinks import write_dashboard, write_report
 
 DEFAULT_YEARS = (2024, 2025)
@@ -37,10 +37,21 @@ class ReportTables:
     quarterly: DataFrame
 
 
-def monthly_from_exports(spark: SparkSession, path: str, **read_opts) -> DataFrame:
-    """Report exports (one or many files) -> monthly growth per source file."""
-    raw = read_report_exports(spark, path, **read_opts)
-    return process_trade_data(raw, ["source_file"], chunk="block")
+def monthly_from_exports(
+    spark: SparkSession,
+    path: str,
+    skip_rows: int = DEFAULT_SKIP_ROWS,
+    fallback_skip_rows: int | None = None,
+    glob: str | None = None,
+) -> DataFrame:
+    """Report exports (one or many files) -> monthly growth per source file.
+
+    One read and one shuffle of the export lines: header lines are dropped
+    inside the segmented forward fill (first lines of each file's split 0)."""
+    raw = read_report_rows(spark, path, glob)
+    return process_trade_data(
+        raw, ["source_file"], chunk="block", head_rows=skip_rows, fallback_head_rows=fallback_skip_rows
+    )
 
 
 def report_tables(

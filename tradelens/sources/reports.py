@@ -41,6 +41,27 @@ def read_report_lines(spark: SparkSession, path: str, glob: str | None = None) -
     )
 
 
+def report_cells(lines: DataFrame, sep: str = ",") -> DataFrame:
+    """The first two CSV cells of every line as ``period_raw``, ``export_amount``."""
+    cells = F.from_csv(F.col("line"), "c0 STRING, c1 STRING", {"sep": sep})
+    return lines.select(
+        "source_file",
+        "block",
+        "row_no",
+        cells["c0"].alias("period_raw"),
+        cells["c1"].alias("export_amount"),
+    )
+
+
+def read_report_rows(spark: SparkSession, path: str, glob: str | None = None, sep: str = ",") -> DataFrame:
+    """All lines of the exports, header lines included, as report rows.
+
+    The one-pass path: give the header size to the parser
+    (``process_trade_data(..., chunk="block", head_rows=DEFAULT_SKIP_ROWS)``),
+    which drops the header lines inside its single shuffle of the rows."""
+    return report_cells(read_report_lines(spark, path, glob), sep)
+
+
 def read_report_exports(
     spark: SparkSession,
     path: str,
@@ -55,7 +76,8 @@ def read_report_exports(
     Only the first two CSV columns are parsed (the reference uses the first
     two columns by position).  Header lines are the first ``skip_rows``
     lines of each file, found from each file's first row id (one small
-    aggregate over the first split, broadcast after a size check).
+    aggregate over the first split, broadcast after a size check).  The
+    verbs use ``read_report_rows`` instead, which needs no extra pass.
     S3: a file too short for that layout (no line after the header) is read
     with ``fallback_skip_rows`` instead, when given.
     """
@@ -74,14 +96,7 @@ def read_report_exports(
             .where(~((F.col("block") == 0) & (F.col("row_no") < F.col("_first") + skip)))
             .drop("_first", "_n0")
         )
-    cells = F.from_csv(F.col("line"), "c0 STRING, c1 STRING", {"sep": sep})
-    return lines.select(
-        "source_file",
-        "block",
-        "row_no",
-        cells["c0"].alias("period_raw"),
-        cells["c1"].alias("export_amount"),
-    )
+    return report_cells(lines, sep)
 
 
 def read_report_header(

@@ -13,27 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tradelens.operators._common import sized_broadcast
 from tradelens.operators.parse import process_trade_data
 from tradelens.plans.verbs import report_tables
-from tradelens.sources.reports import DEFAULT_SKIP_ROWS
-
-_FIRST = "_first"
-
-
-def _report_rows(lines: DataFrame, skip_rows: int) -> DataFrame:
-    lines = lines.withColumn("row_no", F.monotonically_increasing_id())
-    heads = lines.where(F.col("block") == 0).groupBy("source_file").agg(F.min("row_no").alias(_FIRST))
-    body = (
-        lines.join(sized_broadcast(heads), on="source_file", how="left")  # one row per file of the batch
-        .where(~((F.col("block") == 0) & (F.col("row_no") < F.col(_FIRST) + F.lit(skip_rows))))
-        .drop(_FIRST)
-    )
-    cells = F.from_csv(F.col("line"), "c0 STRING, c1 STRING", {"sep": ","})
-    return body.select(
-        "source_file", "block", "row_no", cells["c0"].alias("period_raw"), cells["c1"].alias("export_amount")
-    )
-
+from tradelens.sources.reports import DEFAULT_SKIP_ROWS, report_cells
 
 def start_report_stream(
     spark: SparkSession,
@@ -62,7 +44,9 @@ def start_report_stream(
     )
 
     def run(batch: DataFrame, epoch_id: int) -> None:
-        monthly = process_trade_data(_report_rows(batch, skip_rows), ["source_file"], chunk="block")
+        # Row ids are taken right at this batch's scan, before any shuffle.
+        rows = report_cells(batch.withColumn("row_no", F.monotonically_increasing_id()))
+        monthly = process_trade_data(rows, ["source_file"], chunk="block", head_rows=skip_rows)
         tables = report_tables(monthly, ["source_file"], start_year, end_year)
         for name, df in (("monthly", tables.monthly), ("quarterly", tables.quarterly)):
             (
