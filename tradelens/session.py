@@ -49,8 +49,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster the launcher sets it to a shared file system; we never
-    override it.  Only when it is unset (local tests) do we create a scratch
-    folder so ``DataFrame.checkpoint()`` works.
+    override it, and we refuse to invent one (a machine-local folder would
+    not survive the loss of an executor).  Only a ``local[...]`` session
+    (tests, benchmarks) gets a scratch folder when it is unset.
     """
     sc = spark.sparkContext
     current = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
@@ -58,6 +59,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
+    if not sc.master.startswith("local"):
+        raise RuntimeError(
+            "spark.checkpoint.dir is not set: point it to a shared folder (HDFS/S3/...) "
+            "so checkpointed tables survive executor loss"
+        )
     path = tempfile.mkdtemp(prefix="tradelens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(path)
     spark.conf.set("spark.checkpoint.dir", path)
