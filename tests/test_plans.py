@@ -106,3 +106,14 @@ def test_sized_broadcast_checks(spark):
         assert sized_broadcast(small) is small
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_sized_broadcast_byte_bound(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from tradelens.operators import _common
+
+    wide = spark.range(100).join(spark.range(100), "id").select(F.repeat(F.lit("x"), 1000).alias("s"))
+    monkeypatch.setattr(_common, "BROADCAST_MAX_BYTES", 50_000)
+    # 100 rows of ~1 KB each exceed the byte bound although the row count is small
+    assert "ResolvedHint" not in _common.sized_broadcast(wide)._jdf.queryExecution().logical().toString()

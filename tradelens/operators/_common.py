@@ -16,6 +16,8 @@ Series = Sequence[str]
 # under it (strategy items, holidays, month calendars) are shipped to every
 # executor; bigger ones are joined with a shuffle and left to AQE.
 BROADCAST_MAX_ROWS = 200_000
+# ... and whose measured size stays under this many (serialized) bytes.
+BROADCAST_MAX_BYTES = 64 << 20
 
 
 def as_list(series: Series | str | None) -> list[str]:
@@ -81,10 +83,12 @@ def sized_broadcast(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Dat
     1. If the optimizer's estimate is under the session's broadcast threshold
        (at most ``BROADCAST_EST_BYTES``) the side is broadcast without running
        anything.
-    2. Otherwise its rows are counted, stopping after ``max_rows + 1``
-       (``limit`` before ``count``: a large side is not counted in full).
-       Above ``max_rows`` the frame is returned unchanged and Spark plans a
-       shuffle join (AQE may still switch to broadcast from the real sizes).
+    2. Otherwise one bounded job measures it: rows are counted and their
+       serialized (JSON) bytes summed, stopping after ``max_rows + 1`` rows
+       (``limit`` first: a large side is not read in full).  Above
+       ``max_rows`` rows or ``BROADCAST_MAX_BYTES`` bytes the frame is
+       returned unchanged and Spark plans a shuffle join (AQE may still
+       switch to broadcast from the real sizes).
     """
     limit = _estimate_limit(small)
     if limit <= 0:  # broadcasting is switched off for this session: respect it
@@ -92,5 +96,8 @@ def sized_broadcast(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Dat
     est = estimated_bytes(small)
     if est is not None and est <= limit:
         return F.broadcast(small)
-    n = small.limit(max_rows + 1).count()
-    return F.broadcast(small) if n <= max_rows else small
+    probe = small.limit(max_rows + 1).select(
+        F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in small.columns]))).alias("_b")
+    )
+    n, nbytes = probe.agg(F.count(F.lit(1)), F.coalesce(F.sum("_b"), F.lit(0))).first()
+    return F.broadcast(small) if n <= max_rows and nbytes <= BROADCAST_MAX_BYTES else small
