@@ -65,6 +65,11 @@ def test_report_exports_end_to_end(spark):
     assert os.path.isdir(os.path.join(d, "out", "monthly")) and os.path.isdir(os.path.join(d, "out", "quarterly"))
     dash = dashboard(spark, src, os.path.join(d, "dash"), 2024, 2024)
     assert dash.count() == 4 and "title" not in dash.columns
+    from tradelens.plans.verbs import dashboard_from_report
+
+    from_report = dashboard_from_report(spark, os.path.join(d, "out"), os.path.join(d, "dash2"), 2024, 2024)
+    got2 = {(os.path.basename(r.source_file), r.date): (r.export_mom, r.daily_avg) for r in from_report.collect()}
+    assert got2[("a.csv", "2024-02")] == (46.67, round(220.0 / 21))
     written = [f for f in os.listdir(os.path.join(d, "dash")) if f.endswith(".csv")]
     assert written
 

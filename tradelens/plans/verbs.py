@@ -129,6 +129,24 @@ def dashboard(
     return table
 
 
+def dashboard_from_report(
+    spark: SparkSession,
+    report_dir: str,
+    output: str,
+    start_year: int = DEFAULT_YEARS[0],
+    end_year: int = DEFAULT_YEARS[1],
+    holidays: DataFrame | None = None,
+) -> DataFrame:
+    """C9 from a processed report (S6): read the ``monthly`` table written by
+    ``report`` (growth columns present, so growth is not recomputed) and
+    enrich it.  Like the reference's shortcut, the report is already
+    year-filtered, so the first year has no daily-average YoY."""
+    monthly = spark.read.parquet(f"{report_dir}/monthly")
+    table = dashboard_table(monthly, ["source_file"], start_year, end_year, holidays)
+    write_dashboard(table, output, series=None)
+    return table
+
+
 def full(
     facts: DataFrame,
     items: DataFrame,
