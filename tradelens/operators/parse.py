@@ -63,8 +63,9 @@ def forward_fill(
        order value and row count (map-side partial aggregation: one row per
        segment per task crosses the network); a window over the small
        summary gives each segment its carry-in value;
-    3. the carry-in is joined to the rows by segment; the fill window reuses
-       the join's partitioning, so the rows are shuffled once.
+    3. one carry row per segment is unioned in front of the segment's rows
+       (it sorts first) and one window per segment fills the rest; the rows
+       are shuffled once, no join.
 
     The input is read twice (summary and rows); with row ids from
     ``monotonically_increasing_id`` Spark cannot share the two reads.
@@ -99,28 +100,31 @@ def forward_fill(
     # The segment's last value counts only if it is not on a header row.
     tail = F.when(F.col("_tail_o") >= F.col("_first") + F.col("_head"), F.col("_tail"))
     sw = (Window.partitionBy(*parts) if parts else Window.partitionBy(F.lit(0))).orderBy(seg)
+    # One carry row per segment (also when there is nothing to carry): it
+    # sorts first in its segment (NULL order) and brings the carry-in value
+    # and the segment's header length.
     carry = summary.withColumn("_head", head_len).select(
         *keys,
         "_head",
         F.last(tail, ignorenulls=True).over(sw.rowsBetween(Window.unboundedPreceding, -1)).alias("_carry"),
+        F.lit(False).alias("_real"),
     )
+    both = src.withColumn("_real", F.lit(True)).unionByName(carry, allowMissingColumns=True)
 
-    w = Window.partitionBy(*keys).orderBy(o)
+    w = Window.partitionBy(*keys).orderBy(o.asc_nulls_first())
+    real = F.col("_real")
     filled = (
-        src.join(carry, on=keys, how="left")
-        .withColumn("_rn", F.row_number().over(w))
-        .withColumn("_is_head", F.col("_rn") <= F.coalesce(F.col("_head"), F.lit(0)))
+        both.withColumn("_rn", F.row_number().over(w))
+        .withColumn("_hl", F.max("_head").over(Window.partitionBy(*keys)))
+        .withColumn("_is_head", real & (F.col("_rn") - 1 <= F.coalesce(F.col("_hl"), F.lit(0))))
         .withColumn(
             out,
-            F.coalesce(
-                F.last(F.when(~F.col("_is_head"), v), ignorenulls=True).over(
-                    w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-                ),
-                F.col("_carry"),
+            F.last(F.when(~real, F.col("_carry")).when(~F.col("_is_head"), v), ignorenulls=True).over(
+                w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
             ),
         )
     )
-    return filled.where(~F.col("_is_head")).drop(seg, "_head", "_carry", "_rn", "_is_head")
+    return filled.where(real & ~F.col("_is_head")).drop(seg, "_head", "_carry", "_real", "_rn", "_hl", "_is_head")
 
 
 def parse_period_rows(
