@@ -206,29 +206,35 @@ def grid_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         sized_broadcast(sup), li.l_suppkey == sup.s_suppkey
     )
 
+    # One page per order and block of ``GRID_PAGE_ROWS`` lines: a page never
+    # grows with a hot order.  The compact fields are grouped (shuffled) and
+    # rendered to HTML after the shuffle, per page.
+    page = F.col("l_orderkey") * 100_000 + F.floor(F.col("l_linenumber") / GRID_PAGE_ROWS)
+    fields = ("l_linenumber", "l_partkey", "p_name", "n_name", "l_extendedprice", "l_quantity", "l_discount")
+    per_page = rows.groupBy(page.alias("l_orderkey")).agg(
+        F.array_sort(F.collect_list(F.struct(*fields))).alias("_lines")
+    )
+
     def td(col: str, value: F.Column) -> F.Column:
         return F.concat(
             F.lit(f'<td role="gridcell" aria-describedby="table_list_1_{col}"><font>'), value, F.lit("</font></td>")
         )
 
-    item = F.concat(F.lit("["), hs_code_of("l_partkey"), F.lit("] "), F.col("p_name"))
-    tr = F.concat(
-        F.lit('<tr role="row" class="jqgrow ui-row-ltr">'),
-        td("NUM", F.col("l_linenumber").cast("string")),
-        td("COL1", item),
-        td("COL2", F.col("n_name")),
-        td("EX_AMT", F.format_number(F.col("l_extendedprice"), 2)),
-        td("EX_WGHT", F.format_number(F.col("l_quantity"), 2)),
-        td("IM_AMT", F.format_number(F.floor(F.col("l_extendedprice") * F.col("l_discount")), 0)),
-        td("IM_WGHT", F.lit("0")),
-        F.lit("</tr>"),
-    )
-    # One page per order and block of ``GRID_PAGE_ROWS`` lines: a page never
-    # grows with a hot order.
-    page = F.col("l_orderkey") * 100_000 + F.floor(F.col("l_linenumber") / GRID_PAGE_ROWS)
-    per_page = rows.groupBy(page.alias("l_orderkey")).agg(
-        F.array_join(F.array_sort(F.collect_list(F.struct("l_linenumber", tr.alias("tr"))))["tr"], "").alias("body")
-    )
+    def tr(x) -> F.Column:
+        item = F.concat(F.lit("["), F.lpad(x["l_partkey"].cast("string"), 10, "0"), F.lit("] "), x["p_name"])
+        return F.concat(
+            F.lit('<tr role="row" class="jqgrow ui-row-ltr">'),
+            td("NUM", x["l_linenumber"].cast("string")),
+            td("COL1", item),
+            td("COL2", x["n_name"]),
+            td("EX_AMT", F.format_number(x["l_extendedprice"], 2)),
+            td("EX_WGHT", F.format_number(x["l_quantity"], 2)),
+            td("IM_AMT", F.format_number(F.floor(x["l_extendedprice"] * x["l_discount"]), 0)),
+            td("IM_WGHT", F.lit("0")),
+            F.lit("</tr>"),
+        )
+
+    per_page = per_page.withColumn("body", F.array_join(F.transform("_lines", tr), ""))
     return per_page.select(
         F.col("l_orderkey").alias("page_id"),
         F.concat(F.lit("https://trade.example/result?order="), F.col("l_orderkey").cast("string")).alias("url"),
