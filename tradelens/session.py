@@ -19,21 +19,37 @@ BASE_CONF = {
 }
 
 
+# Settings for large inputs (tens of TB): many shuffle partitions that AQE
+# coalesces at run time, ~256 MiB scan splits and shuffle partitions, and
+# skew-join splitting for hot keys.  Tune the partition count to the cluster.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "4000",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+}
+
+
 def get_spark(
     master: str | None = None,
     shuffle_partitions: int | None = None,
     app_name: str = "tradelens",
     extra_conf: dict | None = None,
+    cluster: bool = False,
 ) -> SparkSession:
     """Return (or create) a session with the tradelens defaults.
 
-    On a cluster, call without ``master``; the launcher decides.  Tests pass
-    ``master="local[*]"`` and a small ``shuffle_partitions``.
+    On a cluster, call without ``master`` (the launcher decides) and with
+    ``cluster=True`` for ``CLUSTER_CONF``.  Tests pass ``master="local[*]"``
+    and a small ``shuffle_partitions``.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     conf = dict(BASE_CONF)
+    if cluster:
+        conf.update(CLUSTER_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra_conf or {})
