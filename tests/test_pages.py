@@ -38,3 +38,14 @@ def test_option_dimension(spark):
     assert ("Select2", "서울", "16", "서울 송파구") in got and ("Select2", "부산", "41", "부산 해운대구") in got
     assert ("LOCATION_TYPE", None, "A", "시 선택") in got and ("GODS_TYPE", None, "N", "신성질별") in got
     assert len(got) == 5 + 2 + 3
+
+
+def test_repeated_cell_id_does_not_fail(spark):
+    row = (
+        '<table id="table_list_1"><tr class="jqgrow">'
+        '<td aria-describedby="table_list_1_NUM">1</td><td aria-describedby="table_list_1_NUM">2</td>'
+        '<td aria-describedby="table_list_1_EX_AMT">1,000</td></tr></table>'
+    )
+    pages = spark.createDataFrame([(1, "u", row)], "page_id long, url string, html string")
+    got = rows(grid_rows(pages), "row_num", "ex_amt")
+    assert got == [(2, 1000.0)]

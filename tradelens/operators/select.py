@@ -68,7 +68,7 @@ def _allowed_values(filters: Column, category: str, scope: str | None) -> Column
         return cond & (f["scope"] == F.lit(scope)) if scope is not None else cond
 
     lists = F.transform(F.filter(filters, hit), lambda f: F.coalesce(f["values"], F.array().cast("array<string>")))
-    merged = F.aggregate(F.slice(lists, 2, 1 << 30), F.element_at(lists, 1), lambda acc, x: F.array_intersect(acc, x))
+    merged = F.aggregate(F.slice(lists, 2, 1 << 30), F.try_element_at(lists, F.lit(1)), lambda acc, x: F.array_intersect(acc, x))
     return F.when(F.size(lists) > 0, merged)
 
 
