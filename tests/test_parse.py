@@ -88,3 +88,22 @@ def test_strict_pipeline_fails_on_bad_row(spark):
     items = [("2024년", None), ("01월", -1.0)]
     with pytest.raises(Exception, match="Invalid data at row"):
         process_trade_data(raw(spark, items), ["series"]).collect()
+
+
+def test_forward_fill_equals_plain_window_on_random_input(spark):
+    import random
+
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    rnd = random.Random(3)
+    data = []
+    for series, n in (("hot", 5000), ("cold", 300)):
+        for i in range(n):
+            data.append((series, i, rnd.randint(1990, 2030) if rnd.random() < 0.03 else None))
+    df = spark.createDataFrame(data, "p string, o long, v int").repartition(5)
+    seg = forward_fill(df, "v", ["p"], "o", "filled", chunk_rows=37)
+    w = Window.partitionBy("p").orderBy("o").rowsBetween(Window.unboundedPreceding, 0)
+    plain = df.withColumn("filled", F.last("v", ignorenulls=True).over(w))
+    assert seg.count() == len(data)
+    assert seg.select("p", "o", "v", "filled").exceptAll(plain.select("p", "o", "v", "filled")).count() == 0
