@@ -206,9 +206,10 @@ def grid_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = load(spark, sf_dir, "part").select("p_partkey", "p_name")
     s = load(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     n = load(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    sup = s.join(sized_broadcast(n), s.s_nationkey == n.n_nationkey).select("s_suppkey", "n_name")
-    rows = li.join(sized_broadcast(p), li.l_partkey == p.p_partkey).join(
-        sized_broadcast(sup), li.l_suppkey == sup.s_suppkey
+    rows = (
+        li.join(sized_broadcast(p), li.l_partkey == p.p_partkey)
+        .join(sized_broadcast(s), li.l_suppkey == s.s_suppkey)
+        .join(sized_broadcast(n), F.col("s_nationkey") == F.col("n_nationkey"))
     )
 
     # One page per order and block of ``GRID_PAGE_ROWS`` lines: a page never
