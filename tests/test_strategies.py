@@ -87,3 +87,11 @@ def test_selection_filters(spark):
     ]
     contains = rows(select_strategy_facts(facts.withColumn("city", F.concat("city", F.lit("광역시"))), items, match="contains"), "strategy", "export_amount")
     assert ("농심", 10.0) in contains
+
+
+def test_strategy_json_round_trip(spark):
+    from tradelens.operators.validate import from_json_rows, to_json_rows
+
+    docs = strategies_from_dicts(spark, STRATEGIES)
+    back = from_json_rows(to_json_rows(docs), docs.schema)
+    assert sorted(map(str, back.collect())) == sorted(map(str, docs.collect()))
