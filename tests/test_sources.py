@@ -178,3 +178,17 @@ def test_one_pass_rows_ignore_year_like_title(spark):
     # shuffle of the raw rows (the summary is partially aggregated first)
     assert plan.count("FileScan text") == 2, plan
     assert "REPARTITION_BY_COL" not in plan
+
+
+def test_latest_file_strict(spark):
+    import pytest
+
+    from tradelens.sources.reports import latest_file
+
+    d = tempfile.mkdtemp(prefix="tl-strict-")
+    with pytest.raises(FileNotFoundError, match="No"):
+        latest_file(spark, d)
+    with pytest.raises(FileNotFoundError, match="Directory not found"):
+        latest_file(spark, os.path.join(d, "missing"))
+    write_csv(d, "a.csv", ["x"])
+    assert latest_file(spark, d).endswith("a.csv")

@@ -171,6 +171,24 @@ def latest_files(spark: SparkSession, path: str, glob: str = "*.csv", group: str
     return files.agg(F.max_by("path", "modificationTime").alias("path"))
 
 
+def latest_file(spark: SparkSession, path: str, glob: str = "*.csv") -> str:
+    """S5 strict: the newest matching file's path (one value to the driver).
+
+    Raises ``FileNotFoundError`` when the folder is missing or holds no
+    matching file, as the reference does."""
+    from pyspark.errors import AnalysisException
+
+    try:
+        row = latest_files(spark, path, glob).first()
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e):
+            raise FileNotFoundError(f"Directory not found: {path}") from e
+        raise
+    if row is None or row["path"] is None:
+        raise FileNotFoundError(f"No {glob} files found in {path}")
+    return row["path"]
+
+
 def is_processed_report(df: DataFrame) -> bool:
     """A frame that already carries growth columns is a processed report;
     parsing is skipped (decided by schema, not by file name)."""
