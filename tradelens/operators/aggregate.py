@@ -58,18 +58,24 @@ def aggregate_by_quarter(
     series: Series | None = None,
     date: str = "date",
     value: str = "export_amount",
+    dates_unique: bool = False,
 ) -> DataFrame:
     """A3: sum ``value`` per (series, calendar quarter) over observed quarters.
 
     Two-level: sums per (series, date) first — plain hash keys, no parsing
     per input row, exact native types — then the quarter key is derived on
     those (few) rows and summed again.  Rows whose date has no quarter get a
-    NULL ``qk``.  Output: ``*series, qk, quarter, value``.
+    NULL ``qk``.  With ``dates_unique`` (input already one row per (series,
+    date), e.g. monthly output) the first level is skipped.
+    Output: ``*series, qk, quarter, value``.
     """
     series = as_list(series)
     require_columns(df, [date, value, *series])
     dtype = df.schema[value].dataType
-    per_date = df.groupBy(*series, date).agg(_sum_native(df, value).alias("_s"))
+    if dates_unique:
+        per_date = df.select(*series, date, coerce_amount(F.col(value), dtype).alias("_s"))
+    else:
+        per_date = df.groupBy(*series, date).agg(_sum_native(df, value).alias("_s"))
     return (
         per_date.withColumn("qk", quarter_key(F.col(date)))
         .groupBy(*series, "qk")

@@ -112,6 +112,7 @@ def process_quarterly(
     date: str = "date",
     value: str = "export_amount",
     zero_base: str = "ieee",
+    dates_unique: bool = False,
 ) -> DataFrame:
     """C4: quarterly sums with QoQ (previous observed quarter) and YoY
     (same quarter one calendar year back), 2 dp, float division on a zero base.
@@ -120,7 +121,7 @@ def process_quarterly(
     Output: ``*series, quarter, value, export_qoq, export_yoy``.
     """
     series = as_list(series)
-    q = aggregate_by_quarter(monthly, series, date, value)
+    q = aggregate_by_quarter(monthly, series, date, value, dates_unique=dates_unique)
     w = series_window(series, "qk")
     # Rows without a quarter sort first; ``IGNORE NULLS`` skips them for the
     # positional rate and the range frame never reaches them.  They are

@@ -66,7 +66,9 @@ def report_tables(
     if "export_mom" not in monthly.columns:
         keyed, added = with_period_keys(monthly)
         monthly = monthly_growth(keyed, series).drop(*added)
-    quarterly = process_quarterly(monthly.select(*series, "date", "export_amount"), series)
+    # Monthly rows are one per (series, date): the quarter sums need no
+    # per-date pre-aggregation.
+    quarterly = process_quarterly(monthly.select(*series, "date", "export_amount"), series, dates_unique=True)
     return ReportTables(
         filter_by_year(monthly, start_year, end_year),
         filter_quarterly_by_year(quarterly, start_year, end_year),
