@@ -100,3 +100,10 @@ def test_year_filters_after_rates(spark):
 def test_latest_per_group(spark):
     df = spark.createDataFrame([("a", "f1", 10), ("a", "f2", 30), ("b", "f3", 5)], "g string, path string, t long")
     assert rows(latest_per_group(df, ["g"], "path", "t"), "g", "latest_path") == [("a", "f2"), ("b", "f3")]
+
+
+def test_quarterly_dates_unique_path_matches(spark):
+    data = [("a", f"{y}-{m:02d}", float(y * m % 97)) for y in (2022, 2023, 2024) for m in range(1, 13) if (y + m) % 4]
+    data += [("b", "2023-02", None), ("b", "2023-05", float("nan")), ("b", "2024-05", 3.0)]
+    df = spark.createDataFrame(data, SCHEMA)
+    assert rows(process_quarterly(df, ["s"], dates_unique=True)) == rows(process_quarterly(df, ["s"]))
