@@ -95,3 +95,15 @@ def test_strategy_json_round_trip(spark):
     docs = strategies_from_dicts(spark, STRATEGIES)
     back = from_json_rows(to_json_rows(docs), docs.schema)
     assert sorted(map(str, back.collect())) == sorted(map(str, docs.collect()))
+
+
+def test_two_filter_kinds_on_one_column(spark):
+    facts = spark.createDataFrame(
+        [("1902301010", "부산", "2024-01", 1.0), ("1902301010", "서울", "2024-01", 2.0)],
+        "hs_code string, place string, date string, export_amount double",
+    )
+    dims = {("국내지역", "시"): "place", ("국내지역", "시군구"): "place"}
+    docs = [doc("s", [item("x", "1902301010", [region("시", ["부산", "서울"]), region("시군구", ["부산"])])])]
+    items = strategy_items(strategies_from_dicts(spark, docs)).valid
+    got = rows(select_strategy_facts(facts, items, dimensions=dims), "place")
+    assert got == [("부산",)]  # both filters apply (AND)

@@ -94,12 +94,15 @@ def select_strategy_facts(
         # column on the (small) item side; the per-fact-row test is then a
         # plain, code-generated ``array_contains`` per dimension.
         filters = F.coalesce(F.col("filters"), F.array())
-        allowed = {f"_ok_{col}": _allowed_values(filters, cat, scope) for (cat, scope), col in dims.items()}
+        # One helper column per (category, scope), named by position: two
+        # filter kinds may test the same fact column.
+        dim_list = list(dims.items())
+        allowed = {f"_ok_{i}": _allowed_values(filters, cat, scope) for i, ((cat, scope), _) in enumerate(dim_list)}
         prepared = items.select("strategy", "item", "hs_code", *[v.alias(k) for k, v in allowed.items()])
         joined = facts.join(sized_broadcast(prepared, broadcast_max_rows), on="hs_code", how="inner")
         keep = F.lit(True)
-        for (cat, scope), col in dims.items():
-            ok = F.col(f"_ok_{col}")
+        for i, (_, col) in enumerate(dim_list):
+            ok = F.col(f"_ok_{i}")
             keep = keep & (ok.isNull() | F.coalesce(F.array_contains(ok, F.col(col)), F.lit(False)))
         return joined.where(keep).drop(*allowed)
     dim_items = sized_broadcast(items.select("strategy", "item", "hs_code", "filters"), broadcast_max_rows)
