@@ -1,0 +1,13 @@
+import os
+import sys
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
+
+
+@pytest.fixture(scope="session")
+def spark():
+    from tradelens.session import get_spark
+
+    yield get_spark("local[4]", 4, app_name="tradelens-llm-tests")

@@ -15,8 +15,15 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tradelens.llm.pii import pii_spans
+
+    return pii_spans(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
+    "op9_pii": op9_pii,
 }
 
 #: None of the operators is expressible in SQL alone; tests compare them with
