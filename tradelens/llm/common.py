@@ -55,3 +55,15 @@ def hashed_sample(df: DataFrame, key: str, limit: int) -> DataFrame:
 def softmax(z: np.ndarray) -> np.ndarray:
     z = np.exp(z - z.max(axis=1, keepdims=True))
     return z / z.sum(axis=1, keepdims=True)
+
+
+def per_worker(key: str, make):
+    """What ``make`` returned for ``key``, kept by a Python worker from task to
+    task (functions arrive anew with each task, and their globals with them)."""
+    import sys
+    import types
+
+    kept = sys.modules.setdefault("_tradelens_worker", types.ModuleType("_tradelens_worker")).__dict__
+    if key not in kept:
+        kept[key] = make()
+    return kept[key]

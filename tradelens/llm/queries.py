@@ -15,6 +15,12 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tradelens.llm.packing import pack
+
+    return pack(table(spark, sf_dir, "documents"))
+
+
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tradelens.llm.pii import pii_spans
 
@@ -23,6 +29,7 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_packing": op2_packing,
     "op9_pii": op9_pii,
 }
 
