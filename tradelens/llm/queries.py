@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradelens.llm.common import table
+from tradelens.llm.common import shared_path, table
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,6 +21,14 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tradelens.llm.warc import page_records, read_warc, write_warc
+
+    folder = shared_path(spark, "warc")
+    write_warc(table(spark, sf_dir, "pages"), folder)
+    return page_records(read_warc(spark, folder))
+
+
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tradelens.llm.pii import pii_spans
 
@@ -30,6 +38,7 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_packing": op2_packing,
+    "op7_warc": op7_warc,
     "op9_pii": op9_pii,
 }
 
