@@ -29,17 +29,31 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_records(read_warc(spark, folder))
 
 
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tradelens.llm.language import identify
+
+    return identify(table(spark, sf_dir, "documents"))
+
+
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tradelens.llm.pii import pii_spans
 
     return pii_spans(table(spark, sf_dir, "documents"))
 
 
+def op10_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tradelens.llm.suffixtree import suffix_tree_scores
+
+    return suffix_tree_scores(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_packing": op2_packing,
     "op7_warc": op7_warc,
+    "op8_language": op8_language,
     "op9_pii": op9_pii,
+    "op10_suffix_tree": op10_suffix_tree,
 }
 
 #: None of the operators is expressible in SQL alone; tests compare them with
