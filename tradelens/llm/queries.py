@@ -21,6 +21,18 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tradelens.llm.license import scan
+
+    return scan(table(spark, sf_dir, "documents"))
+
+
+def op6_soft_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tradelens.llm.mixing import soft_mixture
+
+    return soft_mixture(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tradelens.llm.warc import page_records, read_warc, write_warc
 
@@ -50,6 +62,8 @@ def op10_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_packing": op2_packing,
+    "op5_license_scan": op5_license_scan,
+    "op6_soft_mixture": op6_soft_mixture,
     "op7_warc": op7_warc,
     "op8_language": op8_language,
     "op9_pii": op9_pii,
