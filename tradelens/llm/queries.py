@@ -21,6 +21,12 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
 
+def op3_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tradelens.llm.ann import nearest
+
+    return nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tradelens.llm.license import scan
 
@@ -62,6 +68,7 @@ def op10_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_packing": op2_packing,
+    "op3_nearest": op3_nearest,
     "op5_license_scan": op5_license_scan,
     "op6_soft_mixture": op6_soft_mixture,
     "op7_warc": op7_warc,
