@@ -211,6 +211,27 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Trees | N
     return train_trees(np.array(got["x"].tolist(), np.float64), y, direction)
 
 
+def _judged(got: list[tuple[list[int], list[float]]], model: Trees | None, threshold: float):
+    """Base counts, base failures, quality (None without a model), verdicts."""
+    base = np.array([a for a, _ in got], np.int64).reshape(len(got), len(BASE))
+    failed = (base[:, 0] < 20) | (100 * base[:, 4] > 30 * base[:, 0])
+    p = None if model is None or not got else model.probability(np.array([b for _, b in got]))
+    return base, failed, p, ~failed if p is None else ~failed & (p >= threshold)
+
+
+def accepted(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs``, all columns, that the rules keep; one pass."""
+    model = train(docs, labels, sample)
+    place = docs.columns.index("text")
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            got = [statistics(t) for t in as_bytes(batch.column(place))]
+            yield batch.filter(pa.array(_judged(got, model, threshold)[3], pa.bool_()))
+
+    return docs.mapInArrow(keep, docs.schema)
+
+
 def quality_rules(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, threshold: float = THRESHOLD) -> DataFrame:
     """``doc_id``, base counts, ``base_failed``, ``quality`` (probability of
     good quality, null without a model) and ``kept`` of every document."""
@@ -223,12 +244,7 @@ def quality_rules(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, thre
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             got = [statistics(t) for t in as_bytes(batch.column(1))]
-            if not got:
-                continue
-            base = np.array([a for a, _ in got], np.int64)
-            failed = (base[:, 0] < 20) | (100 * base[:, 4] > 30 * base[:, 0])
-            p = None if model is None else model.probability(np.array([b for _, b in got]))
-            kept = ~failed if p is None else ~failed & (p >= threshold)
+            base, failed, p, kept = _judged(got, model, threshold)
             quality = pa.nulls(len(got), pa.float64()) if p is None else pa.array(p)
             columns = [batch.column(0).cast(pa.int64()), *map(pa.array, base.T), pa.array(failed), quality, pa.array(kept)]
             yield pa.RecordBatch.from_arrays(columns, schema=schema)

@@ -27,6 +27,12 @@ def op3_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"))
 
 
+def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tradelens.llm.neardup import components
+
+    return components(table(spark, sf_dir, "documents"), size=3, percent=85).drop("key")
+
+
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tradelens.llm.license import scan
 
@@ -69,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_packing": op2_packing,
     "op3_nearest": op3_nearest,
+    "op4_near_duplicates": op4_near_duplicates,
     "op5_license_scan": op5_license_scan,
     "op6_soft_mixture": op6_soft_mixture,
     "op7_warc": op7_warc,
