@@ -23,8 +23,6 @@ GRID_COLUMNS = ["NUM", "COL1", "COL2", "EX_AMT", "EX_WGHT", "IM_AMT", "IM_WGHT"]
 
 _ROW_RE = r'(?s)(<tr[^>]*class="[^"]*\bjqgrow\b[^"]*"[^>]*>.*?</tr>)'
 _SELECT_RE = r'(?s)(<select\b[^>]*>.*?</select>)'
-_GROUP_RE = r'(?s)(<optgroup\b[^>]*>.*?</optgroup>)'
-_OPTION_RE = r'(?s)(<option\b[^>]*>.*?</option>)'
 
 
 # Separators that never occur in HTML text: cell start and key/value split.
@@ -34,15 +32,20 @@ _TRIM = " \t\r\n"
 
 
 def _cells(row: Column, grid: str) -> Column:
-    """MAP<column id, cell text> of one grid row without lambdas: every cell's
-    opening tag becomes ``\x01<id>\x02``, all other tags are dropped, and
-    ``str_to_map`` splits the rest (two regex passes over the row, all
-    code-generated).  Values keep surrounding whitespace; see ``_text``."""
+    """ARRAY of ``<column id>\x02<cell text>`` of one grid row: every cell's
+    opening tag becomes ``\x01<id>\x02``, all other tags are dropped.  Values
+    keep surrounding whitespace; see ``_text``."""
     marked = F.regexp_replace(
         row, rf'(?s)<td\b[^>]*aria-describedby="{grid}_([A-Za-z0-9_]+)"[^>]*>', f"{_CELL_SEP}$1{_KEY_SEP}"
     )
-    plain = F.regexp_replace(marked, r"<[^>]*>", "")
-    return F.str_to_map(plain, F.lit(_CELL_SEP), F.lit(_KEY_SEP))
+    return F.split(F.regexp_replace(marked, r"<[^>]*>", ""), _CELL_SEP)
+
+
+def _cell(cells: Column, name: str) -> Column:
+    """Text of the last cell with that column id (NULL without one)."""
+    key = name + _KEY_SEP
+    last = F.try_element_at(F.filter(cells, lambda c: c.startswith(key)), F.lit(-1))
+    return F.substring(last, len(key) + 1, 1 << 30)
 
 
 def _text(value: Column) -> Column:
@@ -53,8 +56,24 @@ def _number(text: Column) -> Column:
     return F.regexp_replace(text, ",", "").try_cast("double")
 
 
+# Named entities; ``&amp;`` comes last, so nothing is decoded twice.
+_ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'", "&nbsp;": "\u00a0", "&amp;": "&"}
+
+
 def _unescape(c: Column) -> Column:
-    return F.regexp_replace(F.regexp_replace(c, "&lt;", "<"), "&amp;", "&")
+    """Decodes named and numeric entities (decimal and hexadecimal)."""
+    parts = F.regexp_extract_all(c, F.lit(r"(?s)(&#[0-9]{1,7};|&#[xX][0-9A-Fa-f]{1,6};|[^&]+|&)"), 1)
+
+    def decoded(x: Column) -> Column:
+        hexa = F.conv(F.regexp_extract(x, r"^&#[xX]([0-9A-Fa-f]+);$", 1), 16, 10)
+        code = F.coalesce(F.regexp_extract(x, r"^&#([0-9]+);$", 1).try_cast("int"), hexa.try_cast("int"))
+        bits = F.lpad(F.hex(code.cast("long")), 8, "0")  # UTF-32, big endian
+        return F.when(code.between(1, 0x10FFFF), F.decode(F.unhex(bits), "UTF-32")).otherwise(x)
+
+    plain = F.when(F.contains(c, F.lit("&#")), F.array_join(F.transform(parts, decoded), "")).otherwise(c)
+    for entity, char in _ENTITIES.items():
+        plain = F.replace(plain, F.lit(entity), F.lit(char))
+    return F.when(F.contains(c, F.lit("&")), plain).otherwise(c)
 
 
 def grid_rows(pages: DataFrame, grid: str = GRID_ID) -> DataFrame:
@@ -68,7 +87,7 @@ def grid_rows(pages: DataFrame, grid: str = GRID_ID) -> DataFrame:
     ).select("page_id", _cells(F.col("_tr"), grid).alias("_c"))
 
     def cell(name: str) -> Column:
-        return _text(F.col("_c").getItem(name))
+        return _text(_cell(F.col("_c"), name))
 
     item = _unescape(cell("COL1"))
     return rows.select(
@@ -94,31 +113,38 @@ def option_dimension(pages: DataFrame) -> DataFrame:
         F.regexp_extract(F.col("_sel"), r'<select\b[^>]*\bid="([^"]*)"', 1).alias("select_id"),
         F.col("_sel"),
     )
-    # Options inside optgroups carry the group label; the rest have none.
-    grouped = sel.select(
-        "page_id",
-        "select_id",
-        F.explode(F.regexp_extract_all(F.col("_sel"), F.lit(_GROUP_RE), 1)).alias("_grp"),
-    ).select(
-        "page_id",
-        "select_id",
-        F.regexp_extract(F.col("_grp"), r'<optgroup\b[^>]*\blabel="([^"]*)"', 1).alias("grp"),
-        F.explode(F.regexp_extract_all(F.col("_grp"), F.lit(_OPTION_RE), 1)).alias("_opt"),
-    )
-    loose = sel.select(
-        "page_id",
-        "select_id",
-        F.lit(None).cast("string").alias("grp"),
-        F.explode(
-            F.regexp_extract_all(F.regexp_replace(F.col("_sel"), _GROUP_RE, ""), F.lit(_OPTION_RE), 1)
-        ).alias("_opt"),
-    )
-    opts = grouped.unionByName(loose)
-    opt = F.col("_opt")
+    # One pass over the select: group starts, group ends and options in order;
+    # an option's group is that of the last start or end before it.
+    token = r'(?s)(<optgroup\b[^>]*>|</optgroup>|<option\b[^>]*>.*?</option>)'
+    tokens = F.regexp_extract_all(F.col("_sel"), F.lit(token), 1)
+    state = F.struct(F.lit(None).cast("string").alias("grp"), F.array().cast("array<struct<grp:string,opt:string>>").alias("out"))
+
+    def step(acc: Column, t: Column) -> Column:
+        option = t.startswith("<option")
+        label = F.when(t.startswith("<optgroup"), F.regexp_extract(t, r'\blabel="([^"]*)"', 1))
+        grp = F.when(option, acc["grp"]).otherwise(label)
+        more = F.array(F.struct(acc["grp"].alias("grp"), t.alias("opt")))
+        return F.struct(grp.alias("grp"), F.when(option, F.concat(acc["out"], more)).otherwise(acc["out"]).alias("out"))
+
+    opts = sel.select("page_id", "select_id", F.explode(F.aggregate(tokens, state, step)["out"]).alias("o"))
+    opt = F.col("o.opt")
     return opts.select(
         "page_id",
         "select_id",
-        "grp",
-        F.regexp_extract(opt, r'<option\b[^>]*\bvalue="([^"]*)"', 1).alias("code"),
-        F.regexp_replace(F.regexp_replace(opt, r"<[^>]*>", ""), r"(?U)^\s+|\s+$", "").alias("label"),
+        _unescape(F.col("o.grp")).alias("grp"),
+        _unescape(F.regexp_extract(opt, r'<option\b[^>]*\bvalue="([^"]*)"', 1)).alias("code"),
+        F.regexp_replace(_unescape(F.regexp_replace(opt, r"<[^>]*>", "")), r"(?U)^\s+|\s+$", "").alias("label"),
     ).where(F.col("code") != "")
+
+
+def list_links(pages: DataFrame) -> DataFrame:
+    """R2 over plain lists: ``(page_id, code, label)`` of every ``<li>`` link of
+    a page, ``code`` the link's target."""
+    item = r'(?s)(<li\b[^>]*>\s*<a\b[^>]*\bhref="[^"]*"[^>]*>.*?</a>)'
+    items = pages.select("page_id", F.explode(F.regexp_extract_all(F.col("html"), F.lit(item), 1)).alias("_li"))
+    li = F.col("_li")
+    return items.select(
+        "page_id",
+        _unescape(F.regexp_extract(li, r'\bhref="([^"]*)"', 1)).alias("code"),
+        F.regexp_replace(_unescape(F.regexp_replace(li, r"<[^>]*>", "")), r"(?U)^\s+|\s+$", "").alias("label"),
+    )

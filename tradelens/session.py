@@ -16,9 +16,6 @@ BASE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
-    # A captured page with a repeated cell id keeps the last cell instead of
-    # failing the whole job (``str_to_map`` in the page extractor).
-    "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
 }
 
 
