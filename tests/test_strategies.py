@@ -22,14 +22,13 @@ def customs(values):
     return {"category": "세관", "scope": None, "values": values}
 
 
+# Invented strategies: every filter shape, an item without filters, a code
+# that two strategies share.
 STRATEGIES = [
-    doc("농심", [item("라면", "1902301010", [region("시", ["부산"])])]),
-    doc("효성중공업", [item("변압기", "8504230000", [customs(["창원세관"])])]),
-    doc("현대로템", [item("철도", "8607190000", [region("시군구", ["경남 창원시"])])]),
-    doc("에이피알", [item("화장품", "3304991000", [region("시군구", ["서울 송파구"])]), item("미용기기", "8543702010", [region("시군구", ["서울 송파구"])])]),
-    doc("파마리서치", [item("의약품", "3304999000")]),
-    doc("삼양", [item("라면", "1902301010", [region("시", ["경남", "강원"])])]),
-    doc("HD현대일렉트릭", [item("변압기", "8504230000", [customs(["울산세관"])])]),
+    doc("Bluefin", [item("nets", "1111111111", [region("시", ["Harbor"])])]),
+    doc("Copperline", [item("coils", "2222222222", [customs(["Gate 3"])]), item("wire", "3333333333")]),
+    doc("Dune", [item("glass", "4444444444", [region("시군구", ["Hill East"])])]),
+    doc("Ember", [item("nets", "1111111111", [region("시", ["Plain", "Coast"])])]),
 ]
 
 
@@ -37,8 +36,8 @@ def test_valid_strategies_flatten(spark):
     out = strategy_items(strategies_from_dicts(spark, STRATEGIES))
     assert out.rejects.count() == 0
     got = rows(out.valid.select("strategy", "item", "hs_code", F.size("filters").alias("n")))
-    assert ("에이피알", "미용기기", "8543702010", 1) in got and ("파마리서치", "의약품", "3304999000", 0) in got
-    assert len(got) == 8
+    assert ("Dune", "glass", "4444444444", 1) in got and ("Copperline", "wire", "3333333333", 0) in got
+    assert len(got) == 5
 
 
 def test_rejects(spark):
@@ -62,31 +61,50 @@ def test_rejects(spark):
     assert rows(out.valid.select(F.size("filters")), ) == [(0,)]
 
 
+FACTS = [
+    ("1111111111", "Harbor", "Harbor West", "Gate 1", "2024-01", 10.0),
+    ("1111111111", "Hill", "Hill East", "Gate 2", "2024-01", 20.0),
+    ("2222222222", "Plain", "Plain North", "Gate 3", "2024-01", 30.0),
+    ("2222222222", "Coast", "Coast South", "Gate 1", "2024-01", 40.0),
+    ("3333333333", "Harbor", "Harbor West", "Gate 1", "2024-02", 50.0),
+    ("4444444444", "Hill", "Hill East", "Gate 2", "2024-02", 60.0),
+    ("1111111111", "Coast", "Coast South", "Gate 3", "2024-03", 70.0),
+]
+FACT_SCHEMA = "hs_code string, city string, district string, office string, date string, export_amount double"
+
+
 def test_selection_filters(spark):
-    facts = spark.createDataFrame(
-        [
-            ("1902301010", "부산", "부산 해운대구", "부산세관", "2024-01", 10.0),
-            ("1902301010", "서울", "서울 송파구", "서울세관", "2024-01", 20.0),
-            ("8504230000", "경남", "경남 창원시", "창원세관", "2024-01", 30.0),
-            ("8504230000", "울산", "울산 남구", "울산세관", "2024-01", 40.0),
-            ("3304991000", "서울", "서울 송파구", "서울세관", "2024-02", 50.0),
-            ("3304999000", "경기", "경기 성남시", "성남세관", "2024-02", 60.0),
-            ("1902301010", "강원", "강원 원주시", "원주세관", "2024-03", 70.0),
-        ],
-        "hs_code string, city string, district string, office string, date string, export_amount double",
-    )
+    facts = spark.createDataFrame(FACTS, FACT_SCHEMA)
     items = strategy_items(strategies_from_dicts(spark, STRATEGIES)).valid
-    got = rows(select_strategy_facts(facts, items), "strategy", "item", "export_amount")
-    assert got == [
-        ("HD현대일렉트릭", "변압기", 40.0),
-        ("농심", "라면", 10.0),
-        ("삼양", "라면", 70.0),
-        ("에이피알", "화장품", 50.0),
-        ("파마리서치", "의약품", 60.0),
-        ("효성중공업", "변압기", 30.0),
-    ]
-    contains = rows(select_strategy_facts(facts.withColumn("city", F.concat("city", F.lit("광역시"))), items, match="contains"), "strategy", "export_amount")
-    assert ("농심", 10.0) in contains
+    want = [
+        ("Bluefin", "nets", 10.0), ("Copperline", "coils", 30.0), ("Copperline", "wire", 50.0),
+        ("Dune", "glass", 60.0), ("Ember", "nets", 70.0),
+    ]
+    assert rows(select_strategy_facts(facts, items), "strategy", "item", "export_amount") == want
+    longer = facts.withColumn("city", F.concat("city", F.lit(" city")))
+    contains = rows(select_strategy_facts(longer, items, match="contains"), "strategy", "export_amount")
+    assert ("Bluefin", 10.0) in contains
+
+
+def test_selection_without_broadcast_and_with_a_hot_code(spark):
+    facts = spark.createDataFrame([FACTS[0]] * 400 + FACTS[1:], FACT_SCHEMA).repartition(6)
+    items = strategy_items(strategies_from_dicts(spark, STRATEGIES)).valid
+    total = lambda: rows(select_strategy_facts(facts, items).groupBy("strategy").agg(F.sum("export_amount")))
+    with_broadcast = total()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = select_strategy_facts(facts, items)._jdf.queryExecution().executedPlan().toString()
+        assert "Broadcast" not in plan and total() == with_broadcast
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert dict(with_broadcast)["Bluefin"] == 4000.0
+
+
+def test_repeated_items_are_rejected(spark):
+    twice = [doc("Twice", [item("x", "1234567890"), item("x", "1234567890")]), doc("Names", [item("y", "1111111111"), item("y", "2222222222")])]
+    out = strategy_items(strategies_from_dicts(spark, twice))
+    assert out.valid.count() == 0
+    assert {r.reason for r in out.rejects.collect()} == {"the strategy has the item more than once"}
 
 
 def test_strategy_json_round_trip(spark):

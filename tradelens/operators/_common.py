@@ -1,25 +1,13 @@
-"""Shared helpers for operators: column checks, series keys, sized broadcast."""
+"""Shared helpers for operators: column checks, series keys."""
 
 from __future__ import annotations
 
-import contextlib
-import io
-import re
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 Series = Sequence[str]
 
-# Largest row count we broadcast on an explicit check.  Dimension tables
-# under it (strategy items, holidays, month calendars) are shipped to every
-# executor; bigger ones are joined with a shuffle and left to AQE.
-BROADCAST_MAX_ROWS = 200_000
-# ... and whose measured size stays under this many (serialized) bytes.
-BROADCAST_MAX_BYTES = 64 << 20
-
-
 def as_list(series: Series | str | None) -> list[str]:
     if series is None:
         return []
@@ -33,71 +21,3 @@ def require_columns(df: DataFrame, cols: Iterable[str], what: str = "DataFrame")
     missing = [c for c in cols if c not in df.columns]
     if missing:
         raise ValueError(f"Missing required columns: {sorted(missing)} ({what})")
-
-
-# Optimizer size estimate under which a side is broadcast without counting:
-# the session's ``spark.sql.autoBroadcastJoinThreshold`` (the bound Spark's
-# own planner applies to the same estimates), capped at this value.
-BROADCAST_EST_BYTES = 10 << 20
-
-
-_BYTE_SUFFIX = {"": 1, "b": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40, "p": 1 << 50}
-
-
-def parse_bytes(text: str) -> int:
-    """Spark byte-size strings: ``10485760``, ``10m``, ``10MB``, ``-1``."""
-    m = re.fullmatch(r"\s*(-?[0-9]+)\s*([bkmgtp]?)b?\s*", text.lower())
-    if not m:
-        raise ValueError(f"not a byte size: {text!r}")
-    return int(m.group(1)) * _BYTE_SUFFIX[m.group(2)]
-
-
-def _estimate_limit(df: DataFrame) -> int:
-    raw = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", str(BROADCAST_EST_BYTES))
-    limit = parse_bytes(raw)
-    return min(limit, BROADCAST_EST_BYTES) if limit > 0 else 0
-
-
-_UNITS = {"B": 1, "KiB": 1 << 10, "MiB": 1 << 20, "GiB": 1 << 30, "TiB": 1 << 40, "PiB": 1 << 50, "EiB": 1 << 60}
-_STATS = re.compile(r"Statistics\(sizeInBytes=([0-9.Ee+]+)\s*(B|KiB|MiB|GiB|TiB|PiB|EiB)")
-
-
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of ``df`` from ``explain(mode="cost")`` (the
-    root of the optimized plan; no job runs).  None if unavailable."""
-    buf = io.StringIO()
-    try:
-        with contextlib.redirect_stdout(buf):
-            df.explain(mode="cost")
-    except Exception:  # noqa: BLE001 - estimates are best effort
-        return None
-    m = _STATS.search(buf.getvalue())
-    return int(float(m.group(1)) * _UNITS[m.group(2)]) if m else None
-
-
-def sized_broadcast(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``small`` only behind a size check.
-
-    0. If the session switches broadcasting off
-       (``spark.sql.autoBroadcastJoinThreshold=-1``) nothing is broadcast.
-    1. If the optimizer's estimate is under the session's broadcast threshold
-       (at most ``BROADCAST_EST_BYTES``) the side is broadcast without running
-       anything.
-    2. Otherwise one bounded job measures it: rows are counted and their
-       serialized (JSON) bytes summed, stopping after ``max_rows + 1`` rows
-       (``limit`` first: a large side is not read in full).  Above
-       ``max_rows`` rows or ``BROADCAST_MAX_BYTES`` bytes the frame is
-       returned unchanged and Spark plans a shuffle join (AQE may still
-       switch to broadcast from the real sizes).
-    """
-    limit = _estimate_limit(small)
-    if limit <= 0:  # broadcasting is switched off for this session: respect it
-        return small
-    est = estimated_bytes(small)
-    if est is not None and est <= limit:
-        return F.broadcast(small)
-    probe = small.limit(max_rows + 1).select(
-        F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in small.columns]))).alias("_b")
-    )
-    n, nbytes = probe.agg(F.count(F.lit(1)), F.coalesce(F.sum("_b"), F.lit(0))).first()
-    return F.broadcast(small) if n <= max_rows and nbytes <= BROADCAST_MAX_BYTES else small

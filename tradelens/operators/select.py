@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tradelens.operators._common import BROADCAST_MAX_ROWS, require_columns, sized_broadcast
+from tradelens.operators._common import require_columns
 
 # Filter categories and region scopes as written in strategy
 # configs (must equal the reference's labels).
@@ -77,7 +77,6 @@ def select_strategy_facts(
     items: DataFrame,
     dimensions: dict | None = None,
     match: str = "exact",
-    broadcast_max_rows: int = BROADCAST_MAX_ROWS,
 ) -> DataFrame:
     """J6 + J7 + J8 + J9: facts of every strategy item, tagged with
     ``strategy`` and ``item``.
@@ -99,13 +98,13 @@ def select_strategy_facts(
         dim_list = list(dims.items())
         allowed = {f"_ok_{i}": _allowed_values(filters, cat, scope) for i, ((cat, scope), _) in enumerate(dim_list)}
         prepared = items.select("strategy", "item", "hs_code", *[v.alias(k) for k, v in allowed.items()])
-        joined = facts.join(sized_broadcast(prepared, broadcast_max_rows), on="hs_code", how="inner")
+        joined = facts.join(prepared, on="hs_code", how="inner")
         keep = F.lit(True)
         for i, (_, col) in enumerate(dim_list):
             ok = F.col(f"_ok_{i}")
             keep = keep & (ok.isNull() | F.coalesce(F.array_contains(ok, F.col(col)), F.lit(False)))
         return joined.where(keep).drop(*allowed)
-    dim_items = sized_broadcast(items.select("strategy", "item", "hs_code", "filters"), broadcast_max_rows)
+    dim_items = items.select("strategy", "item", "hs_code", "filters")
     joined = facts.join(dim_items, on="hs_code", how="inner")
     keep = F.forall(F.coalesce(F.col("filters"), F.array()), lambda f: filter_predicate(f, dims, match))
     return joined.where(keep).drop("filters")

@@ -18,7 +18,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradelens.operators._common import sized_broadcast
 
 # Lines before the data in a report export: two title rows + two header rows.
 DEFAULT_SKIP_ROWS = 4
@@ -92,7 +91,7 @@ def read_report_exports(
         if fallback_skip_rows is not None:
             skip = F.when(F.col("_n0") > skip_rows, skip).otherwise(F.lit(fallback_skip_rows))
         lines = (
-            lines.join(sized_broadcast(heads), on="source_file", how="left")
+            lines.join(heads, on="source_file", how="left")
             .where(~((F.col("block") == 0) & (F.col("row_no") < F.col("_first") + skip)))
             .drop("_first", "_n0")
         )
@@ -115,7 +114,7 @@ def read_report_header(
     first = lines.groupBy("source_file").agg(F.min("row_no").alias("_first"))
     top_i, sub_i = header_rows
     picked = (
-        lines.join(sized_broadcast(first), on="source_file")
+        lines.join(first, on="source_file")
         .withColumn("_i", F.col("row_no") - F.col("_first"))
         .where(F.col("_i").isin(top_i, sub_i))
         .select("source_file", "_i", F.posexplode(F.split(F.col("line"), sep)).alias("col_idx", "cell"))

@@ -21,7 +21,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
-from tradelens.operators._common import sized_broadcast
 from tradelens.operators.select import CUSTOMS_CATEGORY, REGION_CATEGORY, REGION_SCOPES
 from tradelens.operators.validate import Outcome
 
@@ -130,16 +129,20 @@ def validate_items(items: DataFrame) -> Outcome:
             ),
         )
     )
+    # A repeated item would count its facts twice, and items of one name would
+    # merge into one series: both are errors of their strategy.
+    repeated = items.groupBy("strategy", "item").agg(F.count(F.lit(1)).alias("_times")).where("_times > 1")
+    items = items.join(repeated, ["strategy", "item"], "left")
+    again = F.array_compact(F.array(F.when(F.col("_times") > 1, F.lit("the strategy has the item more than once"))))
     tagged = items.withColumn("filters", known).withColumn(
-        "reasons", F.concat(item_reasons, filter_reasons)
-    ).withColumn("unknown", unknown)
+        "reasons", F.concat(item_reasons, filter_reasons, again)
+    ).withColumn("unknown", unknown).drop("_times")
     # A strategy is valid only if all of its items are.  The bad strategies
-    # (a partial aggregate, at most one row per strategy) are broadcast after
-    # a size check; valid items are an anti join, the other items of a bad
-    # strategy a semi join.  No window over a strategy's items (one strategy
-    # may own most of them) and no shuffle of the items by strategy.
+    # (a partial aggregate, at most one row per strategy) are joined: valid
+    # items by an anti join, the other items of a bad strategy by a semi join.
+    # No window over a strategy's items: one strategy may own most of them.
     has_reasons = F.size("reasons") > 0
-    bad = sized_broadcast(tagged.where(has_reasons).select("strategy").distinct())
+    bad = tagged.where(has_reasons).select("strategy").distinct()
     clean = tagged.where(~has_reasons)
     valid = clean.join(bad, on="strategy", how="left_anti").select("strategy", "item", "hs_code", "filters")
     bad_items = (

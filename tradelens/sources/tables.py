@@ -22,7 +22,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
-from tradelens.operators._common import sized_broadcast
 from tradelens.sources.strategies import FILTER_TYPE
 
 
@@ -70,14 +69,14 @@ def line_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = load(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     n = load(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     r = load(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    geo = n.join(sized_broadcast(r), n.n_regionkey == r.r_regionkey).select(
+    geo = n.join(r, n.n_regionkey == r.r_regionkey).select(
         "n_nationkey", F.col("n_name").alias("district"), F.col("r_name").alias("city")
     )
     # Each dimension is joined on its own so its size estimate stays a plain
     # scan estimate (a pre-joined dimension is estimated as a product).
     sup = s.select("s_suppkey", F.col("s_name").alias("office"), "s_nationkey")
-    return li.join(sized_broadcast(sup), li.l_suppkey == sup.s_suppkey).join(
-        sized_broadcast(geo), F.col("s_nationkey") == F.col("n_nationkey")
+    return li.join(sup, li.l_suppkey == sup.s_suppkey).join(
+        geo, F.col("s_nationkey") == F.col("n_nationkey")
     ).select(
         hs_code_of("l_partkey").alias("hs_code"),
         "city",
@@ -89,11 +88,11 @@ def line_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_report(
-    spark: SparkSession, sf_dir: str, series: str = "o_orderpriority", negative_status: str | None = None
+    spark: SparkSession, sf_dir: str, series: str = "o_orderpriority", returns_over: int | None = None
 ) -> DataFrame:
     """Report-export rows per ``series`` (default: order priority):
-    ``series, row_no, period_raw, export_amount`` (amount as text, whole
-    currency units; orders with ``negative_status`` are booked negative).
+    ``series, row_no, period_raw, export_amount`` (amount as text, with
+    cents; pending orders above ``returns_over`` are booked negative).
 
     - ``YYYY년`` year row carrying the annual total (a decoy: it must be ignored)
     - one month row per (month, order status), so months repeat and must be
@@ -101,9 +100,9 @@ def raw_report(
       the amount text (plain, padded, exponent form)
     - a ``비고`` note row per year with amount ``n/a`` and a final ``총계`` row
     """
-    amt = F.floor("o_totalprice")
-    if negative_status is not None:
-        amt = F.when(F.col("o_orderstatus") == negative_status, -amt).otherwise(amt)
+    amt = money("o_totalprice")
+    if returns_over is not None:
+        amt = F.when((F.col("o_orderstatus") == "P") & (F.col("o_totalprice") > returns_over), -amt).otherwise(amt)
     o = load(spark, sf_dir, "orders").select(
         F.col(series).cast("string").alias("series"),
         F.year("o_orderdate").alias("y"),
@@ -127,7 +126,7 @@ def raw_report(
         .otherwise(F.concat(amt_text, F.lit("e0")))
         .alias("export_amount"),
     )
-    # Year totals from the (small) month rows: the orders are scanned once.
+    # Year totals come from the (small) month rows.
     years = months.groupBy("series", "y").agg(F.sum("amt").alias("amt"))
     year_rows = years.select(
         "series",
@@ -194,12 +193,9 @@ def part_strategy_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-GRID_PAGE_ROWS = 50
-
-
 def grid_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Captured result pages ``(page_id, url, html)``: ``page_id = orderkey *
-    100000 + line block``, one ``jqgrow`` grid row per line item."""
+    """Captured result pages ``(page_id, url, html)``, one per line item (its
+    order's key is the page id), with one ``jqgrow`` grid row."""
     li = load(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_discount"
     )
@@ -207,18 +203,9 @@ def grid_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = load(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     n = load(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     rows = (
-        li.join(sized_broadcast(p), li.l_partkey == p.p_partkey)
-        .join(sized_broadcast(s), li.l_suppkey == s.s_suppkey)
-        .join(sized_broadcast(n), F.col("s_nationkey") == F.col("n_nationkey"))
-    )
-
-    # One page per order and block of ``GRID_PAGE_ROWS`` lines: a page never
-    # grows with a hot order.  The compact fields are grouped (shuffled) and
-    # rendered to HTML after the shuffle, per page.
-    page = F.col("l_orderkey") * 100_000 + F.floor(F.col("l_linenumber") / GRID_PAGE_ROWS)
-    fields = ("l_linenumber", "l_partkey", "p_name", "n_name", "l_extendedprice", "l_quantity", "l_discount")
-    per_page = rows.groupBy(page.alias("l_orderkey")).agg(
-        F.array_sort(F.collect_list(F.struct(*fields))).alias("_lines")
+        li.join(p, li.l_partkey == p.p_partkey)
+        .join(s, li.l_suppkey == s.s_suppkey)
+        .join(n, F.col("s_nationkey") == F.col("n_nationkey"))
     )
 
     def td(col: str, value: F.Column) -> F.Column:
@@ -226,7 +213,8 @@ def grid_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit(f'<td role="gridcell" aria-describedby="table_list_1_{col}"><font>'), value, F.lit("</font></td>")
         )
 
-    def tr(x) -> F.Column:
+    def tr() -> F.Column:
+        x = {c: F.col(c) for c in rows.columns}
         item = F.concat(F.lit("["), F.lpad(x["l_partkey"].cast("string"), 10, "0"), F.lit("] "), x["p_name"])
         return F.concat(
             F.lit('<tr role="row" class="jqgrow ui-row-ltr">'),
@@ -240,13 +228,12 @@ def grid_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit("</tr>"),
         )
 
-    per_page = per_page.withColumn("body", F.array_join(F.transform("_lines", tr), ""))
-    return per_page.select(
-        F.col("l_orderkey").alias("page_id"),
+    return rows.select(
+        F.col("l_orderkey").cast("long").alias("page_id"),
         F.concat(F.lit("https://trade.example/result?order="), F.col("l_orderkey").cast("string")).alias("url"),
         F.concat(
             F.lit('<html><body><table id="table_list_1"><tbody><tr class="jqgfirstrow" role="row"></tr>'),
-            F.col("body"),
+            tr(),
             F.lit("</tbody></table></body></html>"),
         ).alias("html"),
     )
@@ -262,7 +249,7 @@ def option_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     suppliers per page; plus the two fixed level selects on every page."""
     s = load(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     n = load(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    rows = s.join(sized_broadcast(n), s.s_nationkey == n.n_nationkey).withColumn(
+    rows = s.join(n, s.s_nationkey == n.n_nationkey).withColumn(
         "page_id", F.floor(F.col("s_suppkey") / OPTION_PAGE_SIZE)
     )
     opt = F.concat(
