@@ -10,12 +10,21 @@ SCHEMA = "s string, date string, export_amount double"
 
 def test_business_days_weekdays_and_holidays(spark):
     df = spark.createDataFrame([("2024-01",), ("2024/03",), ("2024-1",), ("2024-13",), ("2024-02",)], "date string")
-    plain = dict(rows(with_business_days(df)))
+    plain = dict(rows(with_business_days(df, holidays=None)))
     assert plain == {"2024-01": 23, "2024/03": 21, "2024-1": 0, "2024-13": 0, "2024-02": 21}
     hol = fixed_date_holidays(spark, 2024, 2024)
     # 2024-01-01 (Mon) and 2024-03-01 (Fri) are fixed-date holidays on weekdays.
     with_hol = dict(rows(with_business_days(df, holidays=hol)))
     assert with_hol["2024-01"] == 22 and with_hol["2024/03"] == 20 and with_hol["2024-02"] == 21
+    assert dict(rows(with_business_days(df))) == with_hol  # the default: the same days in closed form
+
+
+def test_fixed_holidays_hold_in_any_year(spark):
+    months = [f"{y}-{m:02d}" for y in (1985, 2024, 2031, 2077) for m in range(1, 13)]
+    df = spark.createDataFrame([(m,) for m in months], "date string")
+    table = fixed_date_holidays(spark, 1980, 2080)
+    got = rows(with_business_days(df))
+    assert got == rows(with_business_days(df, holidays=table)) and dict(got)["2031-01"] == 22
 
 
 def test_daily_average_half_even_and_zero_days(spark):
@@ -56,7 +65,7 @@ def test_quarter_e_is_four_observed_quarters(spark):
 
 def test_daily_rates(spark):
     data = [("a", "2023-01", 2200.0), ("a", "2023-02", 0.0), ("a", "2023-03", 2300.0), ("a", "2024-01", 4600.0)]
-    out = {r.date: r for r in enrich_data(spark.createDataFrame(data, SCHEMA), ["s"]).collect()}
+    out = {r.date: r for r in enrich_data(spark.createDataFrame(data, SCHEMA), ["s"], holidays=None).collect()}
     assert out["2023-01"].daily_avg == 100 and out["2023-02"].daily_avg == 0
     assert out["2023-02"].daily_avg_mom == -100.0
     assert out["2023-03"].daily_avg_mom == math.inf  # float division by a zero base

@@ -1,9 +1,10 @@
+import pytest
 from pyspark.sql import functions as F
 
 from tradelens.functions import normalize_date, quarter_key, quarter_label, year_month_key
 from tradelens.functions.periods import quarter_of_ym
 from tradelens.operators.aggregate import aggregate_by_date, aggregate_by_quarter, count_records, sort_by_date
-from tradelens.operators.growth import process_quarterly
+from tradelens.operators.growth import filter_by_year, process_quarterly
 
 from conftest import rows
 
@@ -36,9 +37,12 @@ def test_decimal_sums_are_exact_and_nan_counts_zero(spark):
     assert q == [("2024Q1", 2.0)]
 
 
-def test_quarterly_skips_months_without_quarter(spark):
-    df = spark.createDataFrame([("2023-13", 5.0), ("2024-01", 10.0), ("2024-04", 20.0)], "date string, export_amount double")
-    assert rows(process_quarterly(df)) == [("2024Q1", 10.0, None, None), ("2024Q2", 20.0, 100.0, None)]
+def test_unreadable_periods_fail_loudly(spark):
+    df = spark.createDataFrame([("2023-13", 5.0), ("2024-01", 10.0)], "date string, export_amount double")
+    with pytest.raises(Exception, match="no quarter for date 2023-13"):
+        process_quarterly(df).collect()
+    with pytest.raises(Exception, match="no year in x"):
+        filter_by_year(spark.createDataFrame([("x", 1.0)], df.schema), 2000, 2030).collect()
 
 
 def test_counts_and_sorting(spark):

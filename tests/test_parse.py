@@ -1,4 +1,4 @@
-from tradelens.operators.parse import forward_fill, parse_and_aggregate, process_trade_data, select_positional
+from tradelens.operators.parse import forward_fill, parse_and_aggregate, parse_period_rows, process_trade_data, select_positional
 from tradelens.operators.validate import process_trade_data_safe
 
 from conftest import rows
@@ -78,8 +78,11 @@ def test_forward_fill_across_segments(spark):
 def test_safe_pipeline_routes_bad_rows(spark):
     items = [("2024년", None), ("01월", 100.0), ("02월", -500.0), ("03월", 120.0)]
     out = process_trade_data_safe(raw(spark, items), ["series"])
-    assert rows(out.valid, "date", "export_mom") == [("2024-01", None), ("2024-03", 20.0)]
-    assert rows(out.rejects, "date", "reason") == [("2024-02", "export_amount must be a number >= 0")]
+    assert out.valid.count() == 0  # no rate reaches across the bad month
+    other = "another month of the series is invalid"
+    assert rows(out.rejects, "date", "reason") == [
+        ("2024-01", other), ("2024-02", "export_amount must be a finite number >= 0"), ("2024-03", other)
+    ]
 
 
 def test_strict_pipeline_fails_on_bad_row(spark):
@@ -107,3 +110,34 @@ def test_forward_fill_equals_plain_window_on_random_input(spark):
     plain = df.withColumn("filled", F.last("v", ignorenulls=True).over(w))
     assert seg.count() == len(data)
     assert seg.select("p", "o", "v", "filled").exceptAll(plain.select("p", "o", "v", "filled")).count() == 0
+
+
+def test_totals_equal_row_level_parse_and_read_once(spark):
+    """C1's small carry equals summing the row-level fill, for any segment size."""
+    import random
+
+    from pyspark.sql import functions as F
+
+    rng = random.Random(7)
+    raw = []
+    for s in "ab":
+        for n in range(400):
+            kind = rng.random()
+            period = f"{rng.randint(2000, 2020)}년" if kind < 0.1 else f"{rng.randint(1, 12)}월" if kind < 0.9 else "총계"
+            raw.append((s, n, period, rng.choice(["1.25", " 7 ", "1e2", "x", "0.10", "1_000"])))
+    df = spark.createDataFrame(raw, "series string, row_no long, period_raw string, export_amount string").repartition(5)
+    want = parse_period_rows(df, ["series"]).groupBy("series", "date").agg(F.round(F.sum("export_amount"), 2).alias("a"))
+    for chunk_rows in (1, 7, 1000):
+        got = parse_and_aggregate(df, ["series"], chunk_rows=chunk_rows)
+        assert rows(got) == rows(want)
+    plan = parse_and_aggregate(df, ["series"])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LogicalRDD") == 1
+
+
+def test_text_sums_do_not_depend_on_row_order(spark):
+    raw = [("s", 0, "2024년", "0")] + [("s", i, "1월", f"{i * 7919 % 100_003}.{i % 100:02d}") for i in range(1, 20_001)]
+    schema = "series string, row_no long, period_raw string, export_amount string"
+    exact = sum(int(a.replace(".", "")) for _, _, p, a in raw if p == "1월") / 100
+    for parts in (1, 7):
+        df = spark.createDataFrame(raw, schema).repartition(parts)
+        assert rows(parse_and_aggregate(df, ["series"], chunk_rows=1000)) == [("s", "2024-01", exact)]

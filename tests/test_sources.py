@@ -174,9 +174,8 @@ def test_one_pass_rows_ignore_year_like_title(spark):
     assert all(got[("a.csv", f"{y}-{m:02d}")] == float(y * 100 + m) for y in range(2020, 2030) for m in range(1, 13))
     assert got[("tiny.csv", "2024-05")] == 7.0
     plan = buf.getvalue().split("== Initial Plan ==")[0]
-    # one read for the per-segment summary, one for the rows; no second
-    # shuffle of the raw rows (the summary is partially aggregated first)
-    assert plan.count("FileScan text") == 2, plan
+    # one read and one shuffle of the raw rows
+    assert plan.count("FileScan text") == 1, plan
     assert "REPARTITION_BY_COL" not in plan
 
 

@@ -56,3 +56,25 @@ def coerce_amount(c: ColumnOrName, dtype: DataType | None = None) -> Column:
         .when(t.rlike(NAN_TEXT), F.lit(None).cast("double"))
         .otherwise(F.lit(0.0))
     )
+
+
+#: Text amounts with up to 20 digits before and 6 after the point (an exponent
+#: of 0 to 9 moves it) are summed exactly, as decimals.
+EXACT_TEXT = r"^[+-]?(?:[0-9]{1,20}(?:\.[0-9]{0,6})?|\.[0-9]{1,6})(?:[eE]\+?0*[0-9])?$"
+EXACT_TYPE = "decimal(36,6)"
+
+
+def amount_parts(c: ColumnOrName, dtype: DataType | None = None) -> tuple[Column, Column]:
+    """``(exact, approximate)``: an amount as a decimal where its text allows,
+    else as a double (the other part is 0).  Sums of the exact parts do not
+    depend on the order of rows; what remains are infinities, fine fractions
+    and huge numbers."""
+    c = _col(c)
+    zero = F.lit(0).cast(EXACT_TYPE)
+    if isinstance(dtype, DecimalType):
+        return F.coalesce(c, F.lit(0).cast(dtype)), F.lit(0.0)
+    if isinstance(dtype, NumericType):
+        return zero, coerce_amount(c, dtype)
+    t = F.regexp_replace(strip_text(c), "_", "")
+    exact = F.when(strip_text(c).rlike(FLOAT_TEXT) & t.rlike(EXACT_TEXT), t.try_cast(EXACT_TYPE))
+    return F.coalesce(exact, zero), F.when(exact.isNull(), coerce_amount(c, dtype)).otherwise(0.0)

@@ -64,8 +64,9 @@ def aggregate_by_quarter(
 
     Two-level: sums per (series, date) first — plain hash keys, no parsing
     per input row, exact native types — then the quarter key is derived on
-    those (few) rows and summed again.  Rows whose date has no quarter get a
-    NULL ``qk``.  With ``dates_unique`` (input already one row per (series,
+    those (few) rows and summed again.  A date without a quarter (a month
+    outside 1..12) fails the job: its amount would be missing from the totals.
+    With ``dates_unique`` (input already one row per (series,
     date), e.g. monthly output) the first level is skipped.
     Output: ``*series, qk, quarter, value``.
     """
@@ -76,8 +77,9 @@ def aggregate_by_quarter(
         per_date = df.select(*series, date, coerce_amount(F.col(value), dtype).alias("_s"))
     else:
         per_date = df.groupBy(*series, date).agg(_sum_native(df, value).alias("_s"))
+    no_quarter = F.raise_error(F.concat(F.lit("no quarter for date "), F.coalesce(F.col(date), F.lit("NULL"))))
     return (
-        per_date.withColumn("qk", quarter_key(F.col(date)))
+        per_date.withColumn("qk", F.coalesce(quarter_key(F.col(date)), no_quarter.cast("int")))
         .groupBy(*series, "qk")
         .agg(F.sum("_s").alias("_s"))
         .select(*series, "qk", quarter_label("qk").alias("quarter"), _as_double(F.col("_s"), dtype).alias(value))

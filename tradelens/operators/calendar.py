@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradelens.functions.periods import YM_KEY, business_date_ok, year_month_key
-from tradelens.operators._common import sized_broadcast
 
 # Fixed-date public holidays (month, day, name) used by the default holiday
 # table.  Fixed values of the Korean calendar; holidays that move with the
@@ -28,6 +27,8 @@ FIXED_DATE_HOLIDAYS = [
     (12, 25, "기독탄신일"),
 ]
 
+#: Names the fixed-date holidays where a holiday table may be given.
+FIXED = "fixed"
 HOLIDAY_SCHEMA = "d DATE, name STRING"
 
 
@@ -66,6 +67,16 @@ def weekdays_in_month(first: Column) -> Column:
     return (F.floor(days / 7) * 5 + extra).cast("int")
 
 
+def fixed_holidays_on_weekdays(year: Column, month: Column) -> Column:
+    """How many of ``FIXED_DATE_HOLIDAYS`` fall on Mon-Fri in a month: closed
+    form per row, so it holds for every year without a table."""
+    total = F.lit(0)
+    for m, d, _ in FIXED_DATE_HOLIDAYS:
+        hit = (month == m) & (F.weekday(F.make_date(year, F.lit(m), F.lit(d))) < 5)
+        total = total + F.when(hit, 1).otherwise(0)
+    return total
+
+
 def holiday_counts(holidays: DataFrame) -> DataFrame:
     """One row per month ``(_hym, _hdays)``: distinct holidays on a weekday."""
     d = F.col("d")
@@ -81,11 +92,14 @@ def holiday_counts(holidays: DataFrame) -> DataFrame:
 def with_business_days(
     df: DataFrame,
     date: str = "date",
-    holidays: DataFrame | None = None,
+    holidays: DataFrame | str | None = FIXED,
     out: str = "business_days",
 ) -> DataFrame:
     """A4 + J5: add ``business_days`` (INT).  0 when ``date`` is not exactly a
-    seven-character year-month (``2024-1`` -> 0, ``2024-13`` -> 0)."""
+    seven-character year-month (``2024-1`` -> 0, ``2024-13`` -> 0).
+
+    ``holidays``: ``FIXED`` (the fixed-date holidays, any year), a table
+    ``(d, name)``, or None for weekdays only."""
     dcol = F.col(date)
     ym = F.col(YM_KEY) if YM_KEY in df.columns else year_month_key(dcol)
     # Parse once: the month key of valid business dates, then its first day.
@@ -93,13 +107,17 @@ def with_business_days(
         "_first", F.make_date(F.floor(F.col("_hym") / 100).cast("int"), (F.col("_hym") % 100).cast("int"), F.lit(1))
     )
     weekdays = F.coalesce(weekdays_in_month(F.col("_first")), F.lit(0))
-    if holidays is not None:
-        counts = sized_broadcast(holiday_counts(holidays))
-        staged = staged.join(counts, on="_hym", how="left")
+    if isinstance(holidays, str):
+        if holidays != FIXED:
+            raise ValueError(f"holidays must be {FIXED!r}, a table or None")
+        year, month = F.floor(F.col("_hym") / 100).cast("int"), F.col("_hym") % 100
+        weekdays = weekdays - F.coalesce(fixed_holidays_on_weekdays(year, month), F.lit(0))
+    elif holidays is not None:
+        staged = staged.join(holiday_counts(holidays), on="_hym", how="left")
         weekdays = weekdays - F.coalesce(F.col("_hdays"), F.lit(0))
     return staged.withColumn(out, weekdays.cast("int")).drop("_hym", "_first", "_hdays")
 
 
-def business_days_table(months: DataFrame, date: str = "date", holidays: DataFrame | None = None) -> DataFrame:
+def business_days_table(months: DataFrame, date: str = "date", holidays: DataFrame | str | None = FIXED) -> DataFrame:
     """Distinct months of ``months[date]`` with their business days."""
     return with_business_days(months.select(date).distinct(), date, holidays)

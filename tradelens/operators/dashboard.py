@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tradelens.functions.periods import QK_KEY, YM_KEY, month_of, with_period_keys
 from tradelens.functions.rates import daily_average, pct_change, quarter_average
 from tradelens.operators._common import Series, as_list, require_columns
-from tradelens.operators.calendar import with_business_days
+from tradelens.operators.calendar import FIXED, with_business_days
 from tradelens.operators.growth import series_window
 
 ENRICHED_COLUMNS = [
@@ -56,7 +56,7 @@ def with_daily_average(
     series: Series | None = None,
     date: str = "date",
     value: str = "export_amount",
-    holidays: DataFrame | None = None,
+    holidays: DataFrame | str | None = FIXED,
 ) -> DataFrame:
     """``business_days`` (INT) and ``daily_avg`` = round(amount / days) as LONG."""
     require_columns(df, [date, value, *as_list(series)])
@@ -147,7 +147,7 @@ def enrich_data(
     series: Series | None = None,
     date: str = "date",
     value: str = "export_amount",
-    holidays: DataFrame | None = None,
+    holidays: DataFrame | str | None = FIXED,
 ) -> DataFrame:
     """Monthly rows -> dashboard rows (``ENRICHED_COLUMNS`` after the series keys).
 

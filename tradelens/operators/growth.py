@@ -117,25 +117,19 @@ def process_quarterly(
     """C4: quarterly sums with QoQ (previous observed quarter) and YoY
     (same quarter one calendar year back), 2 dp, float division on a zero base.
 
-    Months outside 1..12 have no quarter and are left out.
+    A date without a quarter (a month outside 1..12) fails the job.
     Output: ``*series, quarter, value, export_qoq, export_yoy``.
     """
     series = as_list(series)
     q = aggregate_by_quarter(monthly, series, date, value, dates_unique=dates_unique)
     w = series_window(series, "qk")
-    # Rows without a quarter sort first; ``IGNORE NULLS`` skips them for the
-    # positional rate and the range frame never reaches them.  They are
-    # dropped after the window (a filter there is not pushed below it).
-    amount_q = F.when(F.col("qk").isNotNull(), F.col(value))
     return (
-        q.withColumn("_aq", amount_q)
-        .withColumns(
+        q.withColumns(
             {
-                "_pq": F.expr("lag(_aq, 1) IGNORE NULLS").over(w),
+                "_pq": F.lag(F.col(value), 1).over(w),
                 "_py": F.last(F.col(value)).over(w.rangeBetween(-10, -10)),
             }
         )
-        .where(F.col("qk").isNotNull())
         .select(
             *series,
             "quarter",
@@ -146,11 +140,17 @@ def process_quarterly(
     )
 
 
+def _readable_year(column: str) -> F.Column:
+    """Year of the text; a text without one fails the job instead of vanishing."""
+    year = F.substring(F.col(column), 1, 4).try_cast("int")
+    message = F.concat(F.lit("no year in "), F.coalesce(F.col(column), F.lit("NULL")))
+    return F.coalesce(year, F.raise_error(message).cast("int"))
+
+
 def filter_by_year(df: DataFrame, start_year: int, end_year: int, date: str = "date") -> DataFrame:
     """Keep rows whose ``date`` year is in [start, end].  Apply *after* rate windows."""
     require_columns(df, [date])
-    year = F.substring(F.col(date), 1, 4).try_cast("int")
-    return df.where(year.between(int(start_year), int(end_year)))
+    return df.where(_readable_year(date).between(int(start_year), int(end_year)))
 
 
 def filter_quarterly_by_year(
@@ -158,5 +158,4 @@ def filter_quarterly_by_year(
 ) -> DataFrame:
     """P5: same on the first four characters of ``quarter``."""
     require_columns(df, [quarter])
-    year = F.substring(F.col(quarter), 1, 4).try_cast("int")
-    return df.where(year.between(int(start_year), int(end_year)))
+    return df.where(_readable_year(quarter).between(int(start_year), int(end_year)))

@@ -19,10 +19,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tradelens.functions.coercion import coerce_amount
+from tradelens.functions.coercion import amount_parts, coerce_amount
 from tradelens.functions.periods import format_date, parse_month, parse_year, strip_text
 from tradelens.operators._common import Series, as_list, require_columns
-from tradelens.operators.aggregate import aggregate_by_date
 from tradelens.operators.growth import MONTHLY_COLUMNS, monthly_growth
 
 # Rows per forward-fill segment when the input has no natural chunk column.
@@ -185,11 +184,54 @@ def parse_and_aggregate(
     chunk: str | None = None,
     head_rows: int = 0,
     fallback_head_rows: int | None = None,
+    chunk_rows: int = DEFAULT_CHUNK_ROWS,
 ) -> DataFrame:
-    """Parse, then sum per (series, date).  Output: ``*series, date, export_amount``."""
+    """Parse, then sum per (series, date).  Output: ``*series, date, export_amount``.
+
+    The raw rows are read once and shuffled once, by segment: inside a segment
+    each month row takes the last year above it, or none yet; sums per
+    (segment, year or none, month) are small, and only they wait for the year
+    that earlier segments hand down (a window over them).  Amounts given as
+    plain text are summed as decimals, so totals do not depend on row order.
+    """
     series = as_list(series)
-    rows = parse_period_rows(raw, series, row_no, period, amount, chunk, head_rows, fallback_head_rows)
-    return aggregate_by_date(rows, series, "date", "export_amount")
+    require_columns(raw, [row_no, period, amount, *series])
+    text = strip_text(F.col(period))
+    exact, approx = amount_parts(F.col(amount), raw.schema[amount].dataType)
+    seg = F.col(chunk) if chunk else F.floor(F.col(row_no) / F.lit(chunk_rows))
+    staged = raw.select(
+        *series,
+        F.col(row_no).alias("_row"),
+        seg.cast("long").alias("_seg"),
+        parse_year(text).cast("int").alias("_year"),
+        parse_month(text).alias("_month"),
+        exact.alias("_exact"),
+        approx.alias("_approx"),
+    )
+    w = Window.partitionBy(*series, "_seg").orderBy("_row")
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    if head_rows > 0:
+        fallback = head_rows if fallback_head_rows is None else fallback_head_rows
+        head = F.when(F.count(F.lit(1)).over(whole) > head_rows, head_rows).otherwise(fallback)
+        real = (F.col("_seg") != 0) | (F.row_number().over(w) > head)
+        staged = staged.withColumn("_real", real)
+        staged = staged.withColumns({c: F.when(F.col("_real"), F.col(c)) for c in ("_year", "_month")}).drop("_real")
+    filled = staged.withColumns(
+        {
+            "_cur": F.last("_year", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
+            "_tail": F.last("_year", ignorenulls=True).over(whole),
+            "_m": F.when(F.col("_year").isNull(), F.col("_month")),
+        }
+    )
+    sums = filled.groupBy(*series, "_seg", "_tail", "_cur", "_m").agg(
+        F.sum("_exact").alias("_exact"), F.sum("_approx").alias("_approx")
+    )
+    before = Window.partitionBy(*(series or [F.lit(0)])).orderBy("_seg").rangeBetween(Window.unboundedPreceding, -1)
+    year = F.coalesce("_cur", F.last("_tail", ignorenulls=True).over(before))
+    dated = sums.withColumn("_y", year).where("_m IS NOT NULL AND _y IS NOT NULL")
+    date = format_date(F.lpad(F.col("_y").cast("string"), 4, "0"), F.col("_m")).alias("date")
+    total = F.coalesce(F.sum("_exact"), F.lit(0)).cast("double") + F.coalesce(F.sum("_approx"), F.lit(0.0))
+    return dated.groupBy(*series, date).agg(total.alias("export_amount"))
 
 
 def process_trade_data(

@@ -11,15 +11,16 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tradelens.operators._common import require_columns
+from tradelens.session import ensure_checkpoint_dir
 
 Rule = tuple[str, str, Callable[[], Column]]
 
-DATE_PATTERN = r"^[0-9]{4}-[0-9]{2}$"
+DATE_PATTERN = r"^[0-9]{4}-(?:0[1-9]|1[0-2])$"
 
 
 def _date_ok() -> Column:
@@ -29,7 +30,7 @@ def _date_ok() -> Column:
 def _nonneg(name: str) -> Callable[[], Column]:
     def ok() -> Column:
         c = F.col(name).cast("double")
-        return c.isNotNull() & ~F.isnan(c) & (c >= 0)
+        return c.isNotNull() & ~F.isnan(c) & (c >= 0) & (c < float("inf"))
 
     return ok
 
@@ -41,10 +42,10 @@ def _opt_number(name: str) -> Callable[[], Column]:
     return ok
 
 
-# TradeRecord: date YYYY-MM, export_amount >= 0.
+# TradeRecord: date YYYY-MM (a real month), finite export_amount >= 0.
 TRADE_RECORD_RULES: list[Rule] = [
-    ("date", "date must match YYYY-MM", _date_ok),
-    ("export_amount", "export_amount must be a number >= 0", _nonneg("export_amount")),
+    ("date", "date must match YYYY-MM with a month from 01 to 12", _date_ok),
+    ("export_amount", "export_amount must be a finite number >= 0", _nonneg("export_amount")),
 ]
 
 # AnalysisResult: TradeRecord + nullable rates.
@@ -88,7 +89,9 @@ def enforce_rules(df: DataFrame, rules: list[Rule]) -> DataFrame:
 
 @dataclass(frozen=True)
 class Outcome:
-    """A (valid, rejects) pair; ``map`` transforms the valid side only."""
+    """A (valid, rejects) pair (U2).  ``map`` transforms the valid side,
+    ``alt`` the rejects; ``value_or`` gives the valid side of a success and the
+    default of a failure (an outcome with rejects; asking runs a job)."""
 
     valid: DataFrame
     rejects: DataFrame
@@ -96,8 +99,14 @@ class Outcome:
     def map(self, f: Callable[[DataFrame], DataFrame]) -> "Outcome":
         return Outcome(f(self.valid), self.rejects)
 
+    def alt(self, f: Callable[[DataFrame], DataFrame]) -> "Outcome":
+        return Outcome(self.valid, f(self.rejects))
+
+    def failed(self) -> bool:
+        return not self.rejects.isEmpty()
+
     def value_or(self, default: DataFrame) -> DataFrame:
-        return self.valid if self.valid is not None else default
+        return default if self.failed() else self.valid
 
 
 def split_valid(df: DataFrame, rules: list[Rule], reason_col: str = "reason") -> Outcome:
@@ -126,18 +135,30 @@ def safe_aggregate_by_date(df: DataFrame, series=None) -> Outcome:
 
 
 def process_trade_data_safe(raw: DataFrame, series=None, **kw) -> Outcome:
-    """C1 -> V2 -> W4 -> P2.  Bad monthly rows go to rejects instead of
-    failing the job; growth is computed over the valid rows."""
+    """C1 -> V2 -> W4 -> P2, per series.
+
+    A series with a bad month fails as a whole, as a run over it alone would:
+    none of its rates is published (they would reach across the bad month), and
+    all its rows go to ``rejects`` with the reason.  The monthly table is
+    written once to the shared folder; both sides read it.
+    """
     from tradelens.operators._common import as_list
     from tradelens.operators.growth import monthly_growth
     from tradelens.operators.parse import parse_and_aggregate
 
     series = as_list(series)
     monthly = parse_and_aggregate(raw, series, **kw)
-    out = split_valid(monthly, TRADE_RECORD_RULES)
-    return out.map(
-        lambda v: monthly_growth(v, series).select(*series, "date", "export_amount", "export_mom", "export_yoy")
-    )
+    own = reasons_column(_applicable(monthly, TRADE_RECORD_RULES))
+    w = Window.partitionBy(*series) if series else Window.partitionBy(F.lit(0))  # one row per month
+    tagged = monthly.withColumn("_own", own).withColumn("_bad", F.max(F.size("_own")).over(w))
+    ensure_checkpoint_dir(raw.sparkSession)
+    tagged = tagged.checkpoint()
+    valid = tagged.where("_bad = 0").drop("_own", "_bad")
+    other = F.lit("another month of the series is invalid")
+    reason = F.when(F.size("_own") > 0, F.array_join("_own", "; ")).otherwise(other)
+    rejects = tagged.where("_bad > 0").withColumn("reason", reason).drop("_own", "_bad")
+    columns = [*series, "date", "export_amount", "export_mom", "export_yoy"]
+    return Outcome(monthly_growth(valid, series).select(*columns), rejects)
 
 
 def to_json_rows(df: DataFrame, out: str = "json") -> DataFrame:

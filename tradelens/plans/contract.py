@@ -14,9 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradelens.functions.coercion import coerce_amount
-from tradelens.functions.periods import with_period_keys
-from tradelens.operators.aggregate import aggregate_by_date, count_records, latest_per_group
-from tradelens.operators.calendar import business_days_table, fixed_date_holidays
+from tradelens.functions.periods import normalize_date, with_period_keys
+from tradelens.operators.aggregate import aggregate_by_date, count_records, latest_per_group, sort_by_date
+from tradelens.operators.calendar import business_days_table
 from tradelens.operators.dashboard import (
     dashboard_labels,
     enrich_data,
@@ -32,30 +32,28 @@ from tradelens.operators.growth import (
     with_mom,
     with_yoy,
 )
-from tradelens.operators.pages import grid_rows, option_dimension
+from tradelens.operators.pages import grid_rows, list_links, option_dimension
 from tradelens.operators.parse import parse_period_rows, process_trade_data
 from tradelens.operators.select import select_strategy_facts
 from tradelens.operators.validate import (
+    ANALYSIS_RESULT_RULES,
     TRADE_RECORD_RULES,
     from_json_rows,
     process_trade_data_safe,
+    safe_aggregate_by_date,
     split_valid,
     to_json_rows,
 )
+from tradelens.plans.verbs import dashboard_table, report_tables
 from tradelens.sources import tables as T
 from tradelens.sources.strategies import validate_items
 
-# Year range of the report/dashboard views (inclusive) and of the holiday table.
+# Year range of the report/dashboard views (inclusive).
 YEAR_FROM, YEAR_TO = 1997, 1999
-HOLIDAY_YEARS = (1990, 2030)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def holidays(spark: SparkSession) -> DataFrame:
-    return fixed_date_holidays(spark, *HOLIDAY_YEARS)
-
-
 # ---------------------------------------------------------------- Spark side
 
 
@@ -125,15 +123,15 @@ def q_quarterly_filter_by_year(spark, d):
 
 def q_business_days(spark, d):
     months = T.orders_facts(spark, d).select("date")
-    return business_days_table(months, "date", holidays(spark))
+    return business_days_table(months, "date")
 
 
 def q_daily_average(spark, d):
-    return with_daily_average(dense_monthly(spark, d), ["series"], holidays=holidays(spark))
+    return with_daily_average(dense_monthly(spark, d), ["series"])
 
 
 def _sparse_daily(spark, d):
-    return with_daily_average(sparse_monthly(spark, d), ["series"], holidays=holidays(spark))
+    return with_daily_average(sparse_monthly(spark, d), ["series"])
 
 
 def q_daily_avg_mom(spark, d):
@@ -154,14 +152,14 @@ def q_quarter_stats(spark, d):
     )
 
 
-def _dashboard(monthly, keys, spark):
+def _dashboard(monthly, keys):
     """Growth + enrichment sharing one set of period keys (one sort)."""
     keyed, added = with_period_keys(monthly)
-    return enrich_data(monthly_growth(keyed, keys), keys, holidays=holidays(spark)).drop(*added)
+    return enrich_data(monthly_growth(keyed, keys), keys).drop(*added)
 
 
 def q_dashboard_enriched(spark, d):
-    return _dashboard(dense_monthly(spark, d), ["series"], spark)
+    return _dashboard(dense_monthly(spark, d), ["series"])
 
 
 def q_dashboard_labels(spark, d):
@@ -177,8 +175,8 @@ def q_process_raw_report(spark, d):
 
 
 def _returns_report(spark, d):
-    """Per-customer report where orders in status P are returns (negative)."""
-    return T.raw_report(spark, d, series="o_custkey", negative_status="P")
+    """Per-customer report where large pending orders are returns (negative)."""
+    return T.raw_report(spark, d, series="o_custkey", returns_over=400_000)
 
 
 def q_safe_report_valid(spark, d):
@@ -189,6 +187,84 @@ def q_safe_report_rejects(spark, d):
     return process_trade_data_safe(_returns_report(spark, d), ["series"]).rejects
 
 
+def q_safe_series_status(spark, d):
+    """How each series of the safe pipeline ended, with its months."""
+    out = process_trade_data_safe(_returns_report(spark, d), ["series"])
+    count = F.count(F.lit(1)).alias("months")
+    good = out.valid.groupBy("series").agg(count).withColumn("status", F.lit("valid"))
+    return good.union(out.rejects.groupBy("series").agg(count).withColumn("status", F.lit("rejected")))
+
+
+def q_bad_month_rejects(spark, d):
+    """Reports with a 13th month (December's pending orders booked there):
+    the bad row and every month of its series are rejected."""
+    raw = T.raw_report(spark, d, series="o_custkey")
+    december = F.col("period_raw").rlike("^ 12")
+    raw = raw.withColumn("period_raw", F.when(december, F.lit("13월")).otherwise(F.col("period_raw")))
+    return process_trade_data_safe(raw, ["series"]).rejects
+
+
+def q_report_tables_monthly(spark, d):
+    """C8 data part: the report verb's monthly table."""
+    return report_tables(q_monthly_growth(spark, d), ["series"], YEAR_FROM, YEAR_TO).monthly
+
+
+def q_report_tables_quarterly(spark, d):
+    """C8 data part: the report verb's quarterly table."""
+    return report_tables(q_monthly_growth(spark, d), ["series"], YEAR_FROM, YEAR_TO).quarterly
+
+
+def q_dashboard_verb(spark, d):
+    """C9 data part: the dashboard verb's table over a processed raw report."""
+    monthly = process_trade_data(T.raw_report(spark, d), ["series"])
+    return dashboard_table(monthly, ["series"], YEAR_FROM, YEAR_TO)
+
+
+def q_safe_aggregate(spark, d):
+    return safe_aggregate_by_date(T.orders_facts(spark, d), ["series"]).valid
+
+
+def q_sorted_by_date(spark, d):
+    return sort_by_date(dense_monthly(spark, d), ["series"])
+
+
+def q_custom_columns(spark, d):
+    """Other column names for series, date and value."""
+    facts = T.orders_facts(spark, d, "o_orderpriority").toDF("grp", "ym", "amt")
+    return monthly_growth(aggregate_by_date(facts, ["grp"], "ym", "amt"), ["grp"], "ym", "amt")
+
+
+def q_separators(spark, d):
+    """``YYYY/MM`` dates of pending orders meet ``YYYY-MM`` ones."""
+    o = T.load(spark, d, "orders")
+    slash = F.when(F.col("o_orderstatus") == "P", F.date_format("o_orderdate", "yyyy/MM"))
+    date = normalize_date(F.coalesce(slash, F.date_format("o_orderdate", "yyyy-MM")))
+    facts = o.select(F.col("o_orderpriority").alias("series"), date.alias("date"), T.money("o_totalprice").alias("export_amount"))
+    return aggregate_by_date(facts, ["series"])
+
+
+def q_quarterly_zero_base(spark, d):
+    """C4 on a zero base: IEEE rates, infinities and NaN as text."""
+    o = T.load(spark, d, "orders")
+    kept = F.when(F.col("o_orderstatus") == "P", T.money("o_totalprice")).otherwise(F.lit(0).cast("decimal(18,2)"))
+    facts = o.select(F.col("o_custkey").cast("string").alias("series"), T.year_month("o_orderdate").alias("date"), kept.alias("export_amount"))
+    q = process_quarterly(facts, ["series"])
+
+    def text(c):
+        v = F.col(c)
+        odd = F.when(F.isnan(v), "nan").when(v == float("inf"), "inf").when(v == float("-inf"), "-inf")
+        return F.when(v.isNotNull(), F.coalesce(odd, F.round(v * 100).cast("decimal(38,0)").cast("string"))).alias(c)
+
+    return q.select("series", "quarter", "export_amount", text("export_qoq"), text("export_yoy"))
+
+
+def q_analysis_rejects(spark, d):
+    """V4: growth rows, of which those of 1998 carry a slash date."""
+    g = q_monthly_growth(spark, d)
+    date = F.when(F.col("date").startswith("1998"), F.replace(F.col("date"), F.lit("-"), F.lit("/"))).otherwise(F.col("date"))
+    return split_valid(g.withColumn("date", date), ANALYSIS_RESULT_RULES).rejects
+
+
 def amount_texts(spark, d) -> DataFrame:
     """Amount texts in five shapes, chosen by order priority."""
     o = T.load(spark, d, "orders")
@@ -256,7 +332,7 @@ def q_strategy_monthly_growth(spark, d):
 def q_strategy_dashboard(spark, d):
     """C10 dashboard part: every strategy item enriched, then the year range."""
     keys = ["strategy", "item"]
-    return filter_by_year(_dashboard(strategy_monthly(spark, d), keys, spark), YEAR_FROM, YEAR_TO)
+    return filter_by_year(_dashboard(strategy_monthly(spark, d), keys), YEAR_FROM, YEAR_TO)
 
 
 def q_strategy_quarterly_growth(spark, d):
@@ -283,6 +359,10 @@ def q_grid_rows(spark, d):
     return grid_rows(T.grid_pages(spark, d))
 
 
+def q_page_links(spark, d):
+    return list_links(T.load(spark, d, "pages"))
+
+
 def q_option_dimension(spark, d):
     return option_dimension(T.option_pages(spark, d))
 
@@ -310,6 +390,18 @@ QUERIES: dict[str, Query] = {
     "process_raw_report": q_process_raw_report,
     "safe_report_valid": q_safe_report_valid,
     "safe_report_rejects": q_safe_report_rejects,
+    "safe_series_status": q_safe_series_status,
+    "bad_month_rejects": q_bad_month_rejects,
+    "report_tables_monthly": q_report_tables_monthly,
+    "report_tables_quarterly": q_report_tables_quarterly,
+    "dashboard_verb": q_dashboard_verb,
+    "safe_aggregate": q_safe_aggregate,
+    "sorted_by_date": q_sorted_by_date,
+    "custom_columns": q_custom_columns,
+    "separators": q_separators,
+    "quarterly_zero_base": q_quarterly_zero_base,
+    "analysis_rejects": q_analysis_rejects,
+    "page_links": q_page_links,
     "amount_coercion": q_amount_coercion,
     "valid_records": q_valid_records,
     "rejected_records": q_rejected_records,

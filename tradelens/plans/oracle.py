@@ -9,9 +9,8 @@ business-day calendar.  Tables are the pre-registered views
 
 from __future__ import annotations
 
-from tradelens.operators.calendar import FIXED_DATE_HOLIDAYS
-from tradelens.plans.contract import HOLIDAY_YEARS, YEAR_FROM, YEAR_TO
-from tradelens.sources.tables import supplier_names
+# The year range of the views, stated once more on purpose.
+YEAR_FROM, YEAR_TO = 1997, 1999
 
 YM = "(CAST(substr(date, 1, 4) AS INTEGER) * 100 + CAST(substr(date, 6, 2) AS INTEGER))"
 QK = "(CAST(substr(date, 1, 4) AS INTEGER) * 10 + (CAST(substr(date, 6, 2) AS INTEGER) - 1) // 3 + 1)"
@@ -68,11 +67,11 @@ ORDER_FACTS_DENSE = (
 )
 ORDER_FACTS_SPARSE = ORDER_FACTS_DENSE.replace("o_orderpriority AS series", "CAST(o_custkey AS VARCHAR) AS series")
 
-_HOL_VALUES = ", ".join(f"({m}, {d})" for m, d, _ in FIXED_DATE_HOLIDAYS)
-HOLIDAYS = (
-    f"SELECT make_date(CAST(y AS INTEGER), h.m, h.d) AS d FROM range({HOLIDAY_YEARS[0]}, {HOLIDAY_YEARS[1] + 1}) r(y), "
-    f"(VALUES {_HOL_VALUES}) h(m, d)"
-)
+# Fixed-date public holidays, for every year that the data has.
+HOLIDAYS = """
+SELECT make_date(CAST(y AS INTEGER), h.m, h.d) AS d
+FROM (SELECT DISTINCT year(o_orderdate) AS y FROM orders UNION SELECT DISTINCT year(l_shipdate) FROM lineitem),
+  (VALUES (1, 1), (3, 1), (5, 5), (6, 6), (8, 15), (10, 3), (10, 9), (12, 25)) h(m, d)"""
 
 
 def business_days_of(months: str) -> str:
@@ -127,10 +126,10 @@ def dashboard(g: str, select: str, where: str = "", keys=("series",)) -> str:
 
 YEAR_WHERE = f"WHERE CAST(substr(date, 1, 4) AS INTEGER) BETWEEN {YEAR_FROM} AND {YEAR_TO}"
 
-# Raw report rebuilt from orders: month amounts are whole currency units.
+# Raw report rebuilt from orders, with cents.
 RAW_MONTHS = """
 SELECT o_orderpriority AS series, year(o_orderdate) AS y, month(o_orderdate) AS mo, o_orderstatus AS st,
-       sum(CAST(floor(o_totalprice) AS BIGINT)) AS amt
+       sum(CAST(o_totalprice AS DECIMAL(18,2))) AS amt
 FROM orders GROUP BY ALL"""
 
 PARSE_PERIOD_ROWS = f"""
@@ -148,9 +147,47 @@ FROM ({RAW_MONTHS}) GROUP BY ALL"""
 
 RETURNS_MONTHLY = """
 SELECT CAST(o_custkey AS VARCHAR) AS series, strftime(o_orderdate, '%Y-%m') AS date,
-  CAST(sum(CASE WHEN o_orderstatus = 'P' THEN -1 ELSE 1 END * CAST(floor(o_totalprice) AS BIGINT)) AS DOUBLE) AS export_amount
+  CAST(sum(CASE WHEN o_orderstatus = 'P' AND o_totalprice > 400000 THEN -1 ELSE 1 END * CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS export_amount
+FROM orders GROUP BY ALL"""
+
+BAD_SERIES = f"SELECT series FROM ({RETURNS_MONTHLY}) WHERE export_amount < 0"
+
+# Pending orders of December are booked in a 13th month.
+THIRTEENTH_MONTHLY = """
+SELECT CAST(o_custkey AS VARCHAR) AS series,
+  CASE WHEN month(o_orderdate) = 12 AND o_orderstatus = 'P' THEN CAST(year(o_orderdate) AS VARCHAR) || '-13'
+    ELSE strftime(o_orderdate, '%Y-%m') END AS date,
+  CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS export_amount
 FROM orders GROUP BY ALL"""
 
+
+def _ieee(current: str, base: str, ratio: bool) -> str:
+    """A rate by float division, in hundredths, with infinities as text."""
+    rate = f"({current} / {base} - 1) * 100" if ratio else f"({current} - {base}) / {base} * 100"
+    return (
+        f"CASE WHEN {base} IS NULL THEN NULL WHEN {base} = 0 AND {current} = 0 THEN 'nan' WHEN {base} = 0 THEN 'inf' "
+        f"ELSE CAST(CAST(round(round_even({rate}, 2) * 100) AS DECIMAL(38,0)) AS VARCHAR) END"
+    )
+
+
+QUARTERLY_ZERO_BASE = f"""
+WITH f AS (SELECT CAST(o_custkey AS VARCHAR) AS series, strftime(o_orderdate, '%Y-%m') AS date,
+    CASE WHEN o_orderstatus = 'P' THEN CAST(o_totalprice AS DECIMAL(18,2)) ELSE 0 END AS amount FROM orders),
+q AS (SELECT series, {QK} AS qk, CAST(sum(amount) AS DOUBLE) AS a FROM f GROUP BY ALL),
+l AS (SELECT q.*, lag(a) OVER (PARTITION BY series ORDER BY qk) AS pq FROM q),
+y AS (SELECT l.*, p.a AS py FROM l LEFT JOIN q p ON p.series = l.series AND p.qk = l.qk - 10)
+SELECT series, CAST(qk // 10 AS VARCHAR) || 'Q' || CAST(qk % 10 AS VARCHAR) AS "quarter", a AS export_amount,
+  {_ieee('a', 'pq', True)} AS export_qoq, {_ieee('a', 'py', False)} AS export_yoy FROM y"""
+
+# Links in list items: the target, and the text without tags, trimmed.
+PAGE_LINKS = r"""
+WITH li AS (SELECT page_id, unnest(regexp_extract_all(html,
+    '(?s)<li\b[^>]*>\s*<a\b[^>]*\bhref="[^"]*"[^>]*>.*?</a>')) AS x FROM pages)
+SELECT page_id, regexp_extract(x, '\bhref="([^"]*)"', 1) AS code,
+  trim(replace(replace(replace(replace(replace(regexp_replace(x, '<[^>]*>', '', 'g'),
+    '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&nbsp;', chr(160)), '&amp;', '&'), ' ' || chr(9) || chr(10) || chr(13) || chr(160)) AS label
+FROM li"""
+
 AMOUNT_COERCION = """
 SELECT o_orderkey, o_orderpriority,
   CASE o_orderpriority
@@ -166,21 +203,22 @@ SELECT o_orderkey,
 FROM orders"""
 
 REASONS = (
-    "concat_ws('; ', CASE WHEN NOT regexp_full_match(date, '[0-9]{4}-[0-9]{2}') THEN 'date must match YYYY-MM' END, "
-    "CASE WHEN export_amount < 0 THEN 'export_amount must be a number >= 0' END)"
+    "concat_ws('; ', CASE WHEN NOT regexp_full_match(date, '[0-9]{4}-[0-9]{2}') THEN 'date must match YYYY-MM with a month from 01 to 12' END, "
+    "CASE WHEN export_amount < 0 THEN 'export_amount must be a finite number >= 0' END)"
 )
 
 
-def _in(values):
-    return ", ".join("'" + v + "'" for v in values)
+def _suppliers(count):
+    """Names of the suppliers numbered 0 to count - 1."""
+    return ", ".join(f"'Supplier#{k:09d}'" for k in range(count))
 
 
 PART_FILTER_COUNT = "CASE p_type WHEN 'MEDIUM' THEN 2 WHEN 'STANDARD' THEN 0 WHEN 'PROMO' THEN 0 ELSE 1 END"
 PART_FILTER_PASS = f"""CASE p_type
     WHEN 'ECONOMY' THEN r_name IN ('ASIA', 'EUROPE')
     WHEN 'SMALL' THEN n_name IN ('NATION_1', 'NATION_7', 'NATION_13', 'NATION_19')
-    WHEN 'LARGE' THEN s_name IN ({_in(supplier_names(0, 10))})
-    WHEN 'MEDIUM' THEN r_name IN ('AFRICA', 'AMERICA', 'ASIA') AND s_name IN ({_in(supplier_names(0, 30))})
+    WHEN 'LARGE' THEN s_name IN ({_suppliers(10)})
+    WHEN 'MEDIUM' THEN r_name IN ('AFRICA', 'AMERICA', 'ASIA') AND s_name IN ({_suppliers(30)})
     ELSE TRUE END"""
 
 STRATEGY_FACTS = f"""
@@ -193,7 +231,7 @@ WHERE {PART_FILTER_PASS}"""
 STRATEGY_MONTHLY = f"SELECT strategy, item, date, CAST(sum(amount) AS DOUBLE) AS export_amount FROM ({STRATEGY_FACTS}) GROUP BY ALL"
 
 GRID_ROWS = """
-SELECT l_orderkey * 100000 + l_linenumber // 50 AS page_id, CAST(l_linenumber AS BIGINT) AS row_num,
+SELECT CAST(l_orderkey AS BIGINT) AS page_id, CAST(l_linenumber AS BIGINT) AS row_num,
   lpad(CAST(l_partkey AS VARCHAR), 10, '0') AS hs_code, p_name AS item_name, n_name AS region,
   l_extendedprice AS ex_amt, l_quantity AS ex_wght,
   CAST(floor(l_extendedprice * l_discount) AS DOUBLE) AS im_amt, CAST(0 AS DOUBLE) AS im_wght
@@ -248,9 +286,28 @@ SELECT date, business_days FROM months JOIN bd ON bd.ym = {YM}""",
     "dashboard_labels": dashboard(growth(DENSE), LABELLED, YEAR_WHERE),
     "parse_period_rows": PARSE_PERIOD_ROWS,
     "process_raw_report": growth(RAW_MONTHLY),
-    "safe_report_valid": growth(f"SELECT * FROM ({RETURNS_MONTHLY}) WHERE export_amount >= 0"),
-    "safe_report_rejects": f"""SELECT series, date, export_amount, 'export_amount must be a number >= 0' AS reason
-FROM ({RETURNS_MONTHLY}) WHERE export_amount < 0""",
+    "safe_report_valid": growth(f"SELECT m.* FROM ({RETURNS_MONTHLY}) m ANTI JOIN ({BAD_SERIES}) USING (series)"),
+    "safe_report_rejects": f"""SELECT m.*, CASE WHEN export_amount < 0 THEN 'export_amount must be a finite number >= 0'
+  ELSE 'another month of the series is invalid' END AS reason
+FROM ({RETURNS_MONTHLY}) m SEMI JOIN ({BAD_SERIES}) USING (series)""",
+    "safe_series_status": f"""SELECT series, count(*) AS months,
+  CASE WHEN min(export_amount) < 0 THEN 'rejected' ELSE 'valid' END AS status FROM ({RETURNS_MONTHLY}) GROUP BY series""",
+    "bad_month_rejects": f"""WITH m AS ({THIRTEENTH_MONTHLY})
+SELECT series, date, export_amount, CASE WHEN date LIKE '%-13' THEN 'date must match YYYY-MM with a month from 01 to 12'
+  ELSE 'another month of the series is invalid' END AS reason
+FROM m WHERE series IN (SELECT series FROM m WHERE date LIKE '%-13')""",
+    "report_tables_monthly": f"SELECT * FROM ({growth(DENSE)}) {YEAR_WHERE}",
+    "report_tables_quarterly": f"SELECT * FROM ({quarterly(ORDER_FACTS_DENSE)}) "
+    f'WHERE CAST(substr("quarter", 1, 4) AS INTEGER) BETWEEN {YEAR_FROM} AND {YEAR_TO}',
+    "dashboard_verb": dashboard(growth(RAW_MONTHLY), ENRICHED, YEAR_WHERE),
+    "safe_aggregate": DENSE,
+    "sorted_by_date": DENSE,
+    "custom_columns": f"""SELECT series AS grp, date AS ym, export_amount AS amt, export_mom, export_yoy FROM ({growth(DENSE)})""",
+    "separators": DENSE,
+    "quarterly_zero_base": QUARTERLY_ZERO_BASE,
+    "analysis_rejects": f"""SELECT series, replace(date, '-', '/') AS date, export_amount, export_mom, export_yoy,
+  'date must match YYYY-MM with a month from 01 to 12' AS reason FROM ({growth(DENSE)}) WHERE date LIKE '1998%'""",
+    "page_links": PAGE_LINKS,
     "amount_coercion": AMOUNT_COERCION,
     "valid_records": f"SELECT * FROM ({RECORDS}) WHERE {REASONS} = ''",
     "rejected_records": f"SELECT *, {REASONS} AS reason FROM ({RECORDS}) WHERE {REASONS} <> ''",

@@ -16,10 +16,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tradelens.functions.periods import with_period_keys
 from tradelens.operators._common import as_list
 from tradelens.operators.aggregate import aggregate_by_date
+from tradelens.operators.calendar import FIXED
 from tradelens.operators.dashboard import enrich_data
 from tradelens.operators.growth import filter_by_year, filter_quarterly_by_year, monthly_growth, process_quarterly
 from tradelens.operators.parse import process_trade_data
@@ -68,7 +70,9 @@ def report_tables(
         monthly = monthly_growth(keyed, series).drop(*added)
     # Monthly rows are one per (series, date): the quarter sums need no
     # per-date pre-aggregation.
-    quarterly = process_quarterly(monthly.select(*series, "date", "export_amount"), series, dates_unique=True)
+    # Monthly totals are added up as decimals: the order of rows must not show.
+    amounts = monthly.select(*series, "date", F.col("export_amount").cast("decimal(38,6)").alias("export_amount"))
+    quarterly = process_quarterly(amounts, series, dates_unique=True)
     return ReportTables(
         filter_by_year(monthly, start_year, end_year),
         filter_quarterly_by_year(quarterly, start_year, end_year),
@@ -80,7 +84,7 @@ def dashboard_table(
     series=None,
     start_year: int = DEFAULT_YEARS[0],
     end_year: int = DEFAULT_YEARS[1],
-    holidays: DataFrame | None = None,
+    holidays: DataFrame | str | None = FIXED,
 ) -> DataFrame:
     """C9 (data part): enrichment on the full history, then the year range.
 
@@ -122,7 +126,7 @@ def dashboard(
     output: str,
     start_year: int = DEFAULT_YEARS[0],
     end_year: int = DEFAULT_YEARS[1],
-    holidays: DataFrame | None = None,
+    holidays: DataFrame | str | None = FIXED,
 ) -> DataFrame:
     """Report exports -> labelled dashboard rows with a title per file."""
     monthly = monthly_from_exports(spark, input_path)
@@ -137,7 +141,7 @@ def dashboard_from_report(
     output: str,
     start_year: int = DEFAULT_YEARS[0],
     end_year: int = DEFAULT_YEARS[1],
-    holidays: DataFrame | None = None,
+    holidays: DataFrame | str | None = FIXED,
 ) -> DataFrame:
     """C9 from a processed report (S6): read the ``monthly`` table written by
     ``report`` (growth columns present, so growth is not recomputed) and
@@ -155,7 +159,7 @@ def full(
     output: str,
     start_year: int = DEFAULT_YEARS[0],
     end_year: int = DEFAULT_YEARS[1],
-    holidays: DataFrame | None = None,
+    holidays: DataFrame | str | None = FIXED,
 ) -> tuple[ReportTables, DataFrame]:
     """Select every strategy item's facts (J6-J9), then report and
     dashboard for all items in one job set: ``output/report/{monthly,
