@@ -69,12 +69,12 @@ def test_latest_files(spark):
 def test_strategy_json_and_defaults(spark):
     d = tempfile.mkdtemp(prefix="tl-strat-")
     with open(os.path.join(d, "a.json"), "w", encoding="utf-8") as f:
-        f.write('{"corp": {"name": "농심", "items": [{"name": "라면", "hs_code": "1902301010",\n'
-                ' "filters": [{"category": "국내지역", "scope": "시", "values": ["부산"]}]}]}}')
+        f.write('{"corp": {"name": "Bluefin", "items": [{"name": "nets", "hs_code": "1111111111",\n'
+                ' "filters": [{"category": "국내지역", "scope": "시", "values": ["Harbor"]}]}]}}')
     out = strategy_items(read_strategies(spark, d))
-    assert rows(out.valid, "strategy", "item", "hs_code") == [("농심", "라면", "1902301010")]
+    assert rows(out.valid, "strategy", "item", "hs_code") == [("Bluefin", "nets", "1111111111")]
     blank = spark.createDataFrame([("s", None, None)], "strategy string, item string, hs_code string")
-    assert rows(with_item_defaults(blank)) == [("s", "", "8504230000")]
+    assert rows(with_item_defaults(blank), "strategy", "item", "hs_code") == [("s", "", "8504230000")]
 
 
 def test_convert_format_keeps_source(spark):
@@ -110,20 +110,22 @@ def test_full_verb(spark):
     from tradelens.sources.strategies import strategies_from_dicts
 
     facts = spark.createDataFrame(
-        [("1902301010", "부산", "부산 남구", "부산세관", d, a) for d, a in (("2023-01", 10.0), ("2024-01", 20.0), ("2024-03", 30.0))]
-        + [("1902301010", "서울", "서울 송파구", "서울세관", "2024-01", 99.0)],
+        [("1111111111", "Harbor", "Harbor West", "Gate 1", d, a) for d, a in (("2023-01", 10.0), ("2024-01", 20.0), ("2024-03", 30.0))]
+        + [("1111111111", "Hill", "Hill East", "Gate 2", "2024-01", 99.0)],
         "hs_code string, city string, district string, office string, date string, export_amount double",
     )
     items = strategy_items(strategies_from_dicts(spark, [
-        {"corp": {"name": "농심", "items": [{"name": "라면", "hs_code": "1902301010",
-                                            "filters": [{"category": "국내지역", "scope": "시", "values": ["부산"]}]}]}}
+        {"corp": {"name": "Bluefin", "items": [{"name": "nets", "hs_code": "1111111111",
+                                            "filters": [{"category": "국내지역", "scope": "시", "values": ["Harbor"]}]}]}}
     ])).valid
     out = tempfile.mkdtemp(prefix="tl-full-")
     tables, dash = full(facts, items, out, 2024, 2024)
     assert rows(tables.monthly, "date", "export_amount", "export_yoy") == [("2024-01", 20.0, 100.0), ("2024-03", 30.0, None)]
     assert rows(tables.quarterly, "quarter", "export_amount", "export_yoy") == [("2024Q1", 50.0, 400.0)]
     assert dash.count() == 2
-    assert os.path.isdir(os.path.join(out, "report", "monthly", "strategy=농심"))
+    assert spark.read.parquet(os.path.join(out, "report", "monthly")).where("strategy = 'Bluefin'").count() == 2
+    titles = spark.read.option("header", True).csv(os.path.join(out, "dashboard")).select("title").distinct().collect()
+    assert [r.title for r in titles] == ["Dashboard - Bluefin nets"]
 
 
 def test_header_names_and_safe_reader(spark):

@@ -27,10 +27,12 @@ from tradelens.operators.growth import filter_by_year, filter_quarterly_by_year,
 from tradelens.operators.parse import process_trade_data
 from tradelens.operators.select import select_strategy_facts
 from tradelens.session import ensure_checkpoint_dir
-from tradelens.sources.reports import DEFAULT_SKIP_ROWS, is_processed_report, read_report_rows
+from tradelens.sources.reports import DEFAULT_SKIP_ROWS, is_processed_report, latest_file, read_report_rows
 from tradelens.sources.sinks import write_dashboard, write_report
 
 DEFAULT_YEARS = (2024, 2025)
+#: Where the verbs look for the newest export if no path is given.
+DEFAULT_DATA_DIR = "data"
 
 
 @dataclass(frozen=True)
@@ -38,6 +40,10 @@ class ReportTables:
     monthly: DataFrame
     quarterly: DataFrame
 
+    def counts(self) -> tuple[int, int]:
+        """Record counts of the two tables (runs two jobs)."""
+        return self.monthly.count(), self.quarterly.count()
+
 
 def monthly_from_exports(
     spark: SparkSession,
@@ -107,14 +113,17 @@ def materialize(df: DataFrame) -> DataFrame:
 
 def report(
     spark: SparkSession,
-    input_path: str,
+    input_path: str | None,
     output: str,
     start_year: int = DEFAULT_YEARS[0],
     end_year: int = DEFAULT_YEARS[1],
+    data_dir: str = DEFAULT_DATA_DIR,
 ) -> ReportTables:
-    """Report exports -> ``output/monthly`` + ``output/quarterly``,
-    partitioned by source file."""
-    monthly = materialize(monthly_from_exports(spark, input_path))
+    """Report exports -> ``output/monthly`` + ``output/quarterly``.
+
+    Without ``input_path`` the newest export of ``data_dir`` is read (S5)."""
+    path = latest_file(spark, data_dir) if input_path is None else input_path
+    monthly = materialize(monthly_from_exports(spark, path))
     tables = report_tables(monthly, ["source_file"], start_year, end_year)
     write_report(tables.monthly, tables.quarterly, output, ["source_file"])
     return tables
@@ -122,14 +131,18 @@ def report(
 
 def dashboard(
     spark: SparkSession,
-    input_path: str,
+    input_path: str | None,
     output: str,
     start_year: int = DEFAULT_YEARS[0],
     end_year: int = DEFAULT_YEARS[1],
     holidays: DataFrame | str | None = FIXED,
+    data_dir: str = DEFAULT_DATA_DIR,
 ) -> DataFrame:
-    """Report exports -> labelled dashboard rows with a title per file."""
-    monthly = monthly_from_exports(spark, input_path)
+    """Report exports -> labelled dashboard rows with a title per file.
+
+    Without ``input_path`` the newest export of ``data_dir`` is read (S5)."""
+    path = latest_file(spark, data_dir) if input_path is None else input_path
+    monthly = monthly_from_exports(spark, path)
     table = dashboard_table(monthly, ["source_file"], start_year, end_year, holidays)
     write_dashboard(table, output, series=None)
     return table
@@ -163,7 +176,7 @@ def full(
 ) -> tuple[ReportTables, DataFrame]:
     """Select every strategy item's facts (J6-J9), then report and
     dashboard for all items in one job set: ``output/report/{monthly,
-    quarterly}`` and ``output/dashboard``, partitioned by strategy and item."""
+    quarterly}`` and ``output/dashboard``, rows clustered by strategy and item."""
     series = ["strategy", "item"]
     monthly = aggregate_by_date(select_strategy_facts(facts, items), series)
     keyed, added = with_period_keys(monthly)

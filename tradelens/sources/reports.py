@@ -15,7 +15,7 @@ start doubles as the forward-fill segment (see ``operators.parse``).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -75,7 +75,7 @@ def read_report_exports(
     Only the first two CSV columns are parsed (the reference uses the first
     two columns by position).  Header lines are the first ``skip_rows``
     lines of each file, found from each file's first row id (one small
-    aggregate over the first split, broadcast after a size check).  The
+    aggregate over the lines of the first split).  The
     verbs use ``read_report_rows`` instead, which needs no extra pass.
     S3: a file too short for that layout (no line after the header) is read
     with ``fallback_skip_rows`` instead, when given.
@@ -98,6 +98,15 @@ def read_report_exports(
     return report_cells(lines, sep)
 
 
+def _csv_cells(line: Column, sep: str) -> Column:
+    """The cells of one CSV line of any width; ``sep`` is taken literally."""
+    quoted = rf'\Q{sep}\E("(?:[^"]|"")*+"|(?:(?!\Q{sep}\E).)*+)'
+    cells = F.regexp_extract_all(F.concat(F.lit(sep), line), F.lit(quoted), 1)
+    plain = F.transform(cells, lambda c: F.regexp_replace(c, r'^"|"$', ""))
+    unquoted = F.transform(plain, lambda c: F.replace(c, F.lit('""'), F.lit('"')))
+    return F.transform(cells, lambda c, i: F.when(c.startswith('"'), F.get(unquoted, i)).otherwise(c))
+
+
 def read_report_header(
     spark: SparkSession,
     path: str,
@@ -109,7 +118,8 @@ def read_report_header(
     column: ``source_file, col_idx, name`` with ``name = top_sub`` (an empty
     top cell repeats the previous top, as merged header cells do).
 
-    Only the first split of each file is read for it; the header is small."""
+    The lines of each file's first split are read; quoted cells may hold the
+    separator."""
     lines = read_report_lines(spark, path, glob).where(F.col("block") == 0)
     first = lines.groupBy("source_file").agg(F.min("row_no").alias("_first"))
     top_i, sub_i = header_rows
@@ -117,7 +127,7 @@ def read_report_header(
         lines.join(first, on="source_file")
         .withColumn("_i", F.col("row_no") - F.col("_first"))
         .where(F.col("_i").isin(top_i, sub_i))
-        .select("source_file", "_i", F.posexplode(F.split(F.col("line"), sep)).alias("col_idx", "cell"))
+        .select("source_file", "_i", F.posexplode(_csv_cells(F.col("line"), sep)).alias("col_idx", "cell"))
     )
     cells = picked.groupBy("source_file", "col_idx").agg(
         F.max(F.when(F.col("_i") == top_i, F.trim("cell"))).alias("top"),

@@ -4,12 +4,24 @@ tasks are simply re-run."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
 from tradelens.operators.dashboard import dashboard_labels
 
 
+#: Folders of a written table: their number does not grow with the series.
+BUCKETS = 64
+
+
+def _clustered(df: DataFrame, series: list[str] | None) -> DataFrameWriter:
+    """A writer with the rows of each series together, in bucket folders."""
+    if not series:
+        return df.write
+    bucketed = df.withColumn("bucket", F.pmod(F.xxhash64(*series), F.lit(BUCKETS)).cast("int"))
+    return bucketed.repartition("bucket").sortWithinPartitions("bucket", *series).write.partitionBy("bucket")
+
+
 def write_report(
     monthly: DataFrame,
     quarterly: DataFrame,
@@ -17,12 +29,10 @@ def write_report(
     series: list[str] | None = None,
     fmt: str = "parquet",
 ) -> None:
-    """K1 + K3: two tables ``out/monthly`` and ``out/quarterly``, partitioned
-    by the series keys (one folder per strategy/item)."""
+    """K1 + K3: two tables ``out/monthly`` and ``out/quarterly``; the rows of a
+    series lie together in one of ``BUCKETS`` folders."""
     for name, df in (("monthly", monthly), ("quarterly", quarterly)):
-        w = df.write.mode("overwrite").format(fmt)
-        if series:
-            w = w.partitionBy(*series)
+        w = _clustered(df, series).mode("overwrite").format(fmt)
         if fmt == "csv":
             w = w.option("header", True)
         w.save(f"{out}/{name}")
@@ -36,16 +46,16 @@ def write_dashboard(
     fmt: str = "csv",
 ) -> None:
     """K2: labelled dashboard rows with a ``title`` column
-    (``Dashboard - <source file name>``)."""
+    (``Dashboard - <source file name>``, or the series' keys)."""
     df = enriched
     if source is not None:
         df = df.withColumn("title", F.concat(F.lit("Dashboard - "), F.substring_index(F.lit(source), "/", -1)))
     elif "source_file" in df.columns:
         df = df.withColumn("title", F.concat(F.lit("Dashboard - "), F.substring_index("source_file", "/", -1)))
+    elif series:
+        df = df.withColumn("title", F.concat(F.lit("Dashboard - "), F.concat_ws(" ", *series)))
     labelled = dashboard_labels(df)
-    w = labelled.write.mode("overwrite").format(fmt)
-    if series:
-        w = w.partitionBy(*series)
+    w = _clustered(labelled, series).mode("overwrite").format(fmt)
     if fmt == "csv":
         w = w.option("header", True)
     w.save(out)

@@ -167,12 +167,19 @@ def validate_items(items: DataFrame) -> Outcome:
     return Outcome(valid, bad_items.unionByName(ignored))
 
 
-# defaults used when a scraper-style config omits fields.
+# defaults used when a scraper-style config omits fields (fixed value).
 DEFAULT_HS_CODE = "8504230000"
 
 
 def with_item_defaults(items: DataFrame) -> DataFrame:
-    """default HS code and empty text for missing item fields."""
-    return items.withColumn("hs_code", F.coalesce(F.col("hs_code"), F.lit(DEFAULT_HS_CODE))).withColumn(
-        "item", F.coalesce(F.col("item"), F.lit(""))
+    """default HS code, empty item and search text, and the file name
+    suffix ``_<strategy>`` (empty without a name) for missing fields."""
+    text = F.col("target_text") if "target_text" in items.columns else F.lit(None).cast("string")
+    return items.withColumns(
+        {
+            "hs_code": F.coalesce(F.col("hs_code"), F.lit(DEFAULT_HS_CODE)),
+            "item": F.coalesce(F.col("item"), F.lit("")),
+            "target_text": F.coalesce(text, F.lit("")),
+            "name_suffix": F.coalesce(F.concat(F.lit("_"), F.col("strategy")), F.lit("")),
+        }
     )
