@@ -57,8 +57,6 @@ def get_spark(
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    if spark.sparkContext.master.startswith("local"):
-        ensure_checkpoint_dir(spark)  # on a cluster the verbs check it when they checkpoint
     return spark
 
 
