@@ -67,3 +67,17 @@ def per_worker(key: str, make):
     if key not in kept:
         kept[key] = make()
     return kept[key]
+
+
+def shielded(operator):
+    """For operators that return the columns of their first argument: input
+    columns named like the helpers' (``_tl_...``) go by another name inside."""
+    import functools
+
+    @functools.wraps(operator)
+    def run(docs: DataFrame, *args, **kwargs) -> DataFrame:
+        names = docs.columns
+        inside = [f"in_{i}" if c.lower().startswith("_tl_") else c for i, c in enumerate(names)]
+        return operator(docs.toDF(*inside), *args, **kwargs).toDF(*names)
+
+    return run

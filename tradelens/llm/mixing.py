@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tradelens.llm.common import as_bytes, hashed_sample, per_worker, softmax, stored
+from tradelens.llm.common import as_bytes, hashed_sample, per_worker, shielded, softmax, stored
 
 #: Labelled documents used for training, chosen by the hash of their id.
 SAMPLE = 12_000
@@ -256,6 +256,7 @@ def soft_mixture(
     return out.select("doc_id", F.col("_tl_n").alias("n_tokens"), *p, "rate", copies)
 
 
+@shielded
 def mixed(
     docs: DataFrame, labels: DataFrame, domain: Column | None = None, targets: dict[str, float] | None = None,
     anchor: str = "clean", max_rate: float | None = 1.0, sample: int = SAMPLE,
