@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tradelens.llm.common import stored
+from tradelens.llm.common import shielded, stored
 
 #: Distinct lines in which entity and term must meet.
 SUPPORT = 3
@@ -126,15 +126,17 @@ def _any_entity(text: Column) -> Column:
     return tests[0] | tests[1] | tests[2] | tests[3]
 
 
-def _lower(text: Column) -> Column:
-    return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+#: What stands between terms: ASCII characters other than letters and digits.
+BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+#: Terms have so many characters at least.
+TERM_LENGTH = 3
+#: Counted once per line along with its terms; no line holds it.
+LINE = "\n"
 
 
 def _terms(line: Column) -> Column:
-    """Distinct words of a line: lower-cased, without edge punctuation, three
-    characters at least."""
-    words = F.transform(F.split(_lower(line), r"[ \t-\r]+"), lambda w: F.regexp_replace(w, r"^[\p{P}\p{S}]++|[\p{P}\p{S}]++$", ""))
-    return F.array_distinct(F.filter(words, lambda w: F.char_length(w) >= 3))
+    """Distinct words of a line in lower case, shorter ones included."""
+    return F.array_distinct(F.split(F.lower(line), BETWEEN))
 
 
 def _entity_lines(texts: DataFrame) -> DataFrame:
@@ -155,7 +157,7 @@ def _entity_lines(texts: DataFrame) -> DataFrame:
 
 
 def _entity_key(kind: str, match: Column) -> Column:
-    value = F.regexp_replace(match, "[^0-9]", "") if kind in ("card", "phone") else _lower(match)
+    value = F.regexp_replace(match, "[^0-9]", "") if kind in ("card", "phone") else F.lower(match)
     return F.concat(F.lit(f"{kind}:"), value)
 
 
@@ -168,16 +170,17 @@ def disclosing_terms(texts: DataFrame, support: int = SUPPORT, generalise: float
     spark = texts.sparkSession
     seen = stored(_entity_lines(texts), "pii-lines")
     entities = seen.groupBy("entity").agg(F.count("*").alias("n_e")).where(F.col("n_e") >= support)
-    pairs = seen.select("entity", F.explode("terms").alias("term")).join(entities, "entity")
+    pairs = seen.select("entity", F.explode("terms").alias("term")).where(F.char_length("term") >= TERM_LENGTH)
+    pairs = pairs.join(entities, "entity")
     pairs = pairs.groupBy("entity", "term").agg(F.count("*").alias("n_et"), F.first("n_e").alias("n_e"))
     pairs = stored(pairs.where(F.col("n_et") >= support), "pii-pairs")
-    # The empty term stands for the line itself: its count is the number of lines.
     lines = texts.select(F.explode(F.split("text", "\n")).alias("line"))
-    counted = lines.select(F.explode(F.concat(_terms(F.col("line")), F.array(F.lit("")))).alias("term"))
+    counted = lines.select(F.explode(F.concat(_terms(F.col("line")), F.array(F.lit(LINE)))).alias("term"))
+    counted = counted.where((F.char_length("term") >= TERM_LENGTH) | (F.col("term") == LINE))
     counts = counted.groupBy("term").agg(F.count("*").alias("n_t"))
-    needed = pairs.select("term").distinct().union(spark.createDataFrame([("",)], "term string"))
+    needed = pairs.select("term").distinct().union(spark.createDataFrame([(LINE,)], "term string"))
     counts = stored(counts.join(needed, "term", "left_semi"), "pii-terms")
-    total = counts.where("term = ''").select(F.col("n_t").alias("n"))
+    total = counts.where(F.col("term") == LINE).select(F.col("n_t").alias("n"))
     joined = pairs.join(counts, "term").crossJoin(F.broadcast(total))  # total: one row
     rate = F.log(F.col("n_et") * F.col("n") / (F.col("n_e") * F.greatest("n_t", "n_et"))) / F.log(F.col("n") / F.col("n_e"))
     return joined.where("n > n_e").select("entity", "term", rate.alias("disclosure")).where(F.col("disclosure") >= generalise)
@@ -192,7 +195,7 @@ def _pattern(terms: Column) -> Column:
     """A pattern that finds any of the terms as a whole word, in any case."""
     alternatives = F.array_join(F.transform(F.sort_array(terms, asc=False), _escaped), "|")
     edge = r"[^ \t-\r\p{P}\p{S}]"
-    return F.concat(F.lit(f"(?i)(?<!{edge})(?:"), alternatives, F.lit(f")(?!{edge})"))
+    return F.concat(F.lit(f"(?iu)(?<!{edge})(?:"), alternatives, F.lit(f")(?!{edge})"))
 
 
 def _entity_keys(kind: str) -> Column:
@@ -269,6 +272,7 @@ def _replaced(text: Column, kind: str, pattern: str, hint: str | None) -> Column
     return F.when(F.size(found) > 0, F.array_join(pieces, "")).otherwise(text)
 
 
+@shielded
 def sanitised(docs: DataFrame) -> DataFrame:
     """``docs`` with entities in ``text`` generalised to ``[EMAIL]``,
     ``[PHONE]``, ``[CARD]``, ``[IP]`` and disclosing terms generalised or
