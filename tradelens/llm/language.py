@@ -31,7 +31,7 @@ from tradelens.llm.common import as_bytes, id_remainder, softmax
 LENGTH, WIDTHS, FILTERS = 256, (2, 3, 4), 16
 #: Texts per language used for training, chosen by the hash of their id, and
 #: windows taken from each, spread over the whole text.
-PER_LANGUAGE, WINDOWS = 2000, 3
+PER_LANGUAGE, WINDOWS = 1000, 3
 #: Documents with this remainder of crc32(doc_id) are never learned from.
 MODULUS, HELD_OUT = 4, 2
 
