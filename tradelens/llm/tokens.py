@@ -45,7 +45,7 @@ class Encoder:
     same name, if there is one, encodes Latin stretches faster, to the same ids.
     """
 
-    def __init__(self, path: str, limit: int = 200_000):
+    def __init__(self, path: str, limit: int = 150_000):
         self.path, self.slow, self.fast = path, None, None
         ranks = path.removesuffix(".json") + ".tiktoken"
         try:
