@@ -44,7 +44,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tradelens.llm.common import as_bytes, per_worker, stored
+from tradelens.llm.common import as_bytes, per_worker, shielded, stored
 from tradelens.llm.components import connected_components
 
 MISS = 1e-7
@@ -68,7 +68,7 @@ def band_rows(threshold: float) -> int:
 class _Words(dict):
     """64-bit hashes of words; starts anew at ``limit`` words."""
 
-    limit = 400_000
+    limit = 150_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.limit:
@@ -250,10 +250,13 @@ def _key(text: str = "text") -> Column:
 
 
 def _texts_of(docs: DataFrame, needed: DataFrame) -> DataFrame:
-    """``uid, text`` of classes ``uid, rep, key``: the text of one document."""
+    """``uid, text`` of classes ``uid, rep, key``: the text of one document.
+
+    The classes grow with the corpus, so they are never broadcast: the plan is
+    the same at every size."""
     rows = docs.select(F.col("doc_id").alias("rep"), _key().alias("key"), "text")
     same = rows["rep"].eqNullSafe(needed["rep"]) & (rows["key"] == needed["key"])
-    return stored(rows.join(needed, same).select("uid", "text").dropDuplicates(["uid"]), "dup-texts")
+    return stored(rows.join(needed.hint("merge"), same).select("uid", "text").dropDuplicates(["uid"]), "dup-texts")
 
 
 def _links(docs: DataFrame, classes: DataFrame, percent: int, size: int) -> DataFrame:
@@ -273,8 +276,8 @@ def _links(docs: DataFrame, classes: DataFrame, percent: int, size: int) -> Data
     sig = classes.select("uid", "sig")
     both = pairs.join(sig.toDF("a", "sa"), "a").join(sig.toDF("b", "sb"), "b").select("a", "b", "sa", "sb")
     pairs = stored(both.mapInArrow(_pruned(percent), "a long, b long"), "dup-pairs")
-    ends = pairs.select(F.col("a").alias("uid")).union(pairs.select("b")).distinct()
-    texts = _texts_of(docs, stored(classes.select("uid", "rep", "key").join(ends, "uid"), "dup-ends"))
+    # Texts of all classes that share a bucket, fetched once for both steps.
+    texts = _texts_of(docs, classes.select("uid", "rep", "key").join(degree.select("uid"), "uid", "left_semi"))
     full = pairs.join(texts.toDF("a", "ta"), "a").join(texts.toDF("b", "tb"), "b").select("a", "b", "ta", "tb")
     links = stored(full.mapInArrow(_verified(percent, size), "a long, b long"), "dup-links")
 
@@ -294,11 +297,9 @@ def _links(docs: DataFrame, classes: DataFrame, percent: int, size: int) -> Data
     groups = connected_components(rest.select(F.col("first").alias("a"), F.col("uid").alias("b")))
     members = rest.select("uid", "comp").distinct().join(groups.select(F.col("v").alias("uid"), F.col("comp").alias("grp")), "uid")
     members = stored(members, "dup-members")
-    wide = classes.select("uid", "rep", "key", "n_shingles", "bands", "sig").join(members, "uid")
-    needed = stored(wide, "dup-wide")
-    texts = _texts_of(docs, needed.select("uid", "rep", "key"))
+    wide = classes.select("uid", "n_shingles", "bands", "sig").join(members, "uid")
     blocks = members.groupBy("grp").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    rows = needed.drop("rep", "key").join(texts, "uid").join(blocks, "grp")
+    rows = wide.join(texts, "uid").join(blocks, "grp")
     rows = rows.withColumn("block", F.pmod(F.xxhash64("uid"), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     rows = rows.select("*", other).select(
@@ -330,6 +331,7 @@ def components(docs: DataFrame, size: int = 3, percent: int = 85) -> DataFrame:
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
+@shielded
 def deduplicated(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` with one document of each component: the smallest id's.
 
@@ -339,7 +341,7 @@ def deduplicated(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame
     gone = stored(found.where("NOT kept").select(F.col("doc_id").alias("_tl_id"), F.col("key").alias("_tl_k")).distinct(), "dup-gone")
     keyed = docs.withColumn("_tl_key", _key())
     same = keyed["doc_id"].eqNullSafe(gone["_tl_id"]) & (keyed["_tl_key"] == gone["_tl_k"])
-    left = keyed.join(gone, same, "left_anti")
+    left = keyed.join(gone.hint("merge"), same, "left_anti")  # grows with the corpus
     again = found.where("kept AND n_shingles > 0").groupBy("doc_id", "key").count().where("count > 1")
     again = stored(again.select(F.col("doc_id").alias("_tl_id"), F.col("key").alias("_tl_k")), "dup-again")
     if again.isEmpty():
