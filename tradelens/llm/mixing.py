@@ -38,7 +38,7 @@ from pyspark.sql import types as T
 from tradelens.llm.common import as_bytes, hashed_sample, per_worker, shielded, softmax, stored
 
 #: Labelled documents used for training, chosen by the hash of their id.
-SAMPLE = 12_000
+SAMPLE = 8000
 WORD_BITS, SHAPE_BITS = 18, 10
 #: Value of a word's presence beside the shapes' shares, which add up to one.
 PRESENCE = 0.3
@@ -66,7 +66,7 @@ class _Index(dict):
     """Word bucket and shape bucket of a word (a shape is the classes of the
     first and the last two bytes); starts anew at ``limit`` words."""
 
-    def __init__(self, limit: int = 300_000):
+    def __init__(self, limit: int = 100_000):
         self.limit = limit
 
     def __missing__(self, word: bytes) -> int:
@@ -85,14 +85,14 @@ def features(text: bytes) -> tuple[int, np.ndarray, np.ndarray]:
     shares of word shapes."""
     words = text.split()
     if not words:
-        return 0, np.empty(0, np.int32), np.empty(0)
+        return 0, np.empty(0, np.int32), np.empty(0, np.float32)
     index = per_worker("mixing index", _Index)
     packed = np.fromiter(map(index.__getitem__, words), np.int64, len(words))
     buckets = np.unique(packed >> SHAPE_BITS)
     shapes, times = np.unique(packed & (1 << SHAPE_BITS) - 1, return_counts=True)
     at = np.concatenate([buckets, shapes + (1 << WORD_BITS)]).astype(np.int32)
     value = np.concatenate([np.full(len(buckets), PRESENCE), times / len(words)])
-    return len(words), at, value
+    return len(words), at, value.astype(np.float32)
 
 
 class Classifier:
@@ -136,7 +136,7 @@ def train_classifier(rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, c
 def _sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         got = [features(t) for t in as_bytes(batch.column(1))]
-        columns = [batch.column(0), pa.array([a for _, a, _ in got], pa.list_(pa.int32())), pa.array([v for _, _, v in got], pa.list_(pa.float64()))]
+        columns = [batch.column(0), pa.array([a for _, a, _ in got], pa.list_(pa.int32())), pa.array([v for _, _, v in got], pa.list_(pa.float32()))]
         yield pa.RecordBatch.from_arrays(columns, ["doc_id", "at", "value"])
 
 
@@ -147,14 +147,15 @@ def train(docs: DataFrame, labels: DataFrame, domain: Column, sample: int = SAMP
     chosen = hashed_sample(marks.groupBy("doc_id").agg(F.max("y").alias("y")), "doc_id", sample)
     # At most ``sample`` (id, domain) rows: a proven bound for the broadcast.
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen.select("doc_id")), "doc_id", "left_semi")
-    rows = texts.mapInArrow(_sparse, "doc_id long, at array<int>, value array<double>")
+    rows = texts.mapInArrow(_sparse, "doc_id long, at array<int>, value array<float>")
     once = rows.groupBy("doc_id").agg(F.min(F.struct("at", "value")).alias("x"))
-    got = once.join(F.broadcast(chosen), "doc_id").select("doc_id", "x.at", "x.value", "y").toPandas().sort_values("doc_id")
-    classes = sorted(got["y"].unique()) if len(got) else []
+    got = once.join(F.broadcast(chosen), "doc_id").select("doc_id", "x.at", "x.value", "y").toArrow().sort_by("doc_id")
+    names = got.column("y").to_pylist()
+    classes = sorted(set(names))
     if len(classes) < 2:
         return None
-    y = np.array([classes.index(v) for v in got["y"]])
-    return train_classifier([(np.asarray(a, np.int32), np.asarray(v)) for a, v in zip(got["at"], got["value"], strict=True)], y, classes)
+    sparse = [(a.values.to_numpy(), v.values.to_numpy()) for a, v in zip(got.column("at"), got.column("value"), strict=True)]
+    return train_classifier(sparse, np.array([classes.index(v) for v in names]), classes)
 
 
 def with_posteriors(docs: DataFrame, classifier: Classifier | None) -> DataFrame:
@@ -231,14 +232,15 @@ def _uniform() -> Column:
     return F.shiftrightunsigned(h, 11).cast("double") / F.lit(float(1 << 53))
 
 
-def _fitted(docs, labels, domain, targets, anchor, max_rate, sample):
+def _fitted(docs, labels, domain, targets, anchor, max_rate, sample, keep):
+    """Columns ``keep`` of ``docs`` with posteriors and ``_tl_u``, stored (so
+    the texts are classified once), the domains, and the rate's expression."""
     classifier = train(docs, labels, domain, sample)
-    scored = with_posteriors(docs, classifier)
     classes = classifier.classes if classifier else []
-    moves = []
-    if classes:
-        slim = stored(scored.select("_tl_n", *(f"_tl_p{i}" for i in range(len(classes)))), "mixing-posteriors")
-        moves = fit_rates(slim, classes, targets, anchor, max_rate)
+    scored = with_posteriors(docs.withColumn("_tl_u", _uniform()), classifier)
+    added = ["_tl_u", "_tl_n", *(f"_tl_p{i}" for i in range(len(classes)))]
+    scored = stored(scored.select(*keep, *added), "mixing-posteriors")
+    moves = fit_rates(scored, classes, targets, anchor, max_rate) if classes else []
     return scored, classes, rate_after(moves, max_rate)
 
 
@@ -249,10 +251,10 @@ def soft_mixture(
     """``doc_id, n_tokens, p_<domain>..., rate, copies`` of every document."""
     targets = DOMAINS if targets is None else targets
     domain = label_domain() if domain is None else domain
-    scored, classes, rate = _fitted(docs.select("doc_id", "text"), labels, domain, targets, anchor, max_rate, sample)
+    scored, classes, rate = _fitted(docs.select("doc_id", "text"), labels, domain, targets, anchor, max_rate, sample, ["doc_id"])
     p = [(F.col(f"_tl_p{classes.index(c)}") if c in classes else F.lit(None).cast("double")).alias(f"p_{c}") for c in sorted({*targets, *classes})]
     out = scored.withColumn("rate", rate)
-    copies = F.floor(F.col("rate") + _uniform()).cast("int").alias("copies")
+    copies = F.floor(F.col("rate") + F.col("_tl_u")).cast("int").alias("copies")
     return out.select("doc_id", F.col("_tl_n").alias("n_tokens"), *p, "rate", copies)
 
 
@@ -264,8 +266,8 @@ def mixed(
     """``docs`` with every row as often as its copies say."""
     targets = CLEAN if targets is None else targets
     domain = toxic_domain() if domain is None else domain
-    scored, _, rate = _fitted(docs, labels, domain, targets, anchor, max_rate, sample)
-    out = scored.withColumn("_tl_copies", F.floor(rate + _uniform()).cast("int")).where("_tl_copies >= 1")
+    scored, _, rate = _fitted(docs, labels, domain, targets, anchor, max_rate, sample, docs.columns)
+    out = scored.withColumn("_tl_copies", F.floor(rate + F.col("_tl_u")).cast("int")).where("_tl_copies >= 1")
     if max_rate is None or max_rate > 1:
         out = out.withColumn("_tl_copy", F.explode(F.sequence(F.lit(1), F.col("_tl_copies"))))
     return out.select(*docs.columns)
