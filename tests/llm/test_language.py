@@ -1,4 +1,5 @@
 import numpy as np
+from pyspark.sql import functions as F
 
 from tradelens.llm import language as L
 from tradelens.llm.common import table
@@ -12,7 +13,7 @@ def test_gradients_equal_differences():
     loss = lambda: -np.log(net.probabilities(x)[np.arange(5), y].astype(np.float64)).mean()
     for p, g in zip(net.parameters(), net.gradients(x, y), strict=True):
         flat, at = p.reshape(-1), int(np.abs(g).argmax())
-        old, eps = flat[at], np.float32(1e-2)
+        old, eps = flat[at], np.float32(1e-3)  # small: a larger step may change which position wins
         flat[at] = old + eps
         up = loss()
         flat[at] = old - eps
@@ -37,6 +38,6 @@ def test_odd_rows(spark):
     assert len(got) == len(rows)
     assert all(by[i] == ("und", 0.0) for i in (900, 901, 902))
     assert by[903][0] == "x" and by[110][0] == "y" and by[None][0] == "x"
-    none = L.identify(df.withColumn("lang", df["lang"].substr(0, 0).cast("void").cast("string")))
+    none = L.identify(df.withColumn("lang", F.lit(None).cast("string")))
     assert {r.lang_pred for r in none.collect()} == {"und"}
     assert L.identify(df.limit(0)).count() == 0
