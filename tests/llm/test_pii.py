@@ -1,4 +1,5 @@
 import hashlib
+import math
 import random
 import re
 
@@ -104,6 +105,20 @@ def test_disclosing_terms(spark):
     assert "term:" in spans[1000] and "term:" not in spans[2000] and "term:" not in spans[3000]
 
 
+def test_one_mention_and_a_name_in_the_next_line(spark):
+    rng = random.Random(4)
+    rows = [(i, " ".join(f"w{rng.randint(0, 90)}x" for _ in range(12))) for i in range(2000)]
+    rows.append((5000, "w1x Zebedee w2x\nwrites w3x as zeb@x.org\n\nFarquhar w4x"))
+    rows.append((5001, "w5x Farquhar w6x"))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r.entity, r.term): r.disclosure for r in pii.disclosing_terms(df.select("text")).collect()}
+    assert set(got) == {("email:zeb@x.org", "zebedee"), ("email:zeb@x.org", "writes")}
+    # 2,003 paragraphs; the lower end of Wilson's interval for 1 of 1
+    assert math.isclose(got["email:zeb@x.org", "zebedee"], 1 + math.log(1 / (1 + pii.Z**2)) / math.log(2003), rel_tol=1e-9)
+    text = {r.doc_id: r.text for r in pii.sanitised(df).collect()}
+    assert text[5000] == "w1x [TERM] w2x\n[TERM] w3x as [EMAIL]\n\nFarquhar w4x" and text[5001] == rows[-1][1]
+
+
 def test_sanitised_text(spark):
     rows = [(*r, "s") for r in disclosing_corpus()] + [(1, None, "x"), (None, "", None)]
     rows.append((7, "call +1 (234) 555-1234 or 10.0.0.1 or 999.1.1.1 card 4111 1111 1111 1111", "y"))
