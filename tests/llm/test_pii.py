@@ -119,6 +119,20 @@ def test_one_mention_and_a_name_in_the_next_line(spark):
     assert text[5000] == "w1x [TERM] w2x\n[TERM] w3x as [EMAIL]\n\nFarquhar w4x" and text[5001] == rows[-1][1]
 
 
+def test_copies_neither_hide_nor_make_a_term(spark):
+    rng = random.Random(4)
+    rows = [(f"w{i}y " + " ".join(f"w{rng.randint(0, 90)}x" for _ in range(12)),) for i in range(2000)]
+    met = [(f"w{i}x Zebedee wrote w{i + 1}x from zeb@x.org",) for i in range(3)]
+
+    def found(times):
+        df = spark.createDataFrame(rows + met * times, "text string")
+        return {(r.entity, r.term): r.disclosure for r in pii.disclosing_terms(df).collect()}
+
+    once, often = found(1), found(300)
+    assert set(once) == {("email:zeb@x.org", "zebedee"), ("email:zeb@x.org", "wrote"), ("email:zeb@x.org", "from")}
+    assert once == often
+
+
 def test_sanitised_text(spark):
     rows = [(*r, "s") for r in disclosing_corpus()] + [(1, None, "x"), (None, "", None)]
     rows.append((7, "call +1 (234) 555-1234 or 10.0.0.1 or 999.1.1.1 card 4111 1111 1111 1111", "y"))

@@ -12,8 +12,9 @@ is the share of the entity's information content that the term reveals
 (1: the term occurs only with the entity).  ``P(e|t)`` is the lower end of
 Wilson's interval for ``n(e,t)`` out of ``n(t)``, so one meeting tells less
 than five do, but no count is asked for: in a corpus of 50,000 paragraphs a
-word met once, beside an address met once, is generalised.  Copies of a
-paragraph are one piece of evidence.  In texts that hold ``e``, terms at
+word met once, beside an address met once, is generalised.  All
+counts, ``N`` and ``n(t)`` too, are over distinct paragraphs, so copies of a
+paragraph are one piece of evidence for and against.  In texts that hold ``e``, terms at
 ``GENERALISE`` or more become ``[TERM]``, terms at ``REMOVE`` or more go.
 
 The counting drops nothing that could reach ``GENERALISE``: as ``P(e|t)`` is
@@ -180,9 +181,10 @@ def _entity_key(kind: str, match: Column) -> Column:
 
 
 def _term_counts(texts: DataFrame) -> DataFrame:
-    """``term, n_t``: the paragraphs that hold a term, and under ``PARAGRAPH`` all."""
-    words = _terms(F.col("text"))
-    counted = _paragraphs(texts).select(F.explode(F.concat(words, F.array(F.lit(PARAGRAPH)))).alias("term"))
+    """``term, n_t``: the distinct paragraphs that hold a term outside entities,
+    and under ``PARAGRAPH`` all."""
+    words = _terms(F.when(_any_entity(F.col("text")), _masked(F.col("text"))).otherwise(F.col("text")))
+    counted = _paragraphs(texts).distinct().select(F.explode(F.concat(words, F.array(F.lit(PARAGRAPH)))).alias("term"))
     counted = counted.where((F.char_length("term") >= TERM_LENGTH) | (F.col("term") == PARAGRAPH))
     return counted.groupBy("term").agg(F.count("*").alias("n_t"))
 
