@@ -1,3 +1,4 @@
+import random
 import re
 
 import pytest
@@ -53,6 +54,57 @@ def test_every_known_sentence_has_a_critical_word():
             assert any(c in re.sub(r"[\\?:()]", "", branch) for c in L.CRITICAL), name
 
 
+def accepted(rng, parsed):
+    """A random string that a parsed pattern accepts."""
+    out = ""
+    for op, arg in parsed:
+        op = str(op)
+        if op == "LITERAL":
+            out += chr(arg)
+        elif op == "ANY":
+            out += rng.choice("xyz")
+        elif op == "IN":
+            kind, value = rng.choice(arg)
+            out += chr(value) if str(kind) == "LITERAL" else chr(value[0])
+        elif op == "SUBPATTERN":
+            out += accepted(rng, arg[3])
+        elif op == "BRANCH":
+            out += accepted(rng, rng.choice(arg[1]))
+        else:
+            assert op in ("MAX_REPEAT", "MIN_REPEAT"), op
+            low, high, inner = arg
+            out += "".join(accepted(rng, inner) for _ in range(rng.randint(low, min(high, low + 3))))
+    return out
+
+
+def test_every_accepted_sentence_is_found_in_any_layout():
+    rng = random.Random(8)
+    for name, pattern in L.SENTENCES:
+        for _ in range(200):
+            words = accepted(rng, re._parser.parse(pattern)).split(" ")
+            sentence = " ".join(words)
+            if L.normalised(sentence) != sentence:
+                continue
+            between = [" ", "  "] if name in L.LINES else [" ", "  ", "\n", " \n# "]
+            text = words[0] + "".join(rng.choice(between) + rng.choice([w, w.upper()]) for w in words[1:])
+            assert L.identify(sentence) and L.known_sentences(text), (name, text)
+
+
+@pytest.mark.parametrize(
+    "text, want",
+    [
+        ("This dataset is available under CC BY 4.0.", ["CC-BY-4.0"]),
+        ("This work is distributed under Creative Commons Attribution 4.0 International.", ["CC-BY-4.0"]),
+        ("Published under CC0 1.0 Universal.", ["CC0-1.0"]),
+        ("Released under CC-0.", ["CC0"]),
+        ("This work is released into the public\ndomain.", ["public-domain"]),
+        ("Dedicated to the public  domain.", ["public-domain"]),
+    ],
+)
+def test_notices_without_the_word_licence(text, want):
+    assert [x for x, _, _ in L.licences(text)[0]] == want
+
+
 def test_scan(spark):
     rows = [(1, "Released under the MIT License.", "x"), (2, None, "x"), (3, "", "x"), (1, "Released under the MIT License.", "x"), (None, "w " * 90_000, "x")]
     got = L.scan(spark.createDataFrame(rows, "doc_id long, text string, licences string")).collect()

@@ -10,8 +10,10 @@ is then matched against ordered rules; a rule may have up to ``MAX_GAP``
 unknown sentences between its parts, the first rule that fits wins and its
 sentences are used up.
 
-Every known sentence holds one of ``CRITICAL``'s words, so a text without any
-needs no further look; this loses nothing.
+Every sentence the patterns accept holds one of ``CRITICAL``'s single words, in
+its text as in its normalised form (which only lowers it and drops what stands
+between words), so a text without any needs no further look; this loses
+nothing.
 
 Defined results: a null or empty text has no licence; repeated rows get the
 same result each; only ``doc_id`` and ``text`` are read.
@@ -54,7 +56,7 @@ SENTENCES = [
     ("gpl-hope", r"this (?:program|library|file) is distributed in the hope that it will be useful but without any warranty.*"),
     ("gpl-copy", r"you should have received a copy of the gnu (?:lesser |affero )?general public license along with this (?:program|library|file).*"),
     ("mpl-2.0", r"this source code form is subject to the terms of the mozilla public license v ?2\.0|" + _THIS + _UNDER + r"mozilla public license (?:version|v) ?2\.0"),
-    ("cc", _THIS + _UNDER + r"(?:creative commons (?:license )?)?cc (?P<terms>by(?: nc)?(?: sa| nd)?|0|zero) ?(?P<version>[1-4]\.[0-9])?(?: (?:international|universal|unported))?(?: license)?"),
+    ("cc", _THIS + _UNDER + r"(?:creative commons (?:license )?)?(?:cc (?P<terms>by(?: nc)?(?: sa| nd)?|zero)|cc ?(?P<zero>0)) ?(?P<version>[1-4]\.[0-9])?(?: (?:international|universal|unported))?(?: license)?"),
     ("cc-name", _THIS + _UNDER + r"creative commons (?P<terms>attribution(?: noncommercial| non commercial)?(?: sharealike| share alike| noderivatives| no derivatives)?) (?P<version>[1-4]\.[0-9])(?: (?:international|unported))?(?: license)?"),
     ("public-domain", r"this is free and unencumbered software released into the public domain|" + _THIS + r"(?:released into|dedicated to|in) the public domain"),
     ("reserved", r"(?:copyright .{0,80} )?all rights reserved"),
@@ -86,7 +88,7 @@ RULES = [
     ("public-domain", ("public-domain",)),
     ("proprietary", ("reserved",)),
 ]
-CRITICAL = ("licen", "permission", "redistribution", "copyright", "warrant", "free software", "public domain", "all rights reserved", "liable", "as is")
+CRITICAL = ("licen", "permission", "redistribution", "copyright", "warrant", "liable", "domain", "reserved", "commons", "cc")
 #: Sentences that never go on in the next line.
 LINES = ("spdx", "copyright", "reserved")
 # End of the fixed values.
@@ -105,10 +107,14 @@ def normalised(sentence: str) -> str:
     return " ".join(_WORD.findall(sentence.lower())).replace("licence", "license")
 
 
+def _may_hold(low: str) -> bool:
+    return any(c in low for c in CRITICAL)
+
+
 def identify(sentence: str) -> tuple[str, dict] | None:
     """Identifier and variable parts of a known sentence."""
     words = normalised(sentence)
-    if not any(c in words for c in CRITICAL):
+    if not _may_hold(words):
         return None
     for name, pattern in _TABLE:
         m = pattern.fullmatch(words)
@@ -125,10 +131,10 @@ def _licence(name: str, parts: dict) -> str:
         version = parts["version"] if "." in parts["version"] else parts["version"] + ".0"
         return f"{kind}-{version}-{'or-later' if 'later' in parts else 'only'}"
     if name == "{cc}":
-        words = parts["terms"].replace("non commercial", "noncommercial").replace("share alike", "sharealike").replace("no derivatives", "noderivatives").split()
+        words = parts.get("terms", "zero").replace("non commercial", "noncommercial").replace("share alike", "sharealike").replace("no derivatives", "noderivatives").split()
         terms = "-".join(_CC.get(w, w) for w in words).upper()
         version = parts.get("version", "")
-        return f"CC0{'-' + version if version else ''}" if terms in ("0", "ZERO") else f"CC-{terms}{'-' + version if version else ''}"
+        return f"CC0{'-' + version if version else ''}" if terms == "ZERO" else f"CC-{terms}{'-' + version if version else ''}"
     return name.format(clauses=parts.get("clauses") or parts.get("clauses2"))
 
 
@@ -149,13 +155,12 @@ def _trimmed(text: str, a: int, b: int) -> tuple[int, int]:
 
 def known_sentences(text: str) -> list[tuple[str, dict, int, int, int]]:
     """Identifier, variables, begin, end and sentence number, in order."""
-    if not any(c in text.lower() for c in CRITICAL):
+    if not _may_hold(text.lower()):
         return []
     out = []
     for number, (a, b) in enumerate(sentences(text)):
         part = text[a:b]
-        low = part.lower()
-        if not any(c in low for c in CRITICAL) and "\n" not in part:
+        if not _may_hold(part.lower()):
             continue
         got = identify(part)
         if got and not (got[0] in LINES and "\n" in part.strip()):
