@@ -47,6 +47,25 @@ def test_expected_totals_match_targets(tables):
     assert got.sort_values(key)["copies"].tolist() == again.sort_values(key)["copies"].tolist()
 
 
+def test_query_meets_targets_of_scarce_domains(spark, tmp_path):
+    from tradelens.llm.queries import op6_soft_mixture
+
+    rng = random.Random(3)
+    rows, labels = [], []
+    for i in range(1500):
+        kind = "toxic" if i % 100 == 0 else "poor" if i % 50 == 1 else "good"
+        words = [rng.choice(["alpha", "beta", "gamma", "delta"]) for _ in range(rng.randint(20, 60))]
+        words = words + ["nasty"] * 3 if kind == "toxic" else [w.upper() + "!!" for w in words] if kind == "poor" else words
+        rows.append((i, " ".join(words)))
+        labels.append((i, int(kind != "poor"), int(kind == "toxic")))
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    got = op6_soft_mixture(spark, str(tmp_path)).toPandas()
+    totals = (got["rate"].to_numpy() * got["n_tokens"].to_numpy()) @ got[["p_good", "p_poor", "p_toxic"]].to_numpy()
+    assert np.allclose(totals / totals.sum(), [0.90, 0.07, 0.03], atol=0.002)
+    assert (got["rate"] >= 0).all() and got["copies"][got["doc_id"] % 100 == 0].mean() > 1.5
+
+
 def test_rates_equal_brute_force(spark):
     rng = np.random.default_rng(1)
     p = rng.dirichlet([0.3, 0.3, 0.3], 400)

@@ -16,7 +16,11 @@
    its id and text.
 
 The targets' total is set by the ``anchor`` domain: its expected tokens divided
-by its weight, so its documents keep rates of about one.
+by its weight, so its documents keep rates of about one.  Without a
+``max_rate`` (the registered query) documents of a domain that has less than
+its share get rates above one, that is copies, and the targets are met up to
+``TOLERANCE`` if any nonnegative rates meet them and ``STEPS`` suffice.  With
+one, such a domain stops at ``max_rate`` times its tokens and stays short.
 
 Defined results: a null or empty text has no tokens and the classifier's prior;
 domains without any expected token have no part and the other weights are

@@ -42,7 +42,8 @@ def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_soft_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tradelens.llm.mixing import soft_mixture
 
-    return soft_mixture(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    # No upper bound: a domain with less than its share gets copies.
+    return soft_mixture(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), max_rate=None)
 
 
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
