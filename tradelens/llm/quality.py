@@ -9,7 +9,9 @@ the score in the stated direction.
 Defined results: a null or empty text has zero statistics and fails the base
 rule (fewer than 20 words).  Repeated rows are scored alike, one result each.
 Null labels are ignored; repeated labels of one id are averaged.  Without both
-classes among the labels there is no model and only the base rule decides.
+classes among the labels, or with fewer than 20 labelled documents found in
+the table, there is no model, ``quality`` is null and only the base rule
+decides: so few rows make hardly a split, and their mean would judge every text.
 Other columns of the input are not read.
 """
 
