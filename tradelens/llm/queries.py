@@ -72,6 +72,24 @@ def op10_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_tree_scores(table(spark, sf_dir, "documents"))
 
 
+def op11_prefix_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tradelens.llm.prefixtokens import token_counts
+
+    return token_counts(table(spark, sf_dir, "documents"), limit=512)
+
+
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tradelens.llm.resampling import resample
+
+    return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tradelens.llm.collocations import collocations
+
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_packing": op2_packing,
@@ -83,6 +101,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language": op8_language,
     "op9_pii": op9_pii,
     "op10_suffix_tree": op10_suffix_tree,
+    "op11_prefix_tokens": op11_prefix_tokens,
+    "op12_resampling": op12_resampling,
+    "op13_collocations": op13_collocations,
 }
 
 #: None of the operators is expressible in SQL alone; tests compare them with
