@@ -84,4 +84,31 @@ SELECT lang, rank, phrase, a, l, r, n, score FROM (
     CAST(n AS BIGINT) AS n, score FROM kept
 ) WHERE rank <= 2000"""
 
-SQL = {"op12_resampling": RESAMPLING, "op13_collocations": COLLOCATIONS}
+NEAR_DUPLICATES = rf"""
+WITH RECURSIVE docs AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS ws FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(CASE WHEN len(ws) < 3 THEN ws ELSE ws[i : i + 2] END, ' ') AS s
+  FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 2, 1) + 1)) AS i FROM docs WHERE len(ws) > 0)
+),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n FROM shingles a JOIN shingles b USING (s) WHERE a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (
+  SELECT x, y FROM shared JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
+  WHERE 100 * shared.n >= 85 * (p.n + q.n - shared.n)
+),
+reach AS (SELECT doc_id AS x, doc_id AS y FROM documents UNION SELECT reach.x, links.y FROM reach JOIN links ON links.x = reach.y),
+components AS (SELECT x AS doc_id, min(y) AS component_id FROM reach GROUP BY x)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM components LEFT JOIN sizes USING (doc_id)"""
+
+WARC = """
+WITH payloads AS (
+  SELECT page_id, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
+),
+firsts AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS lowest FROM payloads)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 100 AND page_id <> lowest THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 100 AND page_id <> lowest THEN lowest END AS refers_to
+FROM firsts"""
+
+SQL = {"op4_near_duplicates": NEAR_DUPLICATES, "op7_warc": WARC, "op12_resampling": RESAMPLING, "op13_collocations": COLLOCATIONS}
