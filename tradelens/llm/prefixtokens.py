@@ -109,24 +109,13 @@ class PrefixCounter:
             self.merges[a << 32 | b] = r
             if made not in self.parts:
                 self.parts[made], self.rank[made] = (a, b), r
-        # The tokens as a trie: from a node by a byte to a node, and the token that ends at a node.
-        self.trie: dict[int, int] = {}
-        self.token_at = [-1]
-        for token, i in self.vocab.items():
-            node = 0
-            for byte in token:
-                key = node << 8 | byte
-                if key not in self.trie:
-                    self.trie[key] = len(self.token_at)
-                    self.token_at.append(-1)
-                node = self.trie[key]
-            self.token_at[node] = i
+        self._automaton()
         self.special = [t["content"] for t in spec.get("added_tokens") or [] if t["content"]]
         self.special_re = re.compile("|".join(map(re.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
         self.pieces_re = regex.compile(PATTERN)
         self.split = Tokenizer.from_file(path).pre_tokenizer.pre_tokenize_str
         self.fitting: dict[int, bool] = {}
-        self.piece = _Cache(self._piece, limit)
+        self.piece = _Cache(self._piece, 2 * limit)
         self.first = _Cache(self._stretch, limit // 4)
         self.spaced = _Cache(lambda word: self._stretch(" " + word), limit)
         self.newline = self._stretch("\n")
@@ -155,25 +144,81 @@ class PrefixCounter:
         self.fitting[a << 32 | b] = fits
         return fits
 
+    def _automaton(self) -> None:
+        """States are beginnings of tokens; after any bytes the state is the
+        longest one that ends them, and ``longest`` the longest token that does."""
+        trie, token_at = {}, [-1]
+        for token, i in sorted(self.vocab.items(), key=lambda x: len(x[0])):
+            node = 0
+            for byte in token:
+                key = node << 8 | byte
+                if key not in trie:
+                    trie[key] = len(token_at)
+                    token_at.append(-1)
+                node = trie[key]
+            token_at[node] = i
+        fallback, longest = [0] * len(token_at), token_at[:]
+        children: dict[int, list] = {}
+        for key, node in trie.items():
+            children.setdefault(key >> 8, []).append((key & 255, node))
+        level = [node for _, node in children.get(0, [])]
+        while level:
+            below = []
+            for node in level:
+                if longest[node] < 0:
+                    longest[node] = longest[fallback[node]]
+                for byte, child in children.get(node, []):
+                    state = fallback[node]
+                    while state and state << 8 | byte not in trie:
+                        state = fallback[state]
+                    fallback[child] = trie.get(state << 8 | byte, 0)
+                    below.append(child)
+            level = below
+        self.steps, self.fallback, self.longest = trie, fallback, longest
+        self.size = [0] * len(self.rank)
+        self.shorter = [-1] * len(self.rank)  # the longest token that ends a token
+        for token, i in self.vocab.items():
+            self.size[i] = len(token)
+            self.shorter[i] = next((self.vocab[token[k:]] for k in range(1, len(token)) if token[k:] in self.vocab), -1)
+
+    def _step(self, key: int) -> int:
+        """The state after a byte that the state has no child for; kept."""
+        state, byte, steps = key >> 8, key & 255, self.steps
+        while state:
+            state = self.fallback[state]
+            got = steps.get(state << 8 | byte)
+            if got is not None:
+                break
+        else:
+            got = 0
+        if len(steps) < 4_000_000:
+            steps[key] = got
+        return got
+
     def _piece(self, piece: str) -> array:
         """Counts of a pre-token's prefixes, one per code point."""
         data = piece.encode("utf-8", "surrogatepass")
-        n, trie, token_at, fitting = len(data), self.trie.get, self.token_at, self.fitting.get
-        last, count = [0] * (n + 1), [0] * (n + 1)
-        for j in range(n):
-            before, next_count, node = last[j] << 32, count[j] + 1, 0
-            for i in range(j, n):
-                node = trie(node << 8 | data[i])
-                if node is None:
+        steps, longest, size, shorter, fitting = self.steps.get, self.longest, self.size, self.shorter, self.fitting.get
+        last, count, state, i = [0], [0], 0, 0
+        for byte in data:
+            key, i = state << 8 | byte, i + 1
+            state = steps(key)
+            if state is None:
+                state = self._step(key)
+            token = longest[state]
+            while True:
+                j = i - size[token]
+                if j == 0:
+                    break
+                fits = fitting(last[j] << 32 | token)
+                if fits or fits is None and self._fits(last[j], token):
                     break
-                token = token_at[node]
-                if token >= 0 and not count[i + 1]:
-                    fits = True if j == 0 else fitting(before | token)
-                    if fits or fits is None and self._fits(last[j], token):
-                        last[i + 1], count[i + 1] = token, next_count
-        if n == len(piece):
+                token = shorter[token]
+            last.append(token)
+            count.append(count[j] + 1)
+        if len(data) == len(piece):
             return array("I", count[1:])
-        return array("I", [count[i] for i in range(1, n + 1) if i == n or data[i] & 0xC0 != 0x80])
+        return array("I", [count[i] for i in range(1, len(count)) if i == len(data) or data[i] & 0xC0 != 0x80])
 
     def _pieces(self, word: str) -> list[str]:
         if word.isascii() or max(word) <= _LATIN:
@@ -182,10 +227,13 @@ class PrefixCounter:
 
     def _stretch(self, stretch: str) -> bytes:
         """Counts of a stretch's prefixes as unsigned 32-bit numbers."""
-        if stretch.isascii():
-            word = stretch[1:] if stretch[0] == " " else stretch
+        word = stretch[1:] if stretch[0] == " " else stretch
+        if word and (word.isascii() or max(word) <= _LATIN):  # the usual cases: a word, or one with a mark at its end
             if word.isalpha():
                 return self.piece[stretch].tobytes()
+            if word[-1] in ".,;:!?" and word[:-1].isalpha():
+                counts = self.piece[stretch[:-1]]
+                return counts.tobytes() + array("I", [counts[-1] + 1]).tobytes()
         blanks = _LEADING.match(stretch).end()
         out = list(self.piece[stretch[:blanks]]) if blanks else []
         if blanks < len(stretch):
