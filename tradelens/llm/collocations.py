@@ -5,14 +5,15 @@ Frequent phrases (``min_count`` occurrences in a language) are mined exactly:
 1. **The sample proposes.**  In one of ``SAMPLE`` documents (by a hash of the
    id) phrases of 1, 2, ... words are counted level by level; those that reach
    a lowered threshold are proposed.
-2. **One full pass counts the proposed phrases and their negative border**: all
-   words, and every occurring phrase whose two sub-phrases (without the last,
-   without the first word) are proposed, whether it is proposed itself or not.
-3. **Border failures expand.**  If a border phrase turns out frequent, its
-   extensions may be frequent and uncounted: all frequent phrases join the
-   proposed ones and a further pass counts what only now has both its
-   sub-phrases among them.  When a pass finds no failure the counts are closed:
-   sub-phrases of a frequent phrase are frequent, so none can be missing.
+2. **A full pass counts the proposed phrases and their negative border.**  The
+   border are all other words, and all other occurring phrases whose two
+   sub-phrases (without the last, without the first word) are proposed.
+   Proposed phrases are counted as texts.  Border phrases are many and nearly
+   all rare: they are counted as 64-bit hashes, whose sums can only be too high.
+3. **Border failures expand.**  Border hashes that reach ``min_count`` join the
+   proposed set, and a further pass counts what they stand for as texts, and
+   the border that they add.  When a pass finds no failure the counts are
+   closed: sub-phrases of a frequent phrase are frequent, so none is missing.
 
 Each candidate's cuts are then joined with the counts of their two parts, and
 phrases that a one word longer phrase always contains are dropped (a longer
@@ -20,10 +21,12 @@ phrase with the same count implies one with one word more).
 
 **On Spark.**  Texts become word numbers per buffer of ``BUFFER`` words; a
 phrase's number follows from its first part's number and its last word, so
-counting is exact.  Only counts per buffer leave a task; they are summed before
-and after the shuffle.  The proposed set travels as a bitmap of ``BITS`` bits of
-hashes, 8 MB whatever the corpus; a false hit only has a phrase counted that
-need not be.  Joins salt languages and short parts, whose phrases are many.
+counting inside a buffer is exact.  A task's border counts leave it as sorted
+arrays, one per range of hashes, and each range is summed in one small task; the
+number of ranges follows the number of input partitions, so ranges do not grow.
+The proposed set travels as a bitmap of ``2^BITS`` bits of hashes, 8 MB whatever
+the corpus; a false hit only has a phrase counted as text that need not be.
+Joins salt languages and short parts, whose phrases are many.
 
 Defined results: a null text is empty; a null ``lang`` is ``und``; a null
 ``doc_id`` is sampled like the id ''; repeated rows count; ties in the ranking
@@ -50,7 +53,7 @@ MIN_COUNT, MAX_WORDS, BEST = 100, 5, 2000
 #: ``min_count``, lowered by this factor.
 SAMPLE, LOWERED = 8, 3
 #: Words that a task counts at a time, and bits of the proposed set.
-BUFFER, BITS = 1_000_000, 26
+BUFFER, BITS = 500_000, 26
 #: Copies of short parts' counts in the joins.
 SALTS = 16
 
@@ -60,8 +63,8 @@ _NORMAL = bytes(
     b + 32 if 65 <= b <= 90 else 255 if b in b".,;:!?" or 10 <= b <= 13 else 32 if b == 9 else b for b in range(256)
 )
 _STEP, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
-_COUNTED = "lang string, phrase string, words int, n long, hash long, known boolean"
-
+#: A phrase's count, or a range's hashes and counts (64-bit numbers).
+_FOUND = "lang string, phrase string, words int, n long, range int, hashes binary, counts binary"
 
 def _tokens(data: bytes) -> list[bytes]:
     """Words in order, with a break token between pieces."""
@@ -107,48 +110,55 @@ def _factorised(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _levels(tokens: list[bytes], lang: str, now, before, bits: int, longest: int):
-    """For 1, 2, ... words: phrases, counts, mixed hashes, which are in ``now``
-    and which had to be counted under ``before`` already.
-
-    A phrase of more than one word is listed if both its sub-phrases are in
-    ``now``.
+    """For 1, 2, ... words, the phrases whose two sub-phrases are in ``now``
+    (all words): their counts, mixed hashes, which are in ``now``, the texts of
+    those, which were met under ``before`` already, and which of them were in it.
     """
     encoded = pa.array(tokens, pa.binary()).dictionary_encode()
     words, ids = encoded.dictionary, encoded.indices.to_numpy().astype(np.int64)
-    inside = np.asarray([w not in (b"", _BREAK) for w in words.to_pylist()], bool)
-    ids = ids[np.asarray([w != b"" for w in words.to_pylist()], bool)[ids]]  # empty stretches between blanks
+    marks = [w in (b"", _BREAK) for w in words.to_pylist()]
+    ids = ids[np.asarray([w != b"" for w in words.to_pylist()], bool)[ids]]  # nothing stands between two blanks
     if not len(ids):
         return
-    total = len(words)
-    word_hash = _hashes(words, lang)
-    phrases, h = words, word_hash
-    known = _has(now, _mixed(h), bits) & inside
-    was_known = _has(before, _mixed(h), bits) & inside
+    total, inside = len(words), ~np.asarray(marks, bool)
+    h = word_hash = _hashes(words, lang)
+    known, was_known = _has(now, _mixed(h), bits) & inside, _has(before, _mixed(h), bits) & inside
     counts = np.bincount(ids, minlength=total) * inside
-    yield phrases, counts, _mixed(h), known, np.full(total, before is not None)
+    texts, row = words.take(pa.array(np.flatnonzero(known))), np.cumsum(known) - 1
+    yield counts, _mixed(h), known, texts, np.full(total, before is not None), was_known
     number, is_known, is_old = ids, known[ids], was_known[ids]
     for k in range(2, longest + 1):
-        if len(number) < 2:
-            return
         at = np.flatnonzero(is_known[:-1] & is_known[1:])
         if not len(at):
             return
         old = (is_old[:-1] & is_old[1:])[at]
         codes, uniques = _factorised(number[at] * total + ids[at + k - 1])
         first, last = uniques // total, uniques % total
-        phrases = pc.binary_join_element_wise(phrases.take(pa.array(first)), words.take(pa.array(last)), b" ")
         h = h[first] * _STEP + word_hash[last]
         known, was_known = _has(now, _mixed(h), bits), _has(before, _mixed(h), bits)
-        counted = np.zeros(len(uniques), bool)
-        counted[codes] = old  # the same for all occurrences of a phrase
-        yield phrases, np.bincount(codes, minlength=len(uniques)), _mixed(h), known, counted
+        met = np.zeros(len(uniques), bool)
+        met[codes] = old  # the same for all occurrences of a phrase
+        was_known &= met
+        mine = np.flatnonzero(known)
+        texts = pc.binary_join_element_wise(texts.take(pa.array(row[first[mine]])), words.take(pa.array(last[mine])), b" ")
+        row = np.cumsum(known) - 1
+        yield np.bincount(codes, minlength=len(uniques)), _mixed(h), known, texts, met, was_known
         size = len(number) - 1
         number, is_known, is_old = np.full(size, -1), np.zeros(size, bool), np.zeros(size, bool)
-        number[at], is_known[at], is_old[at] = codes, known[codes], was_known[codes] & old
+        number[at], is_known[at], is_old[at] = codes, known[codes], was_known[codes]
+
 
+def _summed(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted different hashes and the sums of their counts."""
+    order = np.argsort(hashes)
+    hashes = hashes[order]
+    starts = np.flatnonzero(np.concatenate([np.ones(min(1, len(hashes)), bool), hashes[1:] != hashes[:-1]]))
+    return hashes[starts], np.add.reduceat(counts[order], starts) if len(starts) else counts[:0]
 
-def _counter(now, before, bits: int, longest: int, only: int | None = None, buffer: int = BUFFER):
-    """Counts per buffer: all levels, or level ``only`` (then without texts)."""
+
+def _counter(now, before, bits: int, longest: int, ranges: int, only: int | None = None, buffer: int = BUFFER):
+    """Counts texts of what is in ``now`` and hashes of its border, without what
+    was counted under ``before``; or hashes of all phrases of ``only`` words."""
 
     def array(shared) -> np.ndarray | None:
         return None if shared is None else np.frombuffer(shared.value, np.uint8)
@@ -157,27 +167,50 @@ def _counter(now, before, bits: int, longest: int, only: int | None = None, buff
         bitmaps = array(now), array(before)
         held: dict[str, list[bytes]] = {}
         size = 0
+        border: list[tuple[np.ndarray, np.ndarray]] = []
+        width = np.uint64((1 << 64) // ranges + 1)
+
+        def batch(size: int, **columns) -> pa.RecordBatch:
+            names = [c.split() for c in _FOUND.split(", ")]
+            kinds = {"string": pa.string(), "int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
+            return pa.RecordBatch.from_arrays([columns[c].cast(kinds[t]) if c in columns else pa.nulls(size, kinds[t]) for c, t in names], [c for c, _ in names])
+
+        def texts(lang: str, level: int, phrases: pa.Array, counts: np.ndarray) -> pa.RecordBatch:
+            n = len(counts)
+            same = pa.array([lang]).take(pa.array(np.zeros(n, np.int64)))
+            return batch(n, lang=same, phrase=phrases, words=pa.array(np.full(n, level)), n=pa.array(counts))
 
-        def flush() -> Iterator[pa.RecordBatch]:
+        def flush(all_of_it: bool = False) -> Iterator[pa.RecordBatch]:
             for lang, tokens in held.items():
-                level = 0
-                for phrases, counts, h, known, counted in _levels(tokens, lang, *bitmaps, bits, longest):
-                    level += 1
-                    if only is not None and level != only:
+                for level, (counts, h, known, phrases, met, was_known) in enumerate(_levels(tokens, lang, *bitmaps, bits, longest), 1):
+                    some = counts > 0
+                    if only is not None:
+                        if level == only:
+                            border.append((h[some], counts[some]))
                         continue
-                    if level == 1 and before is None and only is None:
-                        yield batch(lang, pa.array([b""]), 0, np.asarray([counts.sum()]), np.zeros(1, np.uint64), np.ones(1, bool))
-                    at = np.flatnonzero((counts > 0) & ~counted)
-                    if len(at):
-                        texts = phrases.take(pa.array(at)) if only is None else pa.nulls(len(at), pa.binary())
-                        yield batch(lang, texts, level, counts[at], h[at], known[at])
+                    if level == 1 and before is None:
+                        yield texts(lang, 0, pa.array([b""]), np.asarray([counts.sum()]))
+                    mine = np.flatnonzero(known)
+                    new = np.flatnonzero(some[mine] & ~was_known[mine])
+                    if len(new):
+                        yield texts(lang, level, phrases.take(pa.array(new)), counts[mine[new]])
+                    rest = some & ~known & ~met
+                    border.append((h[rest], counts[rest]))
             held.clear()
-
-        def batch(lang, texts, level, counts, h, known) -> pa.RecordBatch:
-            n = len(counts)
-            columns = [pa.array([lang]).take(pa.array(np.zeros(n, np.int64))), texts.cast(pa.string()), pa.array(np.full(n, level, np.int32)),
-                       pa.array(counts.astype(np.int64)), pa.array(h.view(np.int64)), pa.array(known)]
-            return pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in _COUNTED.split(", ")])
+            if border and (all_of_it or sum(len(h) for h, _ in border) >= 2 * buffer):
+                hashes, counts = _summed(np.concatenate([h for h, _ in border]), np.concatenate([c for _, c in border]))
+                border.clear()
+                part = (hashes // width).astype(np.int64)
+                cuts = np.flatnonzero(np.diff(part, prepend=-1))
+                ends = [*cuts[1:], len(part)]
+                for at in range(0, len(cuts), 256):
+                    pieces = list(zip(cuts[at : at + 256], ends[at : at + 256], strict=True))
+                    yield batch(
+                        len(pieces),
+                        range=pa.array(part[cuts[at : at + 256]]),
+                        hashes=pa.array([hashes[a:b].astype("<u8").tobytes() for a, b in pieces], pa.binary()),
+                        counts=pa.array([counts[a:b].astype("<i8").tobytes() for a, b in pieces], pa.binary()),
+                    )
 
         for got in batches:
             for lang, text in zip(got.column(0).to_pylist(), as_bytes(got.column(1)), strict=True):
@@ -189,11 +222,23 @@ def _counter(now, before, bits: int, longest: int, only: int | None = None, buff
                     if size >= buffer:
                         yield from flush()
                         size = 0
-        yield from flush()
+        yield from flush(True)
 
     return run
 
 
+def _reaching(found: DataFrame, least: int) -> DataFrame:
+    """``hash`` of all hashes whose counts sum up to ``least`` or more."""
+
+    def run(group: pa.Table) -> pa.Table:
+        parts = [np.frombuffer(b"".join(group.column(c).to_pylist()), t) for c, t in (("hashes", "<u8"), ("counts", "<i8"))]
+        hashes, counts = _summed(*parts)
+        return pa.table({"hash": pa.array(hashes[counts >= least].view(np.int64))})
+
+    ranges = found.where("range IS NOT NULL").select("range", "hashes", "counts")
+    return ranges.groupBy("range").applyInArrow(run, "hash long")
+
+
 def _bitmap(hashes: DataFrame, bits: int, more: bytes | None = None) -> bytes:
     """A bitmap of the hashes' first ``bits`` bits: at most ``2^bits / 64`` rows
     reach the driver, whatever the number of hashes."""
@@ -219,31 +264,30 @@ def frequent_phrases(
     picked = F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(sample)) == 0
     sampled = stored(rows.where(picked).select("lang", "text"), "phrases-sample")
     rows = rows.select("lang", "text")
+    ranges = max(64, 8 * rows.rdd.getNumPartitions())
     lowered = max(1, min_count // sample // LOWERED)
     share = lambda data: None if data is None else spark.sparkContext.broadcast(data)
     now = None
     for k in range(1, max_words + 1):
-        found = sampled.mapInArrow(_counter(share(now), None, bits, k, only=k, buffer=buffer), _COUNTED)
-        proposed = found.groupBy("hash").agg(F.sum("n").alias("n")).where(F.col("n") >= lowered).select("hash")
-        more = _bitmap(proposed, bits, now)
+        found = sampled.mapInArrow(_counter(share(now), None, bits, k, ranges, only=k, buffer=buffer), _FOUND)
+        more = _bitmap(_reaching(found, lowered), bits, now)
         if more == now:
             break
         now = more
     before, kept = None, None
     while True:
-        found = rows.mapInArrow(_counter(share(now), share(before), bits, max_words, buffer=buffer), _COUNTED)
-        sums = found.groupBy("lang", "phrase").agg(
-            F.max("words").alias("words"), F.sum("n").alias("n"), F.max("hash").alias("hash"), F.max("known").alias("known")
-        )
+        counter = _counter(share(now), share(before), bits, max_words, ranges, buffer=buffer)
+        found = stored(rows.mapInArrow(counter, _FOUND), "phrases-found")
+        sums = found.where("phrase IS NOT NULL").groupBy("lang", "phrase").agg(F.max("words").alias("words"), F.sum("n").alias("n"))
         counted = stored(sums.where((F.col("n") >= min_count) | (F.col("words") == 0)), "phrases-counted")
         kept = counted if kept is None else kept.unionByName(counted)
-        failures = counted.where(~F.col("known") & (F.col("words") < max_words))
+        failures = stored(_reaching(found, min_count), "phrases-failures")
         n = failures.count()
         if passes is not None:
             passes.append(n)
         if n == 0:
             return kept.select("lang", "phrase", "words", "n")
-        before, now = now, _bitmap(failures.select("hash"), bits, now)
+        before, now = now, _bitmap(failures, bits, now)
 
 
 def _part(words: str) -> str:
