@@ -1,3 +1,6 @@
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
 from tradelens.operators.parse import forward_fill, parse_and_aggregate, parse_period_rows, process_trade_data, select_positional
 from tradelens.operators.validate import process_trade_data_safe
 
@@ -141,3 +144,89 @@ def test_text_sums_do_not_depend_on_row_order(spark):
     for parts in (1, 7):
         df = spark.createDataFrame(raw, schema).repartition(parts)
         assert rows(parse_and_aggregate(df, ["series"], chunk_rows=1000)) == [("s", "2024-01", exact)]
+
+
+def header_case(rng, lines, head):
+    """Report lines with header lines that look like data, as (period, amount)."""
+    return [(rng.choice(["2019년", "03월", "제목"]), "9") for _ in range(head)] + lines
+
+
+def test_headers_across_segments(spark):
+    """The header is the file's first lines, whatever the segments are."""
+    import random
+
+    rng = random.Random(5)
+    files, want = [], {}
+    for f in range(12):
+        body = [] if f == 0 else [("2024년", "0")] * (f % 3) + [(f"{rng.randint(1, 12)}월", str(rng.randint(1, 99))) for _ in range(rng.randint(1, 40))]
+        short = f in (0, 1)
+        lines = body[:3] if short else header_case(rng, body, 4)
+        files += [(f"f{f}", i, p, a) for i, (p, a) in enumerate(lines)]
+        kept, year = (lines[1:] if len(lines) <= 4 else lines[4:]), None
+        for p, a in kept:
+            if p.endswith("년"):
+                year = p[:4]
+            elif p.endswith("월") and year:
+                key = (f"f{f}", f"{year}-{int(p[:-1]):02d}")
+                want[key] = want.get(key, 0.0) + float(a)
+    df = spark.createDataFrame(files, "series string, row_no long, period_raw string, export_amount string").repartition(3)
+    for chunk_rows in (1, 2, 3, 5, 1000):
+        kw = dict(head_rows=4, fallback_head_rows=1)
+        got = parse_and_aggregate(df, ["series"], chunk_rows=chunk_rows, **kw)
+        assert {(r.series, r.date): r.export_amount for r in got.collect()} == want, chunk_rows
+        level = forward_fill(df, "period_raw", ["series"], "row_no", "x", chunk_rows=chunk_rows, **kw)
+        heads = {r.series: r.n for r in level.groupBy("series").agg(F.min("row_no").alias("n")).collect()}
+        sizes = {s: sum(x[0] == s for x in files) for s in {x[0] for x in files}}
+        assert heads == {s: (1 if n <= 4 else 4) for s, n in sizes.items() if n > (1 if n <= 4 else 4)}
+
+
+def test_fill_with_headers_equals_plain_window(spark):
+    import random
+
+    rnd = random.Random(8)
+    data = [(s, i, rnd.randint(1, 9) if rnd.random() < 0.4 else None) for s in "ab" for i in range(60)]
+    df = spark.createDataFrame(data, "p string, o long, v int").repartition(3)
+    w = Window.partitionBy("p").orderBy("o").rowsBetween(Window.unboundedPreceding, 0)
+    plain = df.where("o >= 4").withColumn("filled", F.last("v", ignorenulls=True).over(w))
+    for chunk_rows in (1, 2, 3, 7, 100):
+        seg = forward_fill(df, "v", ["p"], "o", "filled", chunk_rows=chunk_rows, head_rows=4)
+        assert rows(seg) == rows(plain), chunk_rows
+
+
+def test_parse_period_rows_reads_its_input_once(spark, tmp_path):
+    lines = [("s", i, p, "1") for i, p in enumerate(["2024년", "1월", "2월"])]
+    spark.createDataFrame(lines, "series string, row_no long, period_raw string, export_amount string").write.parquet(str(tmp_path / "t"))
+    out = parse_period_rows(spark.read.parquet(str(tmp_path / "t")), ["series"])
+    assert len(out.collect()) == 2
+    plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    # The second branch reads the first one's shuffle.
+    assert (plan.count("FileScan parquet"), plan.count("ReusedExchange")) == (1, 1), plan
+
+
+def test_double_sums_do_not_depend_on_partitions(spark):
+    import math
+    import random
+
+    from tradelens.operators.aggregate import aggregate_by_date, aggregate_by_quarter
+
+    rng = random.Random(6)
+    values = [rng.uniform(-1, 1) * 10.0 ** rng.randint(-12, 25) for _ in range(4000)] + [0.1] * 1000 + [float("nan"), None]
+    data = [("2024-0%d" % (i % 3 + 1), v) for i, v in enumerate(values)]
+    df = spark.createDataFrame(data, "date string, export_amount double")
+    results = set()
+    for n in (2, 200):
+        shuffled = df.repartition(n, F.rand(n))
+        months = tuple(rows(aggregate_by_date(shuffled)))
+        results.add((months, tuple(rows(aggregate_by_quarter(shuffled)))))
+    assert len(results) == 1
+    for date, total in months:
+        exact = math.fsum(v for d, v in data if d == date and v is not None and v == v)
+        assert math.isclose(total, exact, rel_tol=1e-15)
+
+
+def test_sums_of_infinities_and_huge_amounts(spark):
+    from tradelens.operators.aggregate import aggregate_by_date
+
+    data = [("a", 1e300), ("a", 1.0), ("b", float("inf")), ("b", 2.0), ("c", float("inf")), ("c", float("-inf")), ("d", None)]
+    got = dict(rows(aggregate_by_date(spark.createDataFrame(data, "date string, export_amount double"))))
+    assert got["a"] == 1e300 and got["b"] == float("inf") and got["c"] != got["c"] and got["d"] == 0.0

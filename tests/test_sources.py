@@ -7,7 +7,7 @@ import time
 from pyspark.sql import functions as F
 
 from tradelens.operators.compose import pipe
-from tradelens.sources.reports import latest_files, read_report_exports
+from tradelens.sources.reports import latest_files, read_report_exports, read_report_lines
 from tradelens.sources.sinks import convert_format
 from tradelens.sources.strategies import read_strategies, strategy_items, with_item_defaults
 
@@ -46,7 +46,7 @@ def test_reader_keeps_file_order_across_splits(spark):
     spark.conf.set("spark.sql.files.maxPartitionBytes", "512")
     try:
         raw = read_report_exports(spark, d)
-        assert raw.rdd.getNumPartitions() > 4
+        assert read_report_lines(spark, d).rdd.getNumPartitions() > 4
         out = parse_and_aggregate(raw, ["source_file"], chunk="block")
         got = {r.date: r.export_amount for r in out.collect()}
     finally:
@@ -193,3 +193,69 @@ def test_latest_file_strict(spark):
         latest_file(spark, os.path.join(d, "missing"))
     write_csv(d, "a.csv", ["x"])
     assert latest_file(spark, d).endswith("a.csv")
+
+
+def test_layout_is_decided_on_the_whole_file(spark):
+    """First splits of four lines and less: header and S3 count lines, not splits."""
+    d = tempfile.mkdtemp(prefix="tl-layout-")
+    write_csv(d, "a.csv", ["2019년,1", "03월,2", "x,3", "y,4", "2024년,5", "01월,6"])
+    write_csv(d, "b.csv", ["2024년,1", "02월,7"])
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "24")
+    try:
+        out = read_report_exports(spark, d, fallback_skip_rows=1)
+        got = rows(out.select(F.substring_index("source_file", "/", -1), "period_raw", "export_amount"))
+        assert read_report_lines(spark, d).rdd.getNumPartitions() > 2
+        read = read_report_exports(spark, d)
+        read.collect()
+        plan = read._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert got == [("a.csv", "01월", "6"), ("a.csv", "2024년", "5"), ("b.csv", "02월", "7")]
+    assert (plan.count("FileScan text"), plan.count("ReusedExchange")) == (1, 1), plan
+
+
+def test_gzip_export_is_cut_into_segments(spark):
+    import gzip
+
+    from tradelens.operators.parse import parse_and_aggregate
+    from tradelens.sources.reports import read_report_rows
+
+    d = tempfile.mkdtemp(prefix="tl-gz-")
+    lines = HEADER + [x for y in range(2000, 2020) for x in [f"{y}년,0", *(f"{m:02d}월,{y + m}" for m in range(1, 13))]]
+    with gzip.open(os.path.join(d, "a.csv.gz"), "wt", encoding="utf-8") as f:
+        f.write("\n".join(lines) + "\n")
+    raw = read_report_rows(spark, d)
+    assert raw.select("block").distinct().count() == 1
+    got = parse_and_aggregate(raw, ["source_file"], chunk="block", head_rows=4, chunk_rows=7).collect()
+    assert {r.date: r.export_amount for r in got} == {f"{y}-{m:02d}": float(y + m) for y in range(2000, 2020) for m in range(1, 13)}
+
+
+def test_heads_read_one_block():
+    import gzip
+    import io
+
+    from tradelens.sources.reports import HEAD_BYTES, head_lines
+
+    for size in (10, 5_000_000):
+        data = "\r\n".join([*HEADER, *["2024년,1"] * size]).encode()
+        plain, packed = io.BytesIO(data), io.BytesIO(gzip.compress(data, 1))
+        assert head_lines(plain.read, 4) == HEADER and plain.tell() <= HEAD_BYTES
+        assert head_lines(packed.read, 4, gzipped=True) == HEADER and packed.tell() <= HEAD_BYTES
+    wide = io.BytesIO(("x" * 100_000 + "\n").encode() * 9)
+    assert [len(x) for x in head_lines(wide.read, 3)] == [100_000] * 3 and wide.tell() <= 6 * HEAD_BYTES
+    assert head_lines(io.BytesIO(b"a\nb").read, 9) == ["a", "b"] and head_lines(io.BytesIO(b"").read, 2) == []
+
+
+def test_headers_of_gzip_and_plain_files(spark):
+    import gzip
+
+    from tradelens.sources.reports import read_report_header
+
+    d = tempfile.mkdtemp(prefix="tl-heads-")
+    write_csv(d, "a b.csv", HEADER + ["2024년,1,2"])
+    with gzip.open(os.path.join(d, "c.csv.gz"), "wt", encoding="utf-8") as f:
+        f.write("\n".join(HEADER))
+    write_csv(d, "empty.csv", [])
+    got = rows(read_report_header(spark, d), "col_idx", "name")
+    assert got == [(0, "기간")] * 2 + [(1, "수출_금액")] * 2 + [(2, "수입_금액")] * 2

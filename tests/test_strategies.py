@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from tradelens.operators.select import select_strategy_facts
+from tradelens.operators.select import select_strategy_facts, strategy_totals
 from tradelens.sources.strategies import strategies_from_dicts, strategy_items
 
 from conftest import rows
@@ -125,3 +125,34 @@ def test_two_filter_kinds_on_one_column(spark):
     items = strategy_items(strategies_from_dicts(spark, docs)).valid
     got = rows(select_strategy_facts(facts, items, dimensions=dims), "place")
     assert got == [("부산",)]  # both filters apply (AND)
+
+
+def test_long_lists_equal_arrays(spark):
+    """J7 by joins: every strategy, both match modes, with NULLs and empty lists."""
+    facts = spark.createDataFrame(FACTS + [("1111111111", None, None, None, "2024-01", 1.0)], FACT_SCHEMA)
+    items = strategy_items(strategies_from_dicts(spark, STRATEGIES)).valid
+    for match in ("exact", "contains"):
+        want = rows(select_strategy_facts(facts, items, match=match), "strategy", "item", "export_amount")
+        assert want and rows(select_strategy_facts(facts, items, match=match, long_lists=True), "strategy", "item", "export_amount") == want
+
+
+def test_a_list_of_100_000_values(spark):
+    names = spark.range(200_000).select(F.format_string("Gate %d", "id").alias("office"))
+    facts = names.selectExpr("'1111111111' AS hs_code", "'c' AS city", "'d' AS district", "office", "'2024-01' AS date", "1.0D AS export_amount")
+    values = F.transform(F.sequence(F.lit(0), F.lit(99_999)), lambda i: F.format_string("Gate %d", i * 2))
+    office = F.array(F.struct(F.lit("세관").alias("category"), F.lit(None).cast("string").alias("scope"), values.alias("values")))
+    items = spark.range(1).select(F.lit("s").alias("strategy"), F.lit("x").alias("item"), F.lit("1111111111").alias("hs_code"), office.alias("filters"))
+    got = rows(strategy_totals(facts, items, long_lists=True))
+    assert got == [("s", "x", "2024-01", 100_000.0)]
+
+
+def test_totals_tag_distinct_keys_only(spark):
+    """A hot code's facts are summed before the items meet them."""
+    facts = spark.createDataFrame([FACTS[0]] * 3000 + FACTS[1:], FACT_SCHEMA).repartition(5)
+    items = strategy_items(strategies_from_dicts(spark, STRATEGIES)).valid
+    out = strategy_totals(facts, items)
+    want = rows(select_strategy_facts(facts, items).groupBy("strategy", "item", "date").agg(F.sum("export_amount")))
+    assert rows(out) == want and ("Bluefin", "nets", "2024-01", 30000.0) in want
+    tree = out._jdf.queryExecution().optimizedPlan().toString()
+    join = tree.index("Join Inner")
+    assert "Aggregate [hs_code" in tree[join:]

@@ -81,3 +81,24 @@ def test_safe_pipeline_never_reaches_across_a_bad_month(spark):
     assert len(got) == 5 and sum("another month" in r for _, _, r in got) == 3
     # monthly total = valid + rejects
     assert sum(a for (a,) in rows(out.rejects, "export_amount")) == 1250.0
+
+
+def test_both_sides_of_a_split_come_from_one_evaluation(spark):
+    from pyspark.sql import functions as F
+
+    from tradelens.operators.validate import TRADE_RECORD_RULES, split_valid
+
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    df = spark.createDataFrame([("2024-01", 1.0), ("x", 2.0), ("2024-02", -1.0)], "date string, export_amount double")
+    out = split_valid(df.mapInArrow(count, df.schema), TRADE_RECORD_RULES)
+    assert (out.valid.count(), out.rejects.count(), out.valid.agg(F.sum("export_amount")).first()[0]) == (1, 2, 1.0)
+    assert seen.value == 3
+    again = split_valid(df, TRADE_RECORD_RULES, once=False)
+    assert sorted(map(tuple, again.rejects.collect())) == sorted(map(tuple, out.rejects.collect()))
+    assert again.valid.columns == out.valid.columns == df.columns

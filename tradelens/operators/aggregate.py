@@ -8,12 +8,16 @@ from pyspark.sql.types import DecimalType
 
 from tradelens.functions.coercion import coerce_amount
 from tradelens.functions.periods import quarter_key, quarter_label
+from tradelens.functions.sums import money_sum, order_free_sum
 from tradelens.operators._common import Series, as_list, require_columns
 
 
-def _sum_native(df: DataFrame, value: str):
-    """Sum in the column's own type (DECIMAL stays exact); NULL/NaN count as 0."""
-    return F.sum(coerce_amount(F.col(value), df.schema[value].dataType))
+def sum_native(df: DataFrame, value: str):
+    """Sum in the column's own type (DECIMAL stays exact, DOUBLE does not depend
+    on the order of rows); NULL/NaN count as 0."""
+    dtype = df.schema[value].dataType
+    amount = coerce_amount(F.col(value), dtype)
+    return F.sum(amount) if isinstance(dtype, DecimalType) else order_free_sum(amount)
 
 
 def _as_double(total, dtype):
@@ -23,8 +27,8 @@ def _as_double(total, dtype):
 
 
 def _sum_amount(df: DataFrame, value: str):
-    """Sum that treats NULL and NaN as 0 and stays exact for decimals."""
-    return _as_double(_sum_native(df, value), df.schema[value].dataType)
+    """Sum as DOUBLE; see ``sum_native``."""
+    return _as_double(sum_native(df, value), df.schema[value].dataType)
 
 
 def aggregate_by_date(
@@ -76,12 +80,12 @@ def aggregate_by_quarter(
     if dates_unique:
         per_date = df.select(*series, date, coerce_amount(F.col(value), dtype).alias("_s"))
     else:
-        per_date = df.groupBy(*series, date).agg(_sum_native(df, value).alias("_s"))
+        per_date = df.groupBy(*series, date).agg(sum_native(df, value).alias("_s"))
     no_quarter = F.raise_error(F.concat(F.lit("no quarter for date "), F.coalesce(F.col(date), F.lit("NULL"))))
     return (
         per_date.withColumn("qk", F.coalesce(quarter_key(F.col(date)), no_quarter.cast("int")))
         .groupBy(*series, "qk")
-        .agg(F.sum("_s").alias("_s"))
+        .agg((F.sum("_s") if isinstance(dtype, DecimalType) else money_sum(F.col("_s"))).alias("_s"))
         .select(*series, "qk", quarter_label("qk").alias("quarter"), _as_double(F.col("_s"), dtype).alias(value))
     )
 

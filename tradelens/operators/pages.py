@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 GRID_ID = "table_list_1"
 GRID_COLUMNS = ["NUM", "COL1", "COL2", "EX_AMT", "EX_WGHT", "IM_AMT", "IM_WGHT"]
 
-_ROW_RE = r'(?s)(<tr[^>]*class="[^"]*\bjqgrow\b[^"]*"[^>]*>.*?</tr>)'
+_ROW_RE = r'(?s)(<tr\b[^>]*?\bclass="[^"]*?\bjqgrow\b[^>]*>(?:[^<]++|<(?!/tr>))*+</tr>)'
 _SELECT_RE = r'(?s)(<select\b[^>]*>.*?</select>)'
 
 
@@ -31,21 +31,20 @@ _KEY_SEP = "\u0002"
 _TRIM = " \t\r\n"
 
 
-def _cells(row: Column, grid: str) -> Column:
-    """ARRAY of ``<column id>\x02<cell text>`` of one grid row: every cell's
-    opening tag becomes ``\x01<id>\x02``, all other tags are dropped.  Values
-    keep surrounding whitespace; see ``_text``."""
-    marked = F.regexp_replace(
-        row, rf'(?s)<td\b[^>]*aria-describedby="{grid}_([A-Za-z0-9_]+)"[^>]*>', f"{_CELL_SEP}$1{_KEY_SEP}"
-    )
-    return F.split(F.regexp_replace(marked, r"<[^>]*>", ""), _CELL_SEP)
+def _flat(row: Column, grid: str) -> Column:
+    """A grid row as ``\x01<column id>\x02<cell text>...`` in one pass: a cell's
+    opening tag becomes its id between the marks, other tags become empty marks,
+    which go.  Values keep surrounding whitespace; see ``_text``."""
+    tag = rf'<td\b[^>]*?aria-describedby="{grid}_([A-Za-z0-9_]+)"[^>]*>|<[^>]*>'
+    marked = F.regexp_replace(row, tag, f"{_CELL_SEP}$1{_KEY_SEP}")
+    return F.replace(marked, F.lit(_CELL_SEP + _KEY_SEP), F.lit(""))
 
 
-def _cell(cells: Column, name: str) -> Column:
+def _cell(flat: Column, name: str) -> Column:
     """Text of the last cell with that column id (NULL without one)."""
-    key = name + _KEY_SEP
-    last = F.try_element_at(F.filter(cells, lambda c: c.startswith(key)), F.lit(-1))
-    return F.substring(last, len(key) + 1, 1 << 30)
+    key = f"{_CELL_SEP}{name}{_KEY_SEP}"
+    value = F.substring_index(F.substring_index(flat, key, -1), _CELL_SEP, 1)
+    return F.when(F.contains(flat, F.lit(key)), value)
 
 
 def _text(value: Column) -> Column:
@@ -53,7 +52,7 @@ def _text(value: Column) -> Column:
 
 
 def _number(text: Column) -> Column:
-    return F.regexp_replace(text, ",", "").try_cast("double")
+    return F.replace(text, F.lit(","), F.lit("")).try_cast("double")
 
 
 # Named entities; ``&amp;`` comes last, so nothing is decoded twice.
@@ -82,24 +81,21 @@ def grid_rows(pages: DataFrame, grid: str = GRID_ID) -> DataFrame:
     Output: ``page_id, row_num, hs_code, item_name, region, ex_amt, ex_wght,
     im_amt, im_wght``.
     """
-    rows = pages.select(
-        "page_id", F.explode(F.regexp_extract_all(F.col("html"), F.lit(_ROW_RE), 1)).alias("_tr")
-    ).select("page_id", _cells(F.col("_tr"), grid).alias("_c"))
-
-    def cell(name: str) -> Column:
-        return _text(_cell(F.col("_c"), name))
-
-    item = _unescape(cell("COL1"))
-    return rows.select(
+    rows = pages.select("page_id", F.explode(F.regexp_extract_all(F.col("html"), F.lit(_ROW_RE), 1)).alias("_tr"))
+    flat = rows.select("page_id", _flat(F.col("_tr"), grid).alias("_f"))
+    # Every cell is cut out once and decoded once, in a column of its own.
+    cells = flat.select("page_id", *[_text(_cell(F.col("_f"), c)).alias(f"_{c}") for c in GRID_COLUMNS])
+    decoded = cells.withColumns({"_COL1": _unescape(F.col("_COL1")), "_COL2": _unescape(F.col("_COL2"))})
+    numbered = F.col("_COL1").rlike(r"^\[[0-9]+\]")
+    code = F.substring_index(F.substring("_COL1", 2, 1 << 30), "]", 1)
+    name = F.ltrim(F.expr("substring(_COL1, instr(_COL1, ']') + 1)"), F.lit(_TRIM))
+    return decoded.select(
         "page_id",
-        cell("NUM").try_cast("long").alias("row_num"),
-        F.regexp_extract(item, r"^\[([0-9]+)\]", 1).alias("hs_code"),
-        F.regexp_replace(item, r"^\[[0-9]+\]\s*", "").alias("item_name"),
-        _unescape(cell("COL2")).alias("region"),
-        _number(cell("EX_AMT")).alias("ex_amt"),
-        _number(cell("EX_WGHT")).alias("ex_wght"),
-        _number(cell("IM_AMT")).alias("im_amt"),
-        _number(cell("IM_WGHT")).alias("im_wght"),
+        F.col("_NUM").try_cast("long").alias("row_num"),
+        F.when(numbered, code).when(F.col("_COL1").isNotNull(), F.lit("")).alias("hs_code"),
+        F.when(numbered, name).otherwise(F.col("_COL1")).alias("item_name"),
+        F.col("_COL2").alias("region"),
+        *[_number(F.col(f"_{c}")).alias(c.lower()) for c in GRID_COLUMNS[3:]],
     )
 
 

@@ -8,9 +8,16 @@ restricts one dimension of the facts to a list of values:
 - ``세관`` (customs office).
 
 Several values in one filter are OR-ed; several filters are AND-ed.  Every
-item becomes one series.  Plan: facts ⋈ items on ``hs_code`` (items are
-broadcast after a size check), then one ``forall`` predicate over the item's
-filter array — no extra shuffle, no per-filter join.
+item becomes one series.
+
+- ``strategy_totals`` sums facts per code, region, office and date *before* items
+  tag them: what meets the items are distinct keys, not raw facts, however many
+  facts a hot code has.
+- ``select_strategy_facts`` joins facts and items on ``hs_code`` and tests each
+  row against its item's filters, which ride on the row as arrays.
+- ``long_lists=True`` keeps value lists off the fact rows: filters are resolved
+  against the distinct values of each fact column, once, and rows meet the
+  resulting (item, value) pairs by joins.
 """
 
 from __future__ import annotations
@@ -72,11 +79,98 @@ def _allowed_values(filters: Column, category: str, scope: str | None) -> Column
     return F.when(F.size(lists) > 0, merged)
 
 
+def _substrings(value: Column) -> Column:
+    """All different non-empty substrings of a (short) name."""
+    n = F.length(value)
+    of = F.transform(F.sequence(F.lit(1), n), lambda i: F.transform(F.sequence(F.lit(1), n - i + 1), lambda k: F.substring(value, i, k)))
+    return F.when(n > 0, F.array_distinct(F.flatten(of))).otherwise(F.array())
+
+
+def filter_pairs(facts: DataFrame, items: DataFrame, dimensions: dict | None = None, match: str = "exact") -> dict[str, DataFrame]:
+    """J7 for value lists of any length: per fact column, the pairs
+    ``strategy, item, <column>`` of a restricted item and a value of the column
+    that all its filters on the column allow.
+
+    Only the distinct values of the facts meet the filters.  ``contains`` is a
+    join as well: a filter value is in a name if it equals one of the name's
+    substrings (an empty filter value is in every name).
+    """
+    dims = dimensions or DEFAULT_DIMENSIONS
+    if match not in ("exact", "contains"):
+        raise ValueError(f"unknown match mode: {match!r}")
+    filters = items.select("strategy", "item", F.posexplode("filters").alias("_f", "_filter"))
+    out = {}
+    for column in sorted(set(dims.values())):
+        kinds = F.lit(False)
+        for (category, scope), target in dims.items():
+            if target == column:
+                kind = F.col("_filter.category") == category
+                kinds = kinds | (kind & (F.col("_filter.scope") == scope) if scope is not None else kind)
+        asked = filters.where(kinds).select("strategy", "item", "_f", F.explode(F.col("_filter.values")).alias("_value"))
+        needed = filters.where(kinds).groupBy("strategy", "item").agg(F.count(F.lit(1)).alias("_needed"))
+        names = facts.select(column).where(F.col(column).isNotNull()).distinct()
+        if match == "exact":
+            found = names.withColumn("_value", F.col(column))
+        else:
+            found = names.withColumn("_value", F.explode(F.concat(F.array(F.lit("")), _substrings(F.col(column)))))
+        met = asked.join(found, "_value").groupBy("strategy", "item", column).agg(F.count_distinct("_f").alias("_met"))
+        out[column] = met.join(needed, ["strategy", "item"]).where("_met = _needed").select("strategy", "item", column)
+    return out
+
+
+def _restricted(filters: Column, dims: dict, column: str) -> Column:
+    """Whether some filter of the item is on the column."""
+    def on(f):
+        hit = F.lit(False)
+        for (category, scope), target in dims.items():
+            if target == column:
+                kind = f["category"] == category
+                hit = hit | (kind & (f["scope"] == scope) if scope is not None else kind)
+        return F.coalesce(hit, F.lit(False))
+
+    return F.exists(F.coalesce(filters, F.array()), on)
+
+
+def _select_by_pairs(facts: DataFrame, items: DataFrame, dims: dict, match: str) -> DataFrame:
+    pairs = filter_pairs(facts, items, dims, match)
+    tags = {c: f"_on_{i}" for i, c in enumerate(pairs)}
+    flagged = items.select("strategy", "item", "hs_code", *[_restricted(F.col("filters"), dims, c).alias(t) for c, t in tags.items()])
+    rows = facts.join(flagged, "hs_code")
+    for column, tag in tags.items():
+        ok = pairs[column].withColumn("_ok", F.lit(True))
+        rows = rows.join(ok, ["strategy", "item", column], "left").where(~F.col(tag) | F.col("_ok")).drop("_ok", tag)
+    return rows.select(*facts.columns, "strategy", "item")
+
+
+def strategy_totals(
+    facts: DataFrame,
+    items: DataFrame,
+    dimensions: dict | None = None,
+    match: str = "exact",
+    long_lists: bool = False,
+    date: str = "date",
+    value: str = "export_amount",
+) -> DataFrame:
+    """J6 + A1: ``strategy, item, date, value`` sums of every item's facts.
+
+    Facts are summed per (``hs_code``, dimensions, ``date``) first, with map-side
+    partial sums; items tag those sums only."""
+    from tradelens.operators.aggregate import aggregate_by_date, sum_native
+
+    dims = dimensions or DEFAULT_DIMENSIONS
+    columns = sorted(set(dims.values()))
+    require_columns(facts, ["hs_code", *columns, date, value], "facts")
+    sums = facts.groupBy("hs_code", *columns, date).agg(sum_native(facts, value).alias(value))
+    chosen = select_strategy_facts(sums, items, dims, match, long_lists)
+    return aggregate_by_date(chosen, ["strategy", "item"], date, value)
+
+
 def select_strategy_facts(
     facts: DataFrame,
     items: DataFrame,
     dimensions: dict | None = None,
     match: str = "exact",
+    long_lists: bool = False,
 ) -> DataFrame:
     """J6 + J7 + J8 + J9: facts of every strategy item, tagged with
     ``strategy`` and ``item``.
@@ -88,6 +182,8 @@ def select_strategy_facts(
     dims = dimensions or DEFAULT_DIMENSIONS
     require_columns(facts, ["hs_code", *sorted(set(dims.values()))], "facts")
     require_columns(items, ["strategy", "item", "hs_code", "filters"], "items")
+    if long_lists:
+        return _select_by_pairs(facts, items, dims, match)
     if match == "exact":
         # Reduce each item's filters to one allowed-values array per fact
         # column on the (small) item side; the per-fact-row test is then a

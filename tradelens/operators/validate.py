@@ -8,6 +8,7 @@ message (``raise_error``), the safe mode (``split_valid``) returns both sides.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -109,14 +110,25 @@ class Outcome:
         return default if self.failed() else self.valid
 
 
-def split_valid(df: DataFrame, rules: list[Rule], reason_col: str = "reason") -> Outcome:
+def split_valid(df: DataFrame, rules: list[Rule], reason_col: str = "reason", once: bool = True) -> Outcome:
     """V2 safe: one pass tags rows; valid rows keep their columns, rejects get
-    ``reason`` (the failed messages joined with ``'; '``)."""
+    ``reason`` (the failed messages joined with ``'; '``).
+
+    The tagged rows are written once to the shared folder, the two sides in
+    folders of their own, and each side reads only its own; the input is not
+    evaluated again.  ``once=False`` leaves that out, for inputs that are cheap
+    to evaluate twice.
+    """
     tagged = df.withColumn("_reasons", reasons_column(_applicable(df, rules)))
-    valid = tagged.where(F.size("_reasons") == 0).drop("_reasons")
-    rejects = tagged.where(F.size("_reasons") > 0).withColumn(
-        reason_col, F.array_join("_reasons", "; ")
-    ).drop("_reasons")
+    if once:
+        spark = df.sparkSession
+        path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tradelens/split-{uuid.uuid4().hex}"
+        tagged.withColumn("_ok", F.size("_reasons") == 0).write.partitionBy("_ok").parquet(path)
+        tagged = spark.read.schema(tagged.withColumn("_ok", F.lit(True)).schema).parquet(path)
+    else:
+        tagged = tagged.withColumn("_ok", F.size("_reasons") == 0)
+    valid = tagged.where(F.col("_ok")).select(*[F.col(f"`{c}`") for c in df.columns])
+    rejects = tagged.where(~F.col("_ok")).withColumn(reason_col, F.array_join("_reasons", "; ")).drop("_reasons", "_ok")
     return Outcome(valid, rejects)
 
 

@@ -34,7 +34,7 @@ from tradelens.operators.growth import (
 )
 from tradelens.operators.pages import grid_rows, list_links, option_dimension
 from tradelens.operators.parse import parse_period_rows, process_trade_data
-from tradelens.operators.select import select_strategy_facts
+from tradelens.operators.select import strategy_totals
 from tradelens.operators.validate import (
     ANALYSIS_RESULT_RULES,
     TRADE_RECORD_RULES,
@@ -45,6 +45,7 @@ from tradelens.operators.validate import (
     to_json_rows,
 )
 from tradelens.plans.verbs import dashboard_table, report_tables
+from tradelens.plans import captured
 from tradelens.sources import tables as T
 from tradelens.sources.strategies import validate_items
 
@@ -312,13 +313,8 @@ def q_strategy_rejects(spark, d):
     return validate_items(T.part_strategy_items(spark, d)).rejects
 
 
-def strategy_facts(spark, d):
-    items = validate_items(T.part_strategy_items(spark, d)).valid
-    return select_strategy_facts(T.line_facts(spark, d), items)
-
-
 def strategy_monthly(spark, d):
-    return aggregate_by_date(strategy_facts(spark, d), ["strategy", "item"])
+    return strategy_totals(T.line_facts(spark, d), validate_items(T.part_strategy_items(spark, d)).valid)
 
 
 def q_strategy_select(spark, d):
@@ -336,7 +332,18 @@ def q_strategy_dashboard(spark, d):
 
 
 def q_strategy_quarterly_growth(spark, d):
-    return process_quarterly(strategy_facts(spark, d), ["strategy", "item"])
+    return process_quarterly(strategy_monthly(spark, d), ["strategy", "item"], dates_unique=True)
+
+
+def q_strategy_long_lists(spark, d):
+    """Items whose filters list half of all suppliers' names."""
+    return strategy_totals(T.line_facts(spark, d), T.long_list_items(spark, d), long_lists=True)
+
+
+def q_strategy_contains(spark, d):
+    """Filters by a part of the office's name."""
+    items = T.long_list_items(spark, d, prefix=True)
+    return strategy_totals(T.line_facts(spark, d), items, match="contains", long_lists=True)
 
 
 def q_latest_per_series(spark, d):
@@ -356,7 +363,7 @@ def q_result_json(spark, d):
 
 
 def q_grid_rows(spark, d):
-    return grid_rows(T.grid_pages(spark, d))
+    return grid_rows(captured.grid_pages(spark, d))
 
 
 def q_page_links(spark, d):
@@ -364,7 +371,7 @@ def q_page_links(spark, d):
 
 
 def q_option_dimension(spark, d):
-    return option_dimension(T.option_pages(spark, d))
+    return option_dimension(captured.option_pages(spark, d))
 
 
 QUERIES: dict[str, Query] = {
@@ -411,6 +418,8 @@ QUERIES: dict[str, Query] = {
     "strategy_monthly_growth": q_strategy_monthly_growth,
     "strategy_quarterly_growth": q_strategy_quarterly_growth,
     "strategy_dashboard": q_strategy_dashboard,
+    "strategy_long_lists": q_strategy_long_lists,
+    "strategy_contains": q_strategy_contains,
     "latest_per_series": q_latest_per_series,
     "result_json": q_result_json,
     "grid_rows": q_grid_rows,

@@ -239,12 +239,19 @@ FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_
   JOIN nation ON s_nationkey = n_nationkey"""
 
 OPTION_DIMENSION = """
-WITH p AS (SELECT DISTINCT CAST(s_suppkey // 100 AS BIGINT) AS page_id FROM supplier)
-SELECT CAST(s_suppkey // 100 AS BIGINT) AS page_id, 'Select2' AS select_id, n_name AS grp,
+SELECT CAST(s_suppkey AS BIGINT) AS page_id, 'Office' AS select_id, n_name AS grp,
   CAST(s_suppkey AS VARCHAR) AS code, s_name AS label
-FROM supplier JOIN nation ON s_nationkey = n_nationkey
-UNION ALL
-SELECT page_id, 'LOCATION_TYPE', NULL, c, l FROM p, (VALUES ('A', '시 선택'), ('B', '시군구 선택')) v(c, l)"""
+FROM supplier JOIN nation ON s_nationkey = n_nationkey"""
+
+
+def _listed(condition: str) -> str:
+    """Sums of the items of ``long_list_items``: the condition is their filter."""
+    return f"""
+SELECT p_brand AS strategy, p_name || ' #' || CAST(p_partkey AS VARCHAR) AS item, strftime(l_shipdate, '%Y-%m') AS date,
+  CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS export_amount
+FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey
+WHERE {condition} GROUP BY ALL"""
+
 
 LATEST = """
 SELECT CAST(o_custkey AS VARCHAR) AS series,
@@ -319,6 +326,8 @@ FROM part WHERE p_type = 'PROMO'""",
     "strategy_select": STRATEGY_MONTHLY,
     "strategy_monthly_growth": growth(STRATEGY_MONTHLY, keys=("strategy", "item")),
     "strategy_quarterly_growth": quarterly(STRATEGY_FACTS, keys=("strategy", "item")),
+    "strategy_long_lists": _listed("s_nationkey = p_partkey % 25"),
+    "strategy_contains": _listed("contains(s_name, lpad(CAST(p_partkey % 100 AS VARCHAR), 2, '0'))"),
     "strategy_dashboard": dashboard(
         growth(STRATEGY_MONTHLY, keys=("strategy", "item")),
         "strategy, item, " + ENRICHED.replace("series, ", "", 1),

@@ -13,19 +13,17 @@ and a lost executor does not force the scan and aggregation to run again.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tradelens.functions.periods import with_period_keys
 from tradelens.operators._common import as_list
-from tradelens.operators.aggregate import aggregate_by_date
 from tradelens.operators.calendar import FIXED
 from tradelens.operators.dashboard import enrich_data
 from tradelens.operators.growth import filter_by_year, filter_quarterly_by_year, monthly_growth, process_quarterly
 from tradelens.operators.parse import process_trade_data
-from tradelens.operators.select import select_strategy_facts
+from tradelens.operators.select import strategy_totals
 from tradelens.session import ensure_checkpoint_dir
 from tradelens.sources.reports import DEFAULT_SKIP_ROWS, is_processed_report, latest_file, read_report_rows
 from tradelens.sources.sinks import write_dashboard, write_report
@@ -39,9 +37,14 @@ DEFAULT_DATA_DIR = "data"
 class ReportTables:
     monthly: DataFrame
     quarterly: DataFrame
+    #: Record counts observed while the tables were written.
+    written: dict[str, int] | None = None
 
     def counts(self) -> tuple[int, int]:
-        """Record counts of the two tables (runs two jobs)."""
+        """Record counts of the two tables; runs jobs only if they were not
+        written."""
+        if self.written is not None:
+            return self.written["monthly"], self.written["quarterly"]
         return self.monthly.count(), self.quarterly.count()
 
 
@@ -76,9 +79,7 @@ def report_tables(
         monthly = monthly_growth(keyed, series).drop(*added)
     # Monthly rows are one per (series, date): the quarter sums need no
     # per-date pre-aggregation.
-    # Monthly totals are added up as decimals: the order of rows must not show.
-    amounts = monthly.select(*series, "date", F.col("export_amount").cast("decimal(38,6)").alias("export_amount"))
-    quarterly = process_quarterly(amounts, series, dates_unique=True)
+    quarterly = process_quarterly(monthly.select(*series, "date", "export_amount"), series, dates_unique=True)
     return ReportTables(
         filter_by_year(monthly, start_year, end_year),
         filter_quarterly_by_year(quarterly, start_year, end_year),
@@ -125,8 +126,7 @@ def report(
     path = latest_file(spark, data_dir) if input_path is None else input_path
     monthly = materialize(monthly_from_exports(spark, path))
     tables = report_tables(monthly, ["source_file"], start_year, end_year)
-    write_report(tables.monthly, tables.quarterly, output, ["source_file"])
-    return tables
+    return replace(tables, written=write_report(tables.monthly, tables.quarterly, output, ["source_file"]))
 
 
 def dashboard(
@@ -178,12 +178,12 @@ def full(
     dashboard for all items in one job set: ``output/report/{monthly,
     quarterly}`` and ``output/dashboard``, rows clustered by strategy and item."""
     series = ["strategy", "item"]
-    monthly = aggregate_by_date(select_strategy_facts(facts, items), series)
+    monthly = strategy_totals(facts, items)
     keyed, added = with_period_keys(monthly)
     grown_keyed = materialize(monthly_growth(keyed, series))
     grown = grown_keyed.drop(*added)
     tables = report_tables(grown, series, start_year, end_year)
-    write_report(tables.monthly, tables.quarterly, f"{output}/report", series)
+    tables = replace(tables, written=write_report(tables.monthly, tables.quarterly, f"{output}/report", series))
     dash = dashboard_table(grown_keyed, series, start_year, end_year, holidays).drop(*added)
     write_dashboard(dash, f"{output}/dashboard", series=series)
     return tables, dash

@@ -15,12 +15,21 @@ start doubles as the forward-fill segment (see ``operators.parse``).
 
 from __future__ import annotations
 
+import sys
+
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Bytes of a file that are read at a time to find its first lines.
+HEAD_BYTES = 1 << 16
 # Lines before the data in a report export: two title rows + two header rows.
 DEFAULT_SKIP_ROWS = 4
+# Functions that run in Python workers travel by value: executors need not have
+# the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 GROWTH_COLUMNS = ("export_mom", "export_yoy")
 
 
@@ -72,29 +81,22 @@ def read_report_exports(
     """Report rows ``source_file, block, row_no, period_raw,
     export_amount`` (amount still text) without the title/header lines.
 
-    Only the first two CSV columns are parsed (the reference uses the first
-    two columns by position).  Header lines are the first ``skip_rows``
-    lines of each file, found from each file's first row id (one small
-    aggregate over the lines of the first split).  The
-    verbs use ``read_report_rows`` instead, which needs no extra pass.
+    Only the first two CSV columns are parsed.  Header lines are the first
+    ``skip_rows`` lines of each *file*, counted over all its splits; they are
+    found and dropped in one read and one shuffle of the lines, by segment (see
+    ``operators.parse.forward_fill``).  The verbs use ``read_report_rows``
+    instead, whose header lines go inside the parser's shuffle.
     S3: a file too short for that layout (no line after the header) is read
     with ``fallback_skip_rows`` instead, when given.
     """
+    from tradelens.operators.parse import forward_fill
+
     lines = read_report_lines(spark, path, glob)
     if skip_rows > 0 or fallback_skip_rows is not None:
-        heads = (
-            lines.where(F.col("block") == 0)
-            .groupBy("source_file")
-            .agg(F.min("row_no").alias("_first"), F.count(F.lit(1)).alias("_n0"))
-        )
-        skip = F.lit(skip_rows)
-        if fallback_skip_rows is not None:
-            skip = F.when(F.col("_n0") > skip_rows, skip).otherwise(F.lit(fallback_skip_rows))
-        lines = (
-            lines.join(heads, on="source_file", how="left")
-            .where(~((F.col("block") == 0) & (F.col("row_no") < F.col("_first") + skip)))
-            .drop("_first", "_n0")
-        )
+        lines = forward_fill(
+            lines.withColumn("_none", F.lit(None).cast("string")), "_none", "source_file", "row_no", "_filled", chunk="block",
+            head_rows=skip_rows, fallback_head_rows=fallback_skip_rows,
+        ).drop("_none", "_filled")
     return report_cells(lines, sep)
 
 
@@ -107,6 +109,64 @@ def _csv_cells(line: Column, sep: str) -> Column:
     return F.transform(cells, lambda c, i: F.when(c.startswith('"'), F.get(unquoted, i)).otherwise(c))
 
 
+def head_lines(read, n: int, gzipped: bool = False, block: int = HEAD_BYTES) -> list[str]:
+    """The first ``n`` lines of a file; ``read(size)`` gives its next bytes.
+
+    Reads ``block`` bytes at a time until the lines are there, so what is read
+    depends on the lines' length only."""
+    import zlib
+
+    inflate = zlib.decompressobj(31) if gzipped else None
+    data = b""
+    while data.count(b"\n") < n:
+        more = read(block)
+        if not more:
+            break
+        data += inflate.decompress(more) if inflate else more
+    lines = data.split(b"\n")
+    if lines[-1] == b"":
+        lines.pop()
+    return [x.removesuffix(b"\r").decode("utf-8", "replace") for x in lines[:n]]
+
+
+def read_report_heads(spark: SparkSession, path: str, n: int, glob: str | None = None) -> DataFrame:
+    """The first ``n`` lines of every file: ``source_file, line_no, line``.
+
+    Spark lists the files (names only); tasks read the first block of each.  A
+    store that Arrow cannot open is read by Spark, whole."""
+    from pyarrow.fs import FileSystem
+
+    files = spark.read.format("binaryFile")
+    files = (files.option("pathGlobFilter", glob) if glob else files).load(path).select(F.col("_metadata.file_path").alias("source_file"), "path")
+    some = files.select("path").first()
+    try:
+        if some and not some["path"].startswith("file:"):
+            FileSystem.from_uri(some["path"])
+    except (ValueError, OSError, NotImplementedError):
+        lines = read_report_lines(spark, path, glob).where(F.col("block") == 0)
+        first = lines.groupBy("source_file").agg(F.min("row_no").alias("_first"))
+        lines = lines.join(first, "source_file").withColumn("line_no", F.col("row_no") - F.col("_first"))
+        return lines.where(F.col("line_no") < n).select("source_file", "line_no", "line")
+
+    def run(batches):
+        import pyarrow as pa
+        from pyarrow.fs import FileSystem, LocalFileSystem
+
+        for got in batches:
+            rows = []
+            for name, place in zip(got.column(0).to_pylist(), got.column(1).to_pylist(), strict=True):
+                if place.startswith("file:"):
+                    fs, at = LocalFileSystem(), "/" + place[5:].lstrip("/")
+                else:
+                    fs, at = FileSystem.from_uri(place)
+                with fs.open_input_stream(at, compression=None) as f:
+                    rows += [(name, i, line) for i, line in enumerate(head_lines(f.read, n, place.endswith(".gz")))]
+            columns = list(zip(*rows, strict=True)) or [[], [], []]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int64(), pa.string()), strict=True)], ["source_file", "line_no", "line"])
+
+    return files.mapInArrow(run, "source_file string, line_no long, line string")
+
+
 def read_report_header(
     spark: SparkSession,
     path: str,
@@ -118,16 +178,12 @@ def read_report_header(
     column: ``source_file, col_idx, name`` with ``name = top_sub`` (an empty
     top cell repeats the previous top, as merged header cells do).
 
-    The lines of each file's first split are read; quoted cells may hold the
-    separator."""
-    lines = read_report_lines(spark, path, glob).where(F.col("block") == 0)
-    first = lines.groupBy("source_file").agg(F.min("row_no").alias("_first"))
+    Only the first block of each file is read (``read_report_heads``); quoted
+    cells may hold the separator."""
     top_i, sub_i = header_rows
-    picked = (
-        lines.join(first, on="source_file")
-        .withColumn("_i", F.col("row_no") - F.col("_first"))
-        .where(F.col("_i").isin(top_i, sub_i))
-        .select("source_file", "_i", F.posexplode(_csv_cells(F.col("line"), sep)).alias("col_idx", "cell"))
+    lines = read_report_heads(spark, path, max(header_rows) + 1, glob)
+    picked = lines.where(F.col("line_no").isin(top_i, sub_i)).select(
+        "source_file", F.col("line_no").alias("_i"), F.posexplode(_csv_cells(F.col("line"), sep)).alias("col_idx", "cell")
     )
     cells = picked.groupBy("source_file", "col_idx").agg(
         F.max(F.when(F.col("_i") == top_i, F.trim("cell"))).alias("top"),

@@ -12,8 +12,7 @@ sampled or capped.
                      duplicates, note and total rows) rebuilt from orders
 - ``part_strategy_items`` strategy items: one strategy per brand, one item
                      per part
-- ``grid_pages`` / ``option_pages``  captured result/option pages rendered
-                     from the facts, for the page extractors
+- ``long_list_items``  items whose filters list many office names
 """
 
 from __future__ import annotations
@@ -62,8 +61,7 @@ def line_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``hs_code, city, district, office, date, export_amount`` per line item.
 
     city = region name, district = nation name (of the supplier), office =
-    supplier name.  Supplier and nation/region are broadcast behind size
-    checks; a large supplier table is joined with a shuffle instead.
+    supplier name.  How the dimensions are joined is left to the planner.
     """
     li = load(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice")
     s = load(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
@@ -193,88 +191,20 @@ def part_strategy_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def grid_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Captured result pages ``(page_id, url, html)``, one per line item (its
-    order's key is the page id), with one ``jqgrow`` grid row."""
-    li = load(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_discount"
-    )
-    p = load(spark, sf_dir, "part").select("p_partkey", "p_name")
-    s = load(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    n = load(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    rows = (
-        li.join(p, li.l_partkey == p.p_partkey)
-        .join(s, li.l_suppkey == s.s_suppkey)
-        .join(n, F.col("s_nationkey") == F.col("n_nationkey"))
-    )
-
-    def td(col: str, value: F.Column) -> F.Column:
-        return F.concat(
-            F.lit(f'<td role="gridcell" aria-describedby="table_list_1_{col}"><font>'), value, F.lit("</font></td>")
-        )
-
-    def tr() -> F.Column:
-        x = {c: F.col(c) for c in rows.columns}
-        item = F.concat(F.lit("["), F.lpad(x["l_partkey"].cast("string"), 10, "0"), F.lit("] "), x["p_name"])
-        return F.concat(
-            F.lit('<tr role="row" class="jqgrow ui-row-ltr">'),
-            td("NUM", x["l_linenumber"].cast("string")),
-            td("COL1", item),
-            td("COL2", x["n_name"]),
-            td("EX_AMT", F.format_number(x["l_extendedprice"], 2)),
-            td("EX_WGHT", F.format_number(x["l_quantity"], 2)),
-            td("IM_AMT", F.format_number(F.floor(x["l_extendedprice"] * x["l_discount"]), 0)),
-            td("IM_WGHT", F.lit("0")),
-            F.lit("</tr>"),
-        )
-
+def long_list_items(spark: SparkSession, sf_dir: str, prefix: bool = False) -> DataFrame:
+    """Strategy items whose office filter lists all suppliers of one nation, or
+    (``prefix``) two digits that are looked for in the suppliers' names."""
+    p = load(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_name")
+    if prefix:
+        digits = F.lpad((F.col("p_partkey") % 100).cast("string"), 2, "0")
+        rows = p.withColumn("values", F.array(digits))
+    else:
+        s = load(spark, sf_dir, "supplier").groupBy("s_nationkey").agg(F.collect_list("s_name").alias("values"))
+        rows = p.join(s, F.col("p_partkey") % 25 == F.col("s_nationkey"))
+    office = F.struct(F.lit("세관").alias("category"), F.lit(None).cast("string").alias("scope"), F.col("values"))
     return rows.select(
-        F.col("l_orderkey").cast("long").alias("page_id"),
-        F.concat(F.lit("https://trade.example/result?order="), F.col("l_orderkey").cast("string")).alias("url"),
-        F.concat(
-            F.lit('<html><body><table id="table_list_1"><tbody><tr class="jqgfirstrow" role="row"></tr>'),
-            tr(),
-            F.lit("</tbody></table></body></html>"),
-        ).alias("html"),
-    )
-
-
-# Suppliers per captured option page.
-OPTION_PAGE_SIZE = 100
-
-
-def option_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Captured filter pages ``(page_id, url, html)``: customs-office option
-    lists, one ``<optgroup>`` per nation, at most ``OPTION_PAGE_SIZE``
-    suppliers per page; plus the two fixed level selects on every page."""
-    s = load(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
-    n = load(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    rows = s.join(n, s.s_nationkey == n.n_nationkey).withColumn(
-        "page_id", F.floor(F.col("s_suppkey") / OPTION_PAGE_SIZE)
-    )
-    opt = F.concat(
-        F.lit('<option value="'), F.col("s_suppkey").cast("string"), F.lit('">'), F.col("s_name"), F.lit("</option>")
-    )
-    groups = rows.groupBy("page_id", "n_name").agg(
-        F.array_join(F.array_sort(F.collect_list(F.struct("s_suppkey", opt.alias("o"))))["o"], "").alias("opts")
-    ).select(
-        "page_id",
-        "n_name",
-        F.concat(F.lit('<optgroup label="'), F.col("n_name"), F.lit('">'), F.col("opts"), F.lit("</optgroup>")).alias("g"),
-    )
-    pages = groups.groupBy("page_id").agg(
-        F.array_join(F.array_sort(F.collect_list(F.struct("n_name", "g")))["g"], "").alias("groups")
-    )
-    level_select = (
-        '<select id="LOCATION_TYPE" name="LOCATION_TYPE"><option value="">선택하세요.</option>'
-        '<option value="A">시 선택</option><option value="B">시군구 선택</option></select>'
-    )
-    return pages.select(
-        F.col("page_id").cast("long").alias("page_id"),
-        F.concat(F.lit("https://trade.example/filter?page="), F.col("page_id").cast("string")).alias("url"),
-        F.concat(
-            F.lit("<html><body>" + level_select + '<select id="Select2" name="Select2" multiple="multiple">'),
-            F.col("groups"),
-            F.lit("</select></body></html>"),
-        ).alias("html"),
+        F.col("p_brand").alias("strategy"),
+        F.concat(F.col("p_name"), F.lit(" #"), F.col("p_partkey").cast("string")).alias("item"),
+        hs_code_of("p_partkey").alias("hs_code"),
+        F.array(office).cast(ArrayType(FILTER_TYPE)).alias("filters"),
     )
