@@ -1,9 +1,10 @@
-"""Byte-level BPE ids of whole texts, with a cache of words.
+"""Byte-level BPE ids of whole texts, by two libraries of the same vocabulary.
 
-The pre-tokenisation pattern of the vocabulary never joins a word with the
-white space after it, so a text's ids are those of its stretches "white space
-+ word", one after the other.  Their ids are cached; most words of a corpus
-are met again and again.
+``tiktoken`` encodes whole texts fastest, but its letters are those of another
+Unicode version than the vocabulary's library has.  They agree on Latin text, so
+that goes through ``tiktoken`` and everything else through ``tokenizers``.  The
+pre-tokenisation pattern never joins a word with the white space after it: a text
+may be cut before any white space that follows a word.
 """
 
 from __future__ import annotations
@@ -14,28 +15,10 @@ import re
 import numpy as np
 
 #: Unicode white space, as the vocabulary's pattern has it.
-_WS = "\t-\r \x85\xa0  -     　"
+_WS = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _CHUNK = re.compile(f"[{_WS}]*[^{_WS}]+|[{_WS}]+")
-#: Letters up to here are letters in every version of Unicode's tables.
-_LATIN = "ɏ"
-
-
-class _Cache(dict):
-    """Ids by stretch.  At ``limit`` entries the cache becomes the old
-    generation; what is used again moves back from there."""
-
-    def __init__(self, encode, prefix: str, limit: int):
-        self.encode, self.prefix, self.limit, self.old = encode, prefix, limit, {}
-
-    def __missing__(self, word: str) -> bytes:
-        ids = self.old.get(word)
-        if ids is None:
-            ids = self.encode(self.prefix + word)
-        if len(self) >= self.limit:
-            self.old = dict(self)
-            self.clear()
-        self[word] = ids
-        return ids
+#: Letters up to U+024F are letters in every version of Unicode's tables.
+_OTHER = re.compile("[^\x00-\u024f]")
 
 
 class Encoder:
@@ -43,10 +26,11 @@ class Encoder:
 
     ``path`` names the vocabulary's ``tokenizers`` file; the rank file of the
     same name, if there is one, encodes Latin stretches faster, to the same ids.
+    ``limit`` is the length in characters of what is encoded at once.
     """
 
-    def __init__(self, path: str, limit: int = 150_000):
-        self.path, self.slow, self.fast = path, None, None
+    def __init__(self, path: str, limit: int = 1 << 20):
+        self.path, self.limit, self.slow, self.fast = path, limit, None, None
         ranks = path.removesuffix(".json") + ".tiktoken"
         try:
             import tiktoken
@@ -57,13 +41,10 @@ class Encoder:
             self.fast = tiktoken.Encoding(ranks, pat_str=PATTERN, mergeable_ranks=merges, special_tokens={})
         except (ImportError, FileNotFoundError):
             pass
-        self.first = _Cache(self._ids, "", limit // 4)
-        self.spaced = _Cache(self._ids, " ", limit)
-        self.newline = self._ids("\n")
 
-    def _ids(self, text: str) -> bytes:
-        if self.fast is not None and (text.isascii() or max(text) <= _LATIN):
-            return np.asarray(self.fast.encode_ordinary(text), "<u4").tobytes()
+    def _ids(self, text: str, latin: bool) -> bytes:
+        if latin and self.fast is not None:
+            return self.fast.encode_to_numpy(text, disallowed_special=()).astype("<u4", copy=False).tobytes()
         if self.slow is None:
             from tokenizers import Tokenizer
 
@@ -72,14 +53,16 @@ class Encoder:
         return np.asarray(self.slow.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def encode(self, text: str) -> bytes:
-        if not text:
-            return b""
-        if " ".join(text.split()) != text.replace("\n", " "):  # other than single blanks and line ends
-            return b"".join(map(self.first.__getitem__, _CHUNK.findall(text)))
-        spaced, out = self.spaced.__getitem__, []
-        for line in text.split("\n"):
-            words = line.split(" ")
-            out.append(self.newline)
-            out.append(self.first[words[0]])
-            out.extend(map(spaced, words[1:]))
-        return b"".join(out[1:])
+        if len(text) <= self.limit and (text.isascii() or not _OTHER.search(text)):
+            return self._ids(text, True) if text else b""
+        out, run, size, kind = [], [], 0, True
+        for chunk in _CHUNK.findall(text):
+            latin = chunk.isascii() or not _OTHER.search(chunk)
+            if run and (latin != kind or size + len(chunk) > self.limit):
+                out.append(self._ids("".join(run), kind))
+                run, size = [], 0
+            run.append(chunk)
+            size, kind = size + len(chunk), latin
+        if run:
+            out.append(self._ids("".join(run), kind))
+        return b"".join(out)
