@@ -82,8 +82,14 @@ def test_base_spans_equal_plain_patterns(spark):
         )
 
 
+def others(rng, n=300):
+    """Paragraphs with an address and a rare word of their own."""
+    return [f"w{rng.randint(0, 59)}x name{i} wrote from u{i}@z.org w{rng.randint(0, 59)}x" for i in range(n)]
+
+
 def disclosing_corpus():
-    """ann@x.org always comes with the rare word Quillon; 400 other lines."""
+    """ann@x.org always comes with the rare word Quillon; 400 other lines and
+    300 addresses that come once."""
     rng = random.Random(2)
     words = [f"w{i}x" for i in range(60)]
     rows = [(i, " ".join(rng.choice(words) for _ in range(12))) for i in range(400)]
@@ -91,37 +97,123 @@ def disclosing_corpus():
         rows.append((1000 + i, f"{rng.choice(words)} {rng.choice(words)} Quillon wrote from ann@x.org {i} {rng.choice(words)}"))
     rows.append((2000, "quillon met nobody"))
     rows += [(3000 + i, "zanzibarr copied line with bob@y.org") for i in range(9)]
-    return rows
+    return rows + [(4000 + i, t) for i, t in enumerate(others(rng))]
+
+
+def brute_flagged(texts):
+    """Terms by entity, from the definitions, with plain loops."""
+    paragraphs = {p for t in texts for p in re.split(r"\n[ \t\r]*\n", t or "")}
+    n_t, n_h, holders, met = {}, {}, {}, {}
+    for p in paragraphs:
+        found, masked = entities_of(p)
+        words = set(re.split(pii.BETWEEN, masked.lower())) - {""}
+        for w in words:
+            n_t[w] = n_t.get(w, 0) + 1
+            if found:
+                n_h[w] = n_h.get(w, 0) + 1
+        for e in found:
+            holders.setdefault(e, set()).add(p)
+            for w in words:
+                met[e, w] = met.get((e, w), 0) + 1
+    n, size = len(paragraphs), len({p for ps in holders.values() for p in ps})
+    classes = {e: frozenset(ps) for e, ps in holders.items() if len(ps) > 1}
+    bound = {e: len(ps) * (n / len(ps)) ** (1 - pii.GENERALISE) * (1 + 1e-9) for e, ps in holders.items()}
+    tested = len({(classes[e], w) for e, w in met if e in classes and n_t[w] <= bound[e]})
+    out = {}
+    for (e, w), k in met.items():
+        if e not in classes or k < 2 or n_t[w] > bound[e]:
+            continue
+        expected = n_h[w] * len(classes[e]) / size
+        chance = k - expected - k * math.log(k / expected) if k > expected else 0.0
+        share, z2, t = k / n_t[w], pii.Z**2, n_t[w]
+        low = (share + z2 / (2 * t) - pii.Z * math.sqrt(share * (1 - share) / t + z2 / (4 * t * t))) / (1 + z2 / t)
+        d = 1 + math.log(low) / math.log(n / len(classes[e]))
+        if chance <= math.log(pii.ALPHA / tested) and d >= pii.GENERALISE:
+            out[e, w] = d
+    return out
+
+
+def entities_of(text):
+    found, masked = [], text
+    for kind, pattern in PLAIN:
+        for m in re.finditer(pattern, text):
+            if f"{kind}:{m.start()}:{m.end()}" in brute(text):
+                value = re.sub("[^0-9]", "", m.group()) if kind in ("card", "phone") else m.group().lower()
+                found.append(f"{kind}:{value}")
+        masked = re.sub(pattern, " ", masked)
+    return set(found), masked
+
+
+def brute_spans(text, flagged):
+    base = brute(text)
+    terms = {w for e, w in flagged if e in entities_of(text)[0]}
+    places = [tuple(map(int, x.split(":")[1:])) for x in base]
+    words = [(m.start(), m.end()) for m in re.finditer("[^" + pii.BETWEEN[1:-2] + "]+", text) if m.group().lower() in terms]
+    return base + [f"term:{a}:{b}" for a, b in words if not any(x < b and a < y for x, y in places)]
 
 
 def test_disclosing_terms(spark):
     df = spark.createDataFrame(disclosing_corpus(), "doc_id long, text string")
-    flagged = {(r.entity, r.term) for r in pii.disclosing_terms(df.select("text"), generalise=0.8).collect()}
-    assert ("email:ann@x.org", "quillon") in flagged
-    assert not any(t.startswith("w") and t.endswith("x") for _, t in flagged)
-    # nine copies of one line are one piece of evidence
-    assert not any(e == "email:bob@y.org" for e, _ in flagged)
+    flagged = {(r.entity, r.term): r.disclosure for r in pii.disclosing_terms(df.select("text")).collect()}
+    want = brute_flagged([t for _, t in disclosing_corpus()])
+    assert set(flagged) == set(want) == {("email:ann@x.org", "quillon")}
+    assert all(math.isclose(flagged[k], want[k], rel_tol=1e-9) for k in want)
     spans = {r.doc_id: r.spans for r in pii.pii_spans(df).collect()}
+    assert {i: s for i, s in spans.items()} == {i: ",".join(brute_spans(t, want)) for i, t in disclosing_corpus()}
     assert "term:" in spans[1000] and "term:" not in spans[2000] and "term:" not in spans[3000]
 
 
-def test_one_mention_and_a_name_in_the_next_line(spark):
+def test_one_meeting_is_no_evidence(spark):
+    """A paragraph of 20,000 words that occur nowhere else, and one address."""
     rng = random.Random(4)
-    rows = [(i, " ".join(f"w{rng.randint(0, 90)}x" for _ in range(12))) for i in range(2000)]
-    rows.append((5000, "w1x Zebedee w2x\nwrites w3x as zeb@x.org\n\nFarquhar w4x"))
-    rows.append((5001, "w5x Farquhar w6x"))
+    rows = [(i, t) for i, t in enumerate(others(rng))] + [(999, " ".join(f"only{i}" for i in range(20_000)) + " mail lone@x.org")]
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    got = {(r.entity, r.term): r.disclosure for r in pii.disclosing_terms(df.select("text")).collect()}
-    assert set(got) == {("email:zeb@x.org", "zebedee"), ("email:zeb@x.org", "writes")}
-    # 2,003 paragraphs; the lower end of Wilson's interval for 1 of 1
-    assert math.isclose(got["email:zeb@x.org", "zebedee"], 1 + math.log(1 / (1 + pii.Z**2)) / math.log(2003), rel_tol=1e-9)
+    assert pii.disclosing_terms(df.select("text")).count() == 0
+
+
+def test_long_paragraphs_with_many_terms(spark):
+    """Six paragraphs share 20,000 words that come with one address only."""
+    import time
+
+    rng = random.Random(4)
+    words = " ".join(f"Only{i}" for i in range(20_000))
+    rows = [(i, t) for i, t in enumerate(others(rng))] + [(1000 + i, f"{words} {words} w{i}x ann@x.org {words}") for i in range(6)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    begin = time.time()
+    got = {r.doc_id: r for r in pii.pii_spans(df).collect()}
+    assert time.time() - begin < 120
+    assert got[1000].spans.count("term:") == 60_000 and got[3].spans.count("term:") == 0
+    assert got[1000].spans.split(",")[1] == "term:0:5"
+
+
+def test_names_of_two_characters_and_names_in_the_next_line(spark):
+    rng = random.Random(4)
+    rows = [(i, t) for i, t in enumerate(others(rng))]
+    rows += [(5000 + i, f"w{i}x Bo w2x\n李明 w3x zeb@x.org\n\nFarquhar w4x") for i in range(5)] + [(5009, "w5x Farquhar w6x")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r.entity, r.term) for r in pii.disclosing_terms(df.select("text")).collect()}
+    assert {("email:zeb@x.org", "bo"), ("email:zeb@x.org", "李明")} <= got and set(brute_flagged([t for _, t in rows])) == got
     text = {r.doc_id: r.text for r in pii.sanitised(df).collect()}
-    assert text[5000] == "w1x [TERM] w2x\n[TERM] w3x as [EMAIL]\n\nFarquhar w4x" and text[5001] == rows[-1][1]
+    assert "Bo" not in text[5000] and "李明" not in text[5000] and "[EMAIL]" in text[5000] and text[5009] == "w5x Farquhar w6x"
+
+
+def test_labels_are_no_words(spark):
+    """The word of a label is itself a disclosing term; the text has marks."""
+    rng = random.Random(4)
+    rows = [(i, t) for i, t in enumerate(others(rng))]
+    rows += [(900 + i, f"w{i}x phone Term Zed\x01\x02\x06 +1 (234) 555-12345 [TERM] w{i + 1}x") for i in range(6)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    flagged = {r.term for r in pii.disclosing_terms(df.select("text")).collect()}
+    assert flagged == {"phone", "zed", "term"}
+    text = {r.doc_id: r.text for r in pii.sanitised(df).collect()}
+    cut = {"phone", "Term", "Zed"}
+    assert text[901].count("[PHONE]") == 1 and not cut & set(re.findall("[A-Za-z]+", text[901].replace("[TERM]", "").replace("[PHONE]", "")))
+    assert "\x01\x02\x06 [PHONE]" in text[901] and text[901].startswith("w1x ") and text[901].endswith(" w2x")
 
 
 def test_copies_neither_hide_nor_make_a_term(spark):
     rng = random.Random(4)
-    rows = [(f"w{i}y " + " ".join(f"w{rng.randint(0, 90)}x" for _ in range(12)),) for i in range(2000)]
+    rows = [(f"w{i}y " + " ".join(f"w{rng.randint(0, 90)}x" for _ in range(12)),) for i in range(2000)] + [(t,) for t in others(rng)]
     met = [(f"w{i}x Zebedee wrote w{i + 1}x from zeb@x.org",) for i in range(3)]
 
     def found(times):
@@ -129,10 +221,16 @@ def test_copies_neither_hide_nor_make_a_term(spark):
         return {(r.entity, r.term): r.disclosure for r in pii.disclosing_terms(df).collect()}
 
     once, often = found(1), found(300)
-    assert set(once) == {("email:zeb@x.org", "zebedee"), ("email:zeb@x.org", "wrote"), ("email:zeb@x.org", "from")}
+    assert set(once) == {("email:zeb@x.org", "zebedee")}
     assert once == often
 
 
+def test_extra_columns_with_helpers_names(spark):
+    rows = [(i, t, "a", 1) for i, t in disclosing_corpus()]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _tl_key string, spans int")
+    assert sorted(map(tuple, pii.pii_spans(df).collect())) == sorted(map(tuple, pii.pii_spans(df.select("doc_id", "text")).collect()))
+
+
 def test_sanitised_text(spark):
     rows = [(*r, "s") for r in disclosing_corpus()] + [(1, None, "x"), (None, "", None)]
     rows.append((7, "call +1 (234) 555-1234 or 10.0.0.1 or 999.1.1.1 card 4111 1111 1111 1111", "y"))

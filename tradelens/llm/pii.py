@@ -10,27 +10,41 @@ term ``t`` that meet in ``n(e,t)`` paragraphs
 
 is the share of the entity's information content that the term reveals
 (1: the term occurs only with the entity).  ``P(e|t)`` is the lower end of
-Wilson's interval for ``n(e,t)`` out of ``n(t)``, so one meeting tells less
-than five do, but no count is asked for: in a corpus of 50,000 paragraphs a
-word met once, beside an address met once, is generalised.  All
-counts, ``N`` and ``n(t)`` too, are over distinct paragraphs, so copies of a
-paragraph are one piece of evidence for and against.  In texts that hold ``e``, terms at
-``GENERALISE`` or more become ``[TERM]``, terms at ``REMOVE`` or more go.
+Wilson's interval for ``n(e,t)`` out of ``n(t)``.  All counts, ``N`` and ``n(t)``
+too, are over distinct paragraphs, so copies of a paragraph are one piece of
+evidence for and against.
+
+That a rare word stands beside an address once says nothing: every paragraph has
+rare words.  So the meetings must also be more than chance.  Among the ``H``
+paragraphs that hold any entity, of which ``h(t)`` hold the term, an unrelated
+term meets ``e`` in ``h(t) n(e) / H`` paragraphs on average; the chance of
+``n(e,t)`` or more (Chernoff's bound of the Poisson tail) must be at most
+``ALPHA`` over the number of pairs tested (Bonferroni).  One meeting never
+passes; two in a corpus of thousands of such paragraphs do.
+
+In texts that hold ``e``, terms with a disclosure of ``GENERALISE`` or more become
+``[TERM]``, terms at ``REMOVE`` or more go.  Terms are words of any length.  They are
+found by tokenising a text once and joining its words with its terms, and
+replaced by position, so labels and entities are never read as words.
 
 The counting drops nothing that could reach ``GENERALISE``: as ``P(e|t)`` is
 at most ``n(e) / n(t)``, terms above ``n(e) * (N / n(e)) ** (1 - GENERALISE)``
 paragraphs are left out before pairs are made.  Entities met in the same
 paragraphs have the same figures and are counted as one class, so a long list
-of addresses does not pair each of them with every word.
+of addresses does not pair each of them with every word; classes of one
+paragraph cannot pass and pair with none.
 
 Defined results: a null text is empty (no spans); repeated rows get the same
 spans; ids are not read, so null and repeated ids do no harm; extra columns
-are not read.  An empty table gives no rows.
+are not read.  An empty table gives no rows.  A very long text costs time in
+proportion to its length; its words are rows while its terms are found.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import math
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradelens.llm.common import shielded, stored
@@ -39,6 +53,8 @@ from tradelens.llm.common import shielded, stored
 Z = 1.645
 #: Disclosure at which a term is replaced by ``[TERM]`` or removed.
 GENERALISE, REMOVE = 0.8, 0.95
+#: Chance of any false finding among all pairs tested.
+ALPHA = 0.05
 
 # The patterns match what the plain forms match, leftmost and without overlap,
 # but start only where a run starts and never backtrack into one, so that long
@@ -137,8 +153,6 @@ def _any_entity(text: Column) -> Column:
 
 #: What stands between terms: ASCII characters other than letters and digits.
 BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-#: Terms have so many characters at least.
-TERM_LENGTH = 3
 #: Counted once per paragraph along with its terms; no paragraph's term.
 PARAGRAPH = "\n"
 #: What stands between paragraphs.
@@ -146,8 +160,8 @@ BLANK = r"\n[ \t\r]*+\n"
 
 
 def _terms(text: Column) -> Column:
-    """Distinct words of a text in lower case, shorter ones included."""
-    return F.array_distinct(F.split(F.lower(text), BETWEEN))
+    """Distinct words of a text in lower case."""
+    return F.array_remove(F.array_distinct(F.split(F.lower(text), BETWEEN)), "")
 
 
 def _masked(text: Column) -> Column:
@@ -170,8 +184,8 @@ def _holding(texts: DataFrame) -> DataFrame:
         return F.transform(hits, lambda m: _entity_key(kind, m))
 
     all_kinds = F.array_distinct(F.concat(*(entities(*k) for k in KINDS)))
-    terms = F.filter(_terms(_masked(F.col("text"))), lambda t: F.char_length(t) >= TERM_LENGTH)
-    rows = found.select(F.xxhash64("text").alias("key"), all_kinds.alias("entities"), terms.alias("terms"))
+    terms = _terms(_masked(F.col("text")))
+    rows = found.select(F.xxhash64("text").alias("key"), all_kinds.alias("entities"), terms.alias("terms"), "text")
     return rows.where(F.size("entities") > 0)
 
 
@@ -185,7 +199,6 @@ def _term_counts(texts: DataFrame) -> DataFrame:
     and under ``PARAGRAPH`` all."""
     words = _terms(F.when(_any_entity(F.col("text")), _masked(F.col("text"))).otherwise(F.col("text")))
     counted = _paragraphs(texts).distinct().select(F.explode(F.concat(words, F.array(F.lit(PARAGRAPH)))).alias("term"))
-    counted = counted.where((F.char_length("term") >= TERM_LENGTH) | (F.col("term") == PARAGRAPH))
     return counted.groupBy("term").agg(F.count("*").alias("n_t"))
 
 
@@ -196,11 +209,16 @@ def _disclosure(n_et: Column, n_t: Column, n_e: Column, n: int) -> Column:
     return 1 + F.log(low) / F.log(F.lit(float(n)) / n_e)
 
 
+def _log_chance(met: Column, expected: Column) -> Column:
+    """Chernoff's bound of the logarithm of P(Poisson(expected) >= met)."""
+    return F.when(met > expected, met - expected - met * F.log(met / expected)).otherwise(F.lit(0.0))
+
+
 def _evidence(texts: DataFrame, generalise: float = GENERALISE) -> tuple[DataFrame, DataFrame]:
     """``entity, class`` (entities of the same paragraphs are one class) and
     ``class, term, disclosure`` of the terms that reveal them."""
     spark = texts.sparkSession
-    seen = stored(_holding(_paragraphs(texts.where(_any_entity(F.col("text"))))), "pii-paragraphs")
+    seen = stored(_holding(_paragraphs(texts.where(_any_entity(F.col("text"))))).drop("text"), "pii-paragraphs")
     held = seen.select("key", F.explode("entities").alias("entity"))
     marks = [F.count("*"), F.bit_xor("key"), F.bit_xor(F.xxhash64("key", F.lit(1)))]
     classes = held.groupBy("entity").agg(*(m.alias(f"c{i}") for i, m in enumerate(marks)))
@@ -216,11 +234,18 @@ def _evidence(texts: DataFrame, generalise: float = GENERALISE) -> tuple[DataFra
         return n_e * F.pow(F.lit(float(n)) / n_e, F.lit(1 - generalise)) * (1 + 1e-9)
 
     words = words.join(counts.where(F.col("n_t") <= limit(F.lit(float(max(most, 1))))), "term")
-    holders = held.join(classes, "entity").select("key", "class", "n_e").where(F.col("n_e") < n).distinct()
+    holders = held.join(classes, "entity").select("key", "class", "n_e").where((F.col("n_e") > 1) & (F.col("n_e") < n)).distinct()
     met = holders.join(words, "key").where(F.col("n_t") <= limit(F.col("n_e")))
     pairs = met.groupBy("class", "term").agg(F.count("*").alias("n_et"), F.first("n_t").alias("n_t"), F.first("n_e").alias("n_e"))
+    pairs = stored(pairs, "pii-pairs")
+    again = pairs.where("n_et > 1")
+    around = seen.select(F.explode("terms").alias("term")).join(again.select("term").distinct(), "term", "left_semi")
+    again = again.join(around.groupBy("term").agg(F.count("*").alias("n_h")), "term")
+    size, tested = seen.count(), pairs.count()
     rate = _disclosure(F.col("n_et"), F.col("n_t"), F.col("n_e"), n)
-    flagged = pairs.select("class", "term", rate.alias("disclosure")).where(F.col("disclosure") >= generalise)
+    chance = _log_chance(F.col("n_et").cast("double"), F.col("n_h") * F.col("n_e") / F.lit(float(max(size, 1))))
+    sure = chance <= math.log(ALPHA / max(tested, 1))
+    flagged = again.where(sure).select("class", "term", rate.alias("disclosure")).where(F.col("disclosure") >= generalise)
     return classes.select("entity", "class"), stored(flagged, "pii-flagged")
 
 
@@ -230,46 +255,75 @@ def disclosing_terms(texts: DataFrame, generalise: float = GENERALISE) -> DataFr
     return classes.join(flagged, "class").select("entity", "term", "disclosure")
 
 
-def _escaped(term: Column) -> Column:
-    return F.regexp_replace(term, r"([^\p{L}\p{N}\p{M}])", r"\\$1")
-
-
-def _pattern(terms: Column) -> Column:
-    """A pattern that finds any of the terms as a whole word, in any case."""
-    alternatives = F.array_join(F.transform(F.sort_array(terms, asc=False), _escaped), "|")
-    edge = r"[^ \t-\r\p{P}\p{S}]"
-    return F.concat(F.lit(f"(?iu)(?<!{edge})(?:"), alternatives, F.lit(f")(?!{edge})"))
-
-
-def text_terms(texts: DataFrame, classes: DataFrame, flagged: DataFrame, remove: float = REMOVE) -> DataFrame:
-    """``_tl_key, _tl_general, _tl_remove``: per text (hash) that holds an
-    entity and terms that disclose it, the patterns of terms to generalise and
-    to remove (null: none)."""
+def text_terms(texts: DataFrame, classes: DataFrame, flagged: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``_tl_key, term, d``: the terms of a text (by its hash) that disclose one of
+    its entities, and the disclosure; ``_tl_key, _tl_text`` of those texts."""
     found = stored(_holding(texts).withColumnRenamed("key", "_tl_key"), "pii-holding")
     held = found.select("_tl_key", F.explode("entities").alias("entity")).join(classes, "entity")
     held = held.select("_tl_key", "class").distinct()
     words = found.select("_tl_key", F.explode("terms").alias("term")).join(flagged.select("term").distinct(), "term")
     by_term = held.join(words, "_tl_key").join(flagged, ["class", "term"])
-    by_term = by_term.groupBy("_tl_key", "term").agg(F.max("disclosure").alias("d"))
-    grouped = by_term.groupBy("_tl_key").agg(
-        F.collect_set(F.when(F.col("d") < remove, F.col("term"))).alias("g"),
-        F.collect_set(F.when(F.col("d") >= remove, F.col("term"))).alias("r"),
-    )
-    return grouped.select(
-        "_tl_key",
-        F.when(F.size("g") > 0, _pattern(F.col("g"))).alias("_tl_general"),
-        F.when(F.size("r") > 0, _pattern(F.col("r"))).alias("_tl_remove"),
-    )
+    by_term = stored(by_term.groupBy("_tl_key", "term").agg(F.max("disclosure").alias("d")), "pii-terms-of-texts")
+    whole = found.select("_tl_key", F.col("text").alias("_tl_text")).join(by_term.select("_tl_key").distinct(), "_tl_key", "left_semi")
+    return by_term, whole
+
+
+def _tokens(terms: DataFrame, texts: DataFrame) -> DataFrame:
+    """``_tl_key, at, token, d``: all words and stretches between words of the
+    texts, in order; ``d`` where the word is one of the text's terms."""
+    pattern = F.lit(f"[{BETWEEN[1:-2]}]++|[^{BETWEEN[1:-2]}]++")
+    tokens = texts.select("_tl_key", F.posexplode(F.regexp_extract_all("_tl_text", pattern, F.lit(0))).alias("at", "token"))
+    return tokens.withColumn("term", F.lower("token")).join(terms, ["_tl_key", "term"], "left").drop("term")
+
 
+def term_spans(terms: DataFrame, texts: DataFrame) -> DataFrame:
+    """``_tl_key, _tl_term``: places of a text's terms, in order."""
+    before = Window.partitionBy("_tl_key").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    size = F.char_length("token")
+    start = F.coalesce(F.sum(size).over(before), F.lit(0))
+    placed = _tokens(terms, texts).withColumn("start", start).where("d IS NOT NULL")
+    span = F.struct(F.col("start"), (F.col("start") + size).alias("end"))
+    return placed.groupBy("_tl_key").agg(F.array_sort(F.collect_list(span)).alias("_tl_term"))
 
-def _prepared(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``text`` never null and the term patterns of its texts."""
+
+# While terms are replaced, entities are pairs of control characters, which no
+# word holds; the first of a pair that the text itself has is written as a pair.
+_MARK = "\x01"
+_MARKED = {"email": _MARK + "\x02", "phone": _MARK + "\x03", "card": _MARK + "\x04", "ip": _MARK + "\x05", "": _MARK + "\x06"}
+
+
+def _marked(text: Column) -> Column:
+    """The text with its entities as marks."""
+    return F.replace(text, F.lit(_MARK), F.lit(_MARKED[""]))
+
+
+def _labelled(text: Column) -> Column:
+    for kind in REPLACED:
+        text = F.replace(text, F.lit(_MARKED[kind]), F.lit(f"[{kind.upper()}]"))
+    return F.replace(text, F.lit(_MARKED[""]), F.lit(_MARK))
+
+
+def without_terms(terms: DataFrame, texts: DataFrame, remove: float = REMOVE) -> DataFrame:
+    """``_tl_key, _tl_new``: texts with their entities marked and their terms
+    generalised or removed."""
+    marked = texts.withColumn("_tl_text", _marked(F.col("_tl_text")))
+    kinds = {k: (p, hint) for k, p, hint in KINDS}
+    for k in REPLACED:
+        marked = marked.withColumn("_tl_text", _replaced(F.col("_tl_text"), k, *kinds[k]))
+    token = F.when(F.col("d") >= remove, "").when(F.col("d").isNotNull(), "[TERM]").otherwise(F.col("token"))
+    parts = _tokens(terms, marked).groupBy("_tl_key").agg(F.array_sort(F.collect_list(F.struct("at", token.alias("token")))).alias("t"))
+    return parts.select("_tl_key", F.array_join(F.col("t")["token"], "").alias("_tl_new"))
+
+
+def _prepared(docs: DataFrame, found) -> DataFrame:
+    """``docs`` with ``text`` never null and what ``found`` says of texts with
+    disclosing terms."""
     docs = docs.withColumn("text", F.coalesce(F.col("text"), F.lit("")))
     texts = docs.select("text")
     # A stored table: the planner knows its size and broadcasts it only if small.
-    patterns = stored(text_terms(texts, *_evidence(texts)), "pii-patterns")
+    terms = stored(found(*text_terms(texts, *_evidence(texts))), "pii-found")
     keyed = docs.withColumn("_tl_key", F.xxhash64("text"))
-    return keyed.join(patterns, "_tl_key", "left").drop("_tl_key")
+    return keyed.join(terms, "_tl_key", "left").drop("_tl_key")
 
 
 def _joined(spans: Column) -> Column:
@@ -283,18 +337,13 @@ def pii_spans(docs: DataFrame) -> DataFrame:
     ``spans`` lists the base spans and then, as kind ``term``, the words that
     disclose an entity of the text and lie outside all base spans.
     """
-    df = _prepared(docs.select("doc_id", "text"))
+    df = _prepared(docs.select("doc_id", "text"), term_spans)
     df = with_spans(df, "text", _base_kinds())
-    base = F.concat(*(F.col(f"_tl_{k}") for k, _, _ in KINDS))
-    df = df.withColumn("_tl_base", base)
-    both = F.concat_ws("|", "_tl_general", "_tl_remove")
-    df = df.withColumn("_tl_any", F.when(both != "", both))
-    df = df.withColumn("_tl_text", F.when(F.col("_tl_any").isNotNull(), F.col("text")).otherwise(""))
-    df = with_spans(df, "_tl_text", [("term", F.coalesce("_tl_any", F.lit("(?!)")), None)])
-    outside = F.filter(
-        "_tl_term", lambda t: ~F.exists("_tl_base", lambda s: (s["start"] < t["end"]) & (t["start"] < s["end"]))
-    )
-    everything = F.when(F.size("_tl_term") > 0, F.concat("_tl_base", outside)).otherwise(F.col("_tl_base"))
+    df = df.withColumn("_tl_base", F.concat(*(F.col(f"_tl_{k}") for k, _, _ in KINDS)))
+    terms = F.transform("_tl_term", lambda t: F.struct(F.lit("term").alias("kind"), t["start"].alias("start"), t["end"].alias("end")))
+    base = F.transform("_tl_base", lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
+    outside = F.filter(terms, lambda t: ~F.exists("_tl_base", lambda s: (s["start"] < t["end"]) & (t["start"] < s["end"])))
+    everything = F.when(F.col("_tl_term").isNotNull(), F.concat(base, outside)).otherwise(base)
     return df.select(
         "doc_id",
         *(F.size(f"_tl_{k}").cast("long").alias(f"n_{k}") for k, _, _ in KINDS),
@@ -304,9 +353,10 @@ def pii_spans(docs: DataFrame) -> DataFrame:
 
 
 def _replaced(text: Column, kind: str, pattern: str, hint: str | None) -> Column:
+    """The text with a kind's valid matches as marks."""
     found = _hits(text, F.lit(pattern), hint)
     parts = F.split(text, pattern, -1)
-    label = F.lit(f"[{kind.upper()}]")
+    label = F.lit(_MARKED[kind])
     new = F.transform(found, lambda m: F.when(_valid(kind, m), label).otherwise(m))
     pieces = F.transform(parts, lambda p, i: F.concat(p, F.coalesce(F.get(new, i), F.lit(""))))
     return F.when(F.size(found) > 0, F.array_join(pieces, "")).otherwise(text)
@@ -319,11 +369,9 @@ def sanitised(docs: DataFrame) -> DataFrame:
     removed.  Columns and rows stay; a null text stays null."""
     names = docs.columns
     kinds = {k: (p, hint) for k, p, hint in KINDS}
-    df = _prepared(docs.withColumn("_tl_null", F.col("text").isNull()))
+    df = _prepared(docs.withColumn("_tl_null", F.col("text").isNull()), without_terms)
+    df = df.withColumn("text", _marked(F.when(F.col("_tl_new").isNull(), F.col("text"))))
     for k in REPLACED:
         df = df.withColumn("text", _replaced(F.col("text"), k, *kinds[k]))
-    for pattern, label in (("_tl_general", "[TERM]"), ("_tl_remove", "")):
-        new = F.regexp_replace(F.col("text"), F.col(pattern), F.lit(label))
-        df = df.withColumn("text", F.when(F.col(pattern).isNull(), F.col("text")).otherwise(new))
-    df = df.withColumn("text", F.when(~F.col("_tl_null"), F.col("text")))
+    df = df.withColumn("text", F.when(~F.col("_tl_null"), _labelled(F.coalesce("_tl_new", "text"))))
     return df.select(*names)
