@@ -106,7 +106,11 @@ class Classifier:
         self.bias = np.zeros(len(classes), np.float32)
 
     def posterior(self, at: np.ndarray, value: np.ndarray) -> np.ndarray:
-        return softmax((value @ self.weight[at] + self.bias)[None, :].astype(np.float64))[0]
+        return posterior(self.weight, self.bias, at, value)
+
+
+def posterior(weight: np.ndarray, bias: np.ndarray, at: np.ndarray, value: np.ndarray) -> np.ndarray:
+    return softmax((value @ weight[at] + bias)[None, :].astype(np.float64))[0]
 
 
 def train_classifier(rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, classes: list[str], epochs: int = 5, batch: int = 64, rate: float = 0.5) -> Classifier:
@@ -165,7 +169,8 @@ def train(docs: DataFrame, labels: DataFrame, domain: Column, sample: int = SAMP
 def with_posteriors(docs: DataFrame, classifier: Classifier | None) -> DataFrame:
     """``docs`` with ``_tl_n`` (words) and ``_tl_p0``, ... (posteriors)."""
     k = len(classifier.classes) if classifier else 0
-    model = docs.sparkSession.sparkContext.broadcast(classifier)
+    # Plain arrays: a broadcast of our own class would need the package on the workers.
+    model = docs.sparkSession.sparkContext.broadcast((classifier.weight, classifier.bias) if classifier else None)
     added = [T.StructField("_tl_n", T.LongType())] + [T.StructField(f"_tl_p{i}", T.DoubleType()) for i in range(k)]
     schema = T.StructType([*docs.schema.fields, *added])
     place = docs.columns.index("text")
@@ -176,7 +181,7 @@ def with_posteriors(docs: DataFrame, classifier: Classifier | None) -> DataFrame
             got = [features(t) for t in as_bytes(batch.column(place))]
             columns = [*batch.columns, pa.array([n for n, _, _ in got], pa.int64())]
             if k:
-                p = np.array([model.value.posterior(a, v) for _, a, v in got]).reshape(len(got), k)
+                p = np.array([posterior(*model.value, a, v) for _, a, v in got]).reshape(len(got), k)
                 columns += [pa.array(p[:, i]) for i in range(k)]
             yield pa.RecordBatch.from_arrays(columns, names)
 
