@@ -37,6 +37,8 @@ from pyspark.sql import functions as F
 from tradelens.llm.common import stored
 
 MIN_BYTES = 100
+#: Copies of a repeated digest in the join with its pages.
+SALTS = 32
 MAGIC = b"\x1f\x8b\x08"
 _BLOCK = 1 << 16
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -107,7 +109,11 @@ def write_warc(
     long_enough = F.col("size") >= min_bytes
     groups = rows.where(long_enough).groupBy("digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n"))
     repeated = stored(groups.where("n > 1 AND first IS NOT NULL").select("digest", "first"), "warc-repeated")
-    joined = rows.join(repeated, "digest", "left")  # one row per repeated digest on the right
+    # Payloads that a large share of the pages repeat are dealt out over copies
+    # of their digest, so no join task gets them all.
+    copies = repeated.select("digest", "first", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    salt = F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)).cast("int")
+    joined = rows.withColumn("salt", salt).join(copies, ["digest", "salt"], "left")
     refers = F.when(long_enough & ~F.col("page_id").eqNullSafe(F.col("first")), F.col("first"))
     payload = F.when(refers.isNull(), F.col("payload")).otherwise(F.lit("").cast("binary"))
     out = joined.select("page_id", "url", payload.alias("payload"), "digest", "size", refers.alias("refers_to"))
