@@ -32,6 +32,8 @@ LENGTH, WIDTHS, FILTERS = 256, (2, 3, 4), 16
 #: Texts per language used for training, chosen by the hash of their id, and
 #: windows taken from each, spread over the whole text.
 PER_LANGUAGE, WINDOWS = 1000, 3
+#: Hashes of ids are counted in so many ranges (a power of two).
+RANGE_BITS = 16
 #: Documents with this remainder of crc32(doc_id) are never learned from.
 MODULUS, HELD_OUT = 4, 2
 
@@ -136,7 +138,15 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE) -> ByteNetwork | No
     """Learns from at most ``per_language`` texts of each language."""
     known = docs.where("doc_id IS NOT NULL AND lang IS NOT NULL").where(id_remainder("doc_id", MODULUS) != HELD_OUT)
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    chosen = known.select("doc_id", "lang").withColumn("r", rank).where(F.col("r") <= per_language).select("doc_id").distinct()
+    # Only the ranges of smallest hashes that hold a language's first texts are
+    # ranked: (language, range) is no hot key, and a language's rank sees its
+    # ``per_language`` texts and one range more.
+    ids = known.select("doc_id", "lang", F.shiftright(F.xxhash64("doc_id"), 64 - RANGE_BITS).alias("range"))
+    sizes = ids.groupBy("lang", "range").agg(F.count("*").alias("n"))
+    before = F.sum("n").over(Window.partitionBy("lang").orderBy("range")) - F.col("n")
+    low = sizes.withColumn("before", before).where(F.col("before") < per_language).select("lang", "range")
+    ranked = ids.join(low, ["lang", "range"], "left_semi").withColumn("r", rank)
+    chosen = ranked.where(F.col("r") <= per_language).select("doc_id").distinct()
     # At most ``per_language`` ids of each language: a proven bound.
     texts = known.select("doc_id", "lang", "text").join(F.broadcast(chosen), "doc_id", "left_semi")
     got = texts.mapInArrow(_sampled_windows, "doc_id long, lang string, w array<binary>")
