@@ -184,20 +184,18 @@ def pack(
     ordered = timed.select(*keep, "due", "number").repartitionByRange("due", "queue", "number")
     ordered = ordered.sortWithinPartitions("due", "queue", "number", "offset").select(*keep)
     placed = stored(ordered.mapInArrow(_numbered, _ORDERED), "pack-order")
-    # One number per task of the sort.
-    sizes = sorted((r["task"], r["n"]) for r in placed.groupBy("task").agg((F.max("place") + 1).alias("n")).collect())
-    starts = dict(zip((t for t, _ in sizes), itertools.accumulate((n for _, n in sizes), initial=0), strict=False))
-    quanta = sum(n for _, n in sizes)
+    per_task = placed.groupBy("task").agg((F.max("place") + 1).alias("n"))  # one row per task of the sort
+    per_task = stored(per_task.withColumn("base", F.sum("n").over(Window.orderBy("task")) - F.col("n")), "pack-starts")
+    quanta = per_task.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
 
     full, rest = divmod(quanta, slots)
-    base = F.element_at(F.create_map(*(F.lit(x) for kv in starts.items() for x in kv)), F.col("task")) if starts else F.lit(0)
-    index = base.cast("long") + F.col("place")
+    index = F.col("base") + F.col("place")
     sequence, slot = F.floor(index / slots), index % slots
     for k, begin in enumerate(itertools.accumulate(powers(rest), initial=0)):  # beyond the last full window
         inside = index >= full * slots + begin
         sequence, slot = F.when(inside, full + k).otherwise(sequence), F.when(inside, index - full * slots - begin).otherwise(slot)
     source = F.when(F.col("queue") != "-", F.expr("substring(queue, 2)"))
-    main = placed.select(
+    main = placed.join(F.broadcast(per_task.select("task", "base")), "task").select(
         *keep[:5], sequence.cast("long").alias("sequence_id"), (slot * quantum + F.col("offset")).cast("long").alias("offset"), source.alias("source")
     )
 
