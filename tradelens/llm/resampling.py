@@ -30,6 +30,7 @@ other columns are not read.  A text costs memory in proportion to its length.
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Iterator
 
@@ -197,16 +198,16 @@ def _noise(doc_id: Column, seed: int) -> Column:
 def _gains(counts: DataFrame, buckets: int) -> np.ndarray:
     """Integer gain of every bucket, from rows ``bucket, s, t``: one row per
     bucket, a size that the caller chose."""
-    bucket, s, t = F.col("bucket"), F.col("s").cast("double"), F.col("t").cast("double")
-    every = counts.sparkSession.range(buckets).select(F.col("id").alias("bucket"))
-    full = every.join(F.broadcast(counts), "bucket", "left").na.fill(0, ["s", "t"])
-    sums = F.broadcast(full.agg(F.sum("s").alias("all_s"), F.sum("t").alias("all_t")))
-    ratio = (t + 1) * (F.col("all_s") + buckets) / ((s + 1) * (F.col("all_t") + buckets))
-    rows = full.join(sums).select(bucket, F.floor(1000 * F.log(ratio)).cast("long").alias("gain")).collect()
-    gains = np.zeros(buckets, np.int64)
+    rows = counts.select("bucket", "s", "t").collect()
+    s, t = np.zeros(buckets, np.int64), np.zeros(buckets, np.int64)
     for r in rows:
-        gains[r["bucket"]] = r["gain"]
-    return gains
+        s[r["bucket"]], t[r["bucket"]] = r["s"], r["t"]
+    all_s, all_t = float(s.sum()), float(t.sum())
+
+    def gain(s: float, t: float) -> int:
+        return math.floor(1000 * math.log((t + 1) * (all_s + buckets) / ((s + 1) * (all_t + buckets))))
+
+    return np.asarray([gain(float(a), float(b)) for a, b in zip(s, t, strict=True)], np.int64)
 
 
 def _bucket_counts(scanned: DataFrame, buckets: int) -> DataFrame:
