@@ -11,9 +11,11 @@ Frequent phrases (``min_count`` occurrences in a language) are mined exactly:
    Proposed phrases are counted as texts.  Border phrases are many and nearly
    all rare: they are counted as 64-bit hashes, whose sums can only be too high.
 3. **Border failures expand.**  Border hashes that reach ``min_count`` join the
-   proposed set, and a further pass counts what they stand for as texts, and
-   the border that they add.  When a pass finds no failure the counts are
-   closed: sub-phrases of a frequent phrase are frequent, so none is missing.
+   proposed set, and a further pass counts, as texts, what they stand for and
+   every longer phrase around one of them.  That closes the counts: a frequent
+   phrase is either made of proposed parts only, or it holds a smallest part
+   that was not proposed; all that part's own parts were, so it stood on the
+   border, is frequent as well, and failed there.
 
 Each candidate's cuts are then joined with the counts of their two parts, and
 phrases that a one word longer phrase always contains are dropped (a longer
@@ -21,12 +23,13 @@ phrase with the same count implies one with one word more).
 
 **On Spark.**  Texts become word numbers per buffer of ``BUFFER`` words; a
 phrase's number follows from its first part's number and its last word, so
-counting inside a buffer is exact.  A task's border counts leave it as sorted
-arrays, one per range of hashes, and each range is summed in one small task; the
-number of ranges follows the number of input partitions, so ranges do not grow.
-The proposed set travels as a bitmap of ``2^BITS`` bits of hashes, 8 MB whatever
-the corpus; a false hit only has a phrase counted as text that need not be.
-Joins salt languages and short parts, whose phrases are many.
+counting inside a buffer is exact.  What a task found leaves it by ranges of
+hashes: texts with their counts, border hashes as sorted arrays.  Each range is
+summed in one small task; the number of ranges follows the number of input
+partitions, so ranges do not grow.  The proposed set travels as a bitmap of
+``2^BITS`` bits of hashes, 8 MB whatever the corpus; a false hit only has a
+phrase counted as text that need not be.  Joins salt languages and short parts,
+whose phrases are many.
 
 Defined results: a null text is empty; a null ``lang`` is ``und``; a null
 ``doc_id`` is sampled like the id ''; repeated rows count; ties in the ranking
@@ -46,14 +49,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tradelens.llm.common import as_bytes, stored
+from tradelens.llm.common import stored
 
 MIN_COUNT, MAX_WORDS, BEST = 100, 5, 2000
 #: One of so many documents is sampled; the sample's threshold is its share of
 #: ``min_count``, lowered by this factor.
 SAMPLE, LOWERED = 8, 3
 #: Words that a task counts at a time, and bits of the proposed set.
-BUFFER, BITS = 500_000, 26
+BUFFER, BITS = 250_000, 26
 #: Copies of short parts' counts in the joins.
 SALTS = 16
 
@@ -63,8 +66,10 @@ _NORMAL = bytes(
     b + 32 if 65 <= b <= 90 else 255 if b in b".,;:!?" or 10 <= b <= 13 else 32 if b == 9 else b for b in range(256)
 )
 _STEP, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
-#: A phrase's count, or a range's hashes and counts (64-bit numbers).
-_FOUND = "lang string, phrase string, words int, n long, range int, hashes binary, counts binary"
+#: What a task found in a range of hashes: a phrase's count, or many hashes and
+#: counts (64-bit numbers); and their sums.
+_FOUND = "range int, lang string, phrase string, words int, n long, hashes binary, counts binary"
+_SUMMED = "lang string, phrase string, words int, n long, hash long"
 
 def _tokens(data: bytes) -> list[bytes]:
     """Words in order, with a break token between pieces."""
@@ -104,48 +109,60 @@ def _has(bitmap: np.ndarray | None, mixed: np.ndarray, bits: int) -> np.ndarray:
 
 
 def _factorised(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    import pandas as pd
-
-    return pd.factorize(codes)
+    encoded = pa.array(codes).dictionary_encode()
+    return encoded.indices.to_numpy().astype(np.int64), encoded.dictionary.to_numpy()
 
 
 def _levels(tokens: list[bytes], lang: str, now, before, bits: int, longest: int):
-    """For 1, 2, ... words, the phrases whose two sub-phrases are in ``now``
-    (all words): their counts, mixed hashes, which are in ``now``, the texts of
-    those, which were met under ``before`` already, and which of them were in it.
+    """For 1, 2, ... words, the phrases that are looked at: their counts, mixed
+    hashes, which of them count as texts, those texts, and which have been on a
+    border or counted already.
+
+    First pass (``before`` is None): all phrases whose two sub-phrases are in
+    ``now``; texts are those in ``now``.  Expansion: also phrases around one
+    that is in ``now`` only (it failed); texts are those phrases and the failed.
     """
     encoded = pa.array(tokens, pa.binary()).dictionary_encode()
     words, ids = encoded.dictionary, encoded.indices.to_numpy().astype(np.int64)
-    marks = [w in (b"", _BREAK) for w in words.to_pylist()]
-    ids = ids[np.asarray([w != b"" for w in words.to_pylist()], bool)[ids]]  # nothing stands between two blanks
+    listed = words.to_pylist()
+    ids = ids[np.asarray([w != b"" for w in listed], bool)[ids]]  # nothing stands between two blanks
     if not len(ids):
         return
-    total, inside = len(words), ~np.asarray(marks, bool)
+    total, inside = len(words), np.asarray([w not in (b"", _BREAK) for w in listed], bool)
     h = word_hash = _hashes(words, lang)
-    known, was_known = _has(now, _mixed(h), bits) & inside, _has(before, _mixed(h), bits) & inside
+    expanding = before is not None
+
+    def kinds(h: np.ndarray, around: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """In the proposed set; failed or around a failed one; kept as text."""
+        known = _has(now, _mixed(h), bits)
+        failed = around | (known & ~_has(before, _mixed(h), bits)) if expanding else around
+        return known, failed, failed if expanding else known
+
+    known, failed, text = kinds(h, np.zeros(total, bool))
+    known, failed, text = known & inside, failed & inside, text & inside
     counts = np.bincount(ids, minlength=total) * inside
     texts, row = words.take(pa.array(np.flatnonzero(known))), np.cumsum(known) - 1
-    yield counts, _mixed(h), known, texts, np.full(total, before is not None), was_known
-    number, is_known, is_old = ids, known[ids], was_known[ids]
+    yield counts, _mixed(h), text, texts.take(pa.array(row[text])), known
+    # At each place: the phrase's number, whether longer ones may follow, whether it failed.
+    number, is_open, is_failed = ids, known[ids], failed[ids]
     for k in range(2, longest + 1):
-        at = np.flatnonzero(is_known[:-1] & is_known[1:])
+        at = np.flatnonzero(is_open[:-1] & is_open[1:])
         if not len(at):
             return
-        old = (is_old[:-1] & is_old[1:])[at]
         codes, uniques = _factorised(number[at] * total + ids[at + k - 1])
+        around = np.zeros(len(uniques), bool)
+        around[codes] = (is_failed[:-1] | is_failed[1:])[at]  # the same for all occurrences of a phrase
         first, last = uniques // total, uniques % total
         h = h[first] * _STEP + word_hash[last]
-        known, was_known = _has(now, _mixed(h), bits), _has(before, _mixed(h), bits)
-        met = np.zeros(len(uniques), bool)
-        met[codes] = old  # the same for all occurrences of a phrase
-        was_known &= met
-        mine = np.flatnonzero(known)
+        known, failed, text = kinds(h, around)
+        opened = known | failed
+        mine = np.flatnonzero(opened)
         texts = pc.binary_join_element_wise(texts.take(pa.array(row[first[mine]])), words.take(pa.array(last[mine])), b" ")
-        row = np.cumsum(known) - 1
-        yield np.bincount(codes, minlength=len(uniques)), _mixed(h), known, texts, met, was_known
+        row = np.cumsum(opened) - 1
+        yield np.bincount(codes, minlength=len(uniques)), _mixed(h), text, texts.take(pa.array(row[text])), known
         size = len(number) - 1
-        number, is_known, is_old = np.full(size, -1), np.zeros(size, bool), np.zeros(size, bool)
-        number[at], is_known[at], is_old[at] = codes, known[codes], was_known[codes]
+        number, is_open, is_failed = np.full(size, -1), np.zeros(size, bool), np.zeros(size, bool)
+        number[at], is_open[at], is_failed[at] = codes, opened[codes], failed[codes]
 
 
 def _summed(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -157,8 +174,8 @@ def _summed(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 
 def _counter(now, before, bits: int, longest: int, ranges: int, only: int | None = None, buffer: int = BUFFER):
-    """Counts texts of what is in ``now`` and hashes of its border, without what
-    was counted under ``before``; or hashes of all phrases of ``only`` words."""
+    """Counts of texts and of border hashes; or hashes of all phrases of ``only``
+    words whose sub-phrases are in ``now``."""
 
     def array(shared) -> np.ndarray | None:
         return None if shared is None else np.frombuffer(shared.value, np.uint8)
@@ -168,36 +185,52 @@ def _counter(now, before, bits: int, longest: int, ranges: int, only: int | None
         held: dict[str, list[bytes]] = {}
         size = 0
         border: list[tuple[np.ndarray, np.ndarray]] = []
+        texts: dict[str, dict[bytes, int]] = {}
         width = np.uint64((1 << 64) // ranges + 1)
 
-        def batch(size: int, **columns) -> pa.RecordBatch:
+        def batch(part: np.ndarray, **columns) -> pa.RecordBatch:
             names = [c.split() for c in _FOUND.split(", ")]
             kinds = {"string": pa.string(), "int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
-            return pa.RecordBatch.from_arrays([columns[c].cast(kinds[t]) if c in columns else pa.nulls(size, kinds[t]) for c, t in names], [c for c, _ in names])
-
-        def texts(lang: str, level: int, phrases: pa.Array, counts: np.ndarray) -> pa.RecordBatch:
-            n = len(counts)
-            same = pa.array([lang]).take(pa.array(np.zeros(n, np.int64)))
-            return batch(n, lang=same, phrase=phrases, words=pa.array(np.full(n, level)), n=pa.array(counts))
+            columns["range"] = pa.array(part)
+            return pa.RecordBatch.from_arrays([columns[c].cast(kinds[t]) if c in columns else pa.nulls(len(part), kinds[t]) for c, t in names], [c for c, _ in names])
+
+        def add(lang: str, phrases: pa.Array, counts: np.ndarray) -> None:
+            sums = texts.setdefault(lang, {})
+            for phrase, n in zip(phrases.to_pylist(), counts.tolist(), strict=True):
+                sums[phrase] = sums.get(phrase, 0) + n
+
+        def counted() -> Iterator[pa.RecordBatch]:
+            """The texts' sums so far; the word count goes by the empty phrase."""
+            for lang, sums in texts.items():
+                listed = list(sums)
+                for at in range(0, len(listed), 50_000):
+                    some = listed[at : at + 50_000]
+                    same = pa.array([lang]).take(pa.array(np.zeros(len(some), np.int64)))
+                    words = pa.array([x.count(b" ") + 1 if x else 0 for x in some])
+                    yield batch(
+                        np.asarray([zlib.crc32(x) % ranges for x in some]), lang=same, phrase=pa.array(some, pa.binary()), words=words,
+                        n=pa.array([sums[x] for x in some], pa.int64()),
+                    )
+            texts.clear()
 
         def flush(all_of_it: bool = False) -> Iterator[pa.RecordBatch]:
             for lang, tokens in held.items():
-                for level, (counts, h, known, phrases, met, was_known) in enumerate(_levels(tokens, lang, *bitmaps, bits, longest), 1):
+                for level, (counts, h, text, phrases, known) in enumerate(_levels(tokens, lang, *bitmaps, bits, longest), 1):
                     some = counts > 0
                     if only is not None:
                         if level == only:
                             border.append((h[some], counts[some]))
                         continue
                     if level == 1 and before is None:
-                        yield texts(lang, 0, pa.array([b""]), np.asarray([counts.sum()]))
-                    mine = np.flatnonzero(known)
-                    new = np.flatnonzero(some[mine] & ~was_known[mine])
-                    if len(new):
-                        yield texts(lang, level, phrases.take(pa.array(new)), counts[mine[new]])
-                    rest = some & ~known & ~met
-                    border.append((h[rest], counts[rest]))
+                        add(lang, pa.array([b""]), counts.sum(keepdims=True))
+                    add(lang, phrases, counts[text])
+                    if before is None:
+                        rest = some & ~known
+                        border.append((h[rest], counts[rest]))
             held.clear()
-            if border and (all_of_it or sum(len(h) for h, _ in border) >= 2 * buffer):
+            if all_of_it or sum(map(len, texts.values())) >= buffer:
+                yield from counted()
+            if border and (all_of_it or sum(len(h) for h, _ in border) >= 4 * buffer):
                 hashes, counts = _summed(np.concatenate([h for h, _ in border]), np.concatenate([c for _, c in border]))
                 border.clear()
                 part = (hashes // width).astype(np.int64)
@@ -206,18 +239,17 @@ def _counter(now, before, bits: int, longest: int, ranges: int, only: int | None
                 for at in range(0, len(cuts), 256):
                     pieces = list(zip(cuts[at : at + 256], ends[at : at + 256], strict=True))
                     yield batch(
-                        len(pieces),
-                        range=pa.array(part[cuts[at : at + 256]]),
+                        part[cuts[at : at + 256]],
                         hashes=pa.array([hashes[a:b].astype("<u8").tobytes() for a, b in pieces], pa.binary()),
                         counts=pa.array([counts[a:b].astype("<i8").tobytes() for a, b in pieces], pa.binary()),
                     )
 
         for got in batches:
-            for lang, text in zip(got.column(0).to_pylist(), as_bytes(got.column(1)), strict=True):
-                for part in _segments(text):
+            for lang, text in zip(got.column(0), got.column(1).cast(pa.binary()), strict=True):
+                for part in _segments(text.as_py() or b""):
                     tokens = _tokens(part)
                     tokens.append(_BREAK)
-                    held.setdefault(lang, []).extend(tokens)
+                    held.setdefault(lang.as_py(), []).extend(tokens)
                     size += len(tokens)
                     if size >= buffer:
                         yield from flush()
@@ -227,16 +259,22 @@ def _counter(now, before, bits: int, longest: int, ranges: int, only: int | None
     return run
 
 
-def _reaching(found: DataFrame, least: int) -> DataFrame:
-    """``hash`` of all hashes whose counts sum up to ``least`` or more."""
+def _sums(found: DataFrame, least: int) -> DataFrame:
+    """Phrases (and the languages' word counts) that reach ``least``, and border
+    hashes whose counts do; one task per range."""
 
     def run(group: pa.Table) -> pa.Table:
-        parts = [np.frombuffer(b"".join(group.column(c).to_pylist()), t) for c, t in (("hashes", "<u8"), ("counts", "<i8"))]
+        parts = [np.frombuffer(b"".join(group.column(c).drop_null().to_pylist()), t) for c, t in (("hashes", "<u8"), ("counts", "<i8"))]
         hashes, counts = _summed(*parts)
-        return pa.table({"hash": pa.array(hashes[counts >= least].view(np.int64))})
+        hashes = hashes[counts >= least].view(np.int64)
+        rows = group.filter(pc.is_valid(group.column("phrase"))).group_by(["lang", "phrase", "words"]).aggregate([("n", "sum")])
+        rows = rows.filter(pc.or_(pc.greater_equal(rows.column("n_sum"), least), pc.equal(rows.column("words"), 0)))
+        few, many = rows.num_rows, len(hashes)
+        columns = [pa.concat_arrays([*rows.column(c).chunks, pa.nulls(many, rows.schema.field(c).type)]) for c in ("lang", "phrase", "words", "n_sum")]
+        columns.append(pa.concat_arrays([pa.nulls(few, pa.int64()), pa.array(hashes)]))
+        return pa.table(columns, names=[c.split()[0] for c in _SUMMED.split(", ")])
 
-    ranges = found.where("range IS NOT NULL").select("range", "hashes", "counts")
-    return ranges.groupBy("range").applyInArrow(run, "hash long")
+    return found.groupBy("range").applyInArrow(run, _SUMMED)
 
 
 def _bitmap(hashes: DataFrame, bits: int, more: bytes | None = None) -> bytes:
@@ -257,7 +295,7 @@ def frequent_phrases(
     """``lang, phrase, words, n`` of every phrase with ``min_count`` occurrences
     in its language; the row with ``words`` 0 has the language's word count.
 
-    ``passes``, if a list, receives the number of border failures of each pass.
+    ``passes``, if a list, receives the number of border failures.
     """
     spark = docs.sparkSession
     rows = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.col("text").cast("string").alias("text"), "doc_id")
@@ -270,24 +308,22 @@ def frequent_phrases(
     now = None
     for k in range(1, max_words + 1):
         found = sampled.mapInArrow(_counter(share(now), None, bits, k, ranges, only=k, buffer=buffer), _FOUND)
-        more = _bitmap(_reaching(found, lowered), bits, now)
+        more = _bitmap(_sums(found, lowered).select("hash"), bits, now)
         if more == now:
             break
         now = more
-    before, kept = None, None
-    while True:
-        counter = _counter(share(now), share(before), bits, max_words, ranges, buffer=buffer)
-        found = stored(rows.mapInArrow(counter, _FOUND), "phrases-found")
-        sums = found.where("phrase IS NOT NULL").groupBy("lang", "phrase").agg(F.max("words").alias("words"), F.sum("n").alias("n"))
-        counted = stored(sums.where((F.col("n") >= min_count) | (F.col("words") == 0)), "phrases-counted")
-        kept = counted if kept is None else kept.unionByName(counted)
-        failures = stored(_reaching(found, min_count), "phrases-failures")
-        n = failures.count()
-        if passes is not None:
-            passes.append(n)
-        if n == 0:
-            return kept.select("lang", "phrase", "words", "n")
-        before, now = now, _bitmap(failures, bits, now)
+    counter = _counter(share(now), None, bits, max_words, ranges, buffer=buffer)
+    first = stored(_sums(rows.mapInArrow(counter, _FOUND), min_count), "phrases-counted")
+    columns = ["lang", "phrase", "words", "n"]
+    counted, failures = first.where("phrase IS NOT NULL").select(*columns), first.where("phrase IS NULL").select("hash")
+    n = failures.count()
+    if passes is not None:
+        passes.append(n)
+    if n == 0:
+        return counted
+    counter = _counter(share(_bitmap(failures, bits, now)), share(now), bits, max_words, ranges, buffer=buffer)
+    more = stored(_sums(rows.mapInArrow(counter, _FOUND), min_count), "phrases-expanded")
+    return counted.unionByName(more.select(*columns))
 
 
 def _part(words: str) -> str:
