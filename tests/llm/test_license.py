@@ -112,3 +112,64 @@ def test_scan(spark):
         (0, "", "", ""), (1, "MIT", "MIT:0:31", "mit"), (1, "MIT", "MIT:0:31", "mit"), (2, "", "", ""), (3, "", "", "")
     ]
     assert L.scan(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+@pytest.mark.parametrize(
+    "text, want",
+    [
+        ("This project is licensed under the MIT License - see the LICENSE file for details.", ["MIT"]),
+        ("MIT License", ["MIT"]),
+        ("The MIT License (MIT)\n\n" + MIT, ["MIT"]),
+        ("Apache License\nVersion 2.0, January 2004\nhttp://www.apache.org/licenses/", ["Apache-2.0"]),
+        ("Licensed under the GPLv3.", ["GPL-3.0-only"]),
+        ("GNU GPL v3", ["GPL-3.0-only"]),
+        ("Released under the LGPL-2.1+.", ["LGPL-2.1-or-later"]),
+        ("Distributed under the GNU AGPL v3 or later.", ["AGPL-3.0-or-later"]),
+        ("GNU GENERAL PUBLIC LICENSE\n   Version 3, 29 June 2007\n", ["GPL-3.0-only"]),
+        ("GNU LESSER GENERAL PUBLIC LICENSE\n\nVersion 2.1, February 1999", ["LGPL-2.1-only"]),
+        ("ISC License", ["ISC"]),
+        ("This software is available under the zlib license.", ["Zlib"]),
+        ("Licensed under the Eclipse Public License v2.0.", ["EPL-2.0"]),
+        ("Licensed under the EUPL 1.2.", ["EUPL-1.2"]),
+        ("This file is available under the BSD license.", ["BSD"]),
+        ("Released under the New BSD License.", ["BSD-3-Clause"]),
+        ("// SPDX-License-Identifier: gpl-3.0-or-later", ["GPL-3.0-or-later"]),
+        ("# SPDX-License-Identifier: LGPL-2.1-only", ["LGPL-2.1-only"]),
+        ("SPDX-License-Identifier: (Apache-2.0 OR MIT) AND GPL-2.0+ WITH Classpath-exception-2.0", ["Apache-2.0", "MIT", "GPL-2.0-or-later"]),
+        ("The simple example may replace version 2 of the apache.", []),
+        ("Our GNU herd, version 3, ran in June 2007.", []),
+    ],
+)
+def test_names_titles_and_expressions(text, want):
+    assert [x for x, _, _ in L.licences(text)[0]] == want
+
+
+def test_rules_equal_a_plain_reading(spark):
+    """The scan against a reading that has no prefilter and tries every rule on
+    every place: known sentences as they are, rules by plain search."""
+    rng = random.Random(3)
+    pieces = [MIT, "MIT License", "Plain words here.", "Licensed under the GPLv3.", "# SPDX-License-Identifier: MIT OR ISC",
+              "Apache License\nVersion 2.0, January 2004", "Copyright 2020 A B", "All rights reserved.", "x " * 40 + "."]
+
+    def plain(text):
+        ids = []
+        for number, (a, b) in enumerate(L.sentences(text)):
+            whole = L.identify(text[a:b])
+            if whole and not (whole[0] in L.LINES and "\n" in text[a:b].strip()):
+                ids.append((*whole, number))
+            else:
+                ids += [(*got, number) for line in text[a:b].split("\n") if (got := L.identify(line))] if "\n" in text[a:b] else []
+        out, i = [], 0
+        while i < len(ids):
+            for name, rule in L.RULES:
+                part = ids[i : i + len(rule)]
+                if [p[0] for p in part] == list(rule) and all(y[2] - x[2] <= L.MAX_GAP + 1 for x, y in zip(part, part[1:])):
+                    out += L._licences(name, {k: v for p in reversed(part) for k, v in p[1].items()})
+                    i += len(rule) - 1
+                    break
+            i += 1
+        return ",".join(dict.fromkeys(out))
+
+    rows = [(i, "\n\n".join(rng.choice(pieces) for _ in range(rng.randint(0, 7)))) for i in range(200)]
+    got = {r.doc_id: r.licences for r in L.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: plain(t) for i, t in rows} and sum(map(bool, got.values())) > 100

@@ -8,7 +8,10 @@ comment signs dropped, ``licence`` spelt ``license``) and looked up among known
 licence sentences, which give it an identifier.  The sequence of identifiers
 is then matched against ordered rules; a rule may have up to ``MAX_GAP``
 unknown sentences between its parts, the first rule that fits wins and its
-sentences are used up.
+sentences are used up.  Licences go by many names (``GPLv3``, ``GNU GPL v3``,
+``New BSD``); a table of names serves notices ("licensed under the ...") and
+titles alike.  An SPDX line is parsed as an expression: every licence in it
+counts, in order.
 
 Every sentence the patterns accept holds one of ``CRITICAL``'s single words, in
 its text as in its normalised form (which only lowers it and drops what stands
@@ -16,7 +19,8 @@ between words), so a text without any needs no further look; this loses
 nothing.
 
 Defined results: a null or empty text has no licence; repeated rows get the
-same result each; only ``doc_id`` and ``text`` are read.
+same result each; only ``doc_id`` and ``text`` are read; an empty table gives no
+rows.  Very long texts are read whole, in time proportional to their length.
 """
 
 from __future__ import annotations
@@ -33,8 +37,33 @@ MAX_GAP = 3
 # Wording of public licences, as patterns over normalised words.
 _THIS = r"(?:(?:this|the) (?:work|program|software|file|project|code|library|document|package|article|dataset) is )?"
 _UNDER = r"(?:dual )?(?:licensed|released|distributed|available|published|covered) under (?:the terms of )?(?:an? |the )?"
+_MORE = r"(?: license)?(?: see .*| which .*| as .*)?"
+_V = r"(?: version| v)? ?v?"
+#: Names of licences, as patterns over normalised words, and their SPDX ids.
+NAMES = [
+    ("MIT", r"(?:mit|expat) license"),
+    ("ISC", r"isc license"),
+    ("Zlib", r"zlib(?: libpng)? license"),
+    ("Unlicense", r"unlicense"),
+    ("Apache-2.0", r"apache(?: software)?(?: license)?" + _V + r"2(?:\.0)?"),
+    ("BSD-3-Clause", r"(?:new|modified|revised) bsd"),
+    ("BSD-2-Clause", r"simplified bsd|freebsd license"),
+    ("BSD", r"bsd license"),
+    ("EPL", r"(?:eclipse public license|epl)" + _V + r"(?P<epl>[12]\.0)"),
+    ("EUPL", r"(?:european union public license|eupl)" + _V + r"(?P<eupl>1\.[012])"),
+    ("MPL-2.0", r"(?:mozilla public license|mpl)" + _V + r"2(?:\.0)?"),
+    ("BSL-1.0", r"boost software license" + _V + r"1\.0"),
+    ("GPL", r"(?:gnu )?(?P<letter>[al])?gpl(?: license)?" + _V + r"(?P<number>[123](?:\.[01])?)(?P<upward>(?: or(?: any)? later)?(?: version)?)"),
+]
+_NAME = "(?:" + "|".join(f"(?P<n{i}>{p})" for i, (_, p) in enumerate(NAMES)) + ")"
 SENTENCES = [
-    ("spdx", r"spdx license identifier (?P<name>[a-z0-9. ]+?)"),
+    ("spdx", r"spdx license identifier [a-z0-9. ]+"),
+    ("apache-title", r"apache license"),
+    ("apache-version", r"version 2\.0 january 2004(?: https? .*)?"),
+    ("apache-head", r"apache license version 2\.0 january 2004(?: https? .*)?"),
+    ("gpl-title", r"gnu (?P<kind>lesser |affero )?general public license"),
+    ("gpl-version", r"version (?P<version>[123](?:\.[01])?) (?:[0-9]{1,2} )?(?:june|february|november) [0-9]{4}"),
+    ("gpl-head", r"gnu (?P<kind>lesser |affero )?general public license version (?P<version>[123](?:\.[01])?) (?:[0-9]{1,2} )?(?:june|february|november) [0-9]{4}"),
     ("mit", _THIS + _UNDER + r"(?:mit|expat) license"),
     ("mit-grant", r"permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files.*"),
     ("mit-notice", r"the above copyright notice and this permission notice (?:including the next paragraph )?shall be included in all copies or substantial portions of the software"),
@@ -59,11 +88,23 @@ SENTENCES = [
     ("cc", _THIS + _UNDER + r"(?:creative commons (?:license )?)?(?:cc (?P<terms>by(?: nc)?(?: sa| nd)?|zero)|cc ?(?P<zero>0)) ?(?P<version>[1-4]\.[0-9])?(?: (?:international|universal|unported))?(?: license)?"),
     ("cc-name", _THIS + _UNDER + r"creative commons (?P<terms>attribution(?: noncommercial| non commercial)?(?: sharealike| share alike| noderivatives| no derivatives)?) (?P<version>[1-4]\.[0-9])(?: (?:international|unported))?(?: license)?"),
     ("public-domain", r"this is free and unencumbered software released into the public domain|" + _THIS + r"(?:released into|dedicated to|in) the public domain"),
+    ("named", _THIS + _UNDER + _NAME + _MORE),
+    ("title", r"(?:the )?" + _NAME + r"(?: license)?(?: (?:mit|isc|zlib))?"),
     ("reserved", r"(?:copyright .{0,80} )?all rights reserved"),
     ("copyright", r"(?:c )?copyright (?:c )?(?:[0-9]{4}.{0,80}|.{1,60} [0-9]{4})"),
 ]
 #: Ordered: longer sequences stand before those they begin with.
 RULES = [
+    ("MIT", ("title", "copyright", "mit-grant", "mit-notice", "as-is", "no-liability")),
+    ("MIT", ("title", "copyright", "mit-grant", "mit-notice", "as-is")),
+    ("MIT", ("title", "mit-grant", "mit-notice", "as-is")),
+    ("{spdx}", ("spdx",)),
+    ("{named}", ("named",)),
+    ("{named}", ("title",)),
+    ("Apache-2.0", ("apache-title", "apache-version")),
+    ("Apache-2.0", ("apache-head",)),
+    ("{gpl}", ("gpl-title", "gpl-version")),
+    ("{gpl}", ("gpl-head",)),
     ("MIT", ("mit-grant", "mit-notice", "as-is", "no-liability")),
     ("MIT", ("mit-grant", "mit-notice", "as-is")),
     ("MIT", ("mit-grant", "mit-notice")),
@@ -84,27 +125,53 @@ RULES = [
     ("MPL-2.0", ("mpl-2.0",)),
     ("{cc}", ("cc",)),
     ("{cc}", ("cc-name",)),
-    ("{spdx}", ("spdx",)),
     ("public-domain", ("public-domain",)),
     ("proprietary", ("reserved",)),
 ]
-CRITICAL = ("licen", "permission", "redistribution", "copyright", "warrant", "liable", "domain", "reserved", "commons", "cc")
+CRITICAL = ("licen", "permission", "redistribution", "copyright", "warrant", "liable", "domain", "reserved", "commons", "cc",
+            "gpl", "epl", "mpl", "apache", "bsd", "eupl", "gnu", "version")
 #: Sentences that never go on in the next line.
 LINES = ("spdx", "copyright", "reserved")
 # End of the fixed values.
 
 _TABLE = [(name, re.compile(pattern)) for name, pattern in SENTENCES]
 _WORD = re.compile(r"[a-z0-9]+(?:\.[0-9]+)*")
+_PLUS = re.compile(r"(?<=[0-9])\+")
 _END = re.compile(r"[.!?;](?=\s)|\n[ \t]*(?=\n)")
-_SPDX = {
-    "mit": "MIT", "isc": "ISC", "apache 2.0": "Apache-2.0", "bsd 2 clause": "BSD-2-Clause", "bsd 3 clause": "BSD-3-Clause",
-    "mpl 2.0": "MPL-2.0", "cc0 1.0": "CC0-1.0",
-}
+#: SPDX ids in their own spelling; others stay as written.
+SPDX_IDS = (
+    "0BSD", "AGPL-3.0-only", "AGPL-3.0-or-later", "Apache-1.1", "Apache-2.0", "Artistic-2.0", "BSD-2-Clause", "BSD-3-Clause",
+    "BSD-4-Clause", "BSL-1.0", "CC-BY-3.0", "CC-BY-4.0", "CC-BY-SA-3.0", "CC-BY-SA-4.0", "CC-BY-NC-4.0", "CC-BY-NC-SA-4.0",
+    "CC-BY-ND-4.0", "CC0-1.0", "CDDL-1.0", "EPL-1.0", "EPL-2.0", "EUPL-1.1", "EUPL-1.2", "GPL-1.0-only", "GPL-1.0-or-later",
+    "GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0-only", "GPL-3.0-or-later", "ISC", "LGPL-2.0-only", "LGPL-2.0-or-later",
+    "LGPL-2.1-only", "LGPL-2.1-or-later", "LGPL-3.0-only", "LGPL-3.0-or-later", "MIT", "MIT-0", "MPL-1.1", "MPL-2.0", "NCSA",
+    "OFL-1.1", "PostgreSQL", "Python-2.0", "Unlicense", "WTFPL", "Zlib",
+)
+_SPELT = {x.lower(): x for x in SPDX_IDS}
+_EXPRESSION = re.compile(r"(?i)spdx-licen[sc]e-identifier:?\s*([A-Za-z0-9.+() -]+)")
 _CC = {"attribution": "by", "noncommercial": "nc", "sharealike": "sa", "noderivatives": "nd"}
 
 
 def normalised(sentence: str) -> str:
-    return " ".join(_WORD.findall(sentence.lower())).replace("licence", "license")
+    low = _PLUS.sub(" or later ", sentence.lower())
+    return " ".join(_WORD.findall(low)).replace("licence", "license")
+
+
+def spdx_licences(expression: str) -> list[str]:
+    """The licences of an SPDX expression, in order; what follows ``WITH`` is an
+    exception and none of them.  ``GPL-2.0`` and ``GPL-2.0+`` are old spellings."""
+    out, skip = [], False
+    for word in re.findall(r"[A-Za-z0-9.+-]+", expression):
+        if word.upper() in ("AND", "OR", "WITH"):
+            skip = word.upper() == "WITH"
+            continue
+        if not skip:
+            later, name = word.endswith("+"), word.rstrip("+.")
+            if re.fullmatch(r"(?i)[al]?gpl-[0-9.]+", name):
+                name += "-or-later" if later else "-only"
+            out.append(_SPELT.get(name.lower(), name))
+        skip = False
+    return out
 
 
 def _may_hold(low: str) -> bool:
@@ -119,13 +186,35 @@ def identify(sentence: str) -> tuple[str, dict] | None:
     for name, pattern in _TABLE:
         m = pattern.fullmatch(words)
         if m:
-            return name, {k: v for k, v in m.groupdict().items() if v}
+            parts = {k: v for k, v in m.groupdict().items() if v}
+            return name, parts | {"expression": sentence} if name == "spdx" else parts
     return None
 
 
-def _licence(name: str, parts: dict) -> str:
+def _licences(name: str, parts: dict) -> list[str]:
+    """What a rule's licence is, given the variable parts of its sentences."""
     if name == "{spdx}":
-        return _SPDX.get(parts["name"], parts["name"].upper().replace(" ", "-"))
+        found = _EXPRESSION.search(parts["expression"])
+        return spdx_licences(found[1]) if found else []
+    if name == "{named}":
+        return [_named(parts)]
+    return [_licence(name, parts)]
+
+
+def _named(parts: dict) -> str:
+    name = next(n for i, (n, _) in enumerate(NAMES) if f"n{i}" in parts)
+    if name == "EPL":
+        return f"EPL-{parts['epl']}"
+    if name == "EUPL":
+        return f"EUPL-{parts['eupl']}"
+    if name == "GPL":
+        kind, version = parts.get("letter", "").upper() + "GPL", parts["number"]
+        later = "later" in parts.get("upward", "")
+        return f"{kind}-{version if '.' in version else version + '.0'}-{'or-later' if later else 'only'}"
+    return name
+
+
+def _licence(name: str, parts: dict) -> str:
     if name == "{gpl}":
         kind = {"lesser": "LGPL", "affero": "AGPL"}.get(parts.get("kind", "").strip(), "GPL")
         version = parts["version"] if "." in parts["version"] else parts["version"] + ".0"
@@ -185,7 +274,8 @@ def licences(text: str, max_gap: int = MAX_GAP) -> tuple[list[tuple[str, int, in
             if tuple(p[0] for p in part) != ids:
                 continue
             if all(b[4] - a[4] <= max_gap + 1 for a, b in zip(part, part[1:], strict=False)):
-                out.append((_licence(name, part[0][1]), part[0][2], part[-1][3]))
+                parts = {k: v for p in reversed(part) for k, v in p[1].items()}
+                out += [(x, part[0][2], part[-1][3]) for x in _licences(name, parts)]
                 i += len(ids)
                 break
         else:
