@@ -201,6 +201,17 @@ class Automaton:
         logp[:, self.fill] = 0
         self.step, self.logp = (step * width).ravel(), logp.ravel()
 
+    def plain(self) -> tuple:
+        """The automaton as arrays and numbers, for a broadcast: an object of this
+        class would need the package on the workers."""
+        return self.unseen, self.fill, self.width, self.classes, self.step, self.logp
+
+    @classmethod
+    def of(cls, plain: tuple) -> "Automaton":
+        self = cls.__new__(cls)
+        self.unseen, self.fill, self.width, self.classes, self.step, self.logp = plain
+        return self
+
     def score(self, texts: list[list[bytes]], depth: int = DEPTH, stretch: int = _STRETCH) -> np.ndarray:
         """log10 probability of each text, its end included."""
         size = np.array([sum(map(len, w)) + max(0, len(w) - 1) + 1 for w in texts], np.int64)
@@ -235,7 +246,7 @@ def _scored(model, heavy):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         uid = TaskContext.get().partitionId() << 33
-        automaton, counts = model.value, heavy.value
+        automaton, counts = Automaton.of(model.value), heavy.value
         for batch in batches:
             texts, a, size = as_bytes(batch.column(2)), 0, 0
             for i, text in enumerate(texts):
@@ -283,7 +294,7 @@ def suffix_tree_scores(docs: DataFrame) -> DataFrame:
         "uid long, doc_id long, held_out boolean, n_tokens long, known long, logs double, score double, "
         "words array<string>, times array<int>"
     )
-    scored = stored(rows.mapInArrow(_scored(broadcast(model), broadcast(heavy)), schema), "pst-scored")
+    scored = stored(rows.mapInArrow(_scored(broadcast(model.plain()), broadcast(heavy)), schema), "pst-scored")
     rare = scored.select("uid", F.explode(F.arrays_zip("words", "times")).alias("w"))
     rare = rare.select("uid", F.col("w.words").alias("word"), F.col("w.times").alias("times"))
     met = rare.join(words, "word").groupBy("uid").agg(
