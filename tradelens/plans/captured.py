@@ -23,6 +23,9 @@ def grid_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = load(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").alias("n_nationkey"))
     n = load(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     rows = li.join(p, "l_partkey").join(s, "l_suppkey").join(n, "n_nationkey")
+    # The markup of an order's lines is made and read in one place; a table in
+    # one row group would otherwise leave all of it to one task.
+    rows = rows.repartition("l_orderkey")
     values = [
         F.col("l_linenumber").cast("string"),
         F.concat(F.lit("["), hs_code_of("l_partkey"), F.lit("] "), F.col("p_name")),
