@@ -5,17 +5,17 @@ Frequent phrases (``min_count`` occurrences in a language) are mined exactly:
 1. **The sample proposes.**  In one of ``SAMPLE`` documents (by a hash of the
    id) phrases of 1, 2, ... words are counted level by level; those that reach
    a lowered threshold are proposed.
-2. **A full pass counts the proposed phrases and their negative border.**  The
-   border are all other words, and all other occurring phrases whose two
-   sub-phrases (without the last, without the first word) are proposed.
-   Proposed phrases are counted as texts.  Border phrases are many and nearly
-   all rare: they are counted as 64-bit hashes, whose sums can only be too high.
-3. **Border failures expand.**  Border hashes that reach ``min_count`` join the
-   proposed set, and a further pass counts, as texts, what they stand for and
-   every longer phrase around one of them.  That closes the counts: a frequent
-   phrase is either made of proposed parts only, or it holds a smallest part
-   that was not proposed; all that part's own parts were, so it stood on the
-   border, is frequent as well, and failed there.
+2. **A full pass counts the proposed phrases and their negative border**: all
+   words, and all occurring phrases whose two sub-phrases (without the last,
+   without the first word) are proposed, whether they are themselves or not.
+   These are many and nearly all rare, so they are counted as 64-bit hashes;
+   equal hashes can only make a sum too high.
+3. **A second full pass counts as texts** what reached ``min_count`` as a hash,
+   and, around border failures (those that were not proposed), every longer
+   phrase: the expansion.  That closes the counts: a frequent phrase is either
+   made of proposed parts only, or it holds a smallest part that was not
+   proposed; all that part's own parts were, so it stood on the border, is
+   frequent as well, and failed there.
 
 Each candidate's cuts are then joined with the counts of their two parts, and
 phrases that a one word longer phrase always contains are dropped (a longer
@@ -23,8 +23,8 @@ phrase with the same count implies one with one word more).
 
 **On Spark.**  Texts become word numbers per buffer of ``BUFFER`` words; a
 phrase's number follows from its first part's number and its last word, so
-counting inside a buffer is exact.  What a task found leaves it by ranges of
-hashes: texts with their counts, border hashes as sorted arrays.  Each range is
+counting inside a buffer is exact.  What a task found leaves it by ranges:
+sorted arrays of hashes with their counts, or its sums by text.  Each range is
 summed in one small task; the number of ranges follows the number of input
 partitions, so ranges do not grow.  The proposed set travels as a bitmap of
 ``2^BITS`` bits of hashes, 8 MB whatever the corpus; a false hit only has a
@@ -54,7 +54,7 @@ from tradelens.llm.common import stored
 MIN_COUNT, MAX_WORDS, BEST = 100, 5, 2000
 #: One of so many documents is sampled; the sample's threshold is its share of
 #: ``min_count``, lowered by this factor.
-SAMPLE, LOWERED = 8, 3
+SAMPLE, LOWERED = 8, 1.5
 #: Words that a task counts at a time, and bits of the proposed set.
 BUFFER, BITS = 250_000, 26
 #: Copies of short parts' counts in the joins.
@@ -115,12 +115,12 @@ def _factorised(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _levels(tokens: list[bytes], lang: str, now, before, bits: int, longest: int):
     """For 1, 2, ... words, the phrases that are looked at: their counts, mixed
-    hashes, which of them count as texts, those texts, and which have been on a
-    border or counted already.
+    hashes, which of them count as texts, and those texts.
 
-    First pass (``before`` is None): all phrases whose two sub-phrases are in
-    ``now``; texts are those in ``now``.  Expansion: also phrases around one
-    that is in ``now`` only (it failed); texts are those phrases and the failed.
+    Without ``before`` these are all phrases whose two sub-phrases are in
+    ``now``, none as text.  With ``before``, the set that ``now`` was found
+    under, also phrases around a failure (in ``now`` only); texts are what is in
+    ``now`` and what is around a failure.
     """
     encoded = pa.array(tokens, pa.binary()).dictionary_encode()
     words, ids = encoded.dictionary, encoded.indices.to_numpy().astype(np.int64)
@@ -132,19 +132,18 @@ def _levels(tokens: list[bytes], lang: str, now, before, bits: int, longest: int
     h = word_hash = _hashes(words, lang)
     expanding = before is not None
 
-    def kinds(h: np.ndarray, around: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """In the proposed set; failed or around a failed one; kept as text."""
+    def kinds(h: np.ndarray, around: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """May be part of a longer phrase; failed or around a failure."""
         known = _has(now, _mixed(h), bits)
         failed = around | (known & ~_has(before, _mixed(h), bits)) if expanding else around
-        return known, failed, failed if expanding else known
+        return known | failed, failed
 
-    known, failed, text = kinds(h, np.zeros(total, bool))
-    known, failed, text = known & inside, failed & inside, text & inside
-    counts = np.bincount(ids, minlength=total) * inside
-    texts, row = words.take(pa.array(np.flatnonzero(known))), np.cumsum(known) - 1
-    yield counts, _mixed(h), text, texts.take(pa.array(row[text])), known
+    opened, failed = kinds(h, np.zeros(total, bool))
+    opened, failed = opened & inside, failed & inside
+    texts, row = words.take(pa.array(np.flatnonzero(opened))), np.cumsum(opened) - 1
+    yield np.bincount(ids, minlength=total) * inside, _mixed(h), opened, texts
     # At each place: the phrase's number, whether longer ones may follow, whether it failed.
-    number, is_open, is_failed = ids, known[ids], failed[ids]
+    number, is_open, is_failed = ids, opened[ids], failed[ids]
     for k in range(2, longest + 1):
         at = np.flatnonzero(is_open[:-1] & is_open[1:])
         if not len(at):
@@ -154,12 +153,12 @@ def _levels(tokens: list[bytes], lang: str, now, before, bits: int, longest: int
         around[codes] = (is_failed[:-1] | is_failed[1:])[at]  # the same for all occurrences of a phrase
         first, last = uniques // total, uniques % total
         h = h[first] * _STEP + word_hash[last]
-        known, failed, text = kinds(h, around)
-        opened = known | failed
-        mine = np.flatnonzero(opened)
-        texts = pc.binary_join_element_wise(texts.take(pa.array(row[first[mine]])), words.take(pa.array(last[mine])), b" ")
-        row = np.cumsum(opened) - 1
-        yield np.bincount(codes, minlength=len(uniques)), _mixed(h), text, texts.take(pa.array(row[text])), known
+        opened, failed = kinds(h, around)
+        if expanding:  # texts are needed for these only
+            mine = np.flatnonzero(opened)
+            texts = pc.binary_join_element_wise(texts.take(pa.array(row[first[mine]])), words.take(pa.array(last[mine])), b" ")
+            row = np.cumsum(opened) - 1
+        yield np.bincount(codes, minlength=len(uniques)), _mixed(h), opened, texts
         size = len(number) - 1
         number, is_open, is_failed = np.full(size, -1), np.zeros(size, bool), np.zeros(size, bool)
         number[at], is_open[at], is_failed[at] = codes, opened[codes], failed[codes]
@@ -174,8 +173,8 @@ def _summed(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 
 def _counter(now, before, bits: int, longest: int, ranges: int, only: int | None = None, buffer: int = BUFFER):
-    """Counts of texts and of border hashes; or hashes of all phrases of ``only``
-    words whose sub-phrases are in ``now``."""
+    """Counts by hash of the phrases whose sub-phrases are in ``now`` (of ``only``
+    words, if given); with ``before``, counts by text (see ``_levels``)."""
 
     def array(shared) -> np.ndarray | None:
         return None if shared is None else np.frombuffer(shared.value, np.uint8)
@@ -215,18 +214,13 @@ def _counter(now, before, bits: int, longest: int, ranges: int, only: int | None
 
         def flush(all_of_it: bool = False) -> Iterator[pa.RecordBatch]:
             for lang, tokens in held.items():
-                for level, (counts, h, text, phrases, known) in enumerate(_levels(tokens, lang, *bitmaps, bits, longest), 1):
-                    some = counts > 0
-                    if only is not None:
-                        if level == only:
-                            border.append((h[some], counts[some]))
-                        continue
-                    if level == 1 and before is None:
-                        add(lang, pa.array([b""]), counts.sum(keepdims=True))
-                    add(lang, phrases, counts[text])
-                    if before is None:
-                        rest = some & ~known
-                        border.append((h[rest], counts[rest]))
+                for level, (counts, h, text, phrases) in enumerate(_levels(tokens, lang, *bitmaps, bits, longest), 1):
+                    if before is not None:
+                        if level == 1:
+                            add(lang, pa.array([b""]), counts.sum(keepdims=True))
+                        add(lang, phrases, counts[text])
+                    elif only in (None, level):
+                        border.append((h[counts > 0], counts[counts > 0]))
             held.clear()
             if all_of_it or sum(map(len, texts.values())) >= buffer:
                 yield from counted()
@@ -290,20 +284,17 @@ def _bitmap(hashes: DataFrame, bits: int, more: bytes | None = None) -> bytes:
 
 def frequent_phrases(
     docs: DataFrame, min_count: int = MIN_COUNT, max_words: int = MAX_WORDS, sample: int = SAMPLE, bits: int = BITS,
-    buffer: int = BUFFER, passes: list | None = None,
+    buffer: int = BUFFER,
 ) -> DataFrame:
     """``lang, phrase, words, n`` of every phrase with ``min_count`` occurrences
-    in its language; the row with ``words`` 0 has the language's word count.
-
-    ``passes``, if a list, receives the number of border failures.
-    """
+    in its language; the row with ``words`` 0 has the language's word count."""
     spark = docs.sparkSession
     rows = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.col("text").cast("string").alias("text"), "doc_id")
     picked = F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(sample)) == 0
     sampled = stored(rows.where(picked).select("lang", "text"), "phrases-sample")
     rows = rows.select("lang", "text")
     ranges = max(64, 8 * rows.rdd.getNumPartitions())
-    lowered = max(1, min_count // sample // LOWERED)
+    lowered = max(1, int(min_count / sample / LOWERED))
     share = lambda data: None if data is None else spark.sparkContext.broadcast(data)
     now = None
     for k in range(1, max_words + 1):
@@ -313,17 +304,10 @@ def frequent_phrases(
             break
         now = more
     counter = _counter(share(now), None, bits, max_words, ranges, buffer=buffer)
-    first = stored(_sums(rows.mapInArrow(counter, _FOUND), min_count), "phrases-counted")
-    columns = ["lang", "phrase", "words", "n"]
-    counted, failures = first.where("phrase IS NOT NULL").select(*columns), first.where("phrase IS NULL").select("hash")
-    n = failures.count()
-    if passes is not None:
-        passes.append(n)
-    if n == 0:
-        return counted
-    counter = _counter(share(_bitmap(failures, bits, now)), share(now), bits, max_words, ranges, buffer=buffer)
-    more = stored(_sums(rows.mapInArrow(counter, _FOUND), min_count), "phrases-expanded")
-    return counted.unionByName(more.select(*columns))
+    reached = _bitmap(_sums(rows.mapInArrow(counter, _FOUND), min_count).select("hash"), bits)
+    counter = _counter(share(reached), share(now), bits, max_words, ranges, buffer=buffer)
+    counted = stored(_sums(rows.mapInArrow(counter, _FOUND), min_count), "phrases-counted")
+    return counted.select("lang", "phrase", "words", "n")
 
 
 def _part(words: str) -> str:
