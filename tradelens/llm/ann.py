@@ -20,7 +20,7 @@ finite numbers and has the most frequent dimension among such vectors (ties:
 the smaller one).  Rows without an id take no part.  Rows that repeat an id are candidates
 each, but never of a query with their id; a repeated query id is asked once
 per distinct row and its results are ranked together.  Other columns are not
-read.
+read.  Equal products go to the smaller id; an empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -25,7 +25,9 @@ one, such a domain stops at ``max_rate`` times its tokens and stays short.
 Defined results: a null or empty text has no tokens and the classifier's prior;
 domains without any expected token have no part and the other weights are
 scaled up; without two labelled domains all rates are one.  Repeated rows are
-treated alike.  Extra columns pass through ``mixed`` untouched.
+treated alike.  Extra columns pass through ``mixed`` untouched.  An empty table
+gives no rows; a very long text is read whole, in time proportional to its
+length.
 """
 
 from __future__ import annotations

@@ -20,7 +20,8 @@ to partition as well: no task has to wait for another.
 
 Defined results: a null or empty text is its end token alone; a null source is
 a queue of its own; repeated rows are packed each; an empty table gives no
-pieces.  Only ``doc_id``, ``source`` and ``text`` are read.
+pieces; a very long text is tokenised in parts and cut like any other.  Only
+``doc_id``, ``source`` and ``text`` are read.
 """
 
 from __future__ import annotations

@@ -12,7 +12,8 @@ Null labels are ignored; repeated labels of one id are averaged.  Without both
 classes among the labels, or with fewer than 20 labelled documents found in
 the table, there is no model, ``quality`` is null and only the base rule
 decides: so few rows make hardly a split, and their mean would judge every text.
-Other columns of the input are not read.
+Other columns of the input are not read.  An empty table gives no rows; a very
+long text is read whole, in time and memory proportional to its length.
 """
 
 from __future__ import annotations

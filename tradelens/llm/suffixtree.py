@@ -24,7 +24,8 @@ definition, so no join key is hot.
 
 Defined results: a null or empty text is its end token alone; a null id is
 trained on (its remainder is that of ''); repeated rows count and are scored
-each; with nothing to learn from all distributions are uniform.  Only
+each; with nothing to learn from all distributions are uniform; an empty table
+gives no rows; a very long text is scored whole, in stretches.  Only
 ``doc_id`` and ``text`` are read.
 """
 

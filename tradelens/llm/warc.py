@@ -19,7 +19,7 @@ Defined results: a null payload is empty; a null url is left out; rows with a
 null ``page_id`` are kept (id null), never chosen as a group's response unless
 no row of the group has an id; rows that repeat the smallest id of a group are
 all responses.  Other columns are not read.  An empty table gives no archive
-and no records.
+and no records; a very long payload is one record, held in memory by its task.
 """
 
 from __future__ import annotations
