@@ -28,7 +28,7 @@ probability ``1e-5`` at most.
 Defined results: a null or empty text, or one without words, has no shingles
 and no links: it is its own component.  A null id is no candidate for a
 component's id; if no document of a component has an id, the id is null.
-Repeated rows get the same result each; of equal ids the smallest decides ties.
+Repeated rows get the same result each.
 Extra columns are not read (``deduplicated`` passes them through).  An empty
 table gives no rows; a very long text is one row whose set grows with it.
 """
