@@ -3,7 +3,8 @@
 Business days of a month = weekdays (Mon-Fri) minus holidays that fall on a
 weekday.  Weekdays are counted per row in closed form (JVM side, no table).  Holidays are a
 user-supplied table ``(d DATE, name STRING)``; it is reduced to one count
-per month and joined by month key, broadcast after a size check.
+per month and joined by month key; how is left to the planner.  The built-in
+fixed-date holidays need no table.
 """
 
 from __future__ import annotations

@@ -3,8 +3,8 @@ rates, quarter statistics on the last month of each quarter; display labels (P3)
 
 The whole enrichment is window-only over ``partitionBy(series).orderBy(_ym)``
 — the same spec as the monthly growth windows — so after the monthly
-aggregation there is one exchange (by series), one sort, and no join except
-the broadcast per-month holiday counts.
+aggregation there is one exchange (by series), one sort, and no join, except
+with a holiday table given by the user (joined by month).
 """
 
 from __future__ import annotations
