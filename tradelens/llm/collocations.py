@@ -66,9 +66,9 @@ _NORMAL = bytes(
     b + 32 if 65 <= b <= 90 else 255 if b in b".,;:!?" or 10 <= b <= 13 else 32 if b == 9 else b for b in range(256)
 )
 _STEP, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
-#: What a task found in a range of hashes: a phrase's count, or many hashes and
-#: counts (64-bit numbers); and their sums.
-_FOUND = "range int, lang string, phrase string, words int, n long, hashes binary, counts binary"
+#: What a task found in a range: phrases of a language, or hashes, and their
+#: counts (64-bit numbers); and the sums.
+_FOUND = "range int, lang string, phrases array<string>, hashes binary, counts binary"
 _SUMMED = "lang string, phrase string, words int, n long, hash long"
 
 def _tokens(data: bytes) -> list[bytes]:
@@ -189,7 +189,7 @@ def _counter(now, before, bits: int, longest: int, ranges: int, only: int | None
 
         def batch(part: np.ndarray, **columns) -> pa.RecordBatch:
             names = [c.split() for c in _FOUND.split(", ")]
-            kinds = {"string": pa.string(), "int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
+            kinds = {"string": pa.string(), "int": pa.int32(), "binary": pa.binary(), "array<string>": pa.list_(pa.string())}
             columns["range"] = pa.array(part)
             return pa.RecordBatch.from_arrays([columns[c].cast(kinds[t]) if c in columns else pa.nulls(len(part), kinds[t]) for c, t in names], [c for c, _ in names])
 
@@ -201,15 +201,15 @@ def _counter(now, before, bits: int, longest: int, ranges: int, only: int | None
         def counted() -> Iterator[pa.RecordBatch]:
             """The texts' sums so far; the word count goes by the empty phrase."""
             for lang, sums in texts.items():
-                listed = list(sums)
-                for at in range(0, len(listed), 50_000):
-                    some = listed[at : at + 50_000]
-                    same = pa.array([lang]).take(pa.array(np.zeros(len(some), np.int64)))
-                    words = pa.array([x.count(b" ") + 1 if x else 0 for x in some])
-                    yield batch(
-                        np.asarray([zlib.crc32(x) % ranges for x in some]), lang=same, phrase=pa.array(some, pa.binary()), words=words,
-                        n=pa.array([sums[x] for x in some], pa.int64()),
-                    )
+                parts: dict[int, list[bytes]] = {}
+                for phrase in sums:
+                    parts.setdefault(zlib.crc32(phrase) % ranges, []).append(phrase)
+                yield batch(
+                    np.asarray(list(parts)),
+                    lang=pa.array([lang] * len(parts)),
+                    phrases=pa.array(list(parts.values()), pa.list_(pa.binary())),
+                    counts=pa.array([np.asarray([sums[x] for x in p], "<i8").tobytes() for p in parts.values()], pa.binary()),
+                )
             texts.clear()
 
         def flush(all_of_it: bool = False) -> Iterator[pa.RecordBatch]:
@@ -258,10 +258,18 @@ def _sums(found: DataFrame, least: int) -> DataFrame:
     hashes whose counts do; one task per range."""
 
     def run(group: pa.Table) -> pa.Table:
-        parts = [np.frombuffer(b"".join(group.column(c).drop_null().to_pylist()), t) for c, t in (("hashes", "<u8"), ("counts", "<i8"))]
-        hashes, counts = _summed(*parts)
+        def numbers(table: pa.Table, column: str, kind: str) -> np.ndarray:
+            return np.frombuffer(b"".join(table.column(column).to_pylist()), kind)
+
+        texts = pc.is_valid(group.column("phrases"))
+        arrays, listed = group.filter(pc.invert(texts)), group.filter(texts)
+        hashes, counts = _summed(numbers(arrays, "hashes", "<u8"), numbers(arrays, "counts", "<i8"))
         hashes = hashes[counts >= least].view(np.int64)
-        rows = group.filter(pc.is_valid(group.column("phrase"))).group_by(["lang", "phrase", "words"]).aggregate([("n", "sum")])
+        phrases = listed.column("phrases").combine_chunks()
+        one = {"lang": listed.column("lang").combine_chunks().take(pc.list_parent_indices(phrases)), "phrase": pc.list_flatten(phrases)}
+        one["words"] = pc.add(pc.count_substring(one["phrase"], " "), pc.cast(pc.not_equal(one["phrase"], ""), pa.int32()))
+        rows = pa.table(one | {"n": pa.array(numbers(listed, "counts", "<i8"))})
+        rows = rows.group_by(["lang", "phrase", "words"]).aggregate([("n", "sum")])
         rows = rows.filter(pc.or_(pc.greater_equal(rows.column("n_sum"), least), pc.equal(rows.column("words"), 0)))
         few, many = rows.num_rows, len(hashes)
         columns = [pa.concat_arrays([*rows.column(c).chunks, pa.nulls(many, rows.schema.field(c).type)]) for c in ("lang", "phrase", "words", "n_sum")]
