@@ -58,3 +58,15 @@ def test_repeated_cell_keeps_the_last_in_any_session(spark, policy):
     finally:
         spark.conf.unset("spark.sql.mapKeyDedupPolicy")
     assert got == [(2, 1000.0)]
+
+
+def test_option_dimension_reads_whole_pages(spark, tmp_path):
+    """A hundred suppliers share a page, whose level list is read with them."""
+    from tradelens.plans.contract import q_option_dimension
+
+    suppliers = [(k, f"A&amp;B <{k}>", k % 3) for k in (0, 1, 2, 3, 99, 100, 250)] + [(300, "nowhere", 77)]
+    spark.createDataFrame(suppliers, "s_suppkey long, s_name string, s_nationkey int").write.parquet(f"{tmp_path}/supplier.parquet")
+    spark.createDataFrame([(k, f"N{k}") for k in range(3)], "n_nationkey int, n_name string").write.parquet(f"{tmp_path}/nation.parquet")
+    want = [(k // 100, "Select2", f"N{k % 3}", str(k), f"A&amp;B <{k}>") for k in (0, 1, 2, 3, 99, 100, 250)]
+    want += [(p, "LOCATION_TYPE", None, c, label) for p in range(4) for c, label in (("A", "시 선택"), ("B", "시군구 선택"))]
+    assert rows(q_option_dimension(spark, str(tmp_path))) == sorted(want, key=repr)

@@ -2,7 +2,7 @@
 
 The given ``pages`` hold neither result grids nor option lists, so the two
 queries derive such markup from line items and suppliers, one page per line item
-or nation.  Nothing in the library reads this module but the contract.
+or per hundred suppliers.  Nothing in the library reads this module but the contract.
 """
 
 from __future__ import annotations
@@ -40,12 +40,43 @@ def grid_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.col("l_orderkey").cast("long").alias("page_id"), html.alias("html"))
 
 
+#: Suppliers on one page of the office list.
+OPTION_PAGE_SIZE = 100
+
+# The list that every filter page has beside its offices.
+LEVEL_SELECT = (
+    '<select id="LOCATION_TYPE" name="LOCATION_TYPE"><option value="">선택하세요.</option>'
+    '<option value="A">시 선택</option><option value="B">시군구 선택</option></select>'
+)
+
+
+def _escaped(c: str) -> F.Column:
+    out = F.col(c)
+    for char, entity in {"&": "&amp;", "<": "&lt;", ">": "&gt;", '"': "&quot;"}.items():
+        out = F.replace(out, F.lit(char), F.lit(entity))
+    return out
+
+
 def option_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``page_id, html``: one page per supplier, its option in its nation's group."""
+    """``page_id, url, html``: filter pages of ``OPTION_PAGE_SIZE`` supplier keys
+    each, one ``<optgroup>`` per nation, and the level list on every page."""
     s = load(spark, sf_dir, "supplier").select("s_suppkey", "s_name", F.col("s_nationkey").alias("n_nationkey"))
     n = load(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    html = F.format_string(
-        '<select id="Office"><option value="">-</option><optgroup label="%s"><option value="%d">%s</option></optgroup></select>',
-        "n_name", "s_suppkey", "s_name",
-    )
-    return s.join(n, "n_nationkey").select(F.col("s_suppkey").cast("long").alias("page_id"), html.alias("html"))
+    # A supplier without a nation has no option, but its page has the level list.
+    rows = s.withColumn("page_id", F.floor(F.col("s_suppkey") / OPTION_PAGE_SIZE)).join(n, "n_nationkey", "left")
+    option = F.concat(F.lit('<option value="'), F.col("s_suppkey").cast("string"), F.lit('">'), _escaped("s_name"), F.lit("</option>"))
+    listed = F.struct("s_suppkey", F.when(F.col("n_name").isNotNull(), option).alias("option"))
+    groups = rows.groupBy("page_id", "n_name").agg(F.array_join(F.array_sort(F.collect_list(listed))["option"], "").alias("options"))
+    group = F.concat(F.lit('<optgroup label="'), _escaped("n_name"), F.lit('">'), F.col("options"), F.lit("</optgroup>"))
+    pages = groups.groupBy("page_id").agg(
+        F.array_join(F.array_sort(F.collect_list(F.struct("n_name", group.alias("group"))))["group"], "").alias("groups")
+    )
+    return pages.select(
+        F.col("page_id").cast("long").alias("page_id"),
+        F.concat(F.lit("https://trade.example/filter?page="), F.col("page_id").cast("string")).alias("url"),
+        F.concat(
+            F.lit(f'<html><body>{LEVEL_SELECT}<select id="Select2" name="Select2" multiple="multiple">'),
+            F.col("groups"),
+            F.lit("</select></body></html>"),
+        ).alias("html"),
+    )
