@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from tradelens.operators.select import select_strategy_facts, strategy_totals
+from tradelens.operators.select import filter_pairs, select_strategy_facts, strategy_totals
 from tradelens.sources.strategies import strategies_from_dicts, strategy_items
 
 from conftest import rows
@@ -156,3 +156,18 @@ def test_totals_tag_distinct_keys_only(spark):
     tree = out._jdf.queryExecution().optimizedPlan().toString()
     join = tree.index("Join Inner")
     assert "Aggregate [hs_code" in tree[join:]
+
+
+def _many_items(spark, values, n=300):
+    office = F.array(F.struct(F.lit("세관").alias("category"), F.lit(None).cast("string").alias("scope"), values.alias("values")))
+    return spark.range(n).select(F.lit("s").alias("strategy"), F.format_string("x%d", "id").alias("item"), F.lit("1111111111").alias("hs_code"), office.alias("filters"))
+
+
+def test_items_share_the_pairs_of_a_contained_value(spark):
+    """The pairs grow with lists and names, not with items times names."""
+    facts = spark.range(50).selectExpr("'1111111111' AS hs_code", "'c' AS city", "'d' AS district", "format_string('Gate %02d', id) AS office", "'2024-01' AS date", "1.0D AS export_amount")
+    items = _many_items(spark, F.array(F.lpad((F.col("id") % 3).cast("string"), 2, "0")))
+    pairs = filter_pairs(facts, items, match="contains")
+    assert {c: p.count() for c, p in pairs.items()} == {"city": 0, "district": 0, "office": 3}
+    got = rows(strategy_totals(facts, items, match="contains", long_lists=True), "item", "export_amount")
+    assert got == sorted(((f"x{i}", 1.0) for i in range(300)), key=repr)
