@@ -171,3 +171,15 @@ def test_items_share_the_pairs_of_a_contained_value(spark):
     assert {c: p.count() for c, p in pairs.items()} == {"city": 0, "district": 0, "office": 3}
     got = rows(strategy_totals(facts, items, match="contains", long_lists=True), "item", "export_amount")
     assert got == sorted(((f"x{i}", 1.0) for i in range(300)), key=repr)
+
+
+def test_items_share_the_pairs_of_a_list(spark):
+    """Items with equal lists share their pairs; several lists on a column are met together."""
+    facts = spark.range(50).selectExpr("'1111111111' AS hs_code", "'c' AS city", "'d' AS district", "format_string('Gate %02d', id) AS office", "'2024-01' AS date", "1.0D AS export_amount")
+    items = _many_items(spark, F.transform(F.sequence(F.lit(0), F.lit(19)), lambda i: F.format_string("Gate %02d", i + F.col("id") % 2)))
+    assert filter_pairs(facts, items)["office"].count() == 40
+    twice = items.withColumn("filters", F.concat("filters", F.transform("filters", lambda f: f.withField("values", F.slice(f["values"], 3, 5)))))
+    twice = twice.withColumn("filters", F.concat("filters", F.slice("filters", 1, 1)))
+    for some in (items, twice):
+        want = rows(strategy_totals(facts, some))
+        assert len(want) == 300 and rows(strategy_totals(facts, some, long_lists=True)) == want
