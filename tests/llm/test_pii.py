@@ -247,3 +247,18 @@ def test_sanitised_text(spark):
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert pii.pii_spans(df).count() == 0 and pii.sanitised(df).count() == 0
+
+
+def test_texts_without_entities_are_not_shuffled(spark):
+    """Only texts with entities meet the terms; the rest pass by, whatever the join."""
+    docs = [*disclosing_corpus(), (9000, "plain words only"), (9001, None), (9002, "a@b.cd alone")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = pii.pii_spans(df)
+        assert "Union" in out._jdf.queryExecution().optimizedPlan().toString()
+        got = {r.doc_id: r.spans for r in out.collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    flagged = brute_flagged([t or "" for _, t in docs])
+    assert got == {i: ",".join(brute_spans(t or "", flagged)) for i, t in docs}

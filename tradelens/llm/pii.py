@@ -322,8 +322,11 @@ def _prepared(docs: DataFrame, found) -> DataFrame:
     texts = docs.select("text")
     # A stored table: the planner knows its size and broadcasts it only if small.
     terms = stored(found(*text_terms(texts, *_evidence(texts))), "pii-found")
-    keyed = docs.withColumn("_tl_key", F.xxhash64("text"))
-    return keyed.join(terms, "_tl_key", "left").drop("_tl_key")
+    # Only texts with entities have terms: the others need not meet them.
+    some = _any_entity(F.col("text"))
+    keyed = docs.where(some).withColumn("_tl_key", F.xxhash64("text")).join(terms, "_tl_key", "left").drop("_tl_key")
+    nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in terms.schema if f.name != "_tl_key"]
+    return docs.where(~some).select("*", *nothing).union(keyed)
 
 
 def _joined(spans: Column) -> Column:
