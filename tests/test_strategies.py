@@ -183,3 +183,26 @@ def test_items_share_the_pairs_of_a_list(spark):
     for some in (items, twice):
         want = rows(strategy_totals(facts, some))
         assert len(want) == 300 and rows(strategy_totals(facts, some, long_lists=True)) == want
+
+
+def test_long_lists_name_half_of_all_suppliers(spark, tmp_path):
+    """Every item lists thirteen of the 25 nations' suppliers, and their facts are summed."""
+    from tradelens.plans.contract import q_strategy_long_lists
+    from tradelens.sources.tables import long_list_items
+
+    tables = {
+        "supplier": spark.range(50).selectExpr("id AS s_suppkey", "format_string('S%02d', id) AS s_name", "CAST(id % 25 AS int) AS s_nationkey"),
+        "nation": spark.range(25).selectExpr("CAST(id AS int) AS n_nationkey", "format_string('N%d', id) AS n_name", "0 AS n_regionkey"),
+        "region": spark.range(1).selectExpr("CAST(id AS int) AS r_regionkey", "'R' AS r_name"),
+        "part": spark.range(30).selectExpr("id AS p_partkey", "'B' AS p_brand", "'p' AS p_name"),
+        "lineitem": spark.range(1500).selectExpr(
+            "id % 30 AS l_partkey", "id DIV 30 AS l_suppkey", "TIMESTAMP '2024-01-05' AS l_shipdate", "1.0D AS l_extendedprice"
+        ),
+    }
+    for name, table in tables.items():
+        table.write.parquet(f"{tmp_path}/{name}.parquet")
+    lists = {r.item: r.names for r in long_list_items(spark, str(tmp_path)).selectExpr("item", "filters[0].values AS names").collect()}
+    for p in range(30):
+        assert lists[f"p #{p}"] == [f"S{k:02d}" for k in range(50) if (k % 25 + p) % 25 < 13]
+    got = rows(q_strategy_long_lists(spark, str(tmp_path)))
+    assert got == sorted((("B", f"p #{p}", "2024-01", 26.0) for p in range(30)), key=repr)
